@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ball_tree, decontaminate, packing, token_files, urls
-from .common import table
+from . import ball_tree, decontaminate, packing, private_data, quality, token_files, toxicity, urls
+from .common import crc32_of_id, table
 
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,29 @@ def op3_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op4_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc32_of_id() % 5 == 0
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc32_of_id() % 4 == 2
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    found = private_data.find_private(table(spark, sf_dir, "documents"))
+    plain = F.filter("spans", lambda s: s["plain"])
+    kinds = F.transform(plain, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in private_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(plain), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), F.size(F.filter("spans", lambda s: ~s["plain"])).alias("n_disguised"))
+
+
 def op8_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -37,4 +60,4 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op3_ball_tree_topk, op8_url_vocabulary, op9_token_files, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op3_ball_tree_topk, op4_boosted_toxicity, op5_ftrl_quality, op6_private_data, op8_url_vocabulary, op9_token_files, op10_winnowing)}

@@ -45,55 +45,71 @@ _BYTE = [mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(s)) for s in (0xD6E8
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
-_space = np.ones(256, bool)
-_space[[32, 9, 10, 11, 12, 13]] = False
-_alnum = np.zeros(256, bool)
-_alnum[48:58] = _alnum[97:123] = True
-_alnum[128:] = True
-#: (byte as hashed, is it part of a word): words between blanks as they are, the same in
-#: lower case, and runs of lower-cased letters, digits and everything beyond ASCII.
+_space = np.ones(256, np.uint8)
+_space[[32, 9, 10, 11, 12, 13]] = 0
+_alnum = np.zeros(256, np.uint8)
+_alnum[48:58] = _alnum[97:123] = 1
+_alnum[128:] = 1
+#: (byte as hashed, group of the byte; 0 is outside words): words between blanks as they are, the
+#: same in lower case, runs of lower-cased letters, digits and everything beyond ASCII, and those
+#: together with runs of other visible signs.
 AS_IS = (np.arange(256, dtype=np.uint8), _space)
 LOWER = (_lower, _space)
 ALNUM = (_lower, _alnum[_lower])
+SIGNS = (_lower, np.where(_space == 0, 0, np.where(_alnum[_lower] == 1, 1, 2)).astype(np.uint8))
 
 
 class Block:
     """Texts of some rows: bytes, where words start and end, and the first word of each row."""
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, kind) -> None:
-        fold, inside = kind
-        self.raw, self.offsets = raw, offsets
+        fold, group = kind
+        self.raw, self.offsets, self._sums = raw, offsets, {}
         self.bytes = fold[raw]
-        word = inside[raw]
-        n = len(raw)
-        first = np.zeros(n + 1, bool)
-        first[offsets] = True
-        before = np.empty(n, bool)
-        before[:1], before[1:] = False, word[:-1]
-        after = np.empty(n, bool)
-        after[-1:], after[:-1] = False, word[1:]
-        self.starts = np.flatnonzero(word & (~before | first[:n]))
-        self.ends = np.flatnonzero(word & (~after | first[1:])) + 1
+        n, of = len(raw), group[raw]
+        turn = np.ones(n + 1, bool)  # where a text or another group of bytes begins
+        turn[1:n] = of[1:] != of[:-1]
+        turn[offsets] = True
+        self.starts = np.flatnonzero(turn[:n] & (of != 0))
+        self.ends = np.flatnonzero(turn[1:] & (of != 0)) + 1
         self.first_word = np.searchsorted(self.starts, offsets)
 
     @property
     def n_words(self) -> np.ndarray:
         return np.diff(self.first_word)
 
-    def hashes(self, which: int = 0) -> np.ndarray:
-        return span_hashes(self.bytes, self.starts, self.ends, which)
+    def hashes(self, which: int = 0, first: int | None = None) -> np.ndarray:
+        """Hashes of the words, or of their first so many bytes."""
+        if which not in self._sums:
+            self._sums[which] = byte_sums(self.bytes, which)
+        ends = self.ends if first is None else np.minimum(self.ends, self.starts + first)
+        return span_hashes(self.bytes, self.starts, ends, which, self._sums[which])
 
-    def words(self, row: int) -> list[bytes]:
-        lo, hi = self.first_word[row], self.first_word[row + 1]
-        text = self.bytes.tobytes() if not hasattr(self, "_text") else self._text
-        self._text = text
-        return [text[a:b] for a, b in zip(self.starts[lo:hi].tolist(), self.ends[lo:hi].tolist(), strict=True)]
+    def per_row(self, values: np.ndarray) -> np.ndarray:
+        """Sum of a value per word over the words of each row."""
+        total = np.r_[0, np.cumsum(values)]
+        return total[self.first_word[1:]] - total[self.first_word[:-1]]
 
+    def per_text(self, values: np.ndarray) -> np.ndarray:
+        """Sum of a value per byte over the bytes of each row."""
+        total = np.r_[0, np.cumsum(values)]
+        return total[self.offsets[1:]] - total[self.offsets[:-1]]
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    up, down = powers(len(data), which)
+    @property
+    def row_of_word(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.first_word) - 1), self.n_words)
+
+
+def byte_sums(data: np.ndarray, which: int = 0) -> np.ndarray:
+    up, _ = powers(len(data), which)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[which][data] * up[: len(data)], out=total[1:])
+    return total
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0, total: np.ndarray | None = None) -> np.ndarray:
+    _, down = powers(len(data), which)
+    total = byte_sums(data, which) if total is None else total
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
