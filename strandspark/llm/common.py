@@ -50,3 +50,17 @@ def texts(docs: DataFrame) -> DataFrame:
 
 def crc32_of_id(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+#: Rows of at most a few dozen bytes that may be broadcast, once counted.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """df marked for broadcast if it is known to have few rows; else joins on it shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is in ids (distinct, not null, stashed)."""
+    return docs.join(small(ids, ids.count()), "doc_id", "left_semi")

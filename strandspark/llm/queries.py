@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ball_tree, decontaminate, packing, private_data, quality, token_files, toxicity, urls
+from . import ball_tree, decontaminate, jaccard_join, packing, private_data, quality, token_files, toxicity, urls
 from .common import crc32_of_id, table
 
 
@@ -40,6 +40,10 @@ def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed(plain), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), F.size(F.filter("spans", lambda s: ~s["plain"])).alias("n_disguised"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_copies(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def op8_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -60,4 +64,4 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op3_ball_tree_topk, op4_boosted_toxicity, op5_ftrl_quality, op6_private_data, op8_url_vocabulary, op9_token_files, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op3_ball_tree_topk, op4_boosted_toxicity, op5_ftrl_quality, op6_private_data, op7_jaccard_join, op8_url_vocabulary, op9_token_files, op10_winnowing)}
