@@ -1,8 +1,9 @@
 """Token ids of whole texts, each distinct stretch encoded once.
 
 Byte-level BPE of this family always begins a new token at a single blank between two
-visible characters, so a text's ids are those of the stretches between such blanks, one
-after the other. Stretches repeat far more than texts do: each worker keeps the ids of
+visible characters, before and after a single line feed between such, and between a letter and a sign
+after it, so a text's ids are those of the stretches between these places, one after the
+other. Stretches repeat far more than texts do: each worker keeps the ids of
 the stretches it has seen (at most CACHE of them) and has the tokenizers library encode the rest.
 """
 
@@ -10,18 +11,25 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 from . import words as W
 
-CACHE = 400_000
+CACHE = 600_000
 DEFAULT = "byte_bpe_50k.json"
 
 _visible = np.zeros(256, bool)
 _visible[33:127] = True
 _visible[128:] = True
+_firm = _visible.copy()  # not the first byte of a blank beyond ASCII either
+_firm[128:0xC3] = _firm[0xE0:] = False
+_letter = np.zeros(256, bool)
+_letter[65:91] = _letter[97:123] = True
+_sign = _visible & ~_letter
+_sign[48:58] = _sign[128:] = False
 
 
 def vocabulary_path(name: str = DEFAULT) -> str:
@@ -45,17 +53,19 @@ class Encoder:
         self.begin, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
     def _learn(self, keys: list[int], parts: list[str]) -> None:
-        for key, got in zip(keys, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            ids = got.ids
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            slot = len(self.slots)
-            if slot == len(self.begin):
-                self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.begin[slot], self.size[slot] = self.used, len(ids)
-            self.slots[key] = slot
-            self.used += len(ids)
+        each = [x.ids for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        size = np.fromiter(map(len, each), np.int64, len(each))
+        got = np.fromiter(chain.from_iterable(each), np.uint32, int(size.sum()))
+        while self.used + len(got) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        slot = len(self.slots)
+        while slot + len(size) > len(self.begin):
+            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+        self.flat[self.used : self.used + len(got)] = got
+        self.begin[slot : slot + len(size)] = self.used + np.cumsum(size) - size
+        self.size[slot : slot + len(size)] = size
+        self.slots.update(zip(keys, range(slot, slot + len(size)), strict=True))
+        self.used += len(got)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's ids begin."""
@@ -65,7 +75,11 @@ class Encoder:
         if len(self.slots) > CACHE:
             self.reset()
         seen, cut = _visible[raw], np.zeros(n, bool)
-        cut[1:-1] = (raw[1:-1] == 32) & seen[:-2] & seen[2:]
+        single = seen[:-2] & _firm[raw[2:]]
+        feed = (raw[1:-1] == 10) & single
+        cut[1:-1] = (raw[1:-1] == 32) & single | feed
+        cut[2:] |= feed
+        cut[1:] |= _letter[raw[:-1]] & _sign[raw[1:]]
         inner = offsets[1:-1]
         cut[inner[inner < n]] = True
         cut[0] = True
@@ -77,8 +91,8 @@ class Encoder:
         if new:
             text = raw.tobytes()
             at = place[new]
-            self._learn([names[k] for k in new], [text[a:b].decode("utf-8", "replace") for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-        slot = np.fromiter((known[x] for x in names), np.int64, len(names))[inverse]
+            self._learn([names[k] for k in new], [str(text[a:b], "utf-8", "replace") for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+        slot = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[inverse]
         size = self.size[slot]
         ids = self.flat[W.spread(self.begin[slot], size)]
         total = np.r_[0, np.cumsum(size)]
