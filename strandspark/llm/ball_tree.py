@@ -12,7 +12,6 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,6 +85,7 @@ def _search(k: int):
         if not shard.num_rows or not queries.num_rows:
             return pa.table(none)
         width = len(shard["v"][0])
+        queries = queries.rename_columns([c.removeprefix("q_") for c in queries.column_names])
         rows, q = (np.array(x["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, width) for x in (shard, queries))
         tree = BallTree(shard["vec_id"].to_numpy(), rows)
         floors = queries["floor"].to_numpy().astype(np.float64)
@@ -127,7 +127,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     def part(shard_rows_df: DataFrame, queries: DataFrame) -> DataFrame:
         left = shard_rows_df.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)).cast("array<bigint>")))
         key = ("width", "shard", "q_block")
-        return left.groupBy(*key).cogroup(queries.groupBy(*key)).applyInArrow(_search(k), "query_id long, vec_id long, score long")
+        right = queries.select(*(F.col(c).alias(f"q_{c}") for c in (*key, "vec_id", "v", "floor")))
+        return left.groupBy(*key).cogroup(right.groupBy(*(f"q_{c}" for c in key))).applyInArrow(_search(k), "query_id long, vec_id long, score long")
 
     first = stash(part(rows.where("shard = 0"), asked.withColumn("shard", F.lit(0).cast("long")).withColumn("floor", low)), "first-shard")
     got = first
