@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ball_tree, decontaminate, jaccard_join, packing, private_data, quality, token_files, toxicity, urls
+from . import ball_tree, decontaminate, jaccard_join, packing, private_data, quality, substring_dedup, token_files, toxicity, urls
 from .common import crc32_of_id, table
 
 
@@ -13,6 +13,10 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -64,4 +68,4 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op3_ball_tree_topk, op4_boosted_toxicity, op5_ftrl_quality, op6_private_data, op7_jaccard_join, op8_url_vocabulary, op9_token_files, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_fm_substring_dedup, op3_ball_tree_topk, op4_boosted_toxicity, op5_ftrl_quality, op6_private_data, op7_jaccard_join, op8_url_vocabulary, op9_token_files, op10_winnowing)}

@@ -123,6 +123,14 @@ def grams(h: np.ndarray, n: int, which: int = 0) -> np.ndarray:
     return mix((total[n:] - total[:-n]) * down[: len(h) - n + 1] + np.uint64(n))
 
 
+def span_hashes_of(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans of hashes."""
+    up, down = powers(len(h))
+    total = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * up[: len(h)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def whole(first_word: np.ndarray, n: int) -> np.ndarray:
     """The places from which n words of one row follow."""
     count = np.maximum(np.diff(first_word) - n + 1, 0)
