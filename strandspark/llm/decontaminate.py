@@ -145,7 +145,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_w
     spark = docs.sparkSession
     found = stash(benchmark.select("item_id", F.col("text").cast("string").alias("text")).mapInArrow(_benchmark_windows(size), T.StructType([T.StructField("item_id", benchmark.schema["item_id"].dataType), *(T.StructField(c, T.IntegerType() if c == "size" else T.LongType()) for c in ("size", "fp", "one", "two"))])).distinct(), "benchmark-windows")
     n_blocks = max(1, -(-found.count() // block_windows))
-    source = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *keep)
+    source = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"), *keep)
     if n_blocks > 1:
         source = stash(source.withColumn("_row", F.monotonically_increasing_id()), "rows")
         keep = (*keep, "_row")

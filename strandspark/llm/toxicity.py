@@ -275,8 +275,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = SAMPLE
     return Model(x[order], y[order], fold), final
 
 
-def score(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = SAMPLE, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns in keep, and score (0..1) of every row. Null texts are empty; they and texts
+def score(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = SAMPLE, keep: tuple[str, ...] = (), into: str = "score") -> DataFrame:
+    """doc_id, the columns in keep, and score (0..1, named as into says) of every row. Null texts are empty; they and texts
     without words get the score of their features, as all others; repeated rows score alike."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, learn, bound))
     source = docs.select("doc_id", *keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
@@ -286,7 +286,7 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = SAMPLE
         for batch in batches:
             column = batch.column("_text")
             got = np.concatenate([model.value[0].score(x) for _, _, x in feature_blocks(column, model.value[1])] or [np.zeros(0)])
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(got)], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(got)], [*names, into])
 
     fields = ", ".join(f"`{n}` {source.schema[n].dataType.simpleString()}" for n in names)
-    return source.mapInArrow(run, f"{fields}, score double")
+    return source.mapInArrow(run, f"{fields}, `{into}` double")
