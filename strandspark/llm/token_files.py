@@ -142,7 +142,7 @@ def _write(folder: str, end_id: int, path: str):
             for lo, hi, ids, at in tokens.encoded(batch.column(1), path, end_id):
                 if writer is None:
                     store.create_dir(base, recursive=True)
-                    sink = store.open_output_stream(draft)
+                    sink = store.open_output_stream(draft, compression=None)
                     writer = FileWriter(sink)
                 names = batch.column(0).slice(lo, hi - lo).to_pylist()
                 first = names[0] if first is None else first
