@@ -122,8 +122,8 @@ def signatures(token: np.ndarray, first: np.ndarray, num: int, den: int) -> tupl
             # Elements are in order of their hash, so each segment is a run of them.
             edge = np.searchsorted(owner * m + segment, np.arange(len(mine) * m + 1))
             size = np.diff(edge)
-            lo_at = np.r_[at, at[-1:] + 1]
-            sums = total[lo_at[edge[1:] - 1] + 1] - total[lo_at[np.minimum(edge[:-1], len(at) - 1)]]
+            inner = len(at) - 1
+            sums = total[at[np.maximum(edge[1:] - 1, 0)] + 1] - total[at[np.minimum(edge[:-1], inner)]]
             sums = np.where(size > 0, sums, np.uint64(0))
             who = np.repeat(np.arange(len(mine)), m)
             salt = W.mix((np.uint64(b) << np.uint64(32)) + np.arange(m, dtype=np.uint64))
