@@ -1 +1,862 @@
-QUERIES, ORACLES = {}, {}
+"""Every operator as a query over the driver's tables, with the same result in SQL.
+
+A query's SQL stands beside it. Floating results are rounded to six places on both sides, counts are
+64-bit integers, and times are seconds since the epoch.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import classify, clean
+from ..operators import graphs, grouped, grouping, intervals, joins, kernels
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+        run.__doc__ = f.__doc__
+        QUERIES[f.__name__] = run
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def r6(c):
+    return F.round(c.cast("double"), 6)
+
+
+def col(name: str):
+    return F.col(name)
+
+
+SECONDS = F.expr("unix_micros(cast(ts as timestamp)) div 1000000")
+SQL_SECONDS = "CAST(floor(epoch(ts)) AS BIGINT)"
+
+
+def _events(t) -> DataFrame:
+    return t("events").select("event_id", "user_id", "event_type", "value", SECONDS.alias("at"))
+
+
+SQL_EVENTS = f"ev AS (SELECT event_id, user_id, event_type, value, {SQL_SECONDS} AS tm FROM events)"
+# Islands of half an hour around each event of a user, as SQL; used by several oracles.
+SQL_ISLANDS = f"""{SQL_EVENTS},
+iv AS (SELECT user_id, event_type, event_id, value, greatest(1, tm - 1800) AS s, tm + 1800 AS e FROM ev),
+fl AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY user_id, event_type ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM iv),
+isl AS (SELECT *, CAST(sum(opens) OVER (PARTITION BY user_id, event_type ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM fl),
+mg AS (SELECT user_id, event_type, island, min(s) AS s, max(e) AS e, count(*) AS n FROM isl GROUP BY 1, 2, 3)"""
+
+
+def _islands(t) -> DataFrame:
+    s, e = intervals.window_around(col("at"), 1800)
+    return intervals.merged(_events(t).withColumn("s", s).withColumn("e", e), ["user_id", "event_type"], "s", "e")
+
+
+@query(f"""WITH {SQL_EVENTS},
+iv AS (SELECT *, greatest(1, tm - 1800) AS s, tm + 1800 AS e FROM ev WHERE value >= 10),
+fl AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM iv),
+isl AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM fl),
+b AS (SELECT *, row_number() OVER (PARTITION BY user_id, island ORDER BY value DESC, event_id) AS rn, min(s) OVER (PARTITION BY user_id, island) AS ls, max(e) OVER (PARTITION BY user_id, island) AS le, count(*) OVER (PARTITION BY user_id, island) AS n FROM isl)
+SELECT user_id, ls AS locus_start, le AS locus_end, n AS n_members, event_id AS lead_id, value AS lead_value,
+CASE WHEN value >= 80 THEN 'HIGH' WHEN value >= 50 THEN 'MODERATE' WHEN value >= 20 THEN 'LOW' ELSE 'NEGLIGIBLE' END AS tier,
+rank() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS locus_rank FROM b WHERE rn = 1""")
+def flagship_ranked_loci(t):
+    """M1: filter, windows, islands, best row of each, tier and rank."""
+    s, e = intervals.window_around(col("at"), 1800)
+    rows = _events(t).where("value >= 10").withColumn("s", s).withColumn("e", e)
+    isl = intervals.islands(rows, ["user_id"], "s", "e")
+    span = isl.groupBy("user_id", "island").agg(F.min("s").alias("locus_start"), F.max("e").alias("locus_end"), F.count("*").alias("n_members"), F.max(F.struct("value", (-col("event_id")).alias("o"))).alias("top"))
+    out = span.select("user_id", "locus_start", "locus_end", "n_members", (-col("top.o")).alias("lead_id"), col("top.value").alias("lead_value"))
+    w = Window.partitionBy("user_id").orderBy(F.desc("lead_value"), "lead_id")
+    return out.withColumn("tier", classify.score_class(col("lead_value"), 80, 50, 20)).withColumn("locus_rank", F.rank().over(w).cast("long"))
+
+
+@query(r"""SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, TRY_CAST(event_type AS DOUBLE) AS junk,
+CASE WHEN TRY_CAST(regexp_replace(lower(concat('chr', user_id % 30)), '^chr', '') AS INT) BETWEEN 1 AND 22 THEN user_id % 30 END AS chromosome,
+trim(regexp_replace(lower(event_type), '[^a-z0-9]+', ' ', 'g')) AS normal, user_id % 3 = 1 AS flag FROM events""")
+def coerce_and_clean(t):
+    """PRJ-01, 02, 07, 08."""
+    e = t("events")
+    word = F.element_at(F.array(F.lit("no"), F.lit(" Yes "), F.lit("maybe")), (col("user_id") % 3 + 1).cast("int"))
+    return e.select("event_id", clean.numeric(F.get_json_object("props", "$.k")).alias("k"), clean.numeric(col("event_type")).alias("junk"), clean.chromosome(F.concat(F.lit("chr"), col("user_id") % 30)).cast("long").alias("chromosome"), clean.normal_text(col("event_type")).alias("normal"), clean.as_bool(word).alias("flag"))
+
+
+@query(r"""WITH k AS (SELECT l_orderkey, l_linenumber, l_partkey % 22 + 1 AS c, l_suppkey AS p, upper(l_returnflag) AS a, upper(l_linestatus) AS b FROM lineitem)
+SELECT l_orderkey, l_linenumber, concat(c, ':', p, ':', a, ':', b) AS variant_key, least(a, b) || '|' || greatest(a, b) AS pair, CAST(p AS BIGINT) AS parsed_pos, b AS parsed_alt FROM k""")
+def variant_keys(t):
+    """PRJ-03, 04, 05: build and parse keys, unordered pairs."""
+    k = t("lineitem").select("l_orderkey", "l_linenumber", (col("l_partkey") % 22 + 1).alias("c"), col("l_suppkey").alias("p"), clean.allele(col("l_returnflag")).alias("a"), clean.allele(col("l_linestatus")).alias("b"))
+    k = k.withColumn("variant_key", clean.variant_key(col("c"), col("p"), col("a"), col("b"))).withColumn("v", clean.parse_variant_key(F.concat(F.lit("chr"), F.replace(col("variant_key"), F.lit(":"), F.lit("_")))))
+    return k.select("l_orderkey", "l_linenumber", "variant_key", clean.pair_key(col("a"), col("b")).alias("pair"), col("v.pos").alias("parsed_pos"), col("v.alt").alias("parsed_alt"))
+
+
+@query(r"""SELECT p_partkey, concat('ENSG', lpad(CAST(p_partkey AS VARCHAR), 11, '0')) AS gene, CASE WHEN p_size < 5 THEN 'unknown' ELSE p_name END AS label, replace(trim(regexp_replace(lower(p_type), '[^a-z0-9]+', ' ', 'g')), ' ', '_') AS slug FROM part""")
+def gene_tokens(t):
+    """PRJ-06, 07, 25: identifiers without version, slugs, first non-empty text."""
+    p = t("part")
+    gene = clean.gene_base(F.concat(F.lit("ENSG"), F.lpad(col("p_partkey").cast("string"), 11, "0"), F.lit(".7")))
+    empty = F.when(col("p_size") < 5, "nan").otherwise(col("p_name"))
+    return p.select("p_partkey", gene.alias("gene"), clean.first_nonempty(F.lit(" "), empty, default=F.lit("unknown")).alias("label"), clean.slug(col("p_type")).alias("slug"))
+
+
+@query(r"""WITH n AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[0-9][0-9,]*'), lambda x: TRY_CAST(replace(x, ',', '') AS BIGINT)) AS v FROM documents)
+SELECT doc_id, CAST(CASE WHEN len(list_filter(v, lambda x: x >= 100)) > 0 THEN list_sum(list_filter(v, lambda x: x >= 100 AND x < 1000000000)) ELSE v[1] END AS BIGINT) AS size FROM n WHERE len(list_filter(v, lambda x: x >= 1000000000)) = 0""")
+def digits_from_text(t):
+    """PRJ-14."""
+    huge = F.filter(F.transform(F.regexp_extract_all("text", F.lit("[0-9][0-9,]*"), F.lit(0)), lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("long")), lambda n: n >= 1_000_000_000)
+    return t("documents").where(F.size(huge) == 0).select("doc_id", clean.sample_size(col("text")).alias("size"))
+
+
+@query(r"""WITH s AS (SELECT p_partkey, lower(p_name) AS n, lower(p_type) AS ty, lower(p_brand) AS b FROM part), terms AS (SELECT unnest(['brass', 'steel', 'promo plated', 'tin']) AS term)
+SELECT p_partkey, CAST(max(CASE WHEN n = term THEN 100 WHEN ty = term THEN 95 WHEN CASE WHEN length(term) <= 5 THEN regexp_matches(n, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') ELSE contains(n, term) END THEN 80
+WHEN CASE WHEN length(term) <= 5 THEN regexp_matches(ty, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') ELSE contains(ty, term) END THEN 70
+WHEN CASE WHEN length(term) <= 5 THEN regexp_matches(b, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') ELSE contains(b, term) END THEN 40 ELSE 0 END) AS BIGINT) AS score FROM s, terms GROUP BY 1 HAVING score > 0""")
+def term_score(t):
+    """PRJ-12: the greatest score over a list of terms."""
+    best = F.greatest(*(clean.term_score(col("p_name"), col("p_type"), col("p_brand"), x) for x in ("brass", "steel", "promo plated", "tin")))
+    return t("part").select("p_partkey", best.cast("long").alias("score")).where("score > 0")
+
+
+@query("""SELECT count(*) AS n_rows, CAST(count_if(l_discount IS NULL) AS BIGINT) AS missing, CAST(count_if(l_discount < 0.01) AS BIGINT) AS below, CAST(count_if(l_discount > 0.09) AS BIGINT) AS above,
+CAST(count_if(l_discount BETWEEN 0.01 AND 0.09) AS BIGINT) AS kept, CAST(count_if(l_discount BETWEEN 0.01 AND 0.09 AND l_discount < 0.02) AS BIGINT) AS significant, CASE WHEN count_if(l_discount BETWEEN 0.01 AND 0.09) = 0 THEN 'FAIL' WHEN count_if(l_discount NOT BETWEEN 0.01 AND 0.09) > 0 THEN 'WARNING' ELSE 'PASS' END AS status FROM lineitem""")
+def qc_chain(t):
+    """PRJ-10, 11, ORC-04: ordered rejections with counts in one pass."""
+    d = col("l_discount")
+    kept = d.between(0.01, 0.09)
+    return t("lineitem").agg(F.count("*").alias("n_rows"), F.count_if(d.isNull()).alias("missing"), F.count_if(d < 0.01).alias("below"), F.count_if(d > 0.09).alias("above"), F.count_if(kept).alias("kept"), F.count_if(kept & (d < 0.02)).alias("significant"), F.when(F.count_if(kept) == 0, "FAIL").when(F.count_if(~kept) > 0, "WARNING").otherwise("PASS").alias("status"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, round(ln(1 + l_discount * 10), 6) AS beta, round((ln(2 + l_tax) - ln(1 + l_tax)) / (2 * 1.959963984540054), 6) AS se, round(ln(1 + l_discount * 10) / ((ln(2 + l_tax) - ln(1 + l_tax)) / (2 * 1.959963984540054)), 6) AS z,
+CASE WHEN l_returnflag = 'A' THEN round(l_tax, 6) WHEN l_returnflag = 'R' THEN round(-l_tax, 6) END AS oriented FROM lineitem""")
+def derived_effects(t):
+    """PRJ-09, 27: effect, error, score and orientation."""
+    beta = clean.effect_from_odds_ratio(F.lit(None).cast("double"), 1 + col("l_discount") * 10)
+    se = clean.standard_error(F.lit(None).cast("double"), 1 + col("l_tax"), 2 + col("l_tax"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", r6(beta).alias("beta"), r6(se).alias("se"), r6(clean.z_score(F.lit(None).cast("double"), beta, se)).alias("z"), r6(clean.oriented(col("l_tax"), col("l_returnflag"), F.lit("A"), F.lit("R"))).alias("oriented"))
+
+
+@query("""SELECT s_suppkey, CAST(round_even(4.0 / (1.0 / ((s_suppkey + 1) * 7) + 1.0 / (s_nationkey + 3)), 0) AS BIGINT) AS n_eff, lower(trim(s_name)) NOT IN ('', 'na', 'none') AS full_stats,
+concat('GCST', lpad(CAST(((s_suppkey + 1) * 977 - 1) // 1000 * 1000 + 1 AS VARCHAR), 8, '0'), '-GCST', lpad(CAST(((s_suppkey + 1) * 977 - 1) // 1000 * 1000 + 1000 AS VARCHAR), 8, '0')) AS bucket,
+CASE s_suppkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 3 WHEN 2 THEN 4 END AS file_rank FROM supplier""")
+def catalogue_fields(t):
+    """PRJ-13, 15, 16, 31."""
+    name = F.concat(F.lit("x"), F.element_at(F.array(*map(F.lit, (".h.tsv.gz", ".tsv.gz", ".tsv", ".h.tsv.gz-meta.yaml"))), (col("s_suppkey") % 4 + 1).cast("int")))
+    return t("supplier").select("s_suppkey", clean.effective_n((col("s_suppkey") + 1) * 7, col("s_nationkey") + 3).alias("n_eff"), clean.has_full_summary(col("s_name")).alias("full_stats"), clean.bucket_directory(F.concat(F.lit("GCST"), ((col("s_suppkey") + 1) * 977).cast("string"))).alias("bucket"), clean.format_rank(name).alias("file_rank"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_totalprice >= 200000 AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'O' THEN 'TIER_1' WHEN o_totalprice >= 200000 AND (o_orderstatus = 'O' OR o_orderpriority = '1-URGENT') THEN 'TIER_2' WHEN o_totalprice >= 200000 THEN 'TIER_3' WHEN o_totalprice >= 100000 THEN 'TIER_4' ELSE 'TIER_5' END AS tier,
+CASE WHEN o_totalprice <= 35000 THEN 'P1' WHEN o_totalprice <= 50000 THEN 'P2' WHEN o_totalprice <= 65000 THEN 'P3' WHEN o_totalprice <= 80000 THEN 'P4' ELSE 'P5' END AS bin FROM orders""")
+def tier_cascade(t):
+    """PRJ-22, 23: rule cascades, right-closed bins."""
+    high = F.when(col("o_orderpriority").isin("1-URGENT", "2-HIGH"), 2).otherwise(0)
+    shared = F.when(col("o_orderpriority") == "1-URGENT", 2).otherwise(0)
+    return t("orders").select("o_orderkey", classify.evidence_tier(col("o_totalprice"), col("o_orderstatus") == "O", shared, high, 200000, 100000).alias("tier"), classify.priority_tier(col("o_totalprice"), (35000, 50000, 65000, 80000)).alias("bin"))
+
+
+@query("""SELECT p_partkey, CASE WHEN contains(lower(p_type), 'steel') THEN 'STEEL' WHEN contains(lower(p_type), 'brass') THEN 'BRASS' WHEN contains(lower(p_type), 'tin') THEN 'TIN' ELSE 'OTHER' END AS by_part,
+CASE WHEN list_has_any(string_split(lower(p_type), ' '), ['promo', 'economy']) THEN 'CHEAP' WHEN list_has_any(string_split(lower(p_type), ' '), ['plated', 'polished']) THEN 'FINISHED' ELSE 'OTHER' END AS by_terms FROM part""")
+def category_case(t):
+    """PRJ-17, 18, 19: first match by substring, and by exact terms."""
+    terms = (("CHEAP", ("promo", "economy")), ("FINISHED", ("plated", "polished")))
+    return t("part").select("p_partkey", classify.first_containing(col("p_type"), (("steel", "STEEL"), ("brass", "BRASS"), ("tin", "TIN")), "OTHER").alias("by_part"), classify.functional_category(F.replace(col("p_type"), F.lit(" "), F.lit(",")), terms).alias("by_terms"))
+
+
+@query("""WITH f AS (SELECT c_custkey, c_acctbal > 5000 AS rich, c_mktsegment = 'BUILDING' AS seg, c_nationkey < 5 AS near FROM customer)
+SELECT c_custkey, concat_ws(';', CASE WHEN rich THEN 'RICH' END, CASE WHEN seg THEN 'SEGMENT' END, CASE WHEN near THEN 'NEAR' END) AS axes, CASE WHEN CAST(rich AS INT) + CAST(seg AS INT) + CAST(near AS INT) >= 2 THEN 'MULTI_MECHANISM' WHEN rich THEN 'RICH' WHEN seg THEN 'SEGMENT' WHEN near THEN 'NEAR' ELSE 'UNRESOLVED' END AS class,
+CASE WHEN NOT rich THEN 'NOT_RICH' WHEN NOT seg THEN 'OTHER_SEGMENT' ELSE 'PASS' END AS code, concat_ws('; ', CASE WHEN rich THEN 'balance above 5000' END, CASE WHEN near THEN 'one of five nations' END) AS reason FROM f""")
+def mechanism_axes(t):
+    """PRJ-20, 21, 24, 33: flags to axes, first failure, explanatory text."""
+    rich, seg, near = col("c_acctbal") > 5000, col("c_mktsegment") == "BUILDING", col("c_nationkey") < 5
+    m = classify.mechanism(((rich, "RICH"), (seg, "SEGMENT"), (near, "NEAR")))
+    return t("customer").select("c_custkey", m.alias("m"), classify.first_failure(((~rich, "NOT_RICH"), (~seg, "OTHER_SEGMENT"))).alias("code"), classify.joined_reasons((rich, F.lit("balance above 5000")), (near, F.lit("one of five nations"))).alias("reason")).select("c_custkey", "m.axes", "m.class", "code", "reason")
+
+
+@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) >= 50 THEN event_type END AS active FROM events""")
+def json_fields(t):
+    """PRJ-26, 30, 32: nested fields and the active ones among them."""
+    k = F.from_json("props", "k long")["k"]
+    return t("events").select("event_id", k.alias("k"), F.when(k >= 50, col("event_type")).alias("active"))
+
+
+@query("""SELECT c_custkey, CASE WHEN sign(c_acctbal - 4500) * sign(c_nationkey - 12) > 0 THEN 'INHIBIT' WHEN sign(c_acctbal - 4500) * sign(c_nationkey - 12) < 0 THEN 'ACTIVATE' END AS direction, contains(lower(c_mktsegment), 'build') OR lower(c_mktsegment) = 'household' AS matches,
+CAST(100 * (c_nationkey % 2) + CASE WHEN c_nationkey < 10 THEN 50 ELSE 20 END AS BIGINT) AS target_score FROM customer""")
+def direction_and_match(t):
+    """PRJ-28, 29, 34: signs to actions, word matches, additive scores."""
+    text = F.lower(col("c_mktsegment"))
+    return t("customer").select("c_custkey", classify.direction((col("c_acctbal") - 4500), (col("c_nationkey") - 12).cast("double")).alias("direction"), (clean.phenotype_match(text, F.lit("household goods")) | F.contains(text, F.lit("build"))).alias("matches"), (100 * (col("c_nationkey") % 2) + F.when(col("c_nationkey") < 10, 50).otherwise(20)).cast("long").alias("target_score"))
+
+
+@query("""SELECT n_nationkey, n_name FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name IN ('ASIA', 'EUROPE'))""")
+def population_samples(t):
+    """PRJ-35: members of a list of groups."""
+    wanted = t("region").where(col("r_name").isin("ASIA", "EUROPE")).select(col("r_regionkey").alias("n_regionkey"))
+    return t("nation").join(F.broadcast(wanted), "n_regionkey", "left_semi").select("n_nationkey", "n_name")
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_tax > 0.04 THEN 'FIRST' WHEN l_discount > 0.05 THEN 'SECOND' ELSE 'THIRD' END AS source, CASE WHEN l_tax > 0.04 THEN l_tax WHEN l_discount > 0.05 THEN l_discount ELSE l_quantity END AS value FROM lineitem""")
+def source_precedence(t):
+    """PRJ-36: the first family with a value, and its name."""
+    one, two = F.when(col("l_tax") > 0.04, col("l_tax")), F.when(col("l_discount") > 0.05, col("l_discount"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", F.when(one.isNotNull(), "FIRST").when(two.isNotNull(), "SECOND").otherwise("THIRD").alias("source"), F.coalesce(one, two, col("l_quantity")).alias("value"))
+
+
+@query("""SELECT o_orderkey, c_name, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""")
+def left_lookup(t):
+    """JOI-01: many to one, the right keys checked to be unique."""
+    c = t("customer").select(col("c_custkey").alias("o_custkey"), "c_name", col("c_nationkey").alias("n_nationkey"))
+    n = F.broadcast(t("nation").select("n_nationkey", "n_name"))  # a fixed list of countries
+    return joins.lookup(t("orders").select("o_orderkey", "o_custkey"), c, ["o_custkey"]).join(n, "n_nationkey", "left").select("o_orderkey", "c_name", "n_name")
+
+
+@query("""SELECT s_suppkey, c_custkey, round(s_acctbal + c_acctbal, 6) AS both_balances FROM supplier JOIN customer ON s_suppkey = c_custkey""")
+def inner_pairs(t):
+    """JOI-02."""
+    return t("supplier").join(t("customer"), col("s_suppkey") == col("c_custkey")).select("s_suppkey", "c_custkey", r6(col("s_acctbal") + col("c_acctbal")).alias("both_balances"))
+
+
+@query("""WITH a AS (SELECT c_nationkey AS nk, count(*) AS customers FROM customer WHERE c_acctbal > 9500 GROUP BY 1), b AS (SELECT s_nationkey AS nk, count(*) AS suppliers FROM supplier WHERE s_acctbal > 3000 GROUP BY 1)
+SELECT CAST(coalesce(a.nk, b.nk) AS BIGINT) AS nk, customers, suppliers, CASE WHEN a.nk IS NOT NULL AND b.nk IS NOT NULL THEN 'BOTH' WHEN a.nk IS NOT NULL THEN 'LEFT_ONLY' ELSE 'RIGHT_ONLY' END AS presence FROM a FULL JOIN b ON a.nk = b.nk""")
+def outer_coalesce(t):
+    """JOI-03."""
+    a = t("customer").where("c_acctbal > 9500").groupBy(col("c_nationkey").cast("long").alias("nk")).agg(F.count("*").alias("customers"))
+    b = t("supplier").where("s_acctbal > 3000").groupBy(col("s_nationkey").cast("long").alias("nk")).agg(F.count("*").alias("suppliers"))
+    return joins.outer_evidence(a, b, ["nk"])
+
+
+@query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 150000)")
+def semi_keys(t):
+    """JOI-04."""
+    return t("customer").select("c_custkey").join(t("orders").where("o_totalprice > 150000").select(col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
+
+
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 150000)")
+def anti_keys(t):
+    """JOI-05, ORC-02: what has no counterpart, or is not yet complete."""
+    return t("customer").select("c_custkey").join(t("orders").where("o_totalprice > 150000").select(col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+
+
+SQL_ALLELES = """rows_ AS (SELECT p_partkey AS row_id, p_partkey % 22 AS chrom, p_size % 10 AS pos, substr(p_type, 1, 1) AS a1, substr(p_brand, 7, 1) AS a2 FROM part),
+refs AS (SELECT s_suppkey AS ref_id, s_suppkey % 22 AS chrom, s_nationkey % 10 AS pos, CASE WHEN s_suppkey % 2 = 0 THEN 'S' ELSE '1' END AS ref, CASE WHEN s_suppkey % 2 = 0 THEN '1' ELSE 'P' END AS alt FROM supplier)"""
+
+
+def _alleles(t):
+    rows = t("part").select(col("p_partkey").alias("row_id"), (col("p_partkey") % 22).alias("chrom"), (col("p_size") % 10).alias("pos"), F.substring("p_type", 1, 1).alias("a1"), F.substring("p_brand", 7, 1).alias("a2"))
+    even = col("s_suppkey") % 2 == 0
+    refs = t("supplier").select(col("s_suppkey").alias("ref_id"), (col("s_suppkey") % 22).alias("chrom"), (col("s_nationkey") % 10).alias("pos"), F.when(even, "S").otherwise("1").alias("ref"), F.when(even, "1").otherwise("P").alias("alt"))
+    return rows, refs
+
+
+@query(f"""WITH {SQL_ALLELES},
+j AS (SELECT row_id, count(ref_id) AS c, count_if(least(a1, a2) = least(ref, alt) AND greatest(a1, a2) = greatest(ref, alt)) AS x, min(CASE WHEN least(a1, a2) = least(ref, alt) AND greatest(a1, a2) = greatest(ref, alt) THEN ref_id END) AS xi, min(ref_id) AS ai FROM rows_ LEFT JOIN refs USING (chrom, pos) GROUP BY 1)
+SELECT row_id, CASE WHEN x = 1 THEN 'MATCHED' WHEN x > 1 THEN 'AMBIGUOUS' WHEN c = 1 THEN 'POSITION_ONLY' WHEN c > 1 THEN 'AMBIGUOUS' ELSE 'ABSENT' END AS status, CASE WHEN x = 1 THEN xi WHEN x = 0 AND c = 1 THEN ai END AS ref_id FROM j""")
+def position_pair_join(t):
+    """JOI-06: position and unordered alleles, with the single-candidate fallback."""
+    return joins.match_by_position_and_alleles(*_alleles(t))
+
+
+@query(f"""WITH {SQL_ALLELES},
+f AS (SELECT ref_id % 90 AS key1, min(ref_id) AS one FROM refs GROUP BY 1 HAVING count(*) = 1), s AS (SELECT chrom * 100 + pos AS key2, min(ref_id) AS two FROM refs GROUP BY 1 HAVING count(*) = 1)
+SELECT row_id, coalesce(one, two) AS ref_id, CASE WHEN one IS NOT NULL THEN 'FIRST' WHEN two IS NOT NULL THEN 'SECOND' ELSE 'UNMATCHED' END AS method FROM rows_ LEFT JOIN f ON row_id % 300 = key1 LEFT JOIN s ON chrom * 100 + pos = key2""")
+def two_stage_join(t):
+    """JOI-07: identifier first, then position; unique candidates only."""
+    rows, refs = _alleles(t)
+    place = (col("chrom") * 100 + col("pos")).cast("long")
+    return joins.match_in_two_stages(rows.select("row_id", (col("row_id") % 300).alias("key1"), place.alias("key2")), refs.select((col("ref_id") % 90).alias("key1"), "ref_id"), refs.select(place.alias("key2"), "ref_id"))
+
+
+@query(f"""WITH {SQL_ISLANDS} SELECT ev.event_id, mg.event_type AS island_type, mg.island FROM ev JOIN mg ON ev.user_id = mg.user_id AND ev.tm BETWEEN mg.s AND mg.e""")
+def point_in_interval(t):
+    """JOI-08: points in closed intervals through bins."""
+    points = _events(t).select("event_id", "user_id", "at")
+    spans = _islands(t).select("user_id", col("event_type").alias("island_type"), "island", "s", "e")
+    return intervals.points_in(points, spans, ["user_id"], "at", "s", "e", 7200).select("event_id", "island_type", "island")
+
+
+def _two_sides(t, left: str, right: str):
+    isl = _islands(t)
+    side = lambda kind, p: isl.where(col("event_type") == kind).select("user_id", col("island").alias(f"{p}_id"), col("s").alias(f"{p}_start"), col("e").alias(f"{p}_end"))
+    return side(left, "l"), side(right, "r")
+
+
+SQL_SIDES = f"""{SQL_ISLANDS},
+l AS (SELECT user_id, island AS l_id, s AS l_start, e AS l_end FROM mg WHERE event_type = 'click'), r AS (SELECT user_id, island AS r_id, s AS r_start, e AS r_end FROM mg WHERE event_type = 'view')"""
+
+
+@query(f"""WITH {SQL_SIDES},
+p AS (SELECT *, least(l_end, r_end) - greatest(l_start, r_start) + 1 AS o FROM l JOIN r USING (user_id) WHERE l_start <= r_end AND r_start <= l_end)
+SELECT user_id, l_id, r_id, o AS overlap, round(o / (l_end - l_start + 1), 6) AS left_fraction, round(least(o / (l_end - l_start + 1), o / (r_end - r_start + 1)), 6) AS reciprocal, round(o / (greatest(l_end, r_end) - least(l_start, r_start) + 1), 6) AS jaccard,
+CASE WHEN l_start = r_start THEN 'EXACT_LEAD' WHEN least(o / (l_end - l_start + 1), o / (r_end - r_start + 1)) >= 0.5 THEN 'STRONG_OVERLAP' ELSE 'PARTIAL' END AS class FROM p""")
+def interval_overlap(t):
+    """JOI-09: overlaps with their metrics and class."""
+    p = intervals.overlap_metrics(intervals.overlapping(*_two_sides(t, "click", "view"), ["user_id"], 7200))
+    return p.select("user_id", "l_id", "r_id", "overlap", r6(col("left_fraction")).alias("left_fraction"), r6(col("reciprocal")).alias("reciprocal"), r6(col("jaccard")).alias("jaccard"), intervals.overlap_class(col("reciprocal"), col("l_start") == col("r_start")).alias("class"))
+
+
+@query(f"""WITH {SQL_SIDES} SELECT user_id, l_id, r_id, greatest(0, greatest(l_start, r_start) - least(l_end, r_end)) AS gap FROM l JOIN r USING (user_id) WHERE l_start - 86400 <= r_end AND r_start <= l_end + 86400""")
+def padded_pairs(t):
+    """JOI-10: pairs within a distance."""
+    p = intervals.overlapping(*_two_sides(t, "click", "view"), ["user_id"], 86400, padding=86400)
+    return intervals.overlap_metrics(p).select("user_id", "l_id", "r_id", "gap")
+
+
+@query(f"""WITH {SQL_EVENTS}, c AS (SELECT event_id, user_id, tm FROM ev WHERE event_type = 'click'), v AS (SELECT DISTINCT user_id, tm AS o FROM ev WHERE event_type = 'view'),
+j AS (SELECT event_id, c.user_id, o AS nearest, abs(o - tm) AS distance, row_number() OVER (PARTITION BY event_id ORDER BY abs(o - tm), o) AS rn FROM c LEFT JOIN v USING (user_id)) SELECT event_id, nearest, distance FROM j WHERE rn = 1""")
+def nearest_interval(t):
+    """JOI-11: the nearest position, without making pairs."""
+    e = _events(t)
+    out = intervals.nearest(e.where("event_type = 'click'").select("event_id", "user_id", "at"), e.where("event_type = 'view'").select("user_id", col("at").alias("o")), ["user_id"], "at", "o")
+    return out.select("event_id", "nearest", "distance")
+
+
+@query("""WITH p AS (SELECT DISTINCT l_suppkey AS s, l_partkey % 200 AS m FROM lineitem WHERE l_suppkey <= 40), n AS (SELECT s, count(*) AS n FROM p GROUP BY 1), x AS (SELECT a.s AS left_id, b.s AS right_id, count(*) AS shared FROM p a JOIN p b ON a.m = b.m AND a.s < b.s GROUP BY 1, 2)
+SELECT left_id, right_id, shared, l.n AS n_left, r.n AS n_right, round(shared / (l.n + r.n - shared), 6) AS jaccard FROM x JOIN n l ON l.s = left_id JOIN n r ON r.s = right_id""")
+def set_overlap(t):
+    """JOI-12: shared members and Jaccard of forty sets."""
+    p = t("lineitem").where("l_suppkey <= 40").select("l_suppkey", (col("l_partkey") % 200).alias("m"))
+    return joins.shared_members(p, "l_suppkey", "m").withColumn("jaccard", r6(col("jaccard")))
+
+
+@query("""WITH m AS (SELECT c_nationkey AS k, c_name AS symbol, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer) SELECT s_suppkey, symbol FROM supplier LEFT JOIN (SELECT * FROM m WHERE rn = 1) ON s_nationkey = k""")
+def lookup_first_seen(t):
+    """JOI-13: the first-seen value of a map."""
+    m = joins.first_seen_map(t("customer").select(col("c_nationkey").alias("s_nationkey"), col("c_name").alias("symbol"), "c_custkey"), "s_nationkey", "symbol", "c_custkey")
+    return t("supplier").select("s_suppkey", "s_nationkey").join(m, "s_nationkey", "left").select("s_suppkey", "symbol")
+
+
+@query("""SELECT o_orderkey, coalesce(s_name, n_name, 'UNRESOLVED') AS resolved, CASE WHEN s_name IS NOT NULL THEN 'BY_ID' WHEN n_name IS NOT NULL THEN 'BY_SYMBOL' ELSE 'UNRESOLVED' END AS method FROM orders LEFT JOIN supplier ON o_custkey = s_suppkey LEFT JOIN nation ON o_custkey % 50 = n_nationkey""")
+def fallback_chain(t):
+    """JOI-14: by identifier, else by symbol, else unresolved."""
+    s = t("supplier").select(col("s_suppkey").alias("o_custkey"), "s_name")
+    n = F.broadcast(t("nation").select(col("n_nationkey").cast("long").alias("k"), "n_name"))
+    j = t("orders").select("o_orderkey", "o_custkey", (col("o_custkey") % 50).alias("k")).join(s, "o_custkey", "left").join(n, "k", "left")
+    return j.select("o_orderkey", F.coalesce("s_name", "n_name", F.lit("UNRESOLVED")).alias("resolved"), F.when(col("s_name").isNotNull(), "BY_ID").when(col("n_name").isNotNull(), "BY_SYMBOL").otherwise("UNRESOLVED").alias("method"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, s_suppkey FROM lineitem JOIN supplier ON s_suppkey = l_suppkey OR s_suppkey = l_partkey % 100 + 1""")
+def context_expansion(t):
+    """JOI-15: one row per matching identifier, equal ones once."""
+    ids = F.explode(F.array_distinct(F.array(col("l_suppkey"), col("l_partkey") % 100 + 1))).alias("s_suppkey")
+    return t("lineitem").select("l_orderkey", "l_linenumber", ids).join(t("supplier").select("s_suppkey"), "s_suppkey").select("l_orderkey", "l_linenumber", "s_suppkey")
+
+
+@query("""WITH d AS (SELECT DISTINCT event_type FROM events), u AS (SELECT DISTINCT user_id FROM events), c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) SELECT u.user_id, d.event_type, coalesce(n, 0) AS n, n IS NOT NULL AS available FROM u, d LEFT JOIN c ON c.user_id = u.user_id AND c.event_type = d.event_type""")
+def domain_grid(t):
+    """JOI-16, ORC-08: every cell of a small fixed domain, empty ones too."""
+    e = t("events")
+    grid = joins.domain_grid(e, "user_id", e.select("event_type").distinct())
+    return grid.join(e.groupBy("user_id", "event_type").agg(F.count("*").alias("c")), ["user_id", "event_type"], "left").select("user_id", "event_type", F.coalesce("c", F.lit(0)).alias("n"), col("c").isNotNull().alias("available"))
+
+
+@query(f"""WITH {SQL_EVENTS}, p AS (SELECT * FROM ev WHERE event_type = 'purchase') SELECT a.event_id AS left_event, b.event_id AS right_event, abs(a.tm - b.tm) AS apart FROM p a JOIN p b ON a.user_id = b.user_id AND a.event_id < b.event_id AND abs(a.tm - b.tm) <= 43200""")
+def close_pairs(t):
+    """JOI-17: i < j within a distance, through bins."""
+    p = _events(t).where("event_type = 'purchase'")
+    left = p.select("user_id", col("event_id").alias("left_event"), col("at").alias("l_start"), col("at").alias("l_end"))
+    right = p.select("user_id", col("event_id").alias("right_event"), col("at").alias("r_start"), col("at").alias("r_end"))
+    return intervals.overlapping(left, right, ["user_id"], 43200, padding=43200).where("left_event < right_event").select("left_event", "right_event", F.abs(col("l_start") - col("r_start")).alias("apart"))
+
+
+@query("""WITH o AS (SELECT o_custkey AS k, count(*) AS n_orders FROM orders GROUP BY 1), b AS (SELECT o_custkey AS k, max(o_totalprice) AS best FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) SELECT c_custkey, c_mktsegment, coalesce(n_orders, 0) AS n_orders, coalesce(best, 0.0) AS best FROM customer LEFT JOIN o ON o.k = c_custkey LEFT JOIN b ON b.k = c_custkey""")
+def evidence_assembly(t):
+    """JOI-18: a base and its evidence tables, defaults last."""
+    key = col("o_custkey").alias("c_custkey")
+    n = t("orders").groupBy(key).agg(F.count("*").alias("n_orders"))
+    best = t("orders").where("o_orderstatus = 'F'").groupBy(key).agg(F.max("o_totalprice").alias("best"))
+    return joins.assemble(t("customer").select("c_custkey", "c_mktsegment"), ["c_custkey"], [n, best], {"n_orders": 0, "best": 0.0})
+
+
+@query("""SELECT l_returnflag, l_linestatus, count(*) AS n, count(DISTINCT l_suppkey) AS n_suppliers, round(sum(l_extendedprice), 2) AS total, max(l_quantity) AS high, min(l_quantity) AS low, median(l_quantity) AS middle FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY 1, 2""")
+def group_stats(t):
+    """AGG-01."""
+    return t("lineitem").where("l_returnflag is not null").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.count_distinct("l_suppkey").alias("n_suppliers"), F.round(F.sum("l_extendedprice"), 2).alias("total"), F.max("l_quantity").alias("high"), F.min("l_quantity").alias("low"), F.median("l_quantity").alias("middle"))
+
+
+@query("""WITH b AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderstatus = 'F' THEN o_totalprice END DESC NULLS LAST, o_orderkey) AS rn FROM orders) SELECT o_custkey, o_orderkey, o_totalprice FROM b WHERE rn = 1""")
+def best_row(t):
+    """AGG-02: first of equals; a group without a value gives its first row."""
+    o = t("orders").withColumn("v", F.when(col("o_orderstatus") == "F", col("o_totalprice")))
+    return grouping.arg_best(o, ["o_custkey"], "v", [col("o_orderkey")]).select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+@query("""WITH f AS (SELECT l_orderkey, l_returnflag AS v, min(l_linenumber) AS o FROM lineitem GROUP BY 1, 2) SELECT l_orderkey, string_agg(v, ';' ORDER BY o, v) AS flags FROM f GROUP BY 1""")
+def join_unique_ordered(t):
+    """AGG-03: distinct in order of first sight."""
+    return t("lineitem").groupBy("l_orderkey").agg(grouping.union_in_order(col("l_returnflag"), col("l_linenumber")).alias("flags"))
+
+
+@query("SELECT l_suppkey, string_agg(DISTINCT l_returnflag, ';' ORDER BY l_returnflag) AS flags FROM lineitem GROUP BY 1")
+def join_unique_sorted(t):
+    """AGG-03: distinct and sorted."""
+    return t("lineitem").groupBy("l_suppkey").agg(grouping.union_sorted(col("l_returnflag")).alias("flags"))
+
+
+@query("""SELECT l_suppkey, CAST(count_if(l_quantity >= 25) AS BIGINT) AS many, CAST(count_if(l_discount >= 0.05 AND l_returnflag = 'R') AS BIGINT) AS returned, CAST(count_if(l_tax IS NULL) AS BIGINT) AS untaxed FROM lineitem GROUP BY 1""")
+def cond_counts(t):
+    """AGG-04, 17."""
+    return t("lineitem").groupBy("l_suppkey").agg(F.count_if(col("l_quantity") >= 25).alias("many"), F.count_if((col("l_discount") >= 0.05) & (col("l_returnflag") == "R")).alias("returned"), F.count_if(col("l_tax").isNull()).alias("untaxed"))
+
+
+@query("""SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS n_click, min(value) FILTER (WHERE event_type = 'click') AS low_click, max(abs(value)) FILTER (WHERE event_type = 'view') AS high_view, string_agg(DISTINCT event_type, ';' ORDER BY event_type) AS types FROM events GROUP BY 1""")
+def split_by_type(t):
+    """AGG-05: sub-aggregates by type side by side."""
+    click, view = col("event_type") == "click", col("event_type") == "view"
+    return t("events").groupBy("user_id").agg(F.count_if(click).alias("n_click"), F.min(F.when(click, col("value"))).alias("low_click"), F.max(F.when(view, F.abs("value"))).alias("high_view"), grouping.union_sorted(col("event_type")).alias("types"))
+
+
+@query("""SELECT user_id, round(sum(value) FILTER (WHERE event_type = 'click'), 6) AS click, round(sum(value) FILTER (WHERE event_type = 'purchase'), 6) AS purchase, round(sum(value) FILTER (WHERE event_type = 'view'), 6) AS view FROM events GROUP BY 1""")
+def pivot_wide(t):
+    """AGG-06: a fixed domain gives a fixed schema."""
+    return t("events").groupBy("user_id").pivot("event_type", ["click", "purchase", "view"]).agg(F.round(F.sum("value"), 6))
+
+
+@query("SELECT event_type, count(*) AS n, rank() OVER (ORDER BY count(*) DESC, event_type) AS place FROM events GROUP BY 1")
+def value_counts(t):
+    """AGG-07, SRT-01."""
+    return t("events").groupBy("event_type").agg(F.count("*").alias("n")).withColumn("place", F.rank().over(Window.orderBy(F.desc("n"), "event_type")).cast("long"))
+
+
+@query("SELECT o_orderpriority, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS percent FROM orders GROUP BY 1")
+def pct_of_total(t):
+    """AGG-08."""
+    g = t("orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+    return g.withColumn("percent", r6(100.0 * col("n") / F.sum("n").over(Window.partitionBy(F.lit(1)))))
+
+
+@query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderstatus) = 2 AND min(o_orderstatus) = 'F' AND max(o_orderstatus) = 'O'")
+def strict_set(t):
+    """AGG-09: the set of values equals the wanted one."""
+    return t("orders").groupBy("o_custkey").agg(F.count("*").alias("n"), grouping.strict_set(col("o_orderstatus"), ["F", "O"]).alias("s")).where("s").drop("s")
+
+
+@query("""WITH w AS (SELECT l_suppkey, CASE WHEN l_quantity > 25 THEN 'UP' ELSE 'DOWN' END AS d, l_discount AS w FROM lineitem), s AS (SELECT l_suppkey, sum(CASE WHEN d = 'UP' THEN w ELSE 0 END) / nullif(sum(w), 0) AS up FROM w GROUP BY 1) SELECT l_suppkey, round(up, 6) AS up_share, CASE WHEN up >= 0.52 THEN 'UP' WHEN 1 - up >= 0.52 THEN 'DOWN' ELSE 'CONFLICT' END AS consensus FROM s""")
+def weighted_consensus(t):
+    """AGG-10."""
+    w = F.col("l_discount")
+    s = t("lineitem").groupBy("l_suppkey").agg(F.try_divide(F.sum(F.when(col("l_quantity") > 25, w).otherwise(0.0)), F.sum(w)).alias("up"))
+    return s.select("l_suppkey", r6(col("up")).alias("up_share"), F.when(col("up") >= 0.52, "UP").when(1 - col("up") >= 0.52, "DOWN").otherwise("CONFLICT").alias("consensus"))
+
+
+@query("SELECT p_brand, count(*) AS n, min(p_retailprice) AS low, round(median(p_retailprice), 6) AS middle, max(p_retailprice) AS high, round(quantile_cont(p_retailprice, 0.75) - quantile_cont(p_retailprice, 0.25), 6) AS iqr, round(mad(p_retailprice) * 1.4826022185, 6) AS mad FROM part GROUP BY 1")
+def robust_stats(t):
+    """AGG-11."""
+    s = grouping.robust_summary(t("part"), ["p_brand"], "p_retailprice")
+    return s.select("p_brand", "n", "low", r6(col("middle")).alias("middle"), "high", r6(col("iqr")).alias("iqr"), r6(col("mad")).alias("mad"))
+
+
+@query("""WITH r AS (SELECT l_suppkey AS k, l_quantity AS x, l_extendedprice AS y, rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_suppkey, l_quantity) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_suppkey, l_extendedprice) - 1) / 2.0 AS ry FROM lineitem)
+SELECT k AS l_suppkey, count(*) AS n, CASE WHEN count(*) >= 3 AND stddev_pop(x) > 0 AND stddev_pop(y) > 0 THEN round(corr(x, y), 6) END AS pearson, CASE WHEN count(*) >= 3 AND stddev_pop(x) > 0 AND stddev_pop(y) > 0 THEN round(corr(rx, ry), 6) END AS spearman, round(avg(abs(x - y)), 4) AS mae FROM r GROUP BY 1""")
+def correlations(t):
+    """AGG-12."""
+    c = grouping.correlations(t("lineitem"), ["l_suppkey"], "l_quantity", "l_extendedprice")
+    return c.select("l_suppkey", "n", r6(col("pearson")).alias("pearson"), r6(col("spearman")).alias("spearman"), F.round("mae", 4).alias("mae"))
+
+
+SQL_COUNTS = "c AS (SELECT count_if(quality = 1 AND toxic = 1) AS tp, count_if(quality = 0 AND toxic = 1) AS fp, count_if(quality = 1 AND toxic = 0) AS fn FROM labels)"
+
+
+def _prf(t) -> DataFrame:
+    q, x = col("quality") == 1, col("toxic") == 1
+    c = t("labels").agg(F.count_if(q & x).alias("tp"), F.count_if(~q & x).alias("fp"), F.count_if(q & ~x).alias("fn"))
+    d = lambda a, b: F.round(F.try_divide(a.cast("double"), b.cast("double")), 6)
+    tp, fp, fn = col("tp"), col("fp"), col("fn")
+    return c.select("tp", "fp", "fn", d(tp, tp + fp).alias("precision"), d(tp, tp + fn).alias("recall"), d(2 * tp, 2 * tp + fp + fn).alias("f1"))
+
+
+@query(f"WITH {SQL_COUNTS} SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall, round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1 FROM c")
+def prf1(t):
+    """AGG-13."""
+    return _prf(t)
+
+
+@query(f"""WITH {SQL_COUNTS} SELECT 'precision' AS metric, round(tp / nullif(tp + fp, 0), 6) AS value FROM c UNION ALL SELECT 'recall', round(tp / nullif(tp + fn, 0), 6) FROM c UNION ALL SELECT 'f1', round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) FROM c""")
+def unpivot_metrics(t):
+    """NST-04: metrics in long form."""
+    return _prf(t).unpivot([], ["precision", "recall", "f1"], "metric", "value")
+
+
+@query("SELECT l_partkey, count(DISTINCT l_suppkey) AS n_suppliers, count(DISTINCT (l_suppkey, l_returnflag)) AS n_pairs FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) >= 25")
+def having_distinct(t):
+    """AGG-14."""
+    return t("lineitem").groupBy("l_partkey").agg(F.count_distinct("l_suppkey").alias("n_suppliers"), F.count_distinct(F.struct("l_suppkey", "l_returnflag")).alias("n_pairs")).where("n_suppliers >= 25")
+
+
+@query("""WITH g AS (SELECT o_custkey AS k, max(o_totalprice) / 500000 AS h, count(DISTINCT o_orderpriority) AS t, count(DISTINCT o_orderstatus) AS l, count(*) AS s, bool_or(o_orderstatus = 'P') AS b FROM orders GROUP BY 1)
+SELECT k AS o_custkey, round(h + 0.15 * CAST(b AS INT) + 0.08 * greatest(0, least(t - 1, 4)) + 0.06 * ln(1 + greatest(0, l - 1)) + 0.04 * ln(1 + greatest(0, s - 1)), 6) AS score FROM g""")
+def composite_score(t):
+    """AGG-15."""
+    g = t("orders").groupBy("o_custkey").agg((F.max("o_totalprice") / 500000).alias("h"), F.count_distinct("o_orderpriority").alias("t"), F.count_distinct("o_orderstatus").alias("l"), F.count("*").alias("s"), F.bool_or(col("o_orderstatus") == "P").alias("b"))
+    return g.select("o_custkey", r6(classify.gene_score(col("h"), col("b"), col("t"), col("l"), col("s"))).alias("score"))
+
+
+@query("""SELECT r_name, n_name, count(*) AS n, round(sum(c_acctbal), 4) AS total, CAST(grouping(r_name) * 2 + grouping(n_name) AS BIGINT) AS grain FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY GROUPING SETS ((r_name, n_name), (r_name), ())""")
+def multi_level_rollup(t):
+    """AGG-16: one measure at several grains in one pass."""
+    j = t("customer").join(F.broadcast(t("nation")), col("c_nationkey") == col("n_nationkey")).join(F.broadcast(t("region")), col("n_regionkey") == col("r_regionkey"))
+    return j.rollup("r_name", "n_name").agg(F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 4).alias("total"), F.grouping_id().cast("long").alias("grain"))
+
+
+@query("""WITH a AS (SELECT l_suppkey, l_orderkey * 10 + l_linenumber AS id, l_quantity, l_extendedprice FROM lineitem), q AS (SELECT l_suppkey, id, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, id) AS r FROM a), p AS (SELECT l_suppkey, id, l_extendedprice, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, id) AS r FROM a)
+SELECT l_suppkey, q.id AS quantity_id, p.id AS price_id, p.l_extendedprice AS price_l_extendedprice FROM q JOIN p USING (l_suppkey) WHERE q.r = 1 AND p.r = 1""")
+def multi_argmax(t):
+    """AGG-18: several best rows in one aggregation."""
+    a = t("lineitem").select("l_suppkey", (col("l_orderkey") * 10 + col("l_linenumber")).alias("id"), "l_quantity", "l_extendedprice")
+    return grouping.several_best(a, ["l_suppkey"], {"quantity": ("l_quantity", ["id"]), "price": ("l_extendedprice", ["id", "l_extendedprice"])}, "id")
+
+
+@query("""WITH r AS (SELECT o_custkey, o_orderpriority, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '3-MEDIUM' THEN 1 WHEN '2-HIGH' THEN 2 ELSE 99 END, o_orderkey) AS rn FROM orders) SELECT o_custkey, o_orderpriority AS best FROM r WHERE rn = 1""")
+def best_label_rank(t):
+    """AGG-19, SRT-02: the best label by a rank of labels."""
+    rank = F.coalesce(F.create_map(*(F.lit(x) for x in ("1-URGENT", 0, "3-MEDIUM", 1, "2-HIGH", 2)))[col("o_orderpriority")], F.lit(99))
+    return grouping.keep_first(t("orders").withColumn("_rank", rank), ["o_custkey"], [col("_rank"), col("o_orderkey")]).select("o_custkey", col("o_orderpriority").alias("best"))
+
+
+@query("SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS place FROM customer")
+def rownum(t):
+    """WIN-01, 10."""
+    return t("customer").select("c_custkey", F.row_number().over(Window.partitionBy("c_nationkey").orderBy(F.col("c_acctbal").desc_nulls_last(), "c_custkey")).cast("long").alias("place"))
+
+
+@query("SELECT s_suppkey, row_number() OVER (ORDER BY s_acctbal DESC NULLS LAST, s_suppkey) AS place, rank() OVER (ORDER BY s_nationkey) AS min_rank FROM supplier")
+def global_rank(t):
+    """WIN-02, 04: for result tables, which are small."""
+    return t("supplier").select("s_suppkey", F.row_number().over(Window.orderBy(F.col("s_acctbal").desc_nulls_last(), "s_suppkey")).cast("long").alias("place"), F.rank().over(Window.orderBy("s_nationkey")).cast("long").alias("min_rank"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, round((rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_suppkey, l_quantity) - 1) / 2.0) / count(*) OVER (PARTITION BY l_suppkey), 6) AS pct FROM lineitem""")
+def avg_pct_rank(t):
+    """WIN-03: percentile rank, ties averaged."""
+    return t("lineitem").select("l_orderkey", "l_linenumber", r6(grouping.percentile_rank(col("l_quantity"), "l_suppkey", lone_is_zero=False)).alias("pct"))
+
+
+@query(f"WITH {SQL_ISLANDS} SELECT user_id, event_type, island, s AS island_start, e AS island_end, n AS n_members FROM mg")
+def islands(t):
+    """WIN-05."""
+    return _islands(t).select("user_id", "event_type", "island", col("s").alias("island_start"), col("e").alias("island_end"), "n_members")
+
+
+@query("WITH r AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS place FROM part) SELECT * FROM r WHERE place <= 3")
+def topk(t):
+    """WIN-06."""
+    w = Window.partitionBy("p_brand").orderBy(F.desc("p_retailprice"), "p_partkey")
+    return t("part").select("p_brand", "p_partkey", F.row_number().over(w).cast("long").alias("place")).where("place <= 3")
+
+
+@query("""WITH p AS (SELECT c_nationkey, c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN (c_custkey * 7919 % 10007) / 10007.0 END AS p FROM customer), r AS (SELECT *, count(p) OVER (PARTITION BY c_nationkey) AS n, row_number() OVER (PARTITION BY c_nationkey ORDER BY p, c_custkey) AS rn FROM p WHERE p IS NOT NULL)
+SELECT c_custkey, round(least(1.0, min(p * n / rn) OVER (PARTITION BY c_nationkey ORDER BY rn DESC ROWS UNBOUNDED PRECEDING)), 6) AS fdr FROM r UNION ALL SELECT c_custkey, NULL FROM p WHERE p IS NULL""")
+def bh_fdr(t):
+    """WIN-07: NULL p-values don't count."""
+    p = t("customer").select("c_nationkey", "c_custkey", F.when(col("c_custkey") % 7 != 0, (col("c_custkey") * 7919 % 10007) / 10007.0).alias("p"))
+    return grouping.bh_fdr(p, "p", "fdr", ["c_nationkey"], ["c_custkey"]).select("c_custkey", r6(col("fdr")).alias("fdr"))
+
+
+@query("""WITH q AS (SELECT greatest(1, 120 // count(DISTINCT p_brand)) AS q FROM part), r AS (SELECT p_partkey, p_brand, p_retailprice, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice, p_partkey) AS rn FROM part), s AS (SELECT p_partkey, row_number() OVER (ORDER BY CASE WHEN rn <= q THEN 0 ELSE 1 END, p_retailprice, p_partkey) AS place FROM r, q) SELECT p_partkey FROM s WHERE place <= 120""")
+def quota_select(t):
+    """WIN-08: quotas of each group, then fill to the cap (a feature of the operator)."""
+    return grouping.quota(t("part").select("p_partkey", "p_brand", "p_retailprice"), "p_brand", [col("p_retailprice"), col("p_partkey")], 120).select("p_partkey")
+
+
+@query("SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey, o_orderstatus) > 1 AS is_duplicate FROM orders")
+def duplicate_flags(t):
+    """WIN-09."""
+    return joins.duplicate_flags(t("orders"), ["o_custkey", "o_orderstatus"]).select("o_orderkey", "is_duplicate")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 25")
+def head_rows(t):
+    """SRT-01, 03: the first rows of a full order (a top-k report)."""
+    return t("orders").orderBy(F.col("o_totalprice").desc_nulls_last(), "o_orderkey").limit(25).select("o_orderkey", "o_totalprice")
+
+
+def _ends(sql_order: str) -> str:
+    return f"WITH r AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY {sql_order}) AS rn FROM events) SELECT user_id, event_type, event_id FROM r WHERE rn = 1"
+
+
+@query(_ends("ts, event_id"))
+def keep_first(t):
+    """DED-01."""
+    return grouping.keep_first(t("events"), ["user_id", "event_type"], [col("ts"), col("event_id")]).select("user_id", "event_type", "event_id")
+
+
+@query(_ends("ts DESC, event_id DESC"))
+def keep_last(t):
+    """DED-02."""
+    return grouping.keep_first(t("events"), ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_type", "event_id")
+
+
+@query("SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem")
+def plain_distinct(t):
+    """DED-03."""
+    return t("lineitem").select("l_suppkey", "l_returnflag").distinct()
+
+
+@query("SELECT c_custkey AS id, c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS supplier FROM customer UNION ALL SELECT s_suppkey, NULL, s_name FROM supplier")
+def union_missing(t):
+    """SET-01, SRC-15: union of tables with different columns."""
+    return t("customer").select(col("c_custkey").alias("id"), col("c_mktsegment").alias("segment")).unionByName(t("supplier").select(col("s_suppkey").alias("id"), col("s_name").alias("supplier")), allowMissingColumns=True)
+
+
+@query("WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 48), b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 48) SELECT coalesce(a.k, b.k) AS l_partkey, CASE WHEN a.k IS NULL THEN 'RIGHT_ONLY' WHEN b.k IS NULL THEN 'LEFT_ONLY' ELSE 'COMMON' END AS label FROM a FULL JOIN b ON a.k = b.k")
+def labelled_compare(t):
+    """SET-02."""
+    many = t("lineitem").where("l_quantity > 48").select("l_partkey", "l_returnflag")
+    return joins.compare_sets(many.where("l_returnflag = 'R'"), many.where("l_returnflag = 'A'"), "l_partkey")
+
+
+@query("SELECT l_partkey, bool_or(l_returnflag = 'A') AS in_a, bool_or(l_returnflag = 'N') AS in_n, bool_or(l_returnflag = 'R') AS in_r FROM lineitem GROUP BY 1")
+def membership_flags(t):
+    """SET-03."""
+    return t("lineitem").groupBy("l_partkey").agg(*(F.bool_or(col("l_returnflag") == x).alias(f"in_{x.lower()}") for x in "ANR"))
+
+
+@query("WITH u AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY x DESC, i) AS rn FROM u) SELECT vec_id, CAST(i AS BIGINT) AS lead_index, round(CAST(x AS DOUBLE), 6) AS lead_value FROM r WHERE rn = 1")
+def unnest_members(t):
+    """NST-01: members exploded, the leading one kept."""
+    u = t("embeddings").select("vec_id", F.posexplode("embedding").alias("i", "x"))
+    best = u.groupBy("vec_id").agg(F.max(F.struct("x", (-col("i")).alias("o"))).alias("m"))
+    return best.select("vec_id", (-col("m.o")).cast("long").alias("lead_index"), r6(col("m.x")).alias("lead_value"))
+
+
+@query("WITH k AS (SELECT p_partkey, unnest(list_distinct(string_split(lower(p_type), ' '))) AS token FROM part) SELECT p_partkey, token FROM k WHERE token <> ''")
+def explode_tokens(t):
+    """NST-02."""
+    return t("part").select("p_partkey", F.explode(clean.tokens_of(F.lower("p_type"), " ")).alias("token"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 30 THEN CAST(l_quantity AS BIGINT) WHEN l_linenumber > 3 THEN l_partkey ELSE l_suppkey END AS start_at, CASE WHEN l_quantity > 30 THEN 'DECLARED' WHEN l_linenumber > 3 THEN 'REGION' ELSE 'LEAD' END AS source, round(l_tax * pow(10, -l_linenumber), 9) AS p FROM lineitem""")
+def interval_ladder(t):
+    """NST-03: declared, else parsed region, else lead; mantissa and exponent."""
+    declared, region = F.when(col("l_quantity") > 30, col("l_quantity").cast("long")), F.when(col("l_linenumber") > 3, F.concat(F.lit("chr1:"), col("l_partkey"), F.lit("-")))
+    parsed = F.nullif(F.regexp_extract(region, r"^chr[0-9]+:([0-9]+)-", 1), F.lit("")).cast("long")
+    return t("lineitem").select("l_orderkey", "l_linenumber", F.coalesce(declared, parsed, col("l_suppkey")).alias("start_at"), F.when(declared.isNotNull(), "DECLARED").when(parsed.isNotNull(), "REGION").otherwise("LEAD").alias("source"), F.round(col("l_tax") * F.pow(F.lit(10.0), -col("l_linenumber")), 9).alias("p"))
+
+
+@query("SELECT s_suppkey, (row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1) // 3 + 1 AS batch FROM supplier")
+def batch_manifest(t):
+    """NST-05: slices of a fixed size within a group."""
+    n = F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey"))
+    return t("supplier").select("s_suppkey", n.alias("n")).select("s_suppkey", F.expr("(n - 1) div 3 + 1").cast("long").alias("batch"))
+
+
+@query("SELECT o_orderkey, substr(sha1(concat_ws('|', CAST(o_custkey AS VARCHAR), o_orderstatus, CAST(o_orderkey AS VARCHAR))), 1, 24) AS id FROM orders")
+def stable_ids(t):
+    """NST-06."""
+    return t("orders").select("o_orderkey", F.substring(F.sha1(F.concat_ws("|", col("o_custkey").cast("string"), "o_orderstatus", col("o_orderkey").cast("string")).cast("binary")), 1, 24).alias("id"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_suppkey % 10 AS component, round(l_extendedprice / 1000, 6) AS lbf FROM lineitem WHERE l_suppkey % 10 IN (SELECT s_suppkey % 10 FROM supplier WHERE s_acctbal > 9500)")
+def subset_components(t):
+    """NST-07: components named by another table, in long form a semi-join."""
+    wanted = t("supplier").where("s_acctbal > 9500").select((col("s_suppkey") % 10).alias("component")).distinct()
+    return t("lineitem").select("l_orderkey", "l_linenumber", (col("l_suppkey") % 10).alias("component"), r6(col("l_extendedprice") / 1000).alias("lbf")).join(F.broadcast(wanted), "component", "left_semi")
+
+
+SQL_LBF = """v AS (SELECT l_suppkey % 20 AS trait, l_partkey % 50 AS variant, max(l_quantity) / 5 AS a, max(l_extendedprice) / 9000 AS b FROM lineitem GROUP BY 1, 2),
+s AS (SELECT trait, count(*) AS n, max(a) + ln(sum(exp(a - ma))) AS la, max(b) + ln(sum(exp(b - mb))) AS lb, max(a + b) + ln(sum(exp(a + b - mc))) AS lc FROM (SELECT *, max(a) OVER (PARTITION BY trait) AS ma, max(b) OVER (PARTITION BY trait) AS mb, max(a + b) OVER (PARTITION BY trait) AS mc FROM v) GROUP BY 1),
+g AS (SELECT * FROM s, (VALUES ('LOW', 1e-6), ('DEFAULT', 5e-6), ('HIGH', 1e-5)) p(prior, p12)),
+l AS (SELECT trait, prior, n, 0.0 AS l0, ln(1e-4) + la AS l1, ln(1e-4) + lb AS l2, 2 * ln(1e-4) + la + lb + ln(1 - exp(lc - la - lb)) AS l3, ln(p12) + lc AS l4 FROM g),
+m AS (SELECT *, greatest(l0, l1, l2, l3, l4) AS m FROM l), post AS (SELECT trait, prior, n, exp(l4 - m) / (exp(l0 - m) + exp(l1 - m) + exp(l2 - m) + exp(l3 - m) + exp(l4 - m)) AS h4, exp(l3 - m) / (exp(l0 - m) + exp(l1 - m) + exp(l2 - m) + exp(l3 - m) + exp(l4 - m)) AS h3 FROM m)"""
+
+
+def _posteriors(t) -> DataFrame:
+    v = t("lineitem").groupBy((col("l_suppkey") % 20).alias("trait"), (col("l_partkey") % 50).alias("variant")).agg((F.max("l_quantity") / 5).alias("a"), (F.max("l_extendedprice") / 9000).alias("b"))
+    return kernels.colocalise(v, ["trait"], "a", "b")
+
+
+@query(f"WITH {SQL_LBF} SELECT trait, prior, n AS n_common, round(h3, 6) AS h3, round(h4, 6) AS h4 FROM post")
+def log_sum_exp_coloc(t):
+    """KRN-05, 06: posteriors from log Bayes factors."""
+    return _posteriors(t).select("trait", "prior", "n_common", r6(col("h3")).alias("h3"), r6(col("h4")).alias("h4"))
+
+
+@query(f"WITH {SQL_LBF}, w AS (SELECT trait, max(CASE WHEN prior = 'LOW' THEN h4 END) AS lo, max(CASE WHEN prior = 'DEFAULT' THEN h4 END) AS de, max(CASE WHEN prior = 'HIGH' THEN h4 END) AS hi FROM post GROUP BY 1) SELECT trait, round(lo, 6) AS h4_low, round(hi, 6) AS h4_high, lo >= 0.3 AS robust_simple, least(lo, de, hi) >= 0.3 AS robust_strict FROM w")
+def prior_sensitivity(t):
+    """KRN-07: the same pair under three priors, both robustness rules."""
+    s = kernels.prior_sensitivity(_posteriors(t), ["trait"], 0.3)
+    return s.select("trait", r6(col("h4_low")).alias("h4_low"), r6(col("h4_high")).alias("h4_high"), "robust_simple", "robust_strict")
+
+
+@query("""WITH w AS (SELECT p_brand, p_partkey, p_retailprice / sum(p_retailprice) OVER (PARTITION BY p_brand) AS p FROM part), c AS (SELECT *, row_number() OVER o AS r, coalesce(sum(p) OVER (PARTITION BY p_brand ORDER BY p DESC, p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM w WINDOW o AS (PARTITION BY p_brand ORDER BY p DESC, p_partkey)) SELECT p_brand, p_partkey, r AS rank, round(before + p, 6) AS cumulative, before < 0.953 AS in_set FROM c""")
+def credible_set(t):
+    """KRN-04: by falling probability until the coverage is reached."""
+    w = t("part").select("p_brand", "p_partkey", (col("p_retailprice") / F.sum("p_retailprice").over(Window.partitionBy("p_brand"))).alias("p"))
+    return kernels.credible_set(w, ["p_brand"], "p", "p_partkey", 0.953).select("p_brand", "p_partkey", col("rank").cast("long").alias("rank"), r6(col("cumulative")).alias("cumulative"), "in_set")
+
+
+@query("SELECT l_suppkey, round(1 - exp(sum(ln(1 - l_discount * 0.1))), 6) AS pip FROM lineitem GROUP BY 1")
+def inclusion_probability(t):
+    """KRN-04: one minus the product over components."""
+    return kernels.inclusion_probability(t("lineitem").withColumn("a", col("l_discount") * 0.1), ["l_suppkey"], "a").select("l_suppkey", r6(col("pip")).alias("pip"))
+
+
+@query(f"""WITH {SQL_SIDES}, b AS (SELECT user_id, r_id, min(r_start) AS s, max(r_end) AS e FROM r GROUP BY 1, 2) SELECT b.user_id, b.r_id, CASE WHEN b.r_id % 5 = 0 THEN 'EXCLUDED_LOW_PURITY' WHEN EXISTS (SELECT 1 FROM l WHERE l.user_id = b.user_id AND l_start <= b.e AND b.s <= l_end) THEN 'KEEP' ELSE 'EXCLUDED_NO_OVERLAP' END AS audit FROM b""")
+def cs_overlap_audit(t):
+    """KRN-08: component bounds against loci, with the reason."""
+    left, right = _two_sides(t, "click", "view")
+    hit = intervals.overlapping(left, right, ["user_id"], 7200).select("user_id", "r_id", F.lit(True).alias("hit")).distinct()
+    return right.join(hit, ["user_id", "r_id"], "left").select("user_id", "r_id", F.when(col("r_id") % 5 == 0, "EXCLUDED_LOW_PURITY").when(col("hit"), "KEEP").otherwise("EXCLUDED_NO_OVERLAP").alias("audit"))
+
+
+SQL_ENRICH = """x AS (SELECT c_mktsegment AS term, c_nationkey AS query_set, count(*) AS k FROM customer GROUP BY 1, 2), e AS (SELECT term, query_set, k, (SELECT count(*) FROM customer) AS pop, (SELECT count(*) FROM customer c WHERE c.c_mktsegment = term) AS size, (SELECT count(*) FROM customer c WHERE c.c_nationkey = query_set) AS drawn FROM x),
+i AS (SELECT term, query_set, unnest(range(k, least(size, drawn) + 1)) AS i FROM e),
+pv AS (SELECT term, query_set, any_value(k) AS k, any_value(size) AS size, least(1.0, sum(exp(lgamma(size + 1) - lgamma(i + 1) - lgamma(size - i + 1) + lgamma(pop - size + 1) - lgamma(drawn - i + 1) - lgamma(pop - size - drawn + i + 1) - lgamma(pop + 1) + lgamma(drawn + 1) + lgamma(pop - drawn + 1)))) AS p FROM e JOIN i USING (term, query_set) GROUP BY 1, 2)"""
+
+
+def _enrichment(t) -> DataFrame:
+    c = t("customer").select(col("c_mktsegment").alias("term"), col("c_nationkey").alias("query_set"))
+    k = c.groupBy("term", "query_set").agg(F.count("*").alias("k"))
+    m = k.join(c.groupBy("term").agg(F.count("*").alias("size")), "term").join(c.groupBy("query_set").agg(F.count("*").alias("drawn")), "query_set")
+    m = m.withColumn("population", F.sum("k").over(Window.partitionBy(F.lit(1))))
+    return kernels.hypergeometric_tail(m, "population", "size", "drawn", "k")
+
+
+@query(f"WITH {SQL_ENRICH} SELECT term, CAST(query_set AS BIGINT) AS query_set, k AS hits, round(p, 6) AS p_value FROM pv")
+def hypergeom_enrichment(t):
+    """KRN-09: tail of the hypergeometric distribution."""
+    return _enrichment(t).select("term", col("query_set").cast("long").alias("query_set"), col("k").alias("hits"), r6(col("p_value")).alias("p_value"))
+
+
+@query(f"""WITH {SQL_ENRICH}, r AS (SELECT *, count(*) OVER (PARTITION BY term) AS n, row_number() OVER (PARTITION BY term ORDER BY p, query_set) AS rn FROM pv), f AS (SELECT *, least(1.0, min(p * n / rn) OVER (PARTITION BY term ORDER BY rn DESC ROWS UNBOUNDED PRECEDING)) AS fdr FROM r) SELECT term, CAST(query_set AS BIGINT) AS query_set, round(fdr, 5) AS fdr, fdr <= 0.9 AND k >= 2 AND size BETWEEN 5 AND 500 AS significant FROM f""")
+def pathway_filter(t):
+    """KRN-10: adjusted value, overlap and size."""
+    f = grouping.bh_fdr(_enrichment(t), "p_value", "fdr", ["term"], ["query_set"])
+    return f.select("term", col("query_set").cast("long").alias("query_set"), F.round("fdr", 5).alias("fdr"), kernels.pathway_filter(col("fdr"), col("k"), col("size"), 0.9).alias("significant"))
+
+
+SQL_EDGES = "ed AS (SELECT least(l_suppkey, l_partkey % 100 + 1) AS a, greatest(l_suppkey, l_partkey % 100 + 1) AS b, max(l_discount) AS score FROM lineitem WHERE l_suppkey <> l_partkey % 100 + 1 AND l_quantity > 49 GROUP BY 1, 2)"
+
+
+def _edges(t) -> DataFrame:
+    e = t("lineitem").where("l_quantity > 49").select(col("l_suppkey").alias("x"), (col("l_partkey") % 100 + 1).alias("y"), col("l_discount").alias("s"))
+    return kernels.undirected_edges(e, "x", "y", "s")
+
+
+@query(f"WITH {SQL_EDGES}, n AS (SELECT a AS node, score FROM ed UNION ALL SELECT b, score FROM ed) SELECT node, count(*) AS degree, round(sum(score), 6) AS weighted_degree FROM n GROUP BY 1")
+def degree(t):
+    """KRN-14, 15: undirected edges, degree and weighted degree."""
+    return kernels.degrees(_edges(t)).select("node", "degree", r6(col("weighted_degree")).alias("weighted_degree"))
+
+
+@query(f"WITH {SQL_EDGES}, n AS (SELECT a AS node, b AS other FROM ed UNION ALL SELECT b, a FROM ed), c AS (SELECT s_suppkey AS node, s_nationkey % 3 AS class FROM supplier WHERE s_suppkey % 4 = 0) SELECT n.node, count(DISTINCT other) AS n_seeds, count(DISTINCT class) AS n_classes, count(DISTINCT class) >= 2 AS is_bridge FROM n JOIN c ON n.other = c.node WHERE n.node NOT IN (SELECT node FROM c) GROUP BY 1")
+def connector_table(t):
+    """KRN-18: nodes that join seeds of several classes."""
+    seeds = t("supplier").where("s_suppkey % 4 = 0").select(col("s_suppkey").alias("node"), (col("s_nationkey") % 3).alias("class"))
+    return kernels.connectors(_edges(t), seeds)
+
+
+@query("""WITH c AS (SELECT c_custkey, greatest(0.0, least(1.0, c_acctbal / 10000)) AS h, c_nationkey AS n FROM customer) SELECT c_custkey, round(least(100.0, 35 * h + CASE WHEN n % 2 = 0 THEN 5 ELSE 0 END + CASE WHEN n % 3 = 0 THEN 5 ELSE 0 END + CASE WHEN n > 12 THEN 7 ELSE 0 END + CASE WHEN n > 18 THEN 3 ELSE 0 END + 3.5 * least(n % 4, 2) + CASE WHEN n = 7 THEN 3 ELSE 0 END + 10 * least(4, n % 6) / 4 + 7 * h + CASE WHEN n = 3 THEN 3 ELSE 0 END + CASE WHEN n < 20 THEN 5 ELSE 0 END + CASE WHEN n < 10 THEN 10 ELSE 0 END), 6) AS priority,
+round(least(100.0, 30 * h + CASE WHEN n % 2 = 0 THEN 5 ELSE 0 END + CASE WHEN n % 3 = 0 THEN 5 ELSE 0 END + CASE WHEN n % 5 = 0 THEN 5 ELSE 0 END + CASE WHEN n > 12 THEN 10 ELSE 0 END + CASE WHEN n > 18 THEN 5 ELSE 0 END + 10 * least(n, 5) / 5 + CASE WHEN n = 1 THEN 5 ELSE 0 END + CASE WHEN n < 15 THEN 4 ELSE 0 END + 4 * h + CASE WHEN n = 3 THEN 2 ELSE 0 END + CASE WHEN n = 4 THEN 3 ELSE 0 END + CASE WHEN n = 5 THEN 3 ELSE 0 END + CASE WHEN n = 6 THEN 4 ELSE 0 END + CASE WHEN n < 20 THEN 2 ELSE 0 END + CASE WHEN n < 10 THEN 3 ELSE 0 END), 6) AS final FROM c""")
+def priority_scores(t):
+    """KRN-19, 20: bounded additive scores."""
+    h, n = F.greatest(F.lit(0.0), F.least(F.lit(1.0), col("c_acctbal") / 10000)), col("c_nationkey")
+    a = classify.therapeutic_priority(h, n % 2 == 0, n % 3 == 0, n > 12, n > 18, n % 4, n == 7, n % 6, h, n == 3, n < 20, n < 10)
+    b = classify.final_score(h, n % 2 == 0, n % 3 == 0, n % 5 == 0, n > 12, n > 18, n, n == 1, n < 15, h, n == 3, n == 4, n == 5, n == 6, n < 20, n < 10)
+    return t("customer").select("c_custkey", r6(a).alias("priority"), r6(b).alias("final"))
+
+
+@query("""WITH f AS (SELECT l_orderkey, l_linenumber, l_discount >= 0.08 AS a, l_tax >= 0.06 AS b, l_returnflag = 'R' AS c FROM lineitem) SELECT l_orderkey, l_linenumber, CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) AS n_sources, concat_ws('+', CASE WHEN a THEN 'MODEL_A' END, CASE WHEN b THEN 'MODEL_B' END, CASE WHEN c THEN 'ANNOTATION' END) AS combination, CASE WHEN a AND b THEN 'CONCORDANT' WHEN a THEN 'A_ONLY' WHEN b THEN 'B_ONLY' WHEN c THEN 'ANNOTATED' ELSE 'NONE' END AS class FROM f""")
+def splice_integration(t):
+    """KRN-21: count, combination and ladder of sources."""
+    a, b, c = col("l_discount") >= 0.08, col("l_tax") >= 0.06, col("l_returnflag") == "R"
+    return t("lineitem").select("l_orderkey", "l_linenumber", (a.cast("int") + b.cast("int") + c.cast("int")).alias("n_sources"), classify.joined_reasons((a, F.lit("MODEL_A")), (b, F.lit("MODEL_B")), (c, F.lit("ANNOTATION")), separator="+").alias("combination"), F.when(a & b, "CONCORDANT").when(a, "A_ONLY").when(b, "B_ONLY").when(c, "ANNOTATED").otherwise("NONE").alias("class"))
+
+
+@query(f"""WITH {SQL_SIDES}, p AS (SELECT user_id, l_id, r_id, least(l_end, r_end) - greatest(l_start, r_start) + 1 AS o FROM l JOIN r USING (user_id) WHERE l_start <= r_end AND r_start <= l_end), b AS (SELECT *, row_number() OVER (PARTITION BY user_id, l_id ORDER BY o DESC, r_id) AS rn FROM p), cov AS (SELECT DISTINCT user_id FROM r) SELECT l.user_id, l.l_id, b.r_id AS best, CASE WHEN b.r_id IS NOT NULL THEN 'MATCHED' WHEN cov.user_id IS NULL THEN 'NO_COVERAGE' ELSE 'LEFT_ONLY' END AS status FROM l LEFT JOIN b ON b.user_id = l.user_id AND b.l_id = l.l_id AND rn = 1 LEFT JOIN cov ON cov.user_id = l.user_id""")
+def locus_status(t):
+    """KRN-22: best counterpart and status."""
+    left, right = _two_sides(t, "click", "view")
+    pairs = intervals.overlap_metrics(intervals.overlapping(left, right, ["user_id"], 7200))
+    best = pairs.groupBy("user_id", "l_id").agg(F.max(F.struct("overlap", (-col("r_id")).alias("o"))).alias("m")).select("user_id", "l_id", (-col("m.o")).alias("best"))
+    covered = right.select("user_id").distinct().withColumn("covered", F.lit(True))
+    return left.join(best, ["user_id", "l_id"], "left").join(covered, "user_id", "left").select("user_id", "l_id", "best", F.when(col("best").isNotNull(), "MATCHED").when(col("covered").isNull(), "NO_COVERAGE").otherwise("LEFT_ONLY").alias("status"))
+
+
+@query("SELECT s_suppkey, CASE WHEN s_acctbal < 500 THEN 'EXCESS_CONNECTIVITY' ELSE 'NO_EXCESS' END AS label FROM supplier")
+def network_label(t):
+    """KRN-23: label of a landed enrichment value."""
+    return t("supplier").select("s_suppkey", F.when(col("s_acctbal") / 10000 < 0.05, "EXCESS_CONNECTIVITY").otherwise("NO_EXCESS").alias("label"))
+
+
+@query("""WITH s AS (SELECT user_id, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS stage, value, ts, event_id FROM events), l AS (SELECT user_id, stage, value >= 5 AS ok, row_number() OVER (PARTITION BY user_id, stage ORDER BY ts DESC, event_id DESC) AS rn FROM s), c AS (SELECT user_id, stage, ok, coalesce(max(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY stage ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS blocked FROM l WHERE rn = 1)
+SELECT user_id, CAST(stage AS BIGINT) AS stage, CASE WHEN blocked = 1 THEN 'NOT_RUN_UPSTREAM_FAILED' WHEN ok THEN 'COMPLETED' ELSE 'FAILED' END AS status FROM c""")
+def event_log_status(t):
+    """ORC-01: the last status of each stage; a failed stage blocks those after it."""
+    stage = F.when(col("event_type") == "view", 1).when(col("event_type") == "click", 2).otherwise(3)
+    last = t("events").select("user_id", stage.alias("stage"), "value", "ts", "event_id").groupBy("user_id", "stage").agg(F.max_by("value", F.struct("ts", "event_id")).alias("v"))
+    w = Window.partitionBy("user_id").orderBy("stage").rowsBetween(Window.unboundedPreceding, -1)
+    blocked = F.coalesce(F.max((col("v") < 5).cast("int")).over(w), F.lit(0))
+    return last.withColumn("b", blocked).select("user_id", col("stage").cast("long").alias("stage"), F.when(col("b") == 1, "NOT_RUN_UPSTREAM_FAILED").when(col("v") >= 5, "COMPLETED").otherwise("FAILED").alias("status"))
+
+
+@query("""SELECT o_custkey, count(*) AS n_orders, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS finished, CAST(count_if(o_orderstatus = 'F' AND o_totalprice > 100000) AS BIGINT) AS large, count(*) = count_if(o_orderkey IS NOT NULL) AS reconciled FROM orders GROUP BY 1""")
+def funnel(t):
+    """ORC-03, 04, 09: counts along a chain of filters, reconciled."""
+    done = col("o_orderstatus") == "F"
+    return t("orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.count_if(done).alias("finished"), F.count_if(done & (col("o_totalprice") > 100000)).alias("large"), (F.count("*") == F.count("o_orderkey")).alias("reconciled"))
+
+
+@query()
+def ld_clumping(t):
+    """KRN-01: greedy clumps per group (sequential; tested against a plain loop)."""
+    p = t("part").select((col("p_size") % 5).alias("chrom"), (col("p_partkey") * 977 % 100_000).alias("pos"), col("p_partkey").alias("id"), (F.pow(F.lit(10.0), -(col("p_partkey") % 11).cast("double"))).alias("p"))
+    near = p.select("chrom", col("id").alias("a"), col("pos").alias("l_start"), col("pos").alias("l_end"))
+    other = p.select("chrom", col("id").alias("b"), col("pos").alias("r_start"), col("pos").alias("r_end"))
+    ld = intervals.overlapping(near, other, ["chrom"], 500, padding=300).where("a < b").select("chrom", "a", "b", (1 - F.abs(col("l_start") - col("r_start")) / 400).alias("r2"))
+    return grouped.clump(p, ld, index_p=1e-7, window=300)
+
+
+@query()
+def ld_matrix(t):
+    """KRN-02: correlations of variants within a locus."""
+    d = t("lineitem").groupBy((col("l_suppkey") % 4).alias("locus"), (col("l_partkey") % 12).alias("variant"), (col("l_orderkey") % 40).alias("sample")).agg((F.max("l_linenumber") % 3).cast("double").alias("dosage"))
+    return grouped.ld_matrix(d, most_missing=0.5)
+
+
+@query()
+def susie_fine_mapping(t):
+    """KRN-03, 04: sum of single effects per locus."""
+    stats = t("part").where("p_partkey <= 200").select((col("p_partkey") % 5).alias("locus"), col("p_partkey").alias("variant"), (F.when(col("p_partkey") % 37 == 0, 8.0).otherwise(0.0) + (col("p_size") % 7 - 3) / 3).alias("z"), F.lit(5000).alias("n"))
+    near = stats.select("locus", col("variant").alias("i")).join(stats.select("locus", col("variant").alias("j")), "locus").where("i < j and j - i <= 10").withColumn("r", F.lit(0.6))
+    return grouped.fine_map(stats.drop("p_size"), near)
+
+
+@query()
+def redundancy_clusters(t):
+    """KRN-11: greedy clusters of overlapping terms."""
+    terms = t("lineitem").groupBy((col("l_suppkey") % 3).alias("collection"), col("l_suppkey").alias("term")).agg(F.array_sort(F.collect_set(col("l_partkey") % 15)).alias("genes"), (F.min("l_discount") + F.first(col("l_suppkey")) / 1000).alias("fdr"))
+    return grouped.redundancy_clusters(terms, "collection")
+
+
+@query()
+def greedy_match(t):
+    """KRN-12: one-to-one by falling score."""
+    p = intervals.overlap_metrics(intervals.overlapping(*_two_sides(t, "click", "view"), ["user_id"], 7200))
+    return grouped.greedy_match(p.select("user_id", col("l_id").alias("a"), col("r_id").alias("b"), col("jaccard").alias("score")), "user_id")
+
+
+@query(f"""WITH RECURSIVE {SQL_EDGES}, n AS (SELECT a AS u, b AS v FROM ed WHERE score > 0.09 UNION SELECT b, a FROM ed WHERE score > 0.09), w AS (SELECT u, u AS c FROM n UNION SELECT n.u, w.c FROM n JOIN w ON n.v = w.u) SELECT u AS node, min(c) AS component FROM w GROUP BY 1""")
+def components(t):
+    """KRN-13: connected components."""
+    return graphs.connected(_edges(t).where("score > 0.09"))
+
+
+@query()
+def page_rank(t):
+    """KRN-16: weighted PageRank."""
+    return graphs.page_rank(_edges(t)).select("node", r6(col("rank")).alias("rank"))
+
+
+@query()
+def network_centrality(t):
+    """KRN-17: betweenness, closeness and communities of small networks."""
+    e = _edges(t).where("score > 0.08").withColumn("network", F.lit(1))
+    return grouped.centrality(e, "network").select("network", "node", r6(col("betweenness")).alias("betweenness"), r6(col("closeness")).alias("closeness"), "community")
