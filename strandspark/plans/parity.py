@@ -40,12 +40,11 @@ def col(name: str):
     return F.col(name)
 
 
-SECONDS = F.expr("unix_micros(cast(ts as timestamp)) div 1000000")
 SQL_SECONDS = "CAST(floor(epoch(ts)) AS BIGINT)"
 
 
 def _events(t) -> DataFrame:
-    return t("events").select("event_id", "user_id", "event_type", "value", SECONDS.alias("at"))
+    return t("events").select("event_id", "user_id", "event_type", "value", F.expr("unix_micros(cast(ts as timestamp)) div 1000000").alias("at"))
 
 
 SQL_EVENTS = f"ev AS (SELECT event_id, user_id, event_type, value, {SQL_SECONDS} AS tm FROM events)"
