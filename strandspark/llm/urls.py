@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 # Vocabulary: terms that reject alone, and terms of which SOFT_LIMIT distinct ones reject.
 STRICT = ("adult", "casino", "malware", "phishing", "porn", "spam", "warez", "xxx")
-SOFT = ("bet", "bonus", "cheap", "click", "clickbait", "dating", "deal", "download", "farm", "free", "hot", "loan", "pills", "poker", "promo", "sexy", "win", "x")
+SOFT = ("bet", "bonus", "cheap", "click", "clickbait", "dating", "deal", "download", "farm", "free", "hot", "loan", "pills", "poker", "promo", "sexy", "win")
 SOFT_LIMIT = 2
 #: host, path, verdict
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))

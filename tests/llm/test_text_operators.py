@@ -62,8 +62,9 @@ def brute_components(rows, k, num, den):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize(("k", "num"), [(3, 90), (5, 80)])
-def test_jaccard_join_finds_every_link(spark, k, num):
+@pytest.mark.parametrize(("k", "num", "company"), [(3, 90, 256), (5, 80, 256), (3, 90, 1), (5, 80, 1)])
+def test_jaccard_join_finds_every_link(spark, monkeypatch, k, num, company):
+    monkeypatch.setattr(jaccard_join, "COMPANY", company)
     rng = random.Random(k)
     texts = near_family(rng) + near_family(rng, 20, 12, 2) + near_family(rng, 12, 400, 60) + ["a b", "A B", "a", "", None, "x y z", "x y z"]
     # A chain, each member near the next only, and texts that share one common passage.
