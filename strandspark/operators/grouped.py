@@ -14,7 +14,7 @@ def clump(variants: DataFrame, ld: DataFrame, index_p: float = 5e-8, member_p: f
     variant with the least p <= index_p (then pos, id) leads and takes all free ones with p <= member_p within the
     window that it is linked to; and so on. Links below least_r2 are dropped before they travel."""
 
-    def run(key, v: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, v: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
         v = v[v.p <= member_p].sort_values(["p", "pos", "id"])
         near: dict = {}
         for a, b in zip(edges.a, edges.b, strict=True):
@@ -39,7 +39,7 @@ def ld_matrix(dosage: DataFrame, least_maf: float = 0.01, most_missing: float =
     """dosage (locus, variant, sample, dosage): locus, i, j (i < j) and signed correlation of every pair of
     variants that pass. A locus with more than cap variants is an error: its matrix would not fit a task."""
 
-    def run(key, d: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, d: pd.DataFrame) -> pd.DataFrame:
         g = d.pivot_table(index="variant", columns="sample", values="dosage", aggfunc="first")
         missing, freq = g.isna().mean(axis=1), g.mean(axis=1) / 2
         g = g[(missing <= most_missing) & (np.minimum(freq, 1 - freq) >= least_maf)]
@@ -68,7 +68,7 @@ def susie(z: np.ndarray, r: np.ndarray, n: int, effects: int = 10, iterations: i
     xty, diag = np.sqrt(n - 1) * z, float(n - 1)
     effects = min(effects, p)
     alpha, mean, second = np.full((effects, p), 1 / p), np.zeros((effects, p)), np.zeros((effects, p))
-    prior, lbf = np.full(effects, 0.2 * diag / diag), np.zeros((effects, p))
+    prior, lbf = np.full(effects, 0.2), np.zeros((effects, p))
     s2 = 1 / diag
     last = alpha.copy()
     for _ in range(iterations):
@@ -95,7 +95,7 @@ def fine_map(stats: DataFrame, ld: DataFrame, coverage: float = 0.95, effects: i
     """stats (locus, variant, z, n) and ld (locus, i, j, r): locus, variant, pip, sets (names like L1;L3).
     A component without a set of purity least_purity, or equal to an earlier one, names none."""
 
-    def run(key, s: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, s: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
         s = s.dropna(subset=["z"]).sort_values("variant").reset_index(drop=True)
         at = {v: k for k, v in enumerate(s.variant)}
         r = np.eye(len(s))
@@ -139,7 +139,7 @@ def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.
     """terms (collection, term, fdr, genes): term, cluster and representative. By rising fdr (then term) a term joins the
     representative with the greatest Jaccard of at least threshold, the earliest of equals, or opens a cluster."""
 
-    def run(key, t: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
         reps, out = [], []
         for term, genes in t.sort_values(["fdr", "term"])[["term", "genes"]].itertuples(index=False):
             mine, best, at = set(genes), 0.0, None
@@ -207,7 +207,7 @@ def centrality(edges: DataFrame, key: str, cap: int = 5_000) -> DataFrame:
             member = {a: (u if b == v else b) for a, b in member.items()}
         return member
 
-    def run(k, e: pd.DataFrame) -> pd.DataFrame:
+    def run(k: tuple, e: pd.DataFrame) -> pd.DataFrame:
         near, weight = {}, {}
         for a, b, s, d in zip(e.a, e.b, e.score, e.distance, strict=True):
             for x, y in ((a, b), (b, a)):

@@ -60,14 +60,6 @@ def percentile_rank(value: Column, *partition: str, lone_is_zero: bool = True) -
     return F.when(n <= 1, F.lit(0.0)).otherwise(pct) if lone_is_zero else pct
 
 
-def fdr(p: Column, *partition: str) -> Column:
-    """Benjamini-Hochberg within the partition; NULL p has no part in it and stays NULL."""
-    w = Window.partitionBy(*partition, p.isNull())
-    rank = F.row_number().over(w.orderBy(p))
-    raw = p * F.count(p).over(w) / rank
-    return raw
-
-
 def bh_fdr(df: DataFrame, p: str, into: str, partition: Sequence[str], tie: Sequence[str]) -> DataFrame:
     """df with the adjusted value: least of p n / rank from here to the largest p, at most 1."""
     base = Window.partitionBy(*partition, F.col(p).isNull())
