@@ -108,12 +108,11 @@ def gene_tokens(t):
     return p.select("p_partkey", gene.alias("gene"), clean.first_nonempty(F.lit(" "), empty, default=F.lit("unknown")).alias("label"), clean.slug(col("p_type")).alias("slug"))
 
 
-@query(r"""WITH n AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[0-9][0-9,]*'), lambda x: TRY_CAST(replace(x, ',', '') AS BIGINT)) AS v FROM documents)
-SELECT doc_id, CAST(CASE WHEN len(list_filter(v, lambda x: x >= 100)) > 0 THEN list_sum(list_filter(v, lambda x: x >= 100 AND x < 1000000000)) ELSE v[1] END AS BIGINT) AS size FROM n WHERE len(list_filter(v, lambda x: x >= 1000000000)) = 0""")
+@query(r"""WITH n AS (SELECT doc_id, list_transform(regexp_extract_all(regexp_replace(text, '[0-9]{10,}', '', 'g'), '[0-9][0-9,]*'), lambda x: TRY_CAST(replace(x, ',', '') AS BIGINT)) AS v FROM documents)
+SELECT doc_id, CAST(CASE WHEN len(list_filter(v, lambda x: x >= 100)) > 0 THEN list_sum(list_filter(v, lambda x: x >= 100)) ELSE v[1] END AS BIGINT) AS size FROM n""")
 def digits_from_text(t):
-    """PRJ-14."""
-    huge = F.filter(F.transform(F.regexp_extract_all("text", F.lit("[0-9][0-9,]*"), F.lit(0)), lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("long")), lambda n: n >= 1_000_000_000)
-    return t("documents").where(F.size(huge) == 0).select("doc_id", clean.sample_size(col("text")).alias("size"))
+    """PRJ-14; card-like digit runs are no counts and go first."""
+    return t("documents").select("doc_id", clean.sample_size(F.regexp_replace("text", "[0-9]{10,}", "")).alias("size"))
 
 
 @query(r"""WITH s AS (SELECT p_partkey, lower(p_name) AS n, lower(p_type) AS ty, lower(p_brand) AS b FROM part), terms AS (SELECT unnest(['brass', 'steel', 'promo plated', 'tin']) AS term)
@@ -317,12 +316,11 @@ def nearest_interval(t):
     return out.select("event_id", "nearest", "distance")
 
 
-@query("""WITH p AS (SELECT DISTINCT l_suppkey AS s, l_partkey % 200 AS m FROM lineitem WHERE l_suppkey <= 40), n AS (SELECT s, count(*) AS n FROM p GROUP BY 1), x AS (SELECT a.s AS left_id, b.s AS right_id, count(*) AS shared FROM p a JOIN p b ON a.m = b.m AND a.s < b.s GROUP BY 1, 2)
+@query("""WITH p AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS m FROM lineitem), n AS (SELECT s, count(*) AS n FROM p GROUP BY 1), x AS (SELECT a.s AS left_id, b.s AS right_id, count(*) AS shared FROM p a JOIN p b ON a.m = b.m AND a.s < b.s GROUP BY 1, 2)
 SELECT left_id, right_id, shared, l.n AS n_left, r.n AS n_right, round(shared / (l.n + r.n - shared), 6) AS jaccard FROM x JOIN n l ON l.s = left_id JOIN n r ON r.s = right_id""")
 def set_overlap(t):
-    """JOI-12: shared members and Jaccard of forty sets."""
-    p = t("lineitem").where("l_suppkey <= 40").select("l_suppkey", (col("l_partkey") % 200).alias("m"))
-    return joins.shared_members(p, "l_suppkey", "m").withColumn("jaccard", r6(col("jaccard")))
+    """JOI-12: shared members and Jaccard of suppliers by the parts they deliver."""
+    return joins.shared_members(t("lineitem").select("l_suppkey", col("l_partkey").alias("m")), "l_suppkey", "m").withColumn("jaccard", r6(col("jaccard")))
 
 
 @query("""WITH m AS (SELECT c_nationkey AS k, c_name AS symbol, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer) SELECT s_suppkey, symbol FROM supplier LEFT JOIN (SELECT * FROM m WHERE rn = 1) ON s_nationkey = k""")
@@ -823,7 +821,7 @@ def ld_matrix(t):
 @query()
 def susie_fine_mapping(t):
     """KRN-03, 04: sum of single effects per locus."""
-    stats = t("part").where("p_partkey <= 200").select((col("p_partkey") % 5).alias("locus"), col("p_partkey").alias("variant"), (F.when(col("p_partkey") % 37 == 0, 8.0).otherwise(0.0) + (col("p_size") % 7 - 3) / 3).alias("z"), F.lit(5000).alias("n"))
+    stats = t("part").select(F.floor(col("p_partkey") / 100).alias("locus"), col("p_partkey").alias("variant"), (F.when(col("p_partkey") % 37 == 0, 8.0).otherwise(0.0) + (col("p_size") % 7 - 3) / 3).alias("z"), F.lit(5000).alias("n"))
     near = stats.select("locus", col("variant").alias("i")).join(stats.select("locus", col("variant").alias("j")), "locus").where("i < j and j - i <= 10").withColumn("r", F.lit(0.6))
     return grouped.fine_map(stats.drop("p_size"), near)
 
