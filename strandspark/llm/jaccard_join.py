@@ -10,8 +10,12 @@ equality alone. Per band the cheaper plan is taken:
 - one deletion: (H + 1) / 2 segments, signed by their subset and by each subset less one element, so
   that segments with one difference meet as well. Cheaper for small sets.
 
-Equal sets are one node from the start. Nodes that share a signature are compared with the group's pivot only
-(the node with most company), never all with all. With p the pivot and E(x) the elements in which x
+Equal sets are one node from the start. Two linked sets have more than `spare` equal segments, so a node with fewer
+shared signatures under a plan takes no part in it. Nodes that share a signature are compared with the group's
+pivot only (the node with most company), never all with all. Nodes that such pairs connect form a cluster. A cluster of at
+most COMPANY nodes and COMPANY_TOKENS elements is settled within one task, through an index of its elements.
+In larger ones each pair with a pivot is verified, and what a pivot's company then leaves open is settled in
+one task if it is small, and with more care if not: with p the pivot and E(x) the elements in which x
 and p differ, two members with nothing common to E(x) and E(y) are linked only if both are linked to p; so
 what remains are pairs that share elements of E. Those are found through the rarest elements of E (prefix
 filter, ordered by frequency within the pivot's company), grouped by pivot and element, and
@@ -32,7 +36,13 @@ from . import words as W
 from .common import rows_of, small, stash, texts
 from .components import components
 
+col = F.col
+
 BAND_RATIO = 1.2
+#: More spare segments cost signatures and ask more company of a node.
+LEAST_SPARE = 3
+#: Company up to this size is settled in one task: so many nodes, so many elements (8 bytes each) in all.
+COMPANY, COMPANY_TOKENS = 4_096, 2_000_000
 
 
 @lru_cache(maxsize=8)
@@ -54,7 +64,7 @@ def _plan(lo: int, hi: int, num: int, den: int) -> tuple:
     half = -(-(most + 1) // 2)
     best = (float(half + hi), ("deletion", half, 0, 0))
     for tiny in (2, 1):
-        spare = 0
+        spare = LEAST_SPARE
         for _ in range(40):
             m = most + 1 + spare
             mean = m * _tiny_share(lo / m, tiny)
@@ -95,16 +105,19 @@ def shingle_sets(block: W.Block, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def set_keys(token: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One number per set, from the sum over its elements: equal for equal sets."""
+    """One even number per set, from the sum over its elements: equal for equal sets. (The last
+    bit is free to tell a node's two plans apart.)"""
     total = np.r_[np.uint64(0), np.cumsum(W.mix(token), dtype=np.uint64)]
-    return W.mix(total[first[1:]] - total[first[:-1]] + W.mix(np.diff(first).astype(np.uint64)))
+    return W.mix(total[first[1:]] - total[first[:-1]] + W.mix(np.diff(first).astype(np.uint64))) & ~np.uint64(1)
 
 
-def signatures(token: np.ndarray, first: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) of all sets: under the plan of their band, and under that of the
-    next one where a set of it may reach the threshold."""
+def signatures(token: np.ndarray, first: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(2 row + step, signature) of all sets: step 0 under the plan of their band, step 1 under that of
+    the next one where a set of it may reach the threshold; and how many signatures a set
+    shares at least with any it is linked to, by 2 row + step."""
     starts, plans = bands(num, den)
     n, rows, sigs = np.diff(first), [], []
+    need = np.ones(2 * len(n), np.int64)
     total = np.r_[np.uint64(0), np.cumsum(W.mix(token ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)]
     own = np.searchsorted(starts, n, "right") - 1
     for step in (0, 1):
@@ -130,21 +143,23 @@ def signatures(token: np.ndarray, first: np.ndarray, num: int, den: int) -> tupl
             salt = np.tile(salt, len(mine))
             if kind == "exact":
                 weak = size < tiny
-                keep = ~weak | (np.bincount(who, weak, len(mine)) > spare)[who]
-                rows.append(mine[who[keep]])
+                few = np.bincount(who, weak, len(mine)).astype(np.int64)
+                need[2 * mine + step] = np.where(few > spare, spare + 1, spare + 1 - few)
+                keep = ~weak | (few > spare)[who]
+                rows.append(2 * mine[who[keep]] + step)
                 sigs.append(W.mix(sums[keep] + salt[keep] + size[keep].astype(np.uint64)))
             else:
-                rows.append(mine[who])
+                rows.append(2 * mine[who] + step)
                 sigs.append(W.mix(sums + salt + size.astype(np.uint64)))
                 place = np.repeat(np.arange(len(size)), size)
                 less = sums[place] - (total[at + 1] - total[at])
-                rows.append(mine[owner])
+                rows.append(2 * mine[owner] + step)
                 sigs.append(W.mix(less + salt[place] + (size[place] - 1).astype(np.uint64)))
     if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), need
     row, sig = np.concatenate(rows), np.concatenate(sigs)
     order = np.argsort(row, kind="stable")
-    return row[order], sig[order]
+    return row[order], sig[order], need
 
 
 def _describe(k: int, num: int, den: int):
@@ -152,9 +167,11 @@ def _describe(k: int, num: int, den: int):
         for batch in batches:
             for lo, hi, block in W.blocks(batch.column("text"), W.LOWER):
                 token, first = shingle_sets(block, k)
-                row, sig = signatures(token, first, num, den)
-                edge = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(W.signed(set_keys(token, first))), pa.ListArray.from_arrays(edge, pa.array(W.signed(sig)))], ["doc_id", "n", "node", "sigs"])
+                row, sig, need = signatures(token, first, num, den)
+                edge = np.searchsorted(row, np.arange(2 * (hi - lo) + 1)).astype(np.int32)
+                each = pa.ListArray.from_arrays(edge, pa.array(W.signed(sig)))
+                own, following = (each.take(pa.array(np.arange(k, 2 * (hi - lo), 2))) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(W.signed(set_keys(token, first))), own, following, pa.array(need[::2]), pa.array(need[1::2])], ["doc_id", "n", "node", "own", "following", "need_own", "need_following"])
 
     return run
 
@@ -186,7 +203,8 @@ def _differ(num: int, den: int, with_elements: bool):
             if with_elements:
                 edge = np.r_[0, np.cumsum(d)].astype(np.int32)
                 flat = np.concatenate(apart) if apart else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([*out, pa.array(np.diff(b_at).astype(np.int64)), pa.ListArray.from_arrays(edge, pa.array(W.signed(flat)))], ["pivot", "node", "n", "apart"])
+                linked = d * (den + num) <= sizes * (den - num)
+                yield pa.RecordBatch.from_arrays([*out, pa.array(np.diff(b_at).astype(np.int64)), pa.array(linked), batch.column("label"), pa.ListArray.from_arrays(edge, pa.array(W.signed(flat)))], ["pivot", "node", "n", "near", "label", "apart"])
             else:
                 yield pa.RecordBatch.from_arrays([*out, pa.array(d * (den + num) <= sizes * (den - num))], ["pivot", "node", "linked"])
 
@@ -201,9 +219,8 @@ def _verify_group(num: int, den: int):
     """Links between members of one group that other links don't join already."""
 
     def run(group: pa.Table) -> pa.Table:
-        node, n, label = (group[c].to_numpy() for c in ("node", "n", "label"))
-        apart = group["apart"].combine_chunks()
-        values, edge = _lists(apart)
+        node, n, d_of, label = (group[c].to_numpy() for c in ("node", "n", "d", "label"))
+        values, edge = _lists(group["apart"].combine_chunks())
         size = np.diff(edge)
         _, values = np.unique(values, return_inverse=True)
         order = np.argsort(values, kind="stable")
@@ -214,7 +231,7 @@ def _verify_group(num: int, den: int):
         for i in range(len(node)):
             mine = values[edge[i] : edge[i + 1]]
             common = np.bincount(owner[W.spread(posting[mine], posting[mine + 1] - posting[mine])], minlength=len(node))
-            d = size[i] + size - 2 * common
+            d = d_of[i] + d_of - 2 * common
             near = np.flatnonzero((root != root[i]) & (d * (den + num) <= (n[i] + n) * (den - num)))
             for r in np.unique(root[near]).tolist():
                 found.append((node[i], node[near[root[near] == r][0]]))
@@ -225,42 +242,58 @@ def _verify_group(num: int, den: int):
     return run
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """pivot and node of every node that shares a signature with another."""
-    rows = nodes.select(F.explode("sigs").alias("sig"), "node")
-    groups = stash(rows.groupBy("sig").agg(F.count("*").alias("c"), F.min("node").alias("a"), F.max("node").alias("b")).where("c > 1 and a <> b"), "signature-groups")
-    twos = groups.where("c = 2").select(F.col("a").alias("pivot"), F.col("b").alias("node"))
-    larger = groups.where("c > 2").select("sig", "c")
-    n = larger.count()
-    members = stash(rows.join(small(larger, n), "sig"), "signature-members")
-    company = members.groupBy("node").agg(F.sum("c").alias("w"))
-    weighed = members.join(small(company, n), "node")
-    pivots = weighed.groupBy("sig").agg(F.max(F.struct("w", "node")).alias("top")).select("sig", F.col("top.node").alias("pivot"))
-    stars = weighed.join(small(pivots, n), "sig").select("pivot", "node").where("pivot <> node")
-    return stash(stars.unionByName(twos).distinct(), "star-pairs")
-
-
-def _remaining_links(pairs: DataFrame, sets: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
+def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """pivot and node of every node that shares a signature with another, and the signature
+    groups of three or more in full (sig, pivot, node)."""
+    rows = nodes.select(F.explode("own").alias("sig"), col("node").alias("who")).unionByName(nodes.select(F.explode("following").alias("sig"), (col("node") + 1).alias("who")))
+    groups = stash(rows.groupBy("sig").agg(F.count("*").alias("c"), F.min("who").alias("a"), F.max("who").alias("b")).where("c > 1 and a <> b"), "signature-groups")
+    larger = groups.where("c > 2").select("sig")
+    members = groups.where("c = 2").select("sig", F.explode(F.array("a", "b")).alias("who")).unionByName(rows.join(small(larger, larger.count()), "sig").select("sig", "who"))
+    members = stash(members, "signature-members")
+    needs = nodes.select(col("node").alias("who"), col("need_own").alias("need")).unionByName(nodes.select((col("node") + 1).alias("who"), col("need_following").alias("need")))
+    company = members.groupBy("who").agg(F.count("*").alias("w"))
+    enough = stash(needs.join(company, "who").where("w >= need").select("who", "w"), "nodes-with-company")
+    kept = stash(members.join(small(enough, enough.count()), "who").select("sig", F.expr("who - pmod(who, 2)").alias("node"), "w"), "kept-members")
+    groups = stash(kept.groupBy("sig").agg(F.count("*").alias("c"), F.max(F.struct("w", "node")).alias("top"), F.min("node").alias("a"), F.max("node").alias("b")).where("c > 1 and a <> b"), "kept-groups")
+    twos = groups.where("c = 2").select(col("a").alias("pivot"), col("b").alias("node"))
+    pivots = groups.where("c > 2").select("sig", col("top.node").alias("pivot"))
+    stars = stash(kept.join(small(pivots, pivots.count()), "sig").select("sig", "pivot", "node").where("pivot <> node"), "stars")
+    return stash(stars.select("pivot", "node").unionByName(twos).distinct(), "star-pairs"), stars
+
+
+def _remaining_links(stars: DataFrame, sets: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
     labels = stash(components(links), "labels")
     n_labels = labels.count()
 
     def labelled(df: DataFrame) -> DataFrame:
         return df.join(small(labels, n_labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
 
-    company = labelled(pairs)
-    open_pivots = stash(company.groupBy("pivot").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("pivot"), "open-pivots")
-    rest = pairs.join(small(open_pivots, open_pivots.count()), "pivot", "left_semi")
-    apart = stash(labelled(_with_sets(rest, sets).mapInArrow(_differ(num, den, True), "pivot long, node long, n long, apart array<long>")), "differences")
-    element = apart.select("pivot", "node", "n", "label", F.size("apart").alias("d"), F.explode("apart").alias("e"))
+    # A group of two is settled by its own pair; a larger one if its members are one component already.
+    company = labelled(stars)
+    open_groups = stash(company.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig"), "open-groups")
+    rest = stash(labelled(stars.join(small(open_groups, open_groups.count()), "sig", "left_semi").select("pivot", "node").distinct()), "open-pairs")
+    sized = rest.join(sets.select("node", F.size("tokens").alias("n")), "node").groupBy("pivot").agg(F.count("*").alias("m"), F.sum("n").alias("t"))
+    families = stash(sized.select("pivot", ((col("m") <= COMPANY) & (col("t") <= COMPANY_TOKENS)).alias("few")), "families")
+    rest = rest.join(small(families, families.count()), "pivot")
+    # Two sets differ by their sizes less what is common: the same check as for differences from a pivot.
+    near = rest.where("few").join(sets.withColumnRenamed("tokens", "apart"), "node").select("pivot", "node", "label", F.size("apart").cast("long").alias("n"), F.size("apart").cast("long").alias("d"), "apart")
+    settled = near.groupBy("pivot").applyInArrow(_verify_group(num, den), "a long, b long")
+    apart = stash(_with_sets(rest.where("not few").select("pivot", "node", "label"), sets).mapInArrow(_differ(num, den, True), "pivot long, node long, n long, near boolean, label long, apart array<long>"), "differences")
+    element = apart.select("pivot", "node", "n", "near", "label", F.size("apart").alias("d"), F.explode("apart").alias("e"))
     often = stash(element.groupBy("pivot", "e").agg(F.count("*").alias("df")).where("df > 1"), "frequent-differences")
-    ranked = element.join(small(often, often.count()), ["pivot", "e"]).groupBy("pivot", "node").agg(F.first("d").alias("d"), F.first("n").alias("n"), F.first("label").alias("label"), F.sort_array(F.collect_list(F.struct("df", "e"))).alias("common"))
-    # Elements that nobody shares come first in the order and take up their part of the prefix.
+    ranked = element.join(small(often, often.count()), ["pivot", "e"]).groupBy("pivot", "node").agg(F.first("d").alias("d"), F.first("n").alias("n"), F.first("label").alias("label"), F.first("near").alias("near"), F.sort_array(F.collect_list(F.struct("df", "e"))).alias("common"))
+    # Elements that nobody shares come first in the order and take up their part of the prefix. Of two
+    # sets the one that differs less needs the shorter prefix; a set linked to the
+    # pivot never needs more than that beside one that isn't.
     most = F.expr(f"cast(({den - num} * (n + n * {den} div {num})) div {den + num} as int)")
-    length = F.least(F.col("d"), most + 1) - (F.col("d") - F.size("common"))
-    probes = stash(ranked.select("pivot", "node", "label", F.explode(F.slice("common", F.lit(1), F.greatest(length, F.lit(0)))).alias("t")).select("pivot", "node", "label", F.col("t.e").alias("e")), "probes")
+    prefix = F.least(F.col("d"), F.when(F.col("near"), F.floor(most / 2).cast("int")).otherwise(most) + 1)
+    length = F.greatest(prefix - (F.col("d") - F.size("common")), F.lit(0))
+    # Elements of one set alone are in no intersection: the shared ones and the number of all are enough.
+    known = stash(ranked.where(length > 0).select("pivot", "node", "n", "d", "label", length.alias("length"), F.transform("common", lambda t: t["e"]).alias("apart")), "shared-differences")
+    probes = known.select("pivot", "label", F.explode(F.slice("apart", F.lit(1), F.col("length"))).alias("e"))
     mixed = stash(probes.groupBy("pivot", "e").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("pivot", "e"), "mixed-groups")
-    probes = probes.join(small(mixed, mixed.count()), ["pivot", "e"], "left_semi").select("pivot", "node", "e")
-    return probes.join(apart, ["pivot", "node"]).groupBy("pivot", "e").applyInArrow(_verify_group(num, den), "a long, b long")
+    groups = known.select("pivot", "node", "n", "d", "label", "apart", F.explode(F.slice("apart", F.lit(1), F.col("length"))).alias("e"))
+    return groups.join(small(mixed, mixed.count()), ["pivot", "e"], "left_semi").groupBy("pivot", "e").applyInArrow(_verify_group(num, den), "a long, b long").unionByName(settled)
 
 
 def near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -269,23 +302,36 @@ def near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     links reach.
 
     A text with fewer than k words is one shingle; null, empty and blank texts have an empty set, are linked with
-    nothing and are their own component. Repeated rows have equal sets and share a component; a null
-    doc_id never names one unless no other row of its component has an id. Texts are read whole.
+    nothing and are their own component. Repeated rows have equal sets and share a component. A row with a null
+    doc_id belongs with rows of an equal set and is linked with no other. Texts are read whole.
     """
     spark = docs.sparkSession
     source = texts(docs)
     kind = source.schema["doc_id"].dataType.simpleString()
-    described = stash(source.mapInArrow(_describe(k, num, den), f"doc_id {kind}, n long, node long, sigs array<long>"), "described")
-    nodes = stash(described.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sigs").alias("sigs")), "nodes")
-    pairs = _candidates(nodes)
+    described = stash(source.mapInArrow(_describe(k, num, den), f"doc_id {kind}, n long, node long, own array<long>, following array<long>, need_own long, need_following long"), "described")
+    reps = stash(described.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep")), "classes")
+    # The signatures of one row of each class, picked where they lie.
+    nodes = described.join(small(reps.select("node", col("rep").alias("doc_id")), reps.count()), ["node", "doc_id"])
+    pairs, stars = _candidates(nodes)
     involved = stash(pairs.select("node").unionByName(pairs.select(F.col("pivot").alias("node"))).distinct(), "involved")
-    reps = stash(nodes.join(small(involved, involved.count()), "node", "left_semi").select(F.col("rep").alias("doc_id")).where("doc_id is not null").distinct(), "representatives")
-    sets = stash(rows_of(source, reps).mapInArrow(_sets(k), "node long, tokens array<long>").dropDuplicates(["node"]), "sets")
-    judged = stash(_with_sets(pairs, sets).mapInArrow(_differ(num, den, False), "pivot long, node long, linked boolean"), "judged")
-    links = judged.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    more = stash(_remaining_links(judged.select("pivot", "node"), sets, links, num, den), "more-links")
+    asked = stash(reps.join(small(involved, involved.count()), "node", "left_semi").select(col("rep").alias("doc_id")).distinct(), "representatives")
+    sets = stash(rows_of(source, asked).mapInArrow(_sets(k), "node long, tokens array<long>").dropDuplicates(["node"]), "sets")
+    clusters = stash(components(pairs.select(col("pivot").alias("a"), col("node").alias("b"))), "clusters")
+    n_clusters = clusters.count()
+    sized = clusters.join(sets.select("node", F.size("tokens").alias("n")), "node").groupBy("label").agg(F.count("*").alias("m"), F.sum("n").alias("t"))
+    large = stash(sized.where((col("m") > COMPANY) | (col("t") > COMPANY_TOKENS)).select("label"), "large-clusters")
+    n_large = large.count()
+    whole = clusters.join(small(large, n_large), "label", "left_anti").withColumnRenamed("label", "cluster").join(sets.withColumnRenamed("tokens", "apart"), "node")
+    settled = whole.select("cluster", "node", col("node").alias("label"), F.size("apart").cast("long").alias("n"), F.size("apart").cast("long").alias("d"), "apart").groupBy("cluster").applyInArrow(_verify_group(num, den), "a long, b long")
+    links = more = stash(settled, "settled-links")
+    if n_large:
+        crowded = stash(clusters.join(small(large, n_large), "label", "left_semi").select("node"), "crowded-nodes")
+        inside = small(crowded, n_clusters)
+        judged = stash(_with_sets(pairs.join(inside, "node", "left_semi"), sets).mapInArrow(_differ(num, den, False), "pivot long, node long, linked boolean"), "judged")
+        links = links.unionByName(judged.where("linked").select(col("pivot").alias("a"), col("node").alias("b")))
+        more = stash(_remaining_links(stars.join(inside, "node", "left_semi"), sets, links, num, den), "more-links")
     labels = components(links.unionByName(more))
-    named = nodes.select("node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = reps.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     of_node = stash(named.join(least, "label").select("node", "component_id"), "component-of-node")
     alone = described.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
