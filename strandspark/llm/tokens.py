@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from . import words as W
 
-CACHE = 600_000
+CACHE = 400_000
 DEFAULT = "byte_bpe_50k.json"
 
 _visible = np.zeros(256, bool)

@@ -9,12 +9,11 @@ memory stays flat whatever a batch holds; one long text makes one larger block.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 
 
@@ -29,7 +28,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=8)
 def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(n + 1, base, np.uint64)
     down = np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
@@ -37,8 +35,17 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
+_kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def powers(n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(16, int(n).bit_length()), _BASES[which])
+    """Powers of a base and of its inverse from 0 to n at least. One table per base is kept, as
+    long as a common block; a very long text has its own for as long as it takes."""
+    if n > 2 * BLOCK_BYTES:
+        return _powers(n, _BASES[which])
+    if which not in _kept or len(_kept[which][0]) <= n:
+        _kept[which] = _powers(-(-(n + 1) // (1 << 17)) * (1 << 17), _BASES[which])
+    return _kept[which]
 
 
 _BYTE = [mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(s)) for s in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
