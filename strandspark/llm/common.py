@@ -9,7 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows that travel to a Python worker at a time: whole texts are long, and both sides hold a batch or two.
+BATCH_ROWS = 1_000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS rows, unless they are smaller already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -35,6 +47,7 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: the lineage ends
     there, and a lost executor costs no more than the reader's own tasks."""
     spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+    bound_batches(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
