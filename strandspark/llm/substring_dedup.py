@@ -166,7 +166,7 @@ def _remove(window: int):
     return go
 
 
-def repeated_passages(docs: DataFrame, window: int = 50, gram: int = 20, hot: int = 200, shard_words: int = 200_000) -> DataFrame:
+def repeated_passages(docs: DataFrame, window: int = 50, gram: int = 20, hot: int = 4_096, shard_words: int = 100_000) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256. A word goes if it lies in a window of so many
     consecutive words whose sequence also starts in a row with a smaller doc_id.
 
