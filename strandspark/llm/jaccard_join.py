@@ -38,6 +38,7 @@ from .components import components
 
 col = F.col
 
+#: Bands are at least so wide, and as wide as linked sizes may differ: a set is signed under two of them.
 BAND_RATIO = 1.2
 #: More spare segments cost signatures and ask more company of a node.
 LEAST_SPARE = 3
@@ -50,7 +51,7 @@ def bands(num: int, den: int) -> tuple[np.ndarray, list[tuple]]:
     """First size of each band, and its plan: (kind, segments, spare, tiny)."""
     starts, plans, lo = [], [], 1
     while lo < 1 << 31:
-        nxt = max(lo + 1, math.ceil(lo * BAND_RATIO))
+        nxt = max(lo + 1, math.ceil(lo * BAND_RATIO), -(-lo * den // num))
         starts.append(lo)
         plans.append(_plan(lo, nxt - 1, num, den))
         lo = nxt

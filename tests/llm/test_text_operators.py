@@ -80,6 +80,23 @@ def test_jaccard_join_finds_every_link(spark, monkeypatch, k, num, company):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows, k, num, 100)
 
 
+@pytest.mark.parametrize(("num", "den"), [(80, 100), (90, 100), (3, 4), (50, 100)])
+def test_linked_sizes_are_at_most_one_band_apart(num, den):
+    starts, _ = jaccard_join.bands(num, den)
+    x = np.arange(1, 30_000)
+    band, last = (np.searchsorted(starts, n, "right") - 1 for n in (x, x * den // num))
+    assert (last - band <= 1).all()
+
+
+def test_jaccard_join_finds_contained_sets_of_any_linked_size(spark):
+    rows, rng = [], random.Random(6)
+    for n, more in [(32, 40), (39, 48), (100, 122), (100, 125), (100, 126), (400, 500), (12, 15), (20, 25), (64, 77)]:
+        w = [f"w{rng.randrange(10**9)}" for _ in range(more + 4)]
+        rows += [(2 * n + 1000 * more, " ".join(w[: n + 4])), (2 * n + 1000 * more + 1, " ".join(w))]
+    found = jaccard_join.near_copies(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows, 5, 80, 100)
+
+
 def test_jaccard_join_odd_rows(spark):
     found = jaccard_join.near_copies(spark.createDataFrame(ODD, SCHEMA)).collect()
     assert len(found) == len(ODD)
