@@ -11,7 +11,8 @@ equality alone. Per band the cheaper plan is taken:
   that segments with one difference meet as well. Cheaper for small sets.
 
 Equal sets are one node from the start. Two linked sets have more than `spare` equal segments, so a node with fewer
-shared signatures under a plan takes no part in it. Nodes that share a signature are compared with the group's
+shared signatures under a plan, less its own tiny segments, takes no part in it; one with more tiny segments than spare
+ones needs a single one, as its partner may have signed none of those. Nodes that share a signature are compared with the group's
 pivot only (the node with most company), never all with all. Nodes that such pairs connect form a cluster. A cluster of at
 most COMPANY nodes and COMPANY_TOKENS elements is settled within one task, through an index of its elements.
 In larger ones each pair with a pivot is verified, and what a pivot's company then leaves open is settled in
@@ -145,7 +146,8 @@ def signatures(token: np.ndarray, first: np.ndarray, num: int, den: int) -> tupl
             if kind == "exact":
                 weak = size < tiny
                 few = np.bincount(who, weak, len(mine)).astype(np.int64)
-                need[2 * mine + step] = np.where(few > spare, spare + 1, spare + 1 - few)
+                # One with more tiny segments than spare ones may be linked to one that signs none of its tiny ones.
+                need[2 * mine + step] = np.where(few > spare, 1, spare + 1 - few)
                 keep = ~weak | (few > spare)[who]
                 rows.append(2 * mine[who[keep]] + step)
                 sigs.append(W.mix(sums[keep] + salt[keep] + size[keep].astype(np.uint64)))

@@ -97,6 +97,24 @@ def test_jaccard_join_finds_contained_sets_of_any_linked_size(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows, 5, 80, 100)
 
 
+def test_linked_sets_share_as_many_signatures_as_asked():
+    # 24 common elements and 3 in either alone. Of 11 and of 13 segments one set leaves 5 empty, more than
+    # the 4 spare ones; the other leaves 4 empty and so doesn't sign them.
+    places = [(0.5, 11), *((x, 13) for x in (2.5, 3.5, 4.8, 5.5, 7.5, 10.5)), (10.5, 11)]
+
+    def made(k, salt):
+        return (int(places[k][0] / places[k][1] * 2**32) << 32) + salt
+
+    common = [made(k, salt) for k in range(8) for salt in (1, 2, 3)]
+    a = [made(k, 9) for k in (0, 5, 6)]
+    b = [made(k, 9) for k in (1, 7)] + [(int(1.5 / 11 * 2**32) << 32) + 9]
+    token = np.array(sorted(common + a) + sorted(common + b), np.uint64)
+    assert jaccard_join.bands(80, 100)[1][np.searchsorted(jaccard_join.bands(80, 100)[0], 27, "right") - 1] == ("exact", 11, 4, 1)
+    row, sig, need = jaccard_join.signatures(token, np.array([0, 27, 54]), 80, 100)
+    shared = [len(set(sig[row == s].tolist()) & set(sig[row == 2 + s].tolist())) for s in (0, 1)]
+    assert any(shared[s] >= max(need[s], need[2 + s]) for s in (0, 1))
+
+
 def test_jaccard_join_odd_rows(spark):
     found = jaccard_join.near_copies(spark.createDataFrame(ODD, SCHEMA)).collect()
     assert len(found) == len(ODD)
