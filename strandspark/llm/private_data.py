@@ -67,6 +67,7 @@ _TOP = "com|org|net|edu|gov|int|info|biz|io|co|eu|uk|de|fr|es|it|nl|ch|at|us|ca|
 _SAID = re.compile(rf"(?i)(?<=[a-z0-9_%+.-])[\x20\t]{{1,3}}(at)[\x20\t]{{1,3}}(?=[a-z0-9-]{{1,63}}(?:{_DOT_SAID}[a-z0-9-]{{1,63}}){{0,4}}?{_DOT_SAID}(?:{_TOP})\b)")
 _SAID_DOT = re.compile(r"(?i)(?<=[a-z0-9_-])[\x20\t]{1,3}(dot)[\x20\t]{1,3}(?=[a-z0-9-])")
 _DIGITS = re.compile(_DIGIT_WORD, re.IGNORECASE)
+_ODD_CASE = str.maketrans("ſıİ", "sii")  # what re.IGNORECASE takes for s and i
 
 
 def luhn(digits: str) -> bool:
@@ -113,7 +114,7 @@ def _rewrites(text: str) -> list[tuple[int, int, str]]:
         plus = "+" if m[0][:4].lower() == "plus" else ""
         first = True
         for d in _DIGITS.finditer(text, m.start(), m.end()):
-            found.append((m.start() if first else end, d.end(), (plus if first else "") + SPELLED[d[0].lower()]))  # noqa: F821
+            found.append((m.start() if first else end, d.end(), (plus if first else "") + SPELLED[d[0].translate(_ODD_CASE).lower()]))  # noqa: F821
             first, end = False, d.end()  # noqa: F841
     found += [(*m.span(), "@") for m in _AT.finditer(text)] + [(*m.span(), ".") for m in _DOT.finditer(text)]
     if said := [(*m.span(), "@") for m in _SAID.finditer(text)]:
@@ -181,12 +182,30 @@ def _hashes_of(terms) -> np.ndarray:
     return np.sort(next(W.blocks(pa.array([" ".join(terms)]), W.ALNUM))[2].hashes())
 
 
+def _cased(term: str) -> list[str]:
+    """term, and what re.IGNORECASE takes for it that isn't ASCII."""
+    made = [""]
+    for c in term:
+        made = [m + x for m in made for x in c + {"s": "ſ", "i": "ıİ"}.get(c, "")]
+    return made
+
+
+_DIGIT_HASHES = _hashes_of([x for term in SPELLED for x in _cased(term)])
+_AT_HASH, _DOT_HASH = _hashes_of(("at",)), _hashes_of(("dot",))
+
+
 def _wanted(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that may hold plain identifiers, and rows that may hold disguised ones."""
+    """Rows that may hold plain identifiers, and rows that may hold disguised ones: no row in which
+    a pattern matches is left out."""
     block = W.Block(raw, offsets, W.ALNUM)
     h = block.hashes()
-    digits, dots = (block.per_row(np.isin(h, _hashes_of(x))) for x in (SPELLED, ("dot",)))
-    return block.per_text(_plain[raw]) > 0, (block.per_text(_strange[raw]) > 0) | (dots > 0) | (digits >= 7)
+    digits, ats, dots = (block.per_row(np.isin(h, x)) for x in (_DIGIT_HASHES, _AT_HASH, _DOT_HASH))
+    # A full stop within an address said out is followed by a letter, a digit or a hyphen.
+    stops = np.zeros(len(raw), bool)
+    stops[:-1] = (raw[:-1] == ord(".")) & (raw[1:] > 32)
+    said = (ats > 0) & ((dots > 0) | (block.per_text(stops) > 0))
+    # Of seven spelled digits, the first and the last may stand beside a sign that counts as a letter here.
+    return block.per_text(_plain[raw]) > 0, (block.per_text(_strange[raw]) > 0) | said | (digits >= 5)
 
 
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int,plain:boolean>>"

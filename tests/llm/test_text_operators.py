@@ -316,3 +316,30 @@ def test_private_data_leaves_prose_alone_and_redacts(spark):
     clean = {r.doc_id: r for r in private_data.redact(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA + ", n_chars long")).collect()}
     assert clean[11].text == "Mail <EMAIL>, or <PHONE>!" and clean[11].n_chars == len(clean[11].text)
     assert private_data.redact(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_no_text_with_private_data_is_passed_over():
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    signs = ["jane", "mail", " at ", " AT\t", " dot ", ".", "com", "org", "x-1", " ", "one two three ", "four, five-six ", "seven", "ſıx six ", "×", "(at)", "é", "а", "＠", "@", "٣", "\u00ad", "1"]
+    texts = ["jane at example.com", "Jane AT mail.example.org, please", "one two three four five six seven×", "×one ſıx three four five six seven÷"]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 14))) for _ in range(20_000)]
+    for folded in private_data._FOLDS:
+        texts.append(chr(folded))
+    found = 0
+    for lo, _, raw, offsets in private_data.W.cuts(pa.array(texts)):
+        for k, (plain_one, strange) in enumerate(zip(*private_data._wanted(raw, offsets), strict=True)):
+            text, every = texts[lo + k], private_data.find(texts[lo + k])
+            assert private_data.find(text, bool(strange)) == every, text
+            assert plain_one or strange or every == ([], []), text
+            assert strange or private_data.transduce(text) is None, text
+            found += bool(every[1])
+    assert found > 20
+
+
+def test_addresses_said_with_a_full_stop(spark):
+    rows = [(1, "write to jane at example.com now"), (2, "we met at noon. then")]
+    found = {r.doc_id: r.spans for r in private_data.find_private(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [(s["kind"], rows[0][1][s["start"] : s["end"]], s["plain"]) for s in found[1]] == [("email", "jane at example.com", False)] and not found[2]
+    assert private_data.redact(spark.createDataFrame(rows[:1], SCHEMA)).first().text == "write to <EMAIL> now"
