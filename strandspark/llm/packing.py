@@ -48,7 +48,7 @@ def _pieces(capacity: int, end_id: int, path: str):
 
         task, counts = TaskContext.get().partitionId(), np.zeros(capacity.bit_length(), np.int64)
         for batch in batches:
-            for lo, _hi, ids, first in tokens.encoded(batch.column(1), path, end_id):
+            for lo, _hi, ids, first in tokens.encoded(batch.column(1), path, end_id, added=True):
                 lengths = np.diff(first)
                 row, start, size = _cut(lengths, capacity)
                 level = np.log2(capacity // size).astype(np.int64)

@@ -139,7 +139,7 @@ def _write(folder: str, end_id: int, path: str):
         name, draft = f"{base}/part-{part:06d}.ids.zst", f"{base}/.draft-{part:06d}-{uuid.uuid4().hex}"
         first = None
         for batch in batches:
-            for lo, hi, ids, at in tokens.encoded(batch.column(1), path, end_id):
+            for lo, hi, ids, at in tokens.encoded(batch.column(1), path, end_id, added=True):
                 if writer is None:
                     store.create_dir(base, recursive=True)
                     sink = store.open_output_stream(draft, compression=None)

@@ -3,13 +3,15 @@
 Byte-level BPE of this family always begins a new token at a single blank between two
 visible characters, before and after a single line feed between such, and between a letter and a sign
 after it, so a text's ids are those of the stretches between these places, one after the
-other. Stretches repeat far more than texts do: each worker keeps the ids of
+other. The vocabulary's added tokens, like <|endoftext|>, are stretches of their own with their one id, as the library
+has it by default. Stretches repeat far more than texts do: each worker keeps the ids of
 the stretches it has seen (at most CACHE of them) and has the tokenizers library encode the rest.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -39,12 +41,14 @@ def vocabulary_path(name: str = DEFAULT) -> str:
 
 
 class Encoder:
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        names = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.added = re.compile(b"|".join(map(re.escape, sorted(names, key=len, reverse=True)))) if names else None
         self.reset()
 
     def reset(self) -> None:
@@ -67,6 +71,18 @@ class Encoder:
         self.slots.update(zip(keys, range(slot, slot + len(size)), strict=True))
         self.used += len(got)
 
+    def _whole(self, raw: np.ndarray, offsets: np.ndarray, cut: np.ndarray) -> None:
+        """Cut before and after each added token within a text, and nowhere in it."""
+        data, at = raw.tobytes(), 0
+        while m := self.added.search(data, at):
+            start, end = m.span()
+            if offsets[np.searchsorted(offsets, start, "right")] < end:  # of two texts
+                at = start + 1
+                continue
+            cut[start], cut[start + 1 : end], at = True, False, end
+            if end < len(cut):
+                cut[end] = True
+
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's ids begin."""
         n = len(raw)
@@ -83,6 +99,8 @@ class Encoder:
         inner = offsets[1:-1]
         cut[inner[inner < n]] = True
         cut[0] = True
+        if self.added:
+            self._whole(raw, offsets, cut)
         starts = np.flatnonzero(cut)
         ends = np.r_[starts[1:], n]
         keys, place, inverse = np.unique(W.span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
@@ -99,19 +117,20 @@ class Encoder:
         return ids, total[np.searchsorted(starts, offsets)]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """One for each worker process, kept from task to task."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, added) not in _encoders:
+        _encoders[path, added] = Encoder(path, added)
+    return _encoders[path, added]
 
 
-def encoded(column: pa.Array, path: str, end_id: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, ids, offsets) by block; each text's ids end with end_id."""
-    enc = encoder(path)
+def encoded(column: pa.Array, path: str, end_id: int, added: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, ids, offsets) by block; each text's ids end with end_id. With added, added tokens
+    in a text have their one id (the library's default); without, they are spelled like other text."""
+    enc = encoder(path, added)
     for lo, hi, raw, offsets in W.cuts(column):
         ids, first = enc.encode(raw, offsets)
         shifted = first + np.arange(len(first))

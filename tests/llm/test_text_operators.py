@@ -216,6 +216,35 @@ def test_stretches_give_the_same_ids(tokenizer):
     assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.fixture(scope="module")
+def unmodified():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokens.vocabulary_path())
+
+
+def test_added_tokens_keep_their_id(unmodified):
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    signs = ["a", "Z", " ", "  ", "\n", "\n\n", "'s", "é", ".", "1", "日", "<|endoftext|>", "<|endoftext|>", "<|endo", "ftext|>", "\r\n", " -"]
+    texts = ["a <|endoftext|> b", "<|endo", "ftext|>", *("".join(rng.choice(signs) for _ in range(rng.randrange(15))) for _ in range(20_000))]
+    got = []
+    for _, _, ids, at in tokens.encoded(pa.array(texts), tokens.vocabulary_path(), 2, added=True):
+        got += [ids[a : b - 1].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert got[0] == [64, 220, 50256, 275]
+    assert got == [e.ids for e in unmodified.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_packing_and_token_files_keep_added_tokens(spark, unmodified, tmp_path):
+    rows = [(1, "a <|endoftext|> b"), (2, "x<|endoftext|>")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    ids = {i: unmodified.encode(t, add_special_tokens=False).ids for i, t in rows}
+    assert {r.doc_id: r.doc_tokens for r in packing.pack(docs).collect()} == {i: len(x) + 1 for i, x in ids.items()}
+    folder, files = token_files.write_token_files(docs, "file://" + str(tmp_path / "ids"))
+    assert {r.doc_id: list(r.ids) for r in token_files.read_token_files(spark, folder, files).collect()} == {i: [*x, 2] for i, x in ids.items()}
+
+
 def test_packing(spark, tokenizer):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(["alpha", "beta", "γ"]) for _ in range(rng.randrange(400)))) for i in range(60)] + [(100, "long " * 9000), (101, None), (102, "")]
