@@ -43,7 +43,7 @@ def _joined(block: W.Block, keep: np.ndarray | None = None) -> list[bytes]:
 
 
 def _keys(block: W.Block) -> np.ndarray:
-    return W.mix(W.span_hashes_of(block.hashes(), block.first_word[:-1], block.first_word[1:]) + W.mix(block.n_words.astype(np.uint64)))
+    return W.hashes_in_order(block.hashes(), block.first_word[:-1], block.n_words)
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -63,8 +63,7 @@ def _runs(block: W.Block, window: int, gram: int):
     row = block.row_of_word[at]
     new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])])
     count = np.diff(np.r_[new, len(at)])
-    start = at[new]
-    return row[new], start - block.first_word[row[new]], count, anchor[new], W.span_hashes_of(h, start, start + count + window - 1)
+    return row[new], at[new] - block.first_word[row[new]], count, anchor[new], W.hashes_in_order(W.grams(h, window)[at], new, count)
 
 
 _run = pa.struct([("anchor", pa.int64()), ("run", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])

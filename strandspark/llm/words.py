@@ -1,13 +1,14 @@
 """Words and hashes of whole texts, for a block of rows at a time.
 
 A block is cut from Arrow's own buffers, so no Python object is made per word: a byte table
-says which bytes belong to words, and a polynomial over the bytes (modulo 2**64, read off
-prefix sums) gives each word its hash. Blocks hold whole texts and about BLOCK_BYTES, so
-memory stays flat whatever a batch holds; one long text makes one larger block.
+says which bytes belong to words, and words are hashed eight bytes at a time, each step a bijection of
+64 bits (so that words of one length up to eight bytes never collide, whatever they hold). Blocks hold whole
+texts and about BLOCK_BYTES, so memory stays flat whatever a batch holds; one long text makes one larger block.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +49,10 @@ def powers(n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
     return _kept[which]
 
 
-_BYTE = [mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(s)) for s in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+_SEEDS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+#: Spans of more bytes than this are hashed by blake2b, one by one.
+LONG_SPAN = 256
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -71,7 +75,7 @@ class Block:
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, kind) -> None:
         fold, group = kind
-        self.raw, self.offsets, self._sums = raw, offsets, {}
+        self.raw, self.offsets, self._eights = raw, offsets, None
         self.bytes = fold[raw]
         n, of = len(raw), group[raw]
         turn = np.ones(n + 1, bool)  # where a text or another group of bytes begins
@@ -87,10 +91,10 @@ class Block:
 
     def hashes(self, which: int = 0, first: int | None = None) -> np.ndarray:
         """Hashes of the words, or of their first so many bytes."""
-        if which not in self._sums:
-            self._sums[which] = byte_sums(self.bytes, which)
+        if self._eights is None:
+            self._eights = eights(self.bytes)
         ends = self.ends if first is None else np.minimum(self.ends, self.starts + first)
-        return span_hashes(self.bytes, self.starts, ends, which, self._sums[which])
+        return span_hashes(self.bytes, self.starts, ends, which, self._eights)
 
     def per_row(self, values: np.ndarray) -> np.ndarray:
         """Sum of a value per word over the words of each row."""
@@ -107,21 +111,44 @@ class Block:
         return np.repeat(np.arange(len(self.first_word) - 1), self.n_words)
 
 
-def byte_sums(data: np.ndarray, which: int = 0) -> np.ndarray:
-    up, _ = powers(len(data), which)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[which][data] * up[: len(data)], out=total[1:])
-    return total
+def first_bytes(size: np.ndarray) -> np.ndarray:
+    """Masks of the first so many bytes, at most eight, of a number of eights()."""
+    return _FIRST_BYTES[np.clip(size, 0, 8)]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0, total: np.ndarray | None = None) -> np.ndarray:
-    _, down = powers(len(data), which)
-    total = byte_sums(data, which) if total is None else total
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def eights(data: np.ndarray) -> np.ndarray:
+    """At each place, it and the seven bytes after it as one number (zeros beyond the end)."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,)).astype(np.uint64)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0, numbers: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of spans of bytes: numbers are those of eights(data)."""
+    numbers = eights(data) if numbers is None else numbers
+    size = ends - starts
+    h = np.uint64(_SEEDS[which]) ^ mix(size.astype(np.uint64) + np.uint64(_SEEDS[1 - which]))
+    h = mix(h ^ (numbers[starts] & first_bytes(size)))
+    live, done = np.flatnonzero((size > 8) & (size <= LONG_SPAN)), 8
+    while len(live):
+        left = size[live] - done
+        h[live] = mix((h[live] ^ (numbers[starts[live] + done] & first_bytes(left))) * np.uint64(_BASES[which]))
+        live, done = live[left > 8], done + 8
+    for k in np.flatnonzero(size > LONG_SPAN).tolist():
+        key = hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8, key=bytes([which])).digest()
+        h[k] = np.uint64(int.from_bytes(key, "little"))
+    return h
+
+
+#: Grams of more elements have no hash here: a polynomial modulo 2**64 tells longer runs of two alternating
+#: values apart too badly (powers of two of them can cancel out).
+LONGEST_GRAM = 64
 
 
 def grams(h: np.ndarray, n: int, which: int = 0) -> np.ndarray:
     """Hash of the n hashes from each place on; the last n - 1 places have none."""
+    if n > LONGEST_GRAM:
+        raise ValueError(f"a gram has at most {LONGEST_GRAM} elements")
     if len(h) < n:
         return np.zeros(0, np.uint64)
     up, down = powers(len(h), which)
@@ -130,12 +157,15 @@ def grams(h: np.ndarray, n: int, which: int = 0) -> np.ndarray:
     return mix((total[n:] - total[:-n]) * down[: len(h) - n + 1] + np.uint64(n))
 
 
-def span_hashes_of(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of spans of hashes."""
-    up, down = powers(len(h))
-    total = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * up[: len(h)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def hashes_in_order(h: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """One hash for each run of hashes (start, count), from all of its members with their places; runs
+    lie one after the other and apart."""
+    place = spread(np.zeros(len(starts), np.int64), counts).astype(np.uint64)
+    each = mix(h[spread(starts, counts)] + mix(place * np.uint64(_BASES[1])))
+    total = np.zeros(len(each) + 1, np.uint64)
+    np.cumsum(each, out=total[1:])
+    edge = np.r_[0, np.cumsum(counts)]
+    return mix(total[edge[1:]] - total[edge[:-1]] + mix(counts.astype(np.uint64)))
 
 
 def whole(first_word: np.ndarray, n: int) -> np.ndarray:
