@@ -1,11 +1,12 @@
 """Harmonic packing of token sequences.
 
-A document's ids are cut into pieces of capacity, capacity/2, capacity/4, ... ids, the largest
-first, so that each piece belongs to a reciprocal class: k pieces of class k fill a
-sequence exactly. Every task cuts and counts its own documents; the counts by task and class,
-a table as small as the number of tasks, give each task its first place in each class, and the
-place alone gives a piece its sequence and offset. What is left over in a class, fewer
-than k pieces, forms sequences of a power of two ids each, which need no padding.
+A document of L ids belongs to the reciprocal class k = floor(capacity / L): k documents of class k always fit a
+sequence, whatever their lengths. Every task fills the sequences of its own classes with k documents each, on its
+own, and cuts the longest of its documents only to fill what those sequences leave open. A text of
+capacity ids or more first gives off whole sequences. Documents of a class that don't make up a sequence yet wait for
+the task's next block (fewer than k of each class); at the end of the task they are laid one after the other, and the last
+sequence is cut into powers of two, so nothing is padded. The number of sequences of
+each task, a table as small as the number of tasks, gives each task its first sequence_id.
 """
 
 from __future__ import annotations
@@ -19,54 +20,148 @@ from pyspark.sql import functions as F
 
 from . import tokens
 from .common import stash, texts
+from .words import spread
 
 
-def _cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, length) of every piece."""
-    rows, starts, sizes = [], [], []
-    full = lengths // capacity
-    row = np.repeat(np.arange(len(lengths)), full)
-    rows.append(row)
-    starts.append((np.arange(len(row)) - np.repeat(np.cumsum(full) - full, full)) * capacity)
-    sizes.append(np.full(len(row), capacity))
-    done, size = full * capacity, capacity // 2
-    while size:
-        row = np.flatnonzero(lengths & size)
-        rows.append(row)
-        starts.append(done[row])
-        sizes.append(np.full(len(row), size))
-        done[row] += size
-        size //= 2
-    row, start, size = (np.concatenate(x).astype(np.int64) for x in (rows, starts, sizes))
-    order = np.lexsort((start, row))
-    return row[order], start[order], size[order]
-
-
-def _pieces(capacity: int, end_id: int, path: str):
+class Spans:
+    """Stretches of documents: which document, first id there, length, ids of the document, place in the pool."""
+
+    FIELDS = ("doc", "start", "length", "doc_tokens", "at")
+
+    def __init__(self, *columns: np.ndarray) -> None:
+        self.doc, self.start, self.length, self.doc_tokens, self.at = columns
+
+    def part(self, which: np.ndarray, skip=0, length: np.ndarray | None = None) -> Spans:
+        """The spans at these places, without their first so many ids, of these lengths."""
+        return Spans(self.doc[which], self.start[which] + skip, self.length[which] - skip if length is None else length, self.doc_tokens[which], self.at[which] + skip)
+
+    def __add__(self, other: Spans) -> Spans:
+        return Spans(*(np.concatenate([getattr(self, f), getattr(other, f)]) for f in self.FIELDS))
+
+    def __len__(self) -> int:
+        return len(self.length)
+
+
+def _lay(spans: Spans, sizes: np.ndarray) -> tuple[Spans, np.ndarray, np.ndarray, Spans]:
+    """Spans laid one after the other into slots of these sizes: pieces, slot and offset in the slot of
+    each, and what is left of the spans."""
+    ends, edges = np.cumsum(spans.length), np.cumsum(sizes)
+    total = int(edges[-1]) if len(edges) else 0
+    cuts = np.unique(np.concatenate([[0, total], ends[ends < total], edges]))
+    first, last = cuts[:-1], cuts[1:]
+    of, slot = np.searchsorted(ends, first, "right"), np.searchsorted(edges, first, "right")
+    pieces = spans.part(of, first - (ends - spans.length)[of], last - first)
+    rest = np.flatnonzero(ends > total)
+    return pieces, slot, first - (edges - sizes)[slot], spans.part(rest, np.maximum(total - (ends - spans.length)[rest], 0))
+
+
+def _powers_of_two(n: int) -> list[int]:
+    return [1 << b for b in reversed(range(n.bit_length())) if n >> b & 1]
+
+
+class Packer:
+    """One task's sequences; settle() takes the spans at hand and returns pieces, their sequences and offsets,
+    and the spans that wait."""
+
+    def __init__(self, capacity: int) -> None:
+        self.capacity, self.sequences = capacity, 0
+
+    def _whole(self, spans: Spans) -> tuple[Spans, Spans]:
+        full = spans.length // self.capacity
+        of = np.repeat(np.arange(len(spans)), full)
+        pieces = spans.part(of, spread(np.zeros(len(full), np.int64), full) * self.capacity, np.full(len(of), self.capacity))
+        left = np.flatnonzero(spans.length % self.capacity)
+        return pieces, spans.part(left, full[left] * self.capacity)
+
+    def _new(self, n: int) -> np.ndarray:
+        self.sequences += n
+        return np.arange(self.sequences - n, self.sequences)
+
+    def settle(self, spans: Spans, last: bool = False) -> tuple[Spans, np.ndarray, np.ndarray, Spans]:
+        pieces, spans = self._whole(spans)
+        sequence, offset = self._new(len(pieces)), np.zeros(len(pieces), np.int64)
+        spans = spans.part(np.argsort(-spans.length, kind="stable"))
+        if last:
+            total = int(spans.length.sum())
+            sizes = np.array([self.capacity] * (total // self.capacity) + _powers_of_two(total % self.capacity), np.int64)
+            more, slot, place, waiting = _lay(spans, sizes)
+            sequence, offset = np.r_[sequence, self._new(len(sizes))[slot]], np.r_[offset, place]
+            return pieces + more, sequence, offset, waiting
+        if not len(spans):
+            return pieces, sequence, offset, spans
+        # The longest come first, so classes are runs; from the first of those that aren't cut on, each
+        # class fills as many sequences as it can.
+        k = self.capacity // spans.length
+        begin = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        each, end, total = k[begin], np.r_[begin[1:], len(k)], np.r_[0, np.cumsum(spans.length)]
+
+        def filled(m: int) -> tuple[np.ndarray, np.ndarray, int]:
+            """First document and number of sequences of each class, and what they leave open, if m are cut."""
+            lo = np.minimum(np.maximum(begin, m), end)
+            n = (end - lo) // each
+            return lo, n, int((n * self.capacity - total[lo + n * each] + total[lo]).sum())
+
+        low, high = 0, len(spans)
+        while low < high:  # about the fewest that fill all that is left open
+            m = (low + high) // 2
+            low, high = (low, m) if total[m] >= filled(m)[2] else (m + 1, high)
+        while total[low] < filled(low)[2]:
+            low += 1
+        lo, n, _ = filled(low)
+        mine = spread(lo, n * each)
+        per = np.repeat(each, n)  # documents of each sequence
+        edge = np.r_[0, np.cumsum(per)]
+        size = np.r_[0, np.cumsum(spans.length[mine])]
+        gaps = self.capacity - (size[edge[1:]] - size[edge[:-1]])
+        made = self._new(len(per))
+        open_ones = np.flatnonzero(gaps)
+        cut, slot, place, rest = _lay(spans.part(np.arange(low)), gaps[open_ones])
+        unfinished = spread(lo + n * each, end - lo - n * each)
+        pieces = pieces + spans.part(mine) + cut
+        sequence = np.concatenate([sequence, np.repeat(made, per), made[open_ones[slot]]])
+        offset = np.concatenate([offset, size[:-1] - np.repeat(size[edge[:-1]], per), (self.capacity - gaps)[open_ones[slot]] + place])
+        return pieces, sequence, offset, spans.part(unfinished) + rest
+
+
+def _pieces(capacity: int, end_id: int, path: str, with_ids: bool):
     def run(batches):
         from pyspark import TaskContext
 
-        task, counts = TaskContext.get().partitionId(), np.zeros(capacity.bit_length(), np.int64)
+        task, packer = TaskContext.get().partitionId(), Packer(capacity)
+        held, pool, names = Spans(*(np.zeros(0, np.int64) for _ in Spans.FIELDS)), np.zeros(0, np.uint32), None
+
+        def rows(spans: Spans, pool: np.ndarray, names: pa.Array, last: bool = False):
+            nonlocal held
+            pieces, sequence, offset, held = packer.settle(spans, last)
+            data = memoryview(np.ascontiguousarray(pool, "<u4").view(np.uint8))
+            crc = np.fromiter((zlib.crc32(data[4 * a : 4 * (a + n)]) for a, n in zip(pieces.at.tolist(), pieces.length.tolist(), strict=True)), np.int64, len(pieces))
+            columns = [names.take(pa.array(pieces.doc)), *map(pa.array, (pieces.start, pieces.length, crc, pieces.doc_tokens, np.full(len(pieces), task, np.int64), sequence, offset))]
+            made = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "sequence", "offset"]
+            if with_ids:
+                columns.append(pa.ListArray.from_arrays(np.r_[0, np.cumsum(pieces.length)].astype(np.int32), pa.array(pool[spread(pieces.at, pieces.length)].astype(np.int32))))
+                made.append("ids")
+            return pa.RecordBatch.from_arrays(columns, made)
+
         for batch in batches:
-            for lo, _hi, ids, first in tokens.encoded(batch.column(1), path, end_id, added=True):
-                lengths = np.diff(first)
-                row, start, size = _cut(lengths, capacity)
-                level = np.log2(capacity // size).astype(np.int64)
-                place = np.empty(len(row), np.int64)
-                for k in range(len(counts)):
-                    mine = np.flatnonzero(level == k)
-                    place[mine] = counts[k] + np.arange(len(mine))
-                    counts[k] += len(mine)
-                data = memoryview(np.ascontiguousarray(ids).view(np.uint8))
-                a = first[row] + start
-                crc = np.fromiter((zlib.crc32(data[4 * x : 4 * (x + n)]) for x, n in zip(a.tolist(), size.tolist(), strict=True)), np.int64, len(row))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + lo)), *map(pa.array, (start, size, crc, lengths[row].astype(np.int64), np.full(len(row), task, np.int64), level, place))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "level", "place"])
+            for lo, hi, ids, first in tokens.encoded(batch.column(1), path, end_id, added=True):
+                n, known = np.diff(first), 0 if names is None else len(names)
+                mine = batch.column(0).slice(lo, hi - lo)
+                names = mine if names is None else pa.concat_arrays([names, mine])
+                fresh = Spans(known + np.arange(hi - lo), np.zeros(hi - lo, np.int64), n, n, len(pool) + first[:-1])
+                pool = np.concatenate([pool, ids])
+                yield rows(held + fresh, pool, names)
+                # Only what waits is kept.
+                pool, names = pool[spread(held.at, held.length)], names.take(pa.array(held.doc))
+                held = Spans(np.arange(len(held)), held.start, held.length, held.doc_tokens, np.cumsum(held.length) - held.length)
+        if len(held):
+            yield rows(held, pool, names, last=True)
 
     return run
 
 
-def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, path: str | None = None) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, path: str | None = None, with_ids: bool = False) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and with with_ids
+    the piece's ids.
 
     capacity is a power of two. A null or empty text is the end id alone. Repeated rows are
     packed as often as they occur; a very long text fills many whole sequences; no rows
@@ -74,28 +169,10 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, path: str | Non
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
-    made = docs.select(docs.schema["doc_id"].name)
-    kind = made.schema["doc_id"].dataType.simpleString()
-    longs = ", ".join(f"{c} long" for c in ("start", "length", "ids_crc32", "doc_tokens", "task", "level", "place"))
-    pieces = stash(texts(docs).mapInArrow(_pieces(capacity, end_id, path or tokens.vocabulary_path()), f"doc_id {kind}, {longs}"), "pieces")
-    by_task = Window.partitionBy("level").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    counts = pieces.groupBy("task", "level").agg(F.count("*").alias("n"))
-    before = counts.select("task", "level", F.coalesce(F.sum("n").over(by_task), F.lit(0)).alias("before"))
-    k = F.expr("shiftleft(1L, cast(level as int))")
-    # One row for each of the few classes: pieces in all, sequences of the classes above.
-    classes = counts.groupBy("level").agg(F.sum("n").alias("total")).withColumn("left", F.col("total") % k)
-    classes = classes.withColumn("sequences", F.expr("total div shiftleft(1L, cast(level as int))") + F.bit_count("left"))
-    classes = classes.withColumn("base", F.coalesce(F.sum("sequences").over(Window.orderBy("level").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    placed = pieces.join(before, ["task", "level"]).join(F.broadcast(classes), "level").withColumn("rank", F.col("place") + F.col("before"))
-    placed = placed.withColumn("full", F.col("total") - F.col("left")).withColumn("j", F.col("rank") - F.col("full"))
-    # The highest bit in which j and left differ names the power of two that holds the j-th left piece.
-    bit = F.floor(F.log2(F.col("left").bitwiseXOR(F.col("j")).cast("double"))).cast("int")
-    above = F.expr("shiftright(left, _bit + 1)")
-    placed = placed.withColumn("_bit", F.when(F.col("j") >= 0, bit).otherwise(0))
-    tail = F.expr("(total - left) div shiftleft(1L, cast(level as int))") + F.bit_count(above)
-    inside = F.col("j") >= 0
-    return placed.select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens",
-        (F.col("base") + F.when(inside, tail).otherwise(F.expr("rank div shiftleft(1L, cast(level as int))"))).cast("long").alias("sequence_id"),
-        (F.col("length") * F.when(inside, F.col("j") - F.expr("shiftleft(shiftright(left, _bit + 1), _bit + 1)")).otherwise(F.col("rank") % k)).cast("long").alias("offset"),
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    longs = ", ".join(f"{c} long" for c in ("start", "length", "ids_crc32", "doc_tokens", "task", "sequence", "offset"))
+    pieces = stash(texts(docs).mapInArrow(_pieces(capacity, end_id, path or tokens.vocabulary_path(), with_ids), f"doc_id {kind}, {longs}" + (", ids array<int>" if with_ids else "")), "pieces")
+    counts = pieces.groupBy("task").agg((F.max("sequence") + 1).alias("n"))
+    before = counts.select("task", F.coalesce(F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    placed = pieces.join(F.broadcast(before), "task")  # a row for each task
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("sequence") + F.col("before")).cast("long").alias("sequence_id"), "offset", *(["ids"] if with_ids else []))
