@@ -10,17 +10,23 @@ equality alone. Per band the cheaper plan is taken:
 - one deletion: (H + 1) / 2 segments, signed by their subset and by each subset less one element, so
   that segments with one difference meet as well. Cheaper for small sets.
 
-Equal sets are one node from the start. Two linked sets have more than `spare` equal segments, so a node with fewer
+Equal sets are one node from the start. Signatures are shuffled once, straight from the texts: a window over each
+signature tells which are shared. Those that several nodes of one block share are known to be shared where they are made, and
+all but one of their rows travel under keys of their own, so that a signature of very many nodes makes
+no large partition. Two linked sets have more than `spare` equal segments, so a node with fewer
 shared signatures under a plan, less its own tiny segments, takes no part in it; one with more tiny segments than spare
-ones needs a single one, as its partner may have signed none of those. Nodes that share a signature are compared with the group's
-pivot only (the node with most company), never all with all. Nodes that such pairs connect form a cluster. A cluster of at
-most COMPANY nodes and COMPANY_TOKENS elements is settled within one task, through an index of its elements.
-In larger ones each pair with a pivot is verified, and what a pivot's company then leaves open is settled in
-one task if it is small, and with more care if not: with p the pivot and E(x) the elements in which x
+ones needs a single one, as its partner may have signed none of those. Nodes that shared signatures
+connect form a cluster; nodes are never compared all with all.
+
+Clusters of any size take one path. Each has a pivot, with which each other member is verified; links to it close
+most clusters. In one with several components left, with p the pivot and E(x) the elements in which x
 and p differ, two members with nothing common to E(x) and E(y) are linked only if both are linked to p; so
 what remains are pairs that share elements of E. Those are found through the rarest elements of E (prefix
-filter, ordered by frequency within the pivot's company), grouped by pivot and element, and
-verified on E, which is exact: |x ^ y| = |E(x) ^ E(y)|.
+filter, ordered by frequency within the cluster): the members that share one are a new, smaller group. One of at most
+SETTLED members is verified within one task on E, which is exact: |x ^ y| = |E(x) ^ E(y)|; a larger one is treated
+as a cluster again, with a pivot of its own, whose part in the shared element has then gone.
+
+Elements are 64-bit hashes of shingles: "exact" is meant of the sets of these.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -40,11 +46,15 @@ from .components import components
 col = F.col
 
 #: Bands are at least so wide, and as wide as linked sizes may differ: a set is signed under two of them.
-BAND_RATIO = 1.2
+BAND_RATIO = 1.4
 #: More spare segments cost signatures and ask more company of a node.
 LEAST_SPARE = 3
-#: Company up to this size is settled in one task: so many nodes, so many elements (8 bytes each) in all.
-COMPANY, COMPANY_TOKENS = 4_096, 2_000_000
+#: Members that share a difference from their pivot are verified in one task up to this number.
+SETTLED = 256
+#: Members of a cluster that meet one copy of their pivot's set.
+PER_PIVOT = 256
+#: Nodes whose signatures a task remembers to have made, so that copies add none.
+REMEMBERED = 200_000
 
 
 @lru_cache(maxsize=8)
@@ -165,16 +175,41 @@ def signatures(token: np.ndarray, first: np.ndarray, num: int, den: int) -> tupl
     return row[order], sig[order], need
 
 
-def _describe(k: int, num: int, den: int):
+def _sizes(k: int):
     def run(batches):
         for batch in batches:
             for lo, hi, block in W.blocks(batch.column("text"), W.LOWER):
                 token, first = shingle_sets(block, k)
-                row, sig, need = signatures(token, first, num, den)
-                edge = np.searchsorted(row, np.arange(2 * (hi - lo) + 1)).astype(np.int32)
-                each = pa.ListArray.from_arrays(edge, pa.array(W.signed(sig)))
-                own, following = (each.take(pa.array(np.arange(k, 2 * (hi - lo), 2))) for k in (0, 1))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(W.signed(set_keys(token, first))), own, following, pa.array(need[::2]), pa.array(need[1::2])], ["doc_id", "n", "node", "own", "following", "need_own", "need_following"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(W.signed(set_keys(token, first)))], ["doc_id", "n", "node"])
+
+    return run
+
+
+def _signature_rows(k: int, num: int, den: int):
+    """(sig, who, need, of): who is node + plan. Where several sets of a block share a signature, one row has the
+    signature as sig and a negative need; the others have it as of, and any number as sig."""
+
+    def run(batches):
+        made: set[int] = set()
+        for batch in batches:
+            for _lo, _hi, block in W.blocks(batch.column("text"), W.LOWER):
+                token, first = shingle_sets(block, k)
+                node, n = set_keys(token, first), np.diff(first)
+                _, fresh = np.unique(node, return_index=True)
+                fresh = np.sort(fresh[[x not in made for x in node[fresh].tolist()]])
+                if len(made) > REMEMBERED:
+                    made.clear()
+                made.update(node[fresh].tolist())
+                mine, edge = W.spread(first[:-1][fresh], n[fresh]), np.r_[0, np.cumsum(n[fresh])]
+                row, sig, need = signatures(token[mine], edge, num, den)
+                who, need = node[fresh][row >> 1] + (row & 1).astype(np.uint64), np.minimum(need[row], 127)
+                order = np.lexsort((who, sig))
+                sig, who, need = sig[order], who[order], need[order]
+                follows = np.r_[False, sig[1:] == sig[:-1]] if len(sig) else np.zeros(0, bool)
+                shared = follows | np.r_[follows[1:], False] if len(sig) else follows
+                key = np.where(follows, W.mix(who ^ W.mix(sig)), sig)
+                need = np.where(shared, -need, need).astype(np.int8)
+                yield pa.RecordBatch.from_arrays([pa.array(W.signed(key)), pa.array(W.signed(who)), pa.array(need), pa.array(W.signed(sig), mask=~follows)], ["sig", "who", "need", "of"])
 
     return run
 
@@ -194,28 +229,31 @@ def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _differ(num: int, den: int, with_elements: bool):
-    """Per pair of sets: whether they reach the threshold, or in which elements they differ."""
+    """Per member of a group and its pivot: whether they reach the threshold, or in which elements they differ."""
 
     def run(batches):
         for batch in batches:
             (a, a_at), (b, b_at) = _lists(batch.column("x")), _lists(batch.column("y"))
             apart = [np.setxor1d(a[a_at[k] : a_at[k + 1]], b[b_at[k] : b_at[k + 1]], assume_unique=True) for k in range(batch.num_rows)]
-            d = np.array([len(x) for x in apart], np.int64)
-            sizes = np.diff(a_at) + np.diff(b_at)
-            out = [batch.column("pivot"), batch.column("node")]
+            d, n = np.array([len(x) for x in apart], np.int64), np.diff(b_at).astype(np.int64)
+            near = pa.array(d * (den + num) <= (np.diff(a_at) + n) * (den - num))
             if with_elements:
                 edge = np.r_[0, np.cumsum(d)].astype(np.int32)
                 flat = np.concatenate(apart) if apart else np.zeros(0, np.uint64)
-                linked = d * (den + num) <= sizes * (den - num)
-                yield pa.RecordBatch.from_arrays([*out, pa.array(np.diff(b_at).astype(np.int64)), pa.array(linked), batch.column("label"), pa.ListArray.from_arrays(edge, pa.array(W.signed(flat)))], ["pivot", "node", "n", "near", "label", "apart"])
+                yield pa.RecordBatch.from_arrays([batch.column("group"), batch.column("node"), pa.array(n), near, pa.ListArray.from_arrays(edge, pa.array(W.signed(flat)))], ["group", "node", "n", "near", "apart"])
             else:
-                yield pa.RecordBatch.from_arrays([*out, pa.array(d * (den + num) <= sizes * (den - num))], ["pivot", "node", "linked"])
+                yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("node"), near], ["pivot", "node", "near"])
 
     return run
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    return pairs.join(sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("x")), "pivot").join(sets.select("node", F.col("tokens").alias("y")), "node")
+def _beside_pivots(members: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
+    """group, pivot, node, x (the pivot's set) and y (the node's): the pivot's set is copied once
+    for every PER_PIVOT members, so that members of a large group meet it in many tasks."""
+    n_heads = heads.count()
+    pairs = members.join(small(heads, n_heads), "group").where("node <> pivot").withColumn("salt", F.expr(f"pmod(xxhash64(node), 1 + m div {PER_PIVOT})"))
+    copies = heads.join(sets.select(col("node").alias("pivot"), col("tokens").alias("x")), "pivot").select("group", "x", F.explode(F.expr(f"sequence(0L, m div {PER_PIVOT})")).alias("salt"))
+    return pairs.join(sets.select("node", col("tokens").alias("y")), "node").join(copies, ["group", "salt"]).select("group", "pivot", "node", "x", "y")
 
 
 def _verify_group(num: int, den: int):
@@ -245,58 +283,79 @@ def _verify_group(num: int, den: int):
     return run
 
 
-def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """pivot and node of every node that shares a signature with another, and the signature
-    groups of three or more in full (sig, pivot, node)."""
-    rows = nodes.select(F.explode("own").alias("sig"), col("node").alias("who")).unionByName(nodes.select(F.explode("following").alias("sig"), (col("node") + 1).alias("who")))
-    groups = stash(rows.groupBy("sig").agg(F.count("*").alias("c"), F.min("who").alias("a"), F.max("who").alias("b")).where("c > 1 and a <> b"), "signature-groups")
-    larger = groups.where("c > 2").select("sig")
-    members = groups.where("c = 2").select("sig", F.explode(F.array("a", "b")).alias("who")).unionByName(rows.join(small(larger, larger.count()), "sig").select("sig", "who"))
-    members = stash(members, "signature-members")
-    needs = nodes.select(col("node").alias("who"), col("need_own").alias("need")).unionByName(nodes.select((col("node") + 1).alias("who"), col("need_following").alias("need")))
-    company = members.groupBy("who").agg(F.count("*").alias("w"))
-    enough = stash(needs.join(company, "who").where("w >= need").select("who", "w"), "nodes-with-company")
-    kept = stash(members.join(small(enough, enough.count()), "who").select("sig", F.expr("who - pmod(who, 2)").alias("node"), "w"), "kept-members")
-    groups = stash(kept.groupBy("sig").agg(F.count("*").alias("c"), F.max(F.struct("w", "node")).alias("top"), F.min("node").alias("a"), F.max("node").alias("b")).where("c > 1 and a <> b"), "kept-groups")
-    twos = groups.where("c = 2").select(col("a").alias("pivot"), col("b").alias("node"))
-    pivots = groups.where("c > 2").select("sig", col("top.node").alias("pivot"))
-    stars = stash(kept.join(small(pivots, pivots.count()), "sig").select("sig", "pivot", "node").where("pivot <> node"), "stars")
-    return stash(stars.select("pivot", "node").unionByName(twos).distinct(), "star-pairs"), stars
-
-
-def _remaining_links(stars: DataFrame, sets: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
-    labels = stash(components(links), "labels")
-    n_labels = labels.count()
-
-    def labelled(df: DataFrame) -> DataFrame:
-        return df.join(small(labels, n_labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
-
-    # A group of two is settled by its own pair; a larger one if its members are one component already.
-    company = labelled(stars)
-    open_groups = stash(company.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig"), "open-groups")
-    rest = stash(labelled(stars.join(small(open_groups, open_groups.count()), "sig", "left_semi").select("pivot", "node").distinct()), "open-pairs")
-    sized = rest.join(sets.select("node", F.size("tokens").alias("n")), "node").groupBy("pivot").agg(F.count("*").alias("m"), F.sum("n").alias("t"))
-    families = stash(sized.select("pivot", ((col("m") <= COMPANY) & (col("t") <= COMPANY_TOKENS)).alias("few")), "families")
-    rest = rest.join(small(families, families.count()), "pivot")
-    # Two sets differ by their sizes less what is common: the same check as for differences from a pivot.
-    near = rest.where("few").join(sets.withColumnRenamed("tokens", "apart"), "node").select("pivot", "node", "label", F.size("apart").cast("long").alias("n"), F.size("apart").cast("long").alias("d"), "apart")
-    settled = near.groupBy("pivot").applyInArrow(_verify_group(num, den), "a long, b long")
-    apart = stash(_with_sets(rest.where("not few").select("pivot", "node", "label"), sets).mapInArrow(_differ(num, den, True), "pivot long, node long, n long, near boolean, label long, apart array<long>"), "differences")
-    element = apart.select("pivot", "node", "n", "near", "label", F.size("apart").alias("d"), F.explode("apart").alias("e"))
-    often = stash(element.groupBy("pivot", "e").agg(F.count("*").alias("df")).where("df > 1"), "frequent-differences")
-    ranked = element.join(small(often, often.count()), ["pivot", "e"]).groupBy("pivot", "node").agg(F.first("d").alias("d"), F.first("n").alias("n"), F.first("label").alias("label"), F.first("near").alias("near"), F.sort_array(F.collect_list(F.struct("df", "e"))).alias("common"))
+def _shared_signatures(source: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """sig, node, w: signatures that several nodes share, each of these nodes, and how many it shares."""
+    rows = source.mapInArrow(_signature_rows(k, num, den), "sig long, who long, need byte, of long")
+    order = Window.partitionBy("sig").orderBy("who")
+    beside = (F.lag("who").over(order) != col("who")) | (F.lead("who").over(order) != col("who"))
+    members = rows.withColumn("beside", F.coalesce(beside, F.lit(False))).where("beside or need < 0")
+    members = stash(members.select(F.coalesce("of", "sig").alias("sig"), "who", F.abs("need").alias("need")), "shared-signatures")
+    company = members.groupBy("who").agg(F.count("*").alias("w"), F.max("need").alias("need"))
+    enough = stash(company.where("w >= need").select("who"), "nodes-with-company")
+    return stash(members.join(small(enough, enough.count()), "who", "left_semi").select("sig", F.expr("who - pmod(who, 2)").alias("node")).distinct(), "kept-signatures")
+
+
+def _clusters(shared: DataFrame) -> DataFrame:
+    """node and label of all nodes that shared signatures connect with another."""
+    groups = stash(shared.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("sig", "a"), "signature-groups")
+    pairs = shared.join(small(groups, groups.count()), "sig").where("node <> a").select("a", col("node").alias("b")).distinct()
+    return stash(components(pairs), "clusters")
+
+
+def _links(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) that connect all that are linked among the members of each group (group, node)."""
+    links, spark = [], groups.sparkSession
+    while True:
+        heads = stash(groups.groupBy("group").agg(F.min("node").alias("pivot"), F.count("*").alias("m")), "pivots")
+        if heads.isEmpty():
+            break
+        judged = _beside_pivots(groups, heads, sets).mapInArrow(_differ(num, den, False), "pivot long, node long, near boolean")
+        links.append(stash(judged.where("near").select(col("pivot").alias("a"), col("node").alias("b")), "pivot-links"))
+        labels = stash(components(_all(links)), "labels")
+        n_labels = labels.count()
+        labelled = groups.join(small(labels, n_labels), "node", "left").select("group", "node", F.coalesce("label", "node").alias("label"))
+        several = stash(labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("group"), "open-groups")
+        if several.isEmpty():
+            break
+        left = stash(labelled.join(small(several, several.count()), "group", "left_semi"), "open-members")
+        settled, groups = _by_shared_differences(left, heads, sets, num, den)
+        links.append(stash(settled, "settled-links"))
+        groups = stash(groups, "larger-groups")
+    return _all(links) if links else spark.createDataFrame([], "a long, b long")
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def _by_shared_differences(members: DataFrame, heads: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Of members (group, node, label): links within small groups that share a difference from the pivot, and
+    the larger such groups (group, node)."""
+    pivots = heads.join(members.select("group").distinct(), "group", "left_semi")
+    apart = stash(_beside_pivots(members.select("group", "node"), pivots, sets).mapInArrow(_differ(num, den, True), "group long, node long, n long, near boolean, apart array<long>"), "differences")
+    element = apart.select("group", "node", "n", "near", F.size("apart").alias("d"), F.explode("apart").alias("e"))
+    often = stash(element.groupBy("group", "e").agg(F.count("*").alias("df")).where("df > 1"), "frequent-differences")
+    ranked = element.join(small(often, often.count()), ["group", "e"]).groupBy("group", "node").agg(F.first("d").alias("d"), F.first("n").alias("n"), F.first("near").alias("near"), F.sort_array(F.collect_list(F.struct("df", "e"))).alias("common"))
     # Elements that nobody shares come first in the order and take up their part of the prefix. Of two
     # sets the one that differs less needs the shorter prefix; a set linked to the
     # pivot never needs more than that beside one that isn't.
     most = F.expr(f"cast(({den - num} * (n + n * {den} div {num})) div {den + num} as int)")
-    prefix = F.least(F.col("d"), F.when(F.col("near"), F.floor(most / 2).cast("int")).otherwise(most) + 1)
-    length = F.greatest(prefix - (F.col("d") - F.size("common")), F.lit(0))
+    prefix = F.least(col("d"), F.when(col("near"), F.floor(most / 2).cast("int")).otherwise(most) + 1)
+    length = F.greatest(prefix - (col("d") - F.size("common")), F.lit(0))
     # Elements of one set alone are in no intersection: the shared ones and the number of all are enough.
-    known = stash(ranked.where(length > 0).select("pivot", "node", "n", "d", "label", length.alias("length"), F.transform("common", lambda t: t["e"]).alias("apart")), "shared-differences")
-    probes = known.select("pivot", "label", F.explode(F.slice("apart", F.lit(1), F.col("length"))).alias("e"))
-    mixed = stash(probes.groupBy("pivot", "e").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("pivot", "e"), "mixed-groups")
-    groups = known.select("pivot", "node", "n", "d", "label", "apart", F.explode(F.slice("apart", F.lit(1), F.col("length"))).alias("e"))
-    return groups.join(small(mixed, mixed.count()), ["pivot", "e"], "left_semi").groupBy("pivot", "e").applyInArrow(_verify_group(num, den), "a long, b long").unionByName(settled)
+    known = ranked.where(length > 0).join(members, ["group", "node"]).select("group", "node", "n", col("d").cast("long").alias("d"), "label", length.alias("length"), F.transform("common", lambda t: t["e"]).alias("apart"))
+    known = stash(known, "shared-differences")
+    probe = F.explode(F.slice("apart", F.lit(1), col("length"))).alias("e")
+    sized = known.select("group", "node", "label", probe).groupBy("group", "e").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("who")).where("low <> high")
+    # Elements that the very same members share make one group.
+    mixed = stash(sized.groupBy("group", "m", "who").agg(F.min("e").alias("e")).select("group", "e", "m"), "mixed-groups")
+    few, many = mixed.where(col("m") <= SETTLED).select("group", "e"), mixed.where(col("m") > SETTLED).select("group", "e")
+    settled = known.select("group", "node", "n", "d", "label", "apart", probe).join(small(few, few.count()), ["group", "e"], "left_semi").groupBy("group", "e").applyInArrow(_verify_group(num, den), "a long, b long")
+    larger = known.select("group", "node", probe).join(small(many, many.count()), ["group", "e"], "left_semi").select(F.xxhash64("group", "e").alias("group"), "node")
+    return settled, larger
 
 
 def near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -308,34 +367,18 @@ def near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     nothing and are their own component. Repeated rows have equal sets and share a component. A row with a null
     doc_id belongs with rows of an equal set and is linked with no other. Texts are read whole.
     """
-    spark = docs.sparkSession
     source = texts(docs)
     kind = source.schema["doc_id"].dataType.simpleString()
-    described = stash(source.mapInArrow(_describe(k, num, den), f"doc_id {kind}, n long, node long, own array<long>, following array<long>, need_own long, need_following long"), "described")
+    described = stash(source.mapInArrow(_sizes(k), f"doc_id {kind}, n long, node long"), "described")
     reps = stash(described.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep")), "classes")
-    # The signatures of one row of each class, picked where they lie.
-    nodes = described.join(small(reps.select("node", col("rep").alias("doc_id")), reps.count()), ["node", "doc_id"])
-    pairs, stars = _candidates(nodes)
-    involved = stash(pairs.select("node").unionByName(pairs.select(F.col("pivot").alias("node"))).distinct(), "involved")
-    asked = stash(reps.join(small(involved, involved.count()), "node", "left_semi").select(col("rep").alias("doc_id")).distinct(), "representatives")
-    sets = stash(rows_of(source, asked).mapInArrow(_sets(k), "node long, tokens array<long>").dropDuplicates(["node"]), "sets")
-    clusters = stash(components(pairs.select(col("pivot").alias("a"), col("node").alias("b"))), "clusters")
+    clusters = _clusters(_shared_signatures(source, k, num, den))
     n_clusters = clusters.count()
-    sized = clusters.join(sets.select("node", F.size("tokens").alias("n")), "node").groupBy("label").agg(F.count("*").alias("m"), F.sum("n").alias("t"))
-    large = stash(sized.where((col("m") > COMPANY) | (col("t") > COMPANY_TOKENS)).select("label"), "large-clusters")
-    n_large = large.count()
-    whole = clusters.join(small(large, n_large), "label", "left_anti").withColumnRenamed("label", "cluster").join(sets.withColumnRenamed("tokens", "apart"), "node")
-    settled = whole.select("cluster", "node", col("node").alias("label"), F.size("apart").cast("long").alias("n"), F.size("apart").cast("long").alias("d"), "apart").groupBy("cluster").applyInArrow(_verify_group(num, den), "a long, b long")
-    links = more = stash(settled, "settled-links")
-    if n_large:
-        crowded = stash(clusters.join(small(large, n_large), "label", "left_semi").select("node"), "crowded-nodes")
-        inside = small(crowded, n_clusters)
-        judged = stash(_with_sets(pairs.join(inside, "node", "left_semi"), sets).mapInArrow(_differ(num, den, False), "pivot long, node long, linked boolean"), "judged")
-        links = links.unionByName(judged.where("linked").select(col("pivot").alias("a"), col("node").alias("b")))
-        more = stash(_remaining_links(stars.join(inside, "node", "left_semi"), sets, links, num, den), "more-links")
-    labels = components(links.unionByName(more))
+    asked = stash(reps.join(small(clusters, n_clusters), "node", "left_semi").where("rep is not null").select(col("rep").alias("doc_id")).distinct(), "representatives")
+    sets = stash(rows_of(source, asked).mapInArrow(_sets(k), "node long, tokens array<long>").dropDuplicates(["node"]), "sets")
+    groups = stash(clusters.join(sets.select("node"), "node").select(col("label").alias("group"), "node"), "cluster-members")
+    labels = components(_links(groups, sets, num, den))
     named = reps.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     of_node = stash(named.join(least, "label").select("node", "component_id"), "component-of-node")
-    alone = described.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return described.where("n > 0").select("doc_id", F.col("n").alias("n_shingles"), "node").join(of_node, "node").select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    alone = described.where("n = 0").select("doc_id", col("n").alias("n_shingles"), col("doc_id").alias("component_id"))
+    return described.where("n > 0").select("doc_id", col("n").alias("n_shingles"), "node").join(of_node, "node").select("doc_id", "n_shingles", "component_id").unionByName(alone)

@@ -62,9 +62,10 @@ def brute_components(rows, k, num, den):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize(("k", "num", "company"), [(3, 90, 256), (5, 80, 256), (3, 90, 1), (5, 80, 1)])
-def test_jaccard_join_finds_every_link(spark, monkeypatch, k, num, company):
-    monkeypatch.setattr(jaccard_join, "COMPANY", company)
+@pytest.mark.parametrize(("k", "num", "settled"), [(3, 90, 256), (5, 80, 256), (3, 90, 2), (5, 80, 2)])
+def test_jaccard_join_finds_every_link(spark, monkeypatch, k, num, settled):
+    monkeypatch.setattr(jaccard_join, "SETTLED", settled)
+    monkeypatch.setattr(jaccard_join, "PER_PIVOT", 7)
     rng = random.Random(k)
     texts = near_family(rng) + near_family(rng, 20, 12, 2) + near_family(rng, 12, 400, 60) + ["a b", "A B", "a", "", None, "x y z", "x y z"]
     # A chain, each member near the next only, and texts that share one common passage.
@@ -97,7 +98,9 @@ def test_jaccard_join_finds_contained_sets_of_any_linked_size(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows, 5, 80, 100)
 
 
-def test_linked_sets_share_as_many_signatures_as_asked():
+def test_linked_sets_share_as_many_signatures_as_asked(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BAND_RATIO", 1.2)
+    monkeypatch.setattr(jaccard_join, "bands", jaccard_join.bands.__wrapped__)
     # 24 common elements and 3 in either alone. Of 11 and of 13 segments one set leaves 5 empty, more than
     # the 4 spare ones; the other leaves 4 empty and so doesn't sign them.
     places = [(0.5, 11), *((x, 13) for x in (2.5, 3.5, 4.8, 5.5, 7.5, 10.5)), (10.5, 11)]
