@@ -18,13 +18,15 @@ shared signatures under a plan, less its own tiny segments, takes no part in it;
 ones needs a single one, as its partner may have signed none of those. Nodes that shared signatures
 connect form a cluster; nodes are never compared all with all.
 
-Clusters of any size take one path. Each has a pivot, with which each other member is verified; links to it close
-most clusters. In one with several components left, with p the pivot and E(x) the elements in which x
-and p differ, two members with nothing common to E(x) and E(y) are linked only if both are linked to p; so
-what remains are pairs that share elements of E. Those are found through the rarest elements of E (prefix
-filter, ordered by frequency within the cluster): the members that share one are a new, smaller group. One of at most
-SETTLED members is verified within one task on E, which is exact: |x ^ y| = |E(x) ^ E(y)|; a larger one is treated
-as a cluster again, with a pivot of its own, whose part in the shared element has then gone.
+Clusters of any size take one path. Of each member's set, the rarest elements that one of two linked sets must share
+(prefix filter; any one order of all elements is right, and counts in COUNTERS places by hash tell rare from frequent) deal the
+members of a cluster, by size band, into groups. Each has a pivot (the least node); groups of one pivot are one group from then on. Each other
+member is verified with the pivot; links to it close most groups. An open one of at most SETTLED members is
+verified within one task, through an index of their elements. In a larger one, with p the pivot and E(x) the elements
+in which x and p differ, two members with nothing common to E(x) and E(y) are linked only if both are linked to p; so
+what remains are pairs that share elements of E. Those are found through the rarest elements of E (as
+above, in the order of their frequency within the group): the members that share one are a new group without the
+old pivot, treated as above with a pivot of its own (so pivots rise from round to round).
 
 Elements are 64-bit hashes of shingles: "exact" is meant of the sets of these.
 """
@@ -49,10 +51,12 @@ col = F.col
 BAND_RATIO = 1.4
 #: More spare segments cost signatures and ask more company of a node.
 LEAST_SPARE = 3
-#: Members that share a difference from their pivot are verified in one task up to this number.
+#: What a pivot leaves open among so many members is settled in one task.
 SETTLED = 256
 #: Members of a cluster that meet one copy of their pivot's set.
 PER_PIVOT = 256
+#: Places at which elements of candidates are counted, for an order from rare to frequent.
+COUNTERS = 1 << 16
 #: Nodes whose signatures a task remembers to have made, so that copies add none.
 REMEMBERED = 200_000
 
@@ -236,33 +240,34 @@ def _differ(num: int, den: int, with_elements: bool):
             (a, a_at), (b, b_at) = _lists(batch.column("x")), _lists(batch.column("y"))
             apart = [np.setxor1d(a[a_at[k] : a_at[k + 1]], b[b_at[k] : b_at[k + 1]], assume_unique=True) for k in range(batch.num_rows)]
             d, n = np.array([len(x) for x in apart], np.int64), np.diff(b_at).astype(np.int64)
-            near = pa.array(d * (den + num) <= (np.diff(a_at) + n) * (den - num))
+            out = [batch.column("pivot"), batch.column("node"), pa.array(d * (den + num) <= (np.diff(a_at) + n) * (den - num))]
             if with_elements:
                 edge = np.r_[0, np.cumsum(d)].astype(np.int32)
                 flat = np.concatenate(apart) if apart else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([batch.column("group"), batch.column("node"), pa.array(n), near, pa.ListArray.from_arrays(edge, pa.array(W.signed(flat)))], ["group", "node", "n", "near", "apart"])
+                yield pa.RecordBatch.from_arrays([*out, pa.array(n), pa.ListArray.from_arrays(edge, pa.array(W.signed(flat)))], ["pivot", "node", "near", "n", "apart"])
             else:
-                yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("node"), near], ["pivot", "node", "near"])
+                yield pa.RecordBatch.from_arrays(out, ["pivot", "node", "near"])
 
     return run
 
 
-def _beside_pivots(members: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
-    """group, pivot, node, x (the pivot's set) and y (the node's): the pivot's set is copied once
+def _beside_pivots(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pivot, node, x (the pivot's set) and y (the node's) of pairs (pivot, node): the pivot's set is copied once
     for every PER_PIVOT members, so that members of a large group meet it in many tasks."""
+    heads = stash(pairs.groupBy("pivot").agg((F.expr(f"1 + count(*) div {PER_PIVOT}")).alias("copies")), "pivots")
     n_heads = heads.count()
-    pairs = members.join(small(heads, n_heads), "group").where("node <> pivot").withColumn("salt", F.expr(f"pmod(xxhash64(node), 1 + m div {PER_PIVOT})"))
-    copies = heads.join(sets.select(col("node").alias("pivot"), col("tokens").alias("x")), "pivot").select("group", "x", F.explode(F.expr(f"sequence(0L, m div {PER_PIVOT})")).alias("salt"))
-    return pairs.join(sets.select("node", col("tokens").alias("y")), "node").join(copies, ["group", "salt"]).select("group", "pivot", "node", "x", "y")
+    salted = pairs.join(small(heads, n_heads), "pivot").select("pivot", "node", F.expr("pmod(xxhash64(node), copies)").alias("salt"))
+    copies = small(heads, n_heads).join(sets.select(col("node").alias("pivot"), col("tokens").alias("x")), "pivot").select("pivot", "x", F.explode(F.expr("sequence(0L, copies - 1)")).alias("salt"))
+    return small(salted, pairs.count()).join(sets.select("node", col("tokens").alias("y")), "node").join(copies, ["pivot", "salt"]).select("pivot", "node", "x", "y")
 
 
 def _verify_group(num: int, den: int):
     """Links between members of one group that other links don't join already."""
 
     def run(group: pa.Table) -> pa.Table:
-        node, n, d_of, label = (group[c].to_numpy() for c in ("node", "n", "d", "label"))
-        values, edge = _lists(group["apart"].combine_chunks())
-        size = np.diff(edge)
+        node, label = (group[c].to_numpy() for c in ("node", "label"))
+        values, edge = _lists(group["tokens"].combine_chunks())
+        n = size = np.diff(edge)
         _, values = np.unique(values, return_inverse=True)
         order = np.argsort(values, kind="stable")
         owner = np.repeat(np.arange(len(node)), size)[order]
@@ -272,7 +277,7 @@ def _verify_group(num: int, den: int):
         for i in range(len(node)):
             mine = values[edge[i] : edge[i + 1]]
             common = np.bincount(owner[W.spread(posting[mine], posting[mine + 1] - posting[mine])], minlength=len(node))
-            d = d_of[i] + d_of - 2 * common
+            d = n[i] + n - 2 * common
             near = np.flatnonzero((root != root[i]) & (d * (den + num) <= (n[i] + n) * (den - num)))
             for r in np.unique(root[near]).tolist():
                 found.append((node[i], node[near[root[near] == r][0]]))
@@ -302,26 +307,80 @@ def _clusters(shared: DataFrame) -> DataFrame:
     return stash(components(pairs), "clusters")
 
 
-def _links(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) that connect all that are linked among the members of each group (group, node)."""
-    links, spark = [], groups.sparkSession
+def _counters(batches):
+    total = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        flat, at = _lists(batch.column("tokens"))
+        total += np.bincount(flat[at[0] : at[-1]] & np.uint64(COUNTERS - 1), minlength=COUNTERS)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["place", "n"])
+
+
+def _rare_elements(counted, num: int, den: int):
+    """(node, e): of each set the rarest elements, one more than a linked set may lack, marked with its size
+    band and, where it may be linked with a set of that, the next one."""
+    starts = bands(num, den)[0]
+
+    def run(batches):
+        count = counted.value
+        for batch in batches:
+            flat, at = _lists(batch.column("tokens"))
+            e, n = flat[at[0] : at[-1]], np.diff(at)
+            row = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((e, count[e & np.uint64(COUNTERS - 1)], row))
+            length = n - -(-num * n // den) + 1
+            own = np.searchsorted(starts, n, "right") - 1
+            for step in (0, 1):
+                some = np.flatnonzero((n > 0) & ((step == 0) | (n * den >= starts[own + step] * num)))
+                mine = W.spread((np.cumsum(n) - n)[some], length[some])
+                marked = W.mix(e[order[mine]] ^ W.mix(np.repeat(own[some] + step, length[some]).astype(np.uint64)))
+                yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(row[mine])), pa.array(W.signed(marked))], ["node", "e"])
+
+    return run
+
+
+def _by_pivot(members: DataFrame, keys: list[str], heads: DataFrame, label: str) -> DataFrame:
+    """(pivot, node) of members of groups, of which heads has the keys and the pivot; the pivot isn't its own member."""
+    heads = stash(heads, label)
+    return stash(members.join(small(heads, heads.count()), keys).where("node <> pivot").select("pivot", "node").distinct(), "pivot-pairs")
+
+
+def _groups(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(pivot, node): members of one cluster and of near sizes that share an element of their prefixes."""
+    spark = sets.sparkSession
+    counts = sets.select("tokens").mapInArrow(_counters, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(COUNTERS, np.int64)
+    count[counts["place"].to_numpy()] = counts["n"].to_numpy()
+    rare = sets.mapInArrow(_rare_elements(spark.sparkContext.broadcast(count), num, den), "node long, e long")
+    dealt = rare.join(small(clusters, clusters.count()), "node").select(F.xxhash64("label", "e").alias("shared"), "node")
+    order = Window.partitionBy("shared").orderBy("node")
+    several = F.lag("node").over(order).isNotNull() | F.lead("node").over(order).isNotNull()
+    dealt = stash(dealt.withColumn("several", several).where("several").select("shared", "node"), "shared-elements")
+    return _by_pivot(dealt, ["shared"], dealt.groupBy("shared").agg(F.min("node").alias("pivot")), "heads")
+
+
+def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) that connect all that are linked among the members of each group (pivot, node)."""
+    links, sizes = [], stash(sets.select("node", F.size("tokens").alias("n")), "sizes")
+    n_sizes = sizes.count()
     while True:
-        heads = stash(groups.groupBy("group").agg(F.min("node").alias("pivot"), F.count("*").alias("m")), "pivots")
-        if heads.isEmpty():
-            break
-        judged = _beside_pivots(groups, heads, sets).mapInArrow(_differ(num, den, False), "pivot long, node long, near boolean")
+        sized = pairs.join(small(sizes, n_sizes), "node").join(small(sizes.select(col("node").alias("pivot"), col("n").alias("of")), n_sizes), "pivot")
+        alike = stash(sized.where(f"n * {den}L >= of * {num}L and of * {den}L >= n * {num}L").select("pivot", "node"), "pairs-of-near-sizes")
+        judged = _beside_pivots(alike, sets).mapInArrow(_differ(num, den, False), "pivot long, node long, near boolean")
         links.append(stash(judged.where("near").select(col("pivot").alias("a"), col("node").alias("b")), "pivot-links"))
         labels = stash(components(_all(links)), "labels")
-        n_labels = labels.count()
-        labelled = groups.join(small(labels, n_labels), "node", "left").select("group", "node", F.coalesce("label", "node").alias("label"))
-        several = stash(labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("group"), "open-groups")
-        if several.isEmpty():
-            break
-        left = stash(labelled.join(small(several, several.count()), "group", "left_semi"), "open-members")
-        settled, groups = _by_shared_differences(left, heads, sets, num, den)
-        links.append(stash(settled, "settled-links"))
-        groups = stash(groups, "larger-groups")
-    return _all(links) if links else spark.createDataFrame([], "a long, b long")
+        labelled = pairs.join(small(labels, labels.count()), "node", "left").select("pivot", "node", F.coalesce("label", "node").alias("label"))
+        # The pivot's own links are known; what is open lies between the others.
+        several = labelled.groupBy("pivot").agg(F.min("label").alias("low"), F.max("label").alias("high"), (F.count("*") <= SETTLED).alias("few")).where("low <> high").select("pivot", "few")
+        several = stash(several, "open-groups")
+        left = stash(labelled.join(small(several, several.count()), "pivot"), "open-members")
+        few = left.where("few")
+        together = small(few, few.count()).join(sets, "node").select("pivot", "node", "label", "tokens")
+        links.append(stash(together.groupBy("pivot").applyInArrow(_verify_group(num, den), "a long, b long"), "settled-links"))
+        many = left.where("not few").drop("few")
+        if many.isEmpty():
+            return _all(links)
+        pairs = _by_shared_differences(many, sets, num, den)
 
 
 def _all(frames: list[DataFrame]) -> DataFrame:
@@ -331,31 +390,32 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _by_shared_differences(members: DataFrame, heads: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Of members (group, node, label): links within small groups that share a difference from the pivot, and
-    the larger such groups (group, node)."""
-    pivots = heads.join(members.select("group").distinct(), "group", "left_semi")
-    apart = stash(_beside_pivots(members.select("group", "node"), pivots, sets).mapInArrow(_differ(num, den, True), "group long, node long, n long, near boolean, apart array<long>"), "differences")
-    element = apart.select("group", "node", "n", "near", F.size("apart").alias("d"), F.explode("apart").alias("e"))
-    often = stash(element.groupBy("group", "e").agg(F.count("*").alias("df")).where("df > 1"), "frequent-differences")
-    ranked = element.join(small(often, often.count()), ["group", "e"]).groupBy("group", "node").agg(F.first("d").alias("d"), F.first("n").alias("n"), F.first("near").alias("near"), F.sort_array(F.collect_list(F.struct("df", "e"))).alias("common"))
+def _by_shared_differences(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """New groups (pivot, node) of members (pivot, node, label) that share one of the rarest differences from their pivot."""
+    apart = stash(_beside_pivots(members.select("pivot", "node"), sets).mapInArrow(_differ(num, den, True), "pivot long, node long, near boolean, n long, apart array<long>"), "differences")
+    element = apart.select("pivot", "node", F.explode("apart").alias("e"))
+    often = stash(element.groupBy("pivot", "e").agg(F.count("*").alias("df")).where("df > 1"), "frequent-differences")
+    ranked = element.join(small(often, often.count()), ["pivot", "e"]).groupBy("pivot", "node").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("common"))
     # Elements that nobody shares come first in the order and take up their part of the prefix. Of two
     # sets the one that differs less needs the shorter prefix; a set linked to the
     # pivot never needs more than that beside one that isn't.
     most = F.expr(f"cast(({den - num} * (n + n * {den} div {num})) div {den + num} as int)")
     prefix = F.least(col("d"), F.when(col("near"), F.floor(most / 2).cast("int")).otherwise(most) + 1)
     length = F.greatest(prefix - (col("d") - F.size("common")), F.lit(0))
-    # Elements of one set alone are in no intersection: the shared ones and the number of all are enough.
-    known = ranked.where(length > 0).join(members, ["group", "node"]).select("group", "node", "n", col("d").cast("long").alias("d"), "label", length.alias("length"), F.transform("common", lambda t: t["e"]).alias("apart"))
-    known = stash(known, "shared-differences")
-    probe = F.explode(F.slice("apart", F.lit(1), col("length"))).alias("e")
-    sized = known.select("group", "node", "label", probe).groupBy("group", "e").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("who")).where("low <> high")
-    # Elements that the very same members share make one group.
-    mixed = stash(sized.groupBy("group", "m", "who").agg(F.min("e").alias("e")).select("group", "e", "m"), "mixed-groups")
-    few, many = mixed.where(col("m") <= SETTLED).select("group", "e"), mixed.where(col("m") > SETTLED).select("group", "e")
-    settled = known.select("group", "node", "n", "d", "label", "apart", probe).join(small(few, few.count()), ["group", "e"], "left_semi").groupBy("group", "e").applyInArrow(_verify_group(num, den), "a long, b long")
-    larger = known.select("group", "node", probe).join(small(many, many.count()), ["group", "e"], "left_semi").select(F.xxhash64("group", "e").alias("group"), "node")
-    return settled, larger
+    known = ranked.join(apart.select("pivot", "node", "near", "n", F.size("apart").alias("d")), ["pivot", "node"]).join(members, ["pivot", "node"])
+    probes = stash(known.select("pivot", "node", "label", F.explode(F.slice(F.transform("common", lambda t: t["e"]), F.lit(1), length)).alias("e")), "shared-differences")
+    heads = probes.groupBy("pivot", "e").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("head")).where("low <> high").select(col("pivot").alias("of"), "e", col("head").alias("pivot"))
+    return _by_pivot(probes.select(col("pivot").alias("of"), "e", "node"), ["of", "e"], heads, "mixed-groups")
+
+
+def _one_each(sets: DataFrame) -> DataFrame:
+    """sets without repeated nodes (of rows that repeat a doc_id, which are few): the others aren't shuffled."""
+    again = stash(sets.groupBy("node").agg(F.count("*").alias("c")).where("c > 1").select("node"), "repeated-nodes")
+    n = again.count()
+    if not n:
+        return sets
+    once = sets.join(small(again, n), "node", "left_anti")
+    return stash(once.unionByName(sets.join(small(again, n), "node", "left_semi").dropDuplicates(["node"])), "sets-once")
 
 
 def near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -374,9 +434,8 @@ def near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     clusters = _clusters(_shared_signatures(source, k, num, den))
     n_clusters = clusters.count()
     asked = stash(reps.join(small(clusters, n_clusters), "node", "left_semi").where("rep is not null").select(col("rep").alias("doc_id")).distinct(), "representatives")
-    sets = stash(rows_of(source, asked).mapInArrow(_sets(k), "node long, tokens array<long>").dropDuplicates(["node"]), "sets")
-    groups = stash(clusters.join(sets.select("node"), "node").select(col("label").alias("group"), "node"), "cluster-members")
-    labels = components(_links(groups, sets, num, den))
+    sets = _one_each(stash(rows_of(source, asked).mapInArrow(_sets(k), "node long, tokens array<long>"), "sets"))
+    labels = components(_links(_groups(clusters, sets, num, den), sets, num, den))
     named = reps.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     of_node = stash(named.join(least, "label").select("node", "component_id"), "component-of-node")
