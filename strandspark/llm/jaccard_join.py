@@ -26,7 +26,8 @@ verified within one task, through an index of their elements. In a larger one, w
 in which x and p differ, two members with nothing common to E(x) and E(y) are linked only if both are linked to p; so
 what remains are pairs that share elements of E. Those are found through the rarest elements of E (as
 above, in the order of their frequency within the group): the members that share one are a new group without the
-old pivot, treated as above with a pivot of its own (so pivots rise from round to round).
+old pivot, treated as above with a pivot of its own. (Pivots rise from round to round. Groups with the very same
+members are one, and so are small ones of one pivot.)
 
 Elements are 64-bit hashes of shingles: "exact" is meant of the sets of these.
 """
@@ -51,8 +52,8 @@ col = F.col
 BAND_RATIO = 1.4
 #: More spare segments cost signatures and ask more company of a node.
 LEAST_SPARE = 3
-#: What a pivot leaves open among so many members is settled in one task.
-SETTLED = 256
+#: What a pivot leaves open among so many members is settled in one task, if they have so many elements at most.
+SETTLED, SETTLED_ELEMENTS = 2_048, 4_000_000
 #: Members of a cluster that meet one copy of their pivot's set.
 PER_PIVOT = 256
 #: Places at which elements of candidates are counted, for an order from rare to frequent.
@@ -262,23 +263,33 @@ def _beside_pivots(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _verify_group(num: int, den: int):
-    """Links between members of one group that other links don't join already."""
+    """Links between members of one group that other links don't join already: candidates share one of the
+    elements that are rarest within the group, and are then counted in full."""
 
     def run(group: pa.Table) -> pa.Table:
         node, label = (group[c].to_numpy() for c in ("node", "label"))
         values, edge = _lists(group["tokens"].combine_chunks())
-        n = size = np.diff(edge)
-        _, values = np.unique(values, return_inverse=True)
-        order = np.argsort(values, kind="stable")
-        owner = np.repeat(np.arange(len(node)), size)[order]
-        posting = np.searchsorted(values[order], np.arange(values.max() + 2 if len(values) else 1))
+        values, n = np.unique(values[edge[0] : edge[-1]], return_inverse=True)[1], np.diff(edge)
+        first, row = np.cumsum(n) - n, np.repeat(np.arange(len(n)), n)
+        length = np.maximum(n - -(-num * n // den) + 1, 0)
+        often = np.bincount(values)
+        mine = W.spread(first, np.minimum(length, n))
+        rare = values[np.lexsort((values, often[values], row))][mine]
+        owner, own = row[mine], np.r_[0, np.cumsum(np.minimum(length, n))]
+        order = np.argsort(rare, kind="stable")
+        posting, owner = np.searchsorted(rare[order], np.arange(len(often) + 1)), owner[order]
         _, root = np.unique(label, return_inverse=True)
-        found = []
+        found, held = [], np.zeros(len(often), bool)
         for i in range(len(node)):
-            mine = values[edge[i] : edge[i + 1]]
-            common = np.bincount(owner[W.spread(posting[mine], posting[mine + 1] - posting[mine])], minlength=len(node))
-            d = n[i] + n - 2 * common
-            near = np.flatnonzero((root != root[i]) & (d * (den + num) <= (n[i] + n) * (den - num)))
+            e = rare[own[i] : own[i + 1]]
+            near = np.unique(owner[W.spread(posting[e], posting[e + 1] - posting[e])])
+            near = near[(root[near] != root[i]) & (near < i) & (n[near] * den >= n[i] * num) & (n[i] * den >= n[near] * num)]
+            if not len(near):
+                continue
+            held[values[first[i] : first[i] + n[i]]] = True
+            common = np.add.reduceat(held[values[W.spread(first[near], n[near])]], np.r_[0, np.cumsum(n[near])[:-1]], dtype=np.int64)
+            held[values[first[i] : first[i] + n[i]]] = False
+            near = near[common * (den + num) >= num * (n[i] + n[near])]
             for r in np.unique(root[near]).tolist():
                 found.append((node[i], node[near[root[near] == r][0]]))
                 root[root == r] = root[i]
@@ -339,14 +350,8 @@ def _rare_elements(counted, num: int, den: int):
     return run
 
 
-def _by_pivot(members: DataFrame, keys: list[str], heads: DataFrame, label: str) -> DataFrame:
-    """(pivot, node) of members of groups, of which heads has the keys and the pivot; the pivot isn't its own member."""
-    heads = stash(heads, label)
-    return stash(members.join(small(heads, heads.count()), keys).where("node <> pivot").select("pivot", "node").distinct(), "pivot-pairs")
-
-
 def _groups(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(pivot, node): members of one cluster and of near sizes that share an element of their prefixes."""
+    """(group, pivot, node): members of one cluster and of near sizes that share an element of their prefixes."""
     spark = sets.sparkSession
     counts = sets.select("tokens").mapInArrow(_counters, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     count = np.zeros(COUNTERS, np.int64)
@@ -356,31 +361,33 @@ def _groups(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     order = Window.partitionBy("shared").orderBy("node")
     several = F.lag("node").over(order).isNotNull() | F.lead("node").over(order).isNotNull()
     dealt = stash(dealt.withColumn("several", several).where("several").select("shared", "node"), "shared-elements")
-    return _by_pivot(dealt, ["shared"], dealt.groupBy("shared").agg(F.min("node").alias("pivot")), "heads")
+    heads = stash(dealt.groupBy("shared").agg(F.min("node").alias("pivot")), "heads")
+    of_pivot = dealt.join(small(heads, heads.count()), "shared").where("node <> pivot").select("pivot", "node").distinct()
+    return stash(of_pivot.select(col("pivot").alias("group"), "pivot", "node"), "groups")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) that connect all that are linked among the members of each group (pivot, node)."""
+def _links(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) that connect all that are linked among the members of each group (group, pivot, node)."""
     links, sizes = [], stash(sets.select("node", F.size("tokens").alias("n")), "sizes")
     n_sizes = sizes.count()
     while True:
-        sized = pairs.join(small(sizes, n_sizes), "node").join(small(sizes.select(col("node").alias("pivot"), col("n").alias("of")), n_sizes), "pivot")
+        sized = groups.select("pivot", "node").distinct().join(small(sizes, n_sizes), "node").join(small(sizes.select(col("node").alias("pivot"), col("n").alias("of")), n_sizes), "pivot")
         alike = stash(sized.where(f"n * {den}L >= of * {num}L and of * {den}L >= n * {num}L").select("pivot", "node"), "pairs-of-near-sizes")
         judged = _beside_pivots(alike, sets).mapInArrow(_differ(num, den, False), "pivot long, node long, near boolean")
         links.append(stash(judged.where("near").select(col("pivot").alias("a"), col("node").alias("b")), "pivot-links"))
         labels = stash(components(_all(links)), "labels")
-        labelled = pairs.join(small(labels, labels.count()), "node", "left").select("pivot", "node", F.coalesce("label", "node").alias("label"))
+        labelled = groups.join(small(sizes, n_sizes), "node").join(small(labels, labels.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
         # The pivot's own links are known; what is open lies between the others.
-        several = labelled.groupBy("pivot").agg(F.min("label").alias("low"), F.max("label").alias("high"), (F.count("*") <= SETTLED).alias("few")).where("low <> high").select("pivot", "few")
+        several = labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"), ((F.count("*") <= SETTLED) & (F.sum("n") <= SETTLED_ELEMENTS)).alias("few")).where("low <> high").select("group", "few")
         several = stash(several, "open-groups")
-        left = stash(labelled.join(small(several, several.count()), "pivot"), "open-members")
+        left = stash(labelled.join(small(several, several.count()), "group"), "open-members")
         few = left.where("few")
-        together = small(few, few.count()).join(sets, "node").select("pivot", "node", "label", "tokens")
-        links.append(stash(together.groupBy("pivot").applyInArrow(_verify_group(num, den), "a long, b long"), "settled-links"))
-        many = left.where("not few").drop("few")
+        together = small(few, few.count()).join(sets, "node").select("group", "node", "label", "tokens")
+        links.append(stash(together.groupBy("group").applyInArrow(_verify_group(num, den), "a long, b long"), "settled-links"))
+        many = left.where("not few").drop("few", "n")
         if many.isEmpty():
             return _all(links)
-        pairs = _by_shared_differences(many, sets, num, den)
+        groups = _by_shared_differences(many, sets, num, den)
 
 
 def _all(frames: list[DataFrame]) -> DataFrame:
@@ -391,21 +398,27 @@ def _all(frames: list[DataFrame]) -> DataFrame:
 
 
 def _by_shared_differences(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """New groups (pivot, node) of members (pivot, node, label) that share one of the rarest differences from their pivot."""
-    apart = stash(_beside_pivots(members.select("pivot", "node"), sets).mapInArrow(_differ(num, den, True), "pivot long, node long, near boolean, n long, apart array<long>"), "differences")
-    element = apart.select("pivot", "node", F.explode("apart").alias("e"))
-    often = stash(element.groupBy("pivot", "e").agg(F.count("*").alias("df")).where("df > 1"), "frequent-differences")
-    ranked = element.join(small(often, often.count()), ["pivot", "e"]).groupBy("pivot", "node").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("common"))
+    """New groups (group, pivot, node) of members (group, pivot, node, label) that share one of the rarest
+    differences from their pivot."""
+    apart = stash(_beside_pivots(members.select("pivot", "node").distinct(), sets).mapInArrow(_differ(num, den, True), "pivot long, node long, near boolean, n long, apart array<long>"), "differences")
+    mine = small(members, members.count()).join(apart, ["pivot", "node"])
+    element = mine.select("group", "node", F.explode("apart").alias("e"))
+    often = stash(element.groupBy("group", "e").agg(F.count("*").alias("df")).where("df > 1"), "frequent-differences")
+    ranked = element.join(small(often, often.count()), ["group", "e"]).groupBy("group", "node").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("common"))
     # Elements that nobody shares come first in the order and take up their part of the prefix. Of two
     # sets the one that differs less needs the shorter prefix; a set linked to the
     # pivot never needs more than that beside one that isn't.
     most = F.expr(f"cast(({den - num} * (n + n * {den} div {num})) div {den + num} as int)")
     prefix = F.least(col("d"), F.when(col("near"), F.floor(most / 2).cast("int")).otherwise(most) + 1)
     length = F.greatest(prefix - (col("d") - F.size("common")), F.lit(0))
-    known = ranked.join(apart.select("pivot", "node", "near", "n", F.size("apart").alias("d")), ["pivot", "node"]).join(members, ["pivot", "node"])
-    probes = stash(known.select("pivot", "node", "label", F.explode(F.slice(F.transform("common", lambda t: t["e"]), F.lit(1), length)).alias("e")), "shared-differences")
-    heads = probes.groupBy("pivot", "e").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("head")).where("low <> high").select(col("pivot").alias("of"), "e", col("head").alias("pivot"))
-    return _by_pivot(probes.select(col("pivot").alias("of"), "e", "node"), ["of", "e"], heads, "mixed-groups")
+    known = ranked.join(mine.select("group", "node", "label", "near", "n", F.size("apart").alias("d")), ["group", "node"])
+    probes = stash(known.select("group", "node", "label", F.explode(F.slice(F.transform("common", lambda t: t["e"]), F.lit(1), length)).alias("e")), "shared-differences")
+    sized = probes.groupBy("group", "e").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("pivot"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("who"))
+    heads = sized.where("low <> high").groupBy("group", "m", "who", "pivot").agg(F.min("e").alias("e"))
+    into = F.when(col("m") <= SETTLED // 8, F.xxhash64("group", "pivot")).otherwise(F.xxhash64("group", "e", F.lit(1)))
+    heads = stash(heads.select("group", "e", "pivot", into.alias("into")), "mixed-groups")
+    found = probes.join(small(heads, heads.count()), ["group", "e"]).where("node <> pivot").select(col("into").alias("group"), "pivot", "node").distinct()
+    return stash(found, "groups")
 
 
 def _one_each(sets: DataFrame) -> DataFrame:
