@@ -57,7 +57,7 @@ SETTLED, SETTLED_ELEMENTS = 2_048, 4_000_000
 #: Members of a cluster that meet one copy of their pivot's set.
 PER_PIVOT = 256
 #: Places at which elements of candidates are counted, for an order from rare to frequent.
-COUNTERS = 1 << 16
+COUNTERS = 1 << 18
 #: Nodes whose signatures a task remembers to have made, so that copies add none.
 REMEMBERED = 200_000
 
@@ -308,14 +308,18 @@ def _shared_signatures(source: DataFrame, k: int, num: int, den: int) -> DataFra
     members = stash(members.select(F.coalesce("of", "sig").alias("sig"), "who", F.abs("need").alias("need")), "shared-signatures")
     company = members.groupBy("who").agg(F.count("*").alias("w"), F.max("need").alias("need"))
     enough = stash(company.where("w >= need").select("who"), "nodes-with-company")
-    return stash(members.join(small(enough, enough.count()), "who", "left_semi").select("sig", F.expr("who - pmod(who, 2)").alias("node")).distinct(), "kept-signatures")
+    return stash(members.join(small(enough, enough.count()), "who", "left_semi").select("sig", F.expr("who - pmod(who, 2)").alias("node")), "kept-signatures")
+
+
+def _with_least(groups: DataFrame, key: str) -> DataFrame:
+    """(pivot, node) of the members of groups (key, node): the least member of a group is its pivot."""
+    first = F.first("node").over(Window.partitionBy(key).orderBy("node"))
+    return groups.withColumn("pivot", first).where("node <> pivot").select("pivot", "node").distinct()
 
 
 def _clusters(shared: DataFrame) -> DataFrame:
     """node and label of all nodes that shared signatures connect with another."""
-    groups = stash(shared.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("sig", "a"), "signature-groups")
-    pairs = shared.join(small(groups, groups.count()), "sig").where("node <> a").select("a", col("node").alias("b")).distinct()
-    return stash(components(pairs), "clusters")
+    return stash(components(_with_least(shared, "sig").toDF("a", "b")), "clusters")
 
 
 def _counters(batches):
@@ -358,12 +362,7 @@ def _groups(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     count[counts["place"].to_numpy()] = counts["n"].to_numpy()
     rare = sets.mapInArrow(_rare_elements(spark.sparkContext.broadcast(count), num, den), "node long, e long")
     dealt = rare.join(small(clusters, clusters.count()), "node").select(F.xxhash64("label", "e").alias("shared"), "node")
-    order = Window.partitionBy("shared").orderBy("node")
-    several = F.lag("node").over(order).isNotNull() | F.lead("node").over(order).isNotNull()
-    dealt = stash(dealt.withColumn("several", several).where("several").select("shared", "node"), "shared-elements")
-    heads = stash(dealt.groupBy("shared").agg(F.min("node").alias("pivot")), "heads")
-    of_pivot = dealt.join(small(heads, heads.count()), "shared").where("node <> pivot").select("pivot", "node").distinct()
-    return stash(of_pivot.select(col("pivot").alias("group"), "pivot", "node"), "groups")
+    return stash(_with_least(dealt, "shared").select(col("pivot").alias("group"), "pivot", "node"), "groups")
 
 
 def _links(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
