@@ -6,29 +6,140 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Consequence terms by functional category, first match wins.
-CATEGORIES = (
-    ("SPLICING", ("splice_acceptor_variant", "splice_donor_variant", "splice_region_variant", "splice_donor_5th_base_variant", "splice_polypyrimidine_tract_variant")),
-    ("CODING", ("missense_variant", "synonymous_variant", "stop_gained", "stop_lost", "start_lost", "frameshift_variant", "inframe_insertion", "inframe_deletion", "coding_sequence_variant", "protein_altering_variant")),
-    ("UTR", ("5_prime_utr_variant", "3_prime_utr_variant")),
-    ("REGULATORY", ("regulatory_region_variant", "tf_binding_site_variant")),
-    ("NONCODING_RNA", ("non_coding_transcript_exon_variant", "non_coding_transcript_variant", "mature_mirna_variant")),
-    ("INTRONIC", ("intron_variant",)),
-    ("UPSTREAM", ("upstream_gene_variant",)),
-    ("DOWNSTREAM", ("downstream_gene_variant",)),
-    ("INTERGENIC", ("intergenic_variant",)),
+SPLICING_TERMS = (
+    "splice_acceptor_variant", "splice_donor_variant", "splice_region_variant", "splice_donor_5th_base_variant", "splice_donor_region_variant",
+    "splice_polypyrimidine_tract_variant",
 )
+CODING_TERMS = (
+    "transcript_ablation", "stop_gained", "frameshift_variant", "stop_lost", "start_lost", "transcript_amplification", "inframe_insertion", "inframe_deletion",
+    "missense_variant", "protein_altering_variant", "coding_sequence_variant", "synonymous_variant", "start_retained_variant", "stop_retained_variant",
+    "incomplete_terminal_codon_variant",
+)
+UTR_TERMS = ("5_prime_utr_variant", "3_prime_utr_variant")
+NONCODING_BIOTYPES = ("lncrna", "lincrna", "mirna", "snrna", "snorna", "rrna", "ncrna", "antisense", "processed_transcript")
+# Parts of terms that stand for regulation: of the whole text, and of single terms.
+REGULATORY_IN_TEXT = ("regulatory_region", "tf_binding_site")
+REGULATORY_IN_TERM = ("regulatory", "tf_binding", "tfbs")
+PLACES = (("intron_variant", "INTRONIC"), ("upstream_gene_variant", "UPSTREAM"), ("downstream_gene_variant", "DOWNSTREAM"), ("intergenic_variant", "INTERGENIC"))
+# Terms and biotypes by variant context.
+TRUNCATING_TERMS = ("transcript_ablation", "splice_acceptor_variant", "splice_donor_variant", "stop_gained", "frameshift_variant", "start_lost")
+MISSENSE_TERMS = ("missense_variant", "protein_altering_variant", "inframe_insertion", "inframe_deletion")
+SYNONYMOUS_TERMS = ("synonymous_variant", "start_retained_variant", "stop_retained_variant")
+CONTEXT_REGULATORY_TERMS = ("regulatory_region_variant", "tf_binding_site_variant", "upstream_gene_variant", "downstream_gene_variant")
+CONTEXT_NONCODING_BIOTYPES = ("lncrna", "lincrna", "antisense", "processed_transcript", "mirna", "snrna", "snorna", "rrna", "misc_rna", "non_coding")
+# Gene types by class.
+LNC_TYPES = ("lncrna", "lincrna", "antisense", "processed_transcript", "sense_intronic", "sense_overlapping", "macro_lncrna", "bidirectional_promoter_lncrna", "3prime_overlapping_ncrna")
+OTHER_NC_TYPES = ("mirna", "snrna", "snorna", "rrna", "scrna", "vault_rna", "misc_rna", "ribozyme", "srna", "trna", "mt_trna", "mt_rrna")
+GENE_CLASSES = ("PROTEIN_CODING", "LNCRNA", "OTHER_NCRNA", "OTHER_GENE_TYPE")
 HYPOTHESES = ("H0", "H1", "H2", "H3", "H4")
+# Names of the favoured hypothesis below both thresholds.
+FAVOURED = ("NEITHER_ASSOCIATED_FAVORED", "GWAS_ONLY_FAVORED", "QTL_ONLY_FAVORED", "BOTH_ASSOCIATED_DIFFERENT_SIGNALS_FAVORED", "SHARED_SIGNAL_FAVORED_BELOW_THRESHOLD")
+
+
+def terms_of(*texts: Column) -> Column:
+    """Lower-cased terms of lists separated by , ; or &, of all texts; NULL texts have none."""
+    every = F.concat_ws(",", *texts)
+    return F.filter(F.transform(F.split(F.lower(every), "[,;&]"), lambda t: F.trim(t)), lambda t: t != "")
 
 
-def functional_category(consequence: Column, categories=CATEGORIES) -> Column:
-    """By exact terms of a list separated by , ; or &."""
-    terms = F.transform(F.split(F.lower(consequence), "[,;&]"), lambda t: F.trim(t))
-    out = F.lit("OTHER")
-    for name, of in reversed(categories):
-        out = F.when(F.arrays_overlap(terms, F.array(*map(F.lit, of))), name).otherwise(out)
+def _holds(text: Column, parts: tuple[str, ...]) -> Column:
+    """Whether the text contains one of these; false for NULL."""
+    out = F.lit(False)
+    for part in parts:
+        out = out | F.contains(F.coalesce(text, F.lit("")), F.lit(part))
     return out
 
 
+def _any(terms: Column, of: tuple[str, ...]) -> Column:
+    return F.arrays_overlap(terms, F.array(*map(F.lit, of)))
+
+
+def functional_category(consequence: Column, biotype: Column | None = None, exact: bool = True) -> Column:
+    """SPLICING, CODING, UTR, REGULATORY, NONCODING_RNA, INTRONIC, UPSTREAM, DOWNSTREAM, INTERGENIC or OTHER, the
+    first that fits. exact compares whole terms, else the text is searched for them; both rules are in use. A biotype
+    of non-coding RNA counts after the regulatory terms."""
+    text = F.lower(F.coalesce(consequence, F.lit("")))
+    terms = terms_of(consequence)
+    noncoding = F.lit(False) if biotype is None else _holds(F.lower(biotype), NONCODING_BIOTYPES)
+    if exact:
+        fits = lambda of: _any(terms, of)
+        regulatory = F.exists(terms, lambda t: _holds(t, REGULATORY_IN_TERM))
+        transcript = F.exists(terms, lambda t: F.contains(t, F.lit("non_coding_transcript")))
+    else:
+        fits = lambda of: _holds(text, of)
+        regulatory, transcript = _holds(text, REGULATORY_IN_TEXT), _holds(text, ("non_coding_transcript",))
+    out = F.when(fits(SPLICING_TERMS), "SPLICING").when(fits(CODING_TERMS), "CODING").when(fits(UTR_TERMS), "UTR").when(regulatory, "REGULATORY").when(transcript | noncoding, "NONCODING_RNA")
+    for term, name in PLACES:
+        out = out.when(fits((term,)), name)
+    return out.otherwise("OTHER")
+
+
+def variant_context(terms: Column, biotype: Column, category: Column) -> Column:
+    """What a variant does, by its terms (terms_of), then by biotype and functional category."""
+    category = F.upper(F.coalesce(category, F.lit("")))
+    return (
+        F.when(_any(terms, TRUNCATING_TERMS), "CODING_PTV_OR_CANONICAL_SPLICE")
+        .when(_any(terms, MISSENSE_TERMS), "CODING_MISSENSE_OR_PROTEIN_ALTERING")
+        .when(_any(terms, SYNONYMOUS_TERMS), "CODING_SYNONYMOUS")
+        .when(_any(terms, SPLICING_TERMS), "SPLICE_REGION")
+        .when(_any(terms, UTR_TERMS), "UTR")
+        .when((category == "NONCODING_RNA") | _holds(F.lower(biotype), CONTEXT_NONCODING_BIOTYPES), "NONCODING_RNA")
+        .when((category == "REGULATORY") | _any(terms, CONTEXT_REGULATORY_TERMS), "REGULATORY")
+        .when(F.array_contains(terms, "intron_variant"), "INTRONIC")
+        .when(F.array_contains(terms, "intergenic_variant"), "INTERGENIC")
+        .when(category == "CODING", "CODING_OTHER")
+        .when(category == "SPLICING", "SPLICING_OTHER")
+        .otherwise("OTHER_OR_UNRESOLVED")
+    )
+
+
+def gene_class(gene_type: Column) -> Column:
+    """Class of one gene type; NULL for a NULL or empty one."""
+    low = F.lower(F.trim(gene_type))
+    return F.when(low == "protein_coding", GENE_CLASSES[0]).when(_holds(low, LNC_TYPES), GENE_CLASSES[1]).when(_holds(low, OTHER_NC_TYPES), GENE_CLASSES[2]).when(low != "", GENE_CLASSES[3])
+
+
+def genomic_context(features: Column, gene_types: Column, gene_names: Column) -> Column:
+    """struct(context, coding, classes) of what overlaps a place (arrays, as collect_set gives them): coding sequence before
+    untranslated region, exon, gene body and nothing, crossed with the classes of the genes."""
+    found = F.transform(gene_types, gene_class)
+    classes = F.filter(F.array(*map(F.lit, GENE_CLASSES)), lambda c: F.array_contains(F.array_compact(found), c))
+    protein, lnc, other = (F.array_contains(classes, c) for c in GENE_CLASSES[:3])
+    has = lambda f: F.array_contains(features, f)
+    coding = has("CDS") & protein
+    exon = F.when(lnc, "LNCRNA_EXON").when(other, "OTHER_NCRNA_EXON").when(protein, "NON_CDS_EXON_PROTEIN_CODING_GENE").otherwise("EXON_OTHER_GENE")
+    body = F.when(lnc, "LNCRNA_GENE_BODY_INTRONIC_OR_OTHER").when(other, "OTHER_NCRNA_GENE_BODY").when(protein, "INTRONIC_PROTEIN_CODING_GENE").otherwise("OTHER_GENE_BODY")
+    context = F.when(coding, "CODING_CDS").when(has("UTR") & protein, "UTR_PROTEIN_CODING_GENE").when(has("exon"), exon).when((F.size(gene_names) > 0) | (F.size(gene_types) > 0), body).otherwise("INTERGENIC")
+    joined = F.when(F.size(classes) > 0, F.array_join(classes, ";")).otherwise("NO_GENE")
+    return F.struct(context.alias("context"), F.when(coding, "CODING").otherwise("NONCODING").alias("coding"), joined.alias("classes"))
+
+
+def allele_check(rsid: Column, mappings: Column, chrom: Column, pos: Column, ref: Column, alt: Column) -> Column:
+    """struct(status, reference, alternatives): alleles against the first mapping of a JSON list (assembly_name,
+    seq_region_name, start, allele_string) on the same place of the current assembly."""
+    empty = F.lit("")
+    kind = "array<struct<assembly_name:string,seq_region_name:string,start:string,allele_string:string>>"
+    parsed = F.from_json(mappings, kind)
+    here = F.filter(parsed, lambda m: m.isNotNull() & F.upper(m["assembly_name"]).startswith("GRCH38") & (F.replace(m["seq_region_name"], F.lit("chr"), empty) == F.trim(F.replace(chrom, F.lit("chr"), empty))) & (m["start"].try_cast("long") == pos))
+    alleles = F.filter(F.transform(F.split(F.coalesce(F.try_element_at(here, F.lit(1))["allele_string"], empty), "/"), lambda x: F.trim(F.upper(x))), lambda x: x != "")
+    first, others = F.try_element_at(alleles, F.lit(1)), F.slice(alleles, 2, F.greatest(F.size(alleles), F.lit(1)))
+    r, a = (F.trim(F.upper(F.coalesce(x, empty))) for x in (ref, alt))
+    text = F.trim(F.coalesce(mappings, empty))
+    status = (
+        F.when(F.trim(F.coalesce(rsid, empty)) == "", "NO_RSID")
+        .when((text == "") | text.startswith("{"), "NO_MAPPING")
+        .when(parsed.isNull(), "MAPPING_PARSE_ERROR")
+        .when(F.coalesce(F.size(here), F.lit(0)) < 1, "NO_GRCH38_POSITION_MATCH")
+        .when(F.size(alleles) == 0, "NO_ALLELE_STRING")
+        .when((r == first) & F.array_contains(others, a), "PASS")
+        .when((a == first) & F.array_contains(others, r), "REF_ALT_SWAPPED")
+        .when(F.array_contains(alleles, r) & F.array_contains(alleles, a), "ALLELES_PRESENT_REFERENCE_MISMATCH")
+        .otherwise("ALLELE_NOT_IN_RSID_MAPPING")
+    )
+    known = status.isin("PASS", "REF_ALT_SWAPPED", "ALLELES_PRESENT_REFERENCE_MISMATCH", "ALLELE_NOT_IN_RSID_MAPPING")
+    return F.struct(status.alias("status"), F.when(known, first).otherwise(empty).alias("reference"), F.when(known, F.array_join(others, ";")).otherwise(empty).alias("alternatives"))
+
+
 def first_containing(text: Column, rules: tuple[tuple[str, str], ...], default: str) -> Column:
     """By substrings of the whole text, the first rule that fits."""
     out = F.lit(default)
@@ -42,17 +153,25 @@ def score_class(score: Column, high: float = 0.8, medium: float = 0.5, low: floa
 
 
 def dominant(*values: Column) -> Column:
-    """The name of the greatest posterior, the first of equal ones; NULL if all are."""
-    out, best = F.lit(None).cast("string"), F.greatest(*values)
-    for name, v in reversed(list(zip(HYPOTHESES, values, strict=True))):
+    """The name of the greatest posterior, the first of equal ones; H0 if all are NULL."""
+    known = [F.coalesce(v, F.lit(-1.0)) for v in values]
+    out, best = F.lit(None).cast("string"), F.greatest(*known)
+    for name, v in reversed(list(zip(HYPOTHESES, known, strict=True))):
         out = F.when(v == best, name).otherwise(out)
     return out
 
 
 def colocalisation_class(h: tuple[Column, ...], strong: float = 0.8, suggestive: float = 0.5, strict: bool = False) -> Column:
-    """strict: strong also needs H4 above H3 (one of the two rules in use)."""
-    top = h[4] >= strong
-    return F.when(h[4].isNull(), "NOT_TESTED").when(top & (h[4] > h[3]) if strict else top, "STRONG").when(h[4] >= suggestive, "SUGGESTIVE").otherwise(F.concat(F.lit("DOMINANT_"), dominant(*h)))
+    """One of the two rules in use. strict: strong also needs H4 above H3 (or no H3), and below both thresholds only
+    H3 above H4 is named; else the favoured hypothesis is."""
+    h3, h4 = h[3], h[4]
+    if strict:
+        out = F.when(h4.isNull(), "NO_PP_H4_RETURNED").when((h4 >= strong) & (h3.isNull() | (h4 > h3)), "STRONG_SHARED_SIGNAL").when(h4 >= suggestive, "SUGGESTIVE_SHARED_SIGNAL")
+        return out.when(h3 > h4, FAVOURED[3]).otherwise("NO_STRONG_SHARED_SIGNAL")
+    out, favoured = F.when(h4 >= strong, "STRONG_SHARED_SIGNAL").when(h4 >= suggestive, "SUGGESTIVE_SHARED_SIGNAL"), dominant(*h)
+    for name, label in zip(HYPOTHESES, FAVOURED, strict=True):
+        out = out.when(favoured == name, label)
+    return out
 
 
 def robust_prior(low: Column, default: Column, high: Column, strong: float = 0.8, strict: bool = True) -> Column:

@@ -62,7 +62,7 @@ def _islands(t) -> DataFrame:
 
 
 @query(f"""WITH {SQL_EVENTS},
-iv AS (SELECT *, greatest(1, tm - 1800) AS s, tm + 1800 AS e FROM ev WHERE value >= 10),
+iv AS (SELECT *, greatest(1, tm - 1800) AS s, tm + 1800 AS e FROM ev),
 fl AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM iv),
 isl AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM fl),
 b AS (SELECT *, row_number() OVER (PARTITION BY user_id, island ORDER BY value DESC, event_id) AS rn, min(s) OVER (PARTITION BY user_id, island) AS ls, max(e) OVER (PARTITION BY user_id, island) AS le, count(*) OVER (PARTITION BY user_id, island) AS n FROM isl)
@@ -70,9 +70,9 @@ SELECT user_id, ls AS locus_start, le AS locus_end, n AS n_members, event_id AS
 CASE WHEN value >= 80 THEN 'HIGH' WHEN value >= 50 THEN 'MODERATE' WHEN value >= 20 THEN 'LOW' ELSE 'NEGLIGIBLE' END AS tier,
 rank() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS locus_rank FROM b WHERE rn = 1""")
 def flagship_ranked_loci(t):
-    """M1: filter, windows, islands, best row of each, tier and rank."""
+    """M1: windows, islands, best row of each, tier and rank."""
     s, e = intervals.window_around(col("at"), 1800)
-    rows = _events(t).where("value >= 10").withColumn("s", s).withColumn("e", e)
+    rows = _events(t).withColumn("s", s).withColumn("e", e)
     isl = intervals.islands(rows, ["user_id"], "s", "e")
     span = isl.groupBy("user_id", "island").agg(F.min("s").alias("locus_start"), F.max("e").alias("locus_end"), F.count("*").alias("n_members"), F.max(F.struct("value", (-col("event_id")).alias("o"))).alias("top"))
     out = span.select("user_id", "locus_start", "locus_end", "n_members", (-col("top.o")).alias("lead_id"), col("top.value").alias("lead_value"))
@@ -108,20 +108,20 @@ def gene_tokens(t):
     return p.select("p_partkey", gene.alias("gene"), clean.first_nonempty(F.lit(" "), empty, default=F.lit("unknown")).alias("label"), clean.slug(col("p_type")).alias("slug"))
 
 
-@query(r"""WITH n AS (SELECT doc_id, list_transform(regexp_extract_all(regexp_replace(text, '[0-9]{10,}', '', 'g'), '[0-9][0-9,]*'), lambda x: TRY_CAST(replace(x, ',', '') AS BIGINT)) AS v FROM documents)
+@query(r"""WITH n AS (SELECT doc_id, list_transform(list_filter(list_transform(regexp_extract_all(text, '[0-9][0-9,]*'), lambda x: replace(x, ',', '')), lambda x: length(x) <= 9), lambda x: CAST(x AS BIGINT)) AS v FROM documents)
 SELECT doc_id, CAST(CASE WHEN len(list_filter(v, lambda x: x >= 100)) > 0 THEN list_sum(list_filter(v, lambda x: x >= 100)) ELSE v[1] END AS BIGINT) AS size FROM n""")
 def digits_from_text(t):
-    """PRJ-14; card-like digit runs are no counts and go first."""
-    return t("documents").select("doc_id", clean.sample_size(F.regexp_replace("text", "[0-9]{10,}", "")).alias("size"))
+    """PRJ-14; numbers of ten or more digits are no counts."""
+    return t("documents").select("doc_id", clean.sample_size(col("text")).alias("size"))
 
 
-@query(r"""WITH s AS (SELECT p_partkey, lower(p_name) AS n, lower(p_type) AS ty, lower(p_brand) AS b FROM part), terms AS (SELECT unnest(['brass', 'steel', 'promo plated', 'tin']) AS term)
+@query(r"""WITH s AS (SELECT p_partkey, lower(p_name) AS n, lower(p_type) AS ty, lower(p_brand) AS b FROM part), terms AS (SELECT unnest(['red widget', 'promo', 'ring', 'brand#2']) AS term)
 SELECT p_partkey, CAST(max(CASE WHEN n = term THEN 100 WHEN ty = term THEN 95 WHEN CASE WHEN length(term) <= 5 THEN regexp_matches(n, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') ELSE contains(n, term) END THEN 80
 WHEN CASE WHEN length(term) <= 5 THEN regexp_matches(ty, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') ELSE contains(ty, term) END THEN 70
 WHEN CASE WHEN length(term) <= 5 THEN regexp_matches(b, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') ELSE contains(b, term) END THEN 40 ELSE 0 END) AS BIGINT) AS score FROM s, terms GROUP BY 1 HAVING score > 0""")
 def term_score(t):
     """PRJ-12: the greatest score over a list of terms."""
-    best = F.greatest(*(clean.term_score(col("p_name"), col("p_type"), col("p_brand"), x) for x in ("brass", "steel", "promo plated", "tin")))
+    best = F.greatest(*(clean.term_score(col("p_name"), col("p_type"), col("p_brand"), x) for x in ("red widget", "promo", "ring", "brand#2")))
     return t("part").select("p_partkey", best.cast("long").alias("score")).where("score > 0")
 
 
@@ -161,12 +161,84 @@ def tier_cascade(t):
     return t("orders").select("o_orderkey", classify.evidence_tier(col("o_totalprice"), col("o_orderstatus") == "O", shared, high, 200000, 100000).alias("tier"), classify.priority_tier(col("o_totalprice"), (35000, 50000, 65000, 80000)).alias("bin"))
 
 
-@query("""SELECT p_partkey, CASE WHEN contains(lower(p_type), 'steel') THEN 'STEEL' WHEN contains(lower(p_type), 'brass') THEN 'BRASS' WHEN contains(lower(p_type), 'tin') THEN 'TIN' ELSE 'OTHER' END AS by_part,
-CASE WHEN list_has_any(string_split(lower(p_type), ' '), ['promo', 'economy']) THEN 'CHEAP' WHEN list_has_any(string_split(lower(p_type), ' '), ['plated', 'polished']) THEN 'FINISHED' ELSE 'OTHER' END AS by_terms FROM part""")
+# Consequences and biotypes by turns, so that every term and rule is met.
+CONSEQUENCES = (
+    *classify.SPLICING_TERMS, *classify.CODING_TERMS, *classify.UTR_TERMS, "regulatory_region_variant", "TF_binding_site_variant", "TFBS_amplification", "non_coding_transcript_exon_variant", "intron_variant", "upstream_gene_variant",
+    "downstream_gene_variant", "intergenic_variant", "sequence_variant", "intron_variant&non_coding_transcript_variant", "Missense_variant, splice_region_variant",
+)
+BIOTYPES = ("protein_coding", "lncRNA", "miRNA", "pseudogene", "misc_RNA", "processed_transcript", "")
+
+
+def _turn(names, key):
+    return F.element_at(F.array(*map(F.lit, names)), (key % len(names) + 1).cast("int"))
+
+
+def _sql_list(names) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in names) + "]"
+
+
+SQL_CONSEQUENCES = f"""c AS (SELECT p_partkey, {_sql_list(CONSEQUENCES)}[p_partkey % {len(CONSEQUENCES)} + 1] AS consequence, {_sql_list(BIOTYPES)}[p_size % {len(BIOTYPES)} + 1] AS biotype FROM part),
+l AS (SELECT *, lower(consequence) AS low, lower(biotype) AS bio, list_filter(list_transform(regexp_split_to_array(lower(consequence), '[,;&]'), lambda x: trim(x)), lambda x: x <> '') AS terms FROM c)"""
+
+
+def _consequences(t) -> DataFrame:
+    return t("part").select("p_partkey", _turn(CONSEQUENCES, col("p_partkey")).alias("consequence"), _turn(BIOTYPES, col("p_size")).alias("biotype"))
+
+
+def _sql_category(fits, regulatory: str, transcript: str) -> str:
+    noncoding = f"len(list_filter({_sql_list(classify.NONCODING_BIOTYPES)}, lambda x: contains(bio, x))) > 0"
+    rules = [(fits(classify.SPLICING_TERMS), "SPLICING"), (fits(classify.CODING_TERMS), "CODING"), (fits(classify.UTR_TERMS), "UTR"), (regulatory, "REGULATORY"), (f"{transcript} OR {noncoding}", "NONCODING_RNA"), *((fits((term,)), name) for term, name in classify.PLACES)]
+    return "CASE " + " ".join(f"WHEN {rule} THEN '{name}'" for rule, name in rules) + " ELSE 'OTHER' END"
+
+
+SQL_BY_TEXT = _sql_category(lambda of: f"len(list_filter({_sql_list(of)}, lambda x: contains(low, x))) > 0", "contains(low, 'regulatory_region') OR contains(low, 'tf_binding_site')", "contains(low, 'non_coding_transcript')")
+SQL_BY_TERM = _sql_category(lambda of: f"list_has_any(terms, {_sql_list(of)})", "len(list_filter(terms, lambda x: contains(x, 'regulatory') OR contains(x, 'tf_binding') OR contains(x, 'tfbs'))) > 0", "len(list_filter(terms, lambda x: contains(x, 'non_coding_transcript'))) > 0")
+
+
+@query(f"WITH {SQL_CONSEQUENCES} SELECT p_partkey, {SQL_BY_TEXT} AS by_text, {SQL_BY_TERM} AS by_term FROM l")
 def category_case(t):
-    """PRJ-17, 18, 19: first match by substring, and by exact terms."""
-    terms = (("CHEAP", ("promo", "economy")), ("FINISHED", ("plated", "polished")))
-    return t("part").select("p_partkey", classify.first_containing(col("p_type"), (("steel", "STEEL"), ("brass", "BRASS"), ("tin", "TIN")), "OTHER").alias("by_part"), classify.functional_category(F.replace(col("p_type"), F.lit(" "), F.lit(",")), terms).alias("by_terms"))
+    """PRJ-17: both rules, over all terms and biotypes."""
+    c, b = col("consequence"), col("biotype")
+    return _consequences(t).select("p_partkey", classify.functional_category(c, b, exact=False).alias("by_text"), classify.functional_category(c, b).alias("by_term"))
+
+
+def _sql_context() -> str:
+    has = lambda of: f"list_has_any(terms, {_sql_list(of)})"
+    return (
+        f"CASE WHEN {has(classify.TRUNCATING_TERMS)} THEN 'CODING_PTV_OR_CANONICAL_SPLICE' WHEN {has(classify.MISSENSE_TERMS)} THEN 'CODING_MISSENSE_OR_PROTEIN_ALTERING' WHEN {has(classify.SYNONYMOUS_TERMS)} THEN 'CODING_SYNONYMOUS' "
+        f"WHEN {has(classify.SPLICING_TERMS)} THEN 'SPLICE_REGION' WHEN {has(classify.UTR_TERMS)} THEN 'UTR' WHEN category = 'NONCODING_RNA' OR len(list_filter({_sql_list(classify.CONTEXT_NONCODING_BIOTYPES)}, lambda x: contains(bio, x))) > 0 THEN 'NONCODING_RNA' "
+        f"WHEN category = 'REGULATORY' OR {has(classify.CONTEXT_REGULATORY_TERMS)} THEN 'REGULATORY' WHEN list_contains(terms, 'intron_variant') THEN 'INTRONIC' WHEN list_contains(terms, 'intergenic_variant') THEN 'INTERGENIC' "
+        "WHEN category = 'CODING' THEN 'CODING_OTHER' WHEN category = 'SPLICING' THEN 'SPLICING_OTHER' ELSE 'OTHER_OR_UNRESOLVED' END"
+    )
+
+
+@query(f"WITH {SQL_CONSEQUENCES}, k AS (SELECT *, {SQL_BY_TERM} AS category FROM l) SELECT p_partkey, {_sql_context()} AS context FROM k")
+def variant_context(t):
+    """PRJ-18."""
+    c, b = col("consequence"), col("biotype")
+    return _consequences(t).select("p_partkey", classify.variant_context(classify.terms_of(c), b, classify.functional_category(c, b)).alias("context"))
+
+
+SQL_CONTEXT_CASE = """CASE WHEN list_contains(f, 'CDS') AND pc THEN 'CODING_CDS' WHEN list_contains(f, 'UTR') AND pc THEN 'UTR_PROTEIN_CODING_GENE'
+WHEN list_contains(f, 'exon') THEN CASE WHEN ln THEN 'LNCRNA_EXON' WHEN nc THEN 'OTHER_NCRNA_EXON' WHEN pc THEN 'NON_CDS_EXON_PROTEIN_CODING_GENE' ELSE 'EXON_OTHER_GENE' END
+WHEN len(g) > 0 THEN CASE WHEN ln THEN 'LNCRNA_GENE_BODY_INTRONIC_OR_OTHER' WHEN nc THEN 'OTHER_NCRNA_GENE_BODY' WHEN pc THEN 'INTRONIC_PROTEIN_CODING_GENE' ELSE 'OTHER_GENE_BODY' END ELSE 'INTERGENIC' END"""
+
+
+@query(f"""WITH {SQL_ISLANDS},
+ft AS (SELECT user_id, s, e, CASE event_type WHEN 'purchase' THEN 'CDS' WHEN 'view' THEN 'exon' WHEN 'signup' THEN 'UTR' ELSE 'gene' END AS feature, {_sql_list(BIOTYPES[:4])}[user_id % 4 + 1] AS gene_type, 'G' || CAST(user_id % 50 AS VARCHAR) AS gene FROM mg),
+x AS (SELECT ev.event_id, list(DISTINCT feature) FILTER (feature IS NOT NULL) AS f, list(DISTINCT gene_type) FILTER (gene_type IS NOT NULL) AS gt, list(DISTINCT gene) FILTER (gene IS NOT NULL) AS g FROM ev LEFT JOIN ft ON ft.user_id = ev.user_id AND ev.tm + 3600 BETWEEN ft.s AND ft.e GROUP BY 1),
+y AS (SELECT event_id, coalesce(f, []) AS f, coalesce(g, []) AS g, coalesce(list_contains(gt, 'protein_coding'), false) AS pc, coalesce(list_contains(gt, 'lncRNA'), false) AS ln, coalesce(list_contains(gt, 'miRNA'), false) AS nc FROM x)
+SELECT event_id, {SQL_CONTEXT_CASE} AS context, CASE WHEN list_contains(f, 'CDS') AND pc THEN 'CODING' ELSE 'NONCODING' END AS coding FROM y""")
+def genomic_context(t):
+    """PRJ-19: features over each place, by an interval join, to a context."""
+    feature = F.when(col("event_type") == "purchase", "CDS").when(col("event_type") == "view", "exon").when(col("event_type") == "signup", "UTR").otherwise("gene")
+    spans = _islands(t).select("user_id", "s", "e", feature.alias("feature"), _turn(BIOTYPES[:4], col("user_id")).alias("gene_type"), F.concat(F.lit("G"), (col("user_id") % 50).cast("string")).alias("gene"))
+    places = _events(t).select("event_id", "user_id", (col("at") + 3600).alias("place"))
+    over = places.join(spans, "user_id", "left").where("s IS NULL OR place BETWEEN s AND e")
+    found = over.groupBy("event_id").agg(F.collect_set("feature").alias("f"), F.collect_set("gene_type").alias("t"), F.collect_set("gene").alias("g"))
+    none = F.array().cast("array<string>")
+    every = places.select("event_id").join(found, "event_id", "left").select("event_id", *(F.coalesce(c, none).alias(c) for c in "ftg"))
+    return every.withColumn("c", classify.genomic_context(col("f"), col("t"), col("g"))).select("event_id", "c.context", "c.coding")
 
 
 @query("""WITH f AS (SELECT c_custkey, c_acctbal > 5000 AS rich, c_mktsegment = 'BUILDING' AS seg, c_nationkey < 5 AS near FROM customer)
@@ -181,11 +253,42 @@ def mechanism_axes(t):
 
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) >= 50 THEN event_type END AS active FROM events""")
 def json_fields(t):
-    """PRJ-26, 30, 32: nested fields and the active ones among them."""
+    """PRJ-32: a nested field and the active ones among them."""
     k = F.from_json("props", "k long")["k"]
     return t("events").select("event_id", k.alias("k"), F.when(k >= 50, col("event_type")).alias("active"))
 
 
+@query("""WITH e AS (SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(user_id AS VARCHAR) AS u, event_type FROM events)
+SELECT event_id, 'deep.props.k' AS path, k AS value FROM e UNION ALL SELECT event_id, 'deep.list', '1;' || u FROM e UNION ALL SELECT event_id, 'deep.none', NULL FROM e UNION ALL SELECT event_id, 'type', event_type FROM e""")
+def json_paths(t):
+    """PRJ-30: JSON objects to dotted paths."""
+    text = F.concat(F.lit('{"deep": {"props": '), col("props"), F.lit(', "none": null, "list": [1, '), col("user_id").cast("string"), F.lit(']}, "type": "'), col("event_type"), F.lit('"}'))
+    return clean.flatten_json(t("events").select("event_id", text.alias("json")), "event_id", "json")
+
+
+@query("""WITH m AS (SELECT p_partkey, p_partkey % 7 AS i, ['A', 'C', 'G', 'T'][p_size % 4 + 1] AS r, ['A', 'C', 'G', 'T'][p_partkey % 4 + 1] AS a FROM part)
+SELECT p_partkey, CASE WHEN i = 0 THEN 'NO_RSID' WHEN i = 1 THEN 'NO_MAPPING' WHEN i = 2 THEN 'MAPPING_PARSE_ERROR' WHEN i = 3 THEN 'NO_GRCH38_POSITION_MATCH' WHEN r = 'A' AND a IN ('G', 'T') THEN 'PASS' WHEN a = 'A' AND r IN ('G', 'T') THEN 'REF_ALT_SWAPPED'
+WHEN r IN ('A', 'G', 'T') AND a IN ('A', 'G', 'T') THEN 'ALLELES_PRESENT_REFERENCE_MISMATCH' ELSE 'ALLELE_NOT_IN_RSID_MAPPING' END AS status, CASE WHEN i > 3 THEN 'A' ELSE '' END AS reference, CASE WHEN i > 3 THEN 'G;T' ELSE '' END AS alternatives FROM m""")
+def allele_check(t):
+    """PRJ-26: alleles against a JSON list of mappings."""
+    i, key = col("p_partkey") % 7, col("p_partkey").cast("string")
+    one = lambda at: F.concat(F.lit('[{"assembly_name": "GRCh37", "seq_region_name": "1", "start": '), key, F.lit(', "allele_string": "C/T"}, {"assembly_name": "GRCh38", "seq_region_name": "1", "start": '), at, F.lit(', "allele_string": "a/G/T"}]'))
+    json = F.when(i == 1, " ").when(i == 2, "broken").when(i == 3, one(F.lit("-5"))).otherwise(one(key))
+    found = classify.allele_check(F.when(i == 0, "").otherwise("rs1"), json, F.lit("chr1"), col("p_partkey"), _turn("ACGT", col("p_size")), _turn("ACGT", col("p_partkey")))
+    return t("part").select("p_partkey", found.alias("c")).select("p_partkey", "c.*")
+
+
+@query("""WITH h AS (SELECT l_orderkey, l_linenumber, l_discount * 5 AS h0, l_tax * 5 AS h1, 0.3 AS h2, CASE WHEN l_suppkey % 5 > 0 THEN l_tax * 10 END AS h3, CASE WHEN l_partkey % 6 > 0 THEN l_discount * 10 END AS h4 FROM lineitem),
+b AS (SELECT *, greatest(h0, h1, h2, coalesce(h3, -1), coalesce(h4, -1)) AS top FROM h)
+SELECT l_orderkey, l_linenumber, CASE WHEN h4 >= 0.8 THEN 'STRONG_SHARED_SIGNAL' WHEN h4 >= 0.5 THEN 'SUGGESTIVE_SHARED_SIGNAL' WHEN h0 = top THEN 'NEITHER_ASSOCIATED_FAVORED' WHEN h1 = top THEN 'GWAS_ONLY_FAVORED' WHEN h2 = top THEN 'QTL_ONLY_FAVORED'
+WHEN h3 = top THEN 'BOTH_ASSOCIATED_DIFFERENT_SIGNALS_FAVORED' ELSE 'SHARED_SIGNAL_FAVORED_BELOW_THRESHOLD' END AS simple,
+CASE WHEN h4 IS NULL THEN 'NO_PP_H4_RETURNED' WHEN h4 >= 0.8 AND (h3 IS NULL OR h4 > h3) THEN 'STRONG_SHARED_SIGNAL' WHEN h4 >= 0.5 THEN 'SUGGESTIVE_SHARED_SIGNAL' WHEN h3 > h4 THEN 'BOTH_ASSOCIATED_DIFFERENT_SIGNALS_FAVORED' ELSE 'NO_STRONG_SHARED_SIGNAL' END AS strict FROM b""")
+def colocalisation_classes(t):
+    """PRJ-22: both rules, with unknown posteriors."""
+    h = (col("l_discount") * 5, col("l_tax") * 5, F.lit(0.3), F.when(col("l_suppkey") % 5 > 0, col("l_tax") * 10), F.when(col("l_partkey") % 6 > 0, col("l_discount") * 10))
+    return t("lineitem").select("l_orderkey", "l_linenumber", classify.colocalisation_class(h).alias("simple"), classify.colocalisation_class(h, strict=True).alias("strict"))
+
+
 @query("""SELECT c_custkey, CASE WHEN sign(c_acctbal - 4500) * sign(c_nationkey - 12) > 0 THEN 'INHIBIT' WHEN sign(c_acctbal - 4500) * sign(c_nationkey - 12) < 0 THEN 'ACTIVATE' END AS direction, contains(lower(c_mktsegment), 'build') OR lower(c_mktsegment) = 'household' AS matches,
 CAST(100 * (c_nationkey % 2) + CASE WHEN c_nationkey < 10 THEN 50 ELSE 20 END AS BIGINT) AS target_score FROM customer""")
 def direction_and_match(t):
@@ -602,11 +705,11 @@ def union_missing(t):
     return t("customer").select(col("c_custkey").alias("id"), col("c_mktsegment").alias("segment")).unionByName(t("supplier").select(col("s_suppkey").alias("id"), col("s_name").alias("supplier")), allowMissingColumns=True)
 
 
-@query("WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 48), b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 48) SELECT coalesce(a.k, b.k) AS l_partkey, CASE WHEN a.k IS NULL THEN 'RIGHT_ONLY' WHEN b.k IS NULL THEN 'LEFT_ONLY' ELSE 'COMMON' END AS label FROM a FULL JOIN b ON a.k = b.k")
+@query("WITH a AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'A') SELECT coalesce(a.k, b.k) AS l_orderkey, CASE WHEN a.k IS NULL THEN 'RIGHT_ONLY' WHEN b.k IS NULL THEN 'LEFT_ONLY' ELSE 'COMMON' END AS label FROM a FULL JOIN b ON a.k = b.k")
 def labelled_compare(t):
     """SET-02."""
-    many = t("lineitem").where("l_quantity > 48").select("l_partkey", "l_returnflag")
-    return joins.compare_sets(many.where("l_returnflag = 'R'"), many.where("l_returnflag = 'A'"), "l_partkey")
+    lines = t("lineitem").select("l_orderkey", "l_returnflag")
+    return joins.compare_sets(lines.where("l_returnflag = 'R'"), lines.where("l_returnflag = 'A'"), "l_orderkey")
 
 
 @query("SELECT l_partkey, bool_or(l_returnflag = 'A') AS in_a, bool_or(l_returnflag = 'N') AS in_n, bool_or(l_returnflag = 'R') AS in_r FROM lineitem GROUP BY 1")
@@ -729,11 +832,11 @@ def pathway_filter(t):
     return f.select("term", col("query_set").cast("long").alias("query_set"), F.round("fdr", 5).alias("fdr"), kernels.pathway_filter(col("fdr"), col("k"), col("size"), 0.9).alias("significant"))
 
 
-SQL_EDGES = "ed AS (SELECT least(l_suppkey, l_partkey % 100 + 1) AS a, greatest(l_suppkey, l_partkey % 100 + 1) AS b, max(l_discount) AS score FROM lineitem WHERE l_suppkey <> l_partkey % 100 + 1 AND l_quantity > 49 GROUP BY 1, 2)"
+SQL_EDGES = "ed AS (SELECT least(l_suppkey, l_partkey % 100 + 1) AS a, greatest(l_suppkey, l_partkey % 100 + 1) AS b, max(l_discount) AS score FROM lineitem WHERE l_suppkey <> l_partkey % 100 + 1 GROUP BY 1, 2)"
 
 
 def _edges(t) -> DataFrame:
-    e = t("lineitem").where("l_quantity > 49").select(col("l_suppkey").alias("x"), (col("l_partkey") % 100 + 1).alias("y"), col("l_discount").alias("s"))
+    e = t("lineitem").select(col("l_suppkey").alias("x"), (col("l_partkey") % 100 + 1).alias("y"), col("l_discount").alias("s"))
     return kernels.undirected_edges(e, "x", "y", "s")
 
 

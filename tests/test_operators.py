@@ -54,12 +54,49 @@ def test_priority_edges_are_right_closed(spark, score, name):
 
 def test_two_rules_for_strong(spark):
     h = tuple(F.lit(x) for x in (0.0, 0.0, 0.0, 0.9, 0.85))
-    assert one(spark, classify.colocalisation_class(h)) == "STRONG" and one(spark, classify.colocalisation_class(h, strict=True)) == "SUGGESTIVE"
-    tie = tuple(F.lit(x) for x in (0.4, 0.4, 0.1, 0.1, 0.0))
-    assert one(spark, classify.colocalisation_class(tie)) == "DOMINANT_H0"
+    assert one(spark, classify.colocalisation_class(h)) == "STRONG_SHARED_SIGNAL" and one(spark, classify.colocalisation_class(h, strict=True)) == "SUGGESTIVE_SHARED_SIGNAL"
+    null = F.lit(None).cast("double")
+    without = (*h[:3], null, h[4])
+    assert one(spark, classify.colocalisation_class(without, strict=True)) == "STRONG_SHARED_SIGNAL"
+    assert one(spark, classify.colocalisation_class((*h[:4], null), strict=True)) == "NO_PP_H4_RETURNED" and one(spark, classify.colocalisation_class((*h[:4], null))) == classify.FAVOURED[3]
+    for values, simple, strict in (((0.4, 0.4, 0.1, 0.1, 0.0), classify.FAVOURED[0], classify.FAVOURED[3]), ((0.1, 0.2, 0.1, 0.3, 0.3), classify.FAVOURED[3], "NO_STRONG_SHARED_SIGNAL"), ((0.1, 0.1, 0.1, 0.3, 0.4), classify.FAVOURED[4], "NO_STRONG_SHARED_SIGNAL")):
+        h = tuple(F.lit(x) for x in values)
+        assert (one(spark, classify.colocalisation_class(h)), one(spark, classify.colocalisation_class(h, strict=True))) == (simple, strict)
     assert one(spark, classify.robust_prior(F.lit(0.9), F.lit(0.5), F.lit(0.9), strict=False)) and not one(spark, classify.robust_prior(F.lit(0.9), F.lit(0.5), F.lit(0.9)))
 
 
+def test_every_consequence_term_has_its_category(spark):
+    rows = [(t, None, "SPLICING", "SPLICING") for t in classify.SPLICING_TERMS] + [(t, "lncRNA", "CODING", "CODING") for t in classify.CODING_TERMS] + [(t, None, "UTR", "UTR") for t in classify.UTR_TERMS]
+    rows += [("regulatory_region_ablation", None, "REGULATORY", "REGULATORY"), ("TF_binding_site_variant", None, "REGULATORY", "REGULATORY"), ("TFBS_amplification", None, "OTHER", "REGULATORY"), ("regulatory_x", None, "OTHER", "REGULATORY")]
+    rows += [("non_coding_transcript_exon_variant", None, "NONCODING_RNA", "NONCODING_RNA"), *(("intron_variant", f"x_{b.upper()}", "NONCODING_RNA", "NONCODING_RNA") for b in classify.NONCODING_BIOTYPES)]
+    rows += [(term, "protein_coding", name, name) for term, name in classify.PLACES] + [(None, None, "OTHER", "OTHER"), ("", "", "OTHER", "OTHER"), ("intron_variant&splice_region_variant", None, "SPLICING", "SPLICING"), ("my_missense_variant", None, "CODING", "OTHER")]
+    df = spark.createDataFrame(rows, "c string, b string, wide string, narrow string")
+    found = df.select("*", classify.functional_category(F.col("c"), F.col("b"), exact=False).alias("x"), classify.functional_category(F.col("c"), F.col("b")).alias("y")).collect()
+    assert [(r.c, r.b, r.x, r.y) for r in found] == [(c, b, x, y) for c, b, x, y in rows]
+
+
+def test_variant_and_genomic_context(spark):
+    rows = [("stop_gained", None, None, "CODING_PTV_OR_CANONICAL_SPLICE"), ("Missense_variant", "", "", "CODING_MISSENSE_OR_PROTEIN_ALTERING"), ("stop_retained_variant", None, None, "CODING_SYNONYMOUS"), ("splice_region_variant", None, None, "SPLICE_REGION"), ("5_prime_UTR_variant", "lncRNA", None, "UTR"), ("intron_variant", "misc_RNA", None, "NONCODING_RNA"), ("upstream_gene_variant", None, None, "REGULATORY"), ("intron_variant", None, "regulatory", "REGULATORY"), ("intron_variant", None, None, "INTRONIC"), ("intergenic_variant", None, None, "INTERGENIC"), (None, None, "CODING", "CODING_OTHER"), (None, None, "splicing", "SPLICING_OTHER"), (None, None, None, "OTHER_OR_UNRESOLVED")]
+    df = spark.createDataFrame(rows, "c string, b string, f string, want string")
+    assert [r.got for r in df.select(classify.variant_context(classify.terms_of(F.col("c")), F.col("b"), F.col("f")).alias("got")).collect()] == [r[3] for r in rows]
+    cases = [(["CDS", "exon"], ["protein_coding"], ["A"], ("CODING_CDS", "CODING", "PROTEIN_CODING")), (["CDS"], ["lncRNA"], ["A"], ("LNCRNA_GENE_BODY_INTRONIC_OR_OTHER", "NONCODING", "LNCRNA")), (["UTR", "exon"], ["protein_coding", "miRNA"], [], ("UTR_PROTEIN_CODING_GENE", "NONCODING", "PROTEIN_CODING;OTHER_NCRNA")), (["exon"], ["pseudogene"], ["A"], ("EXON_OTHER_GENE", "NONCODING", "OTHER_GENE_TYPE")), ([], [], ["A"], ("OTHER_GENE_BODY", "NONCODING", "NO_GENE")), ([], [], [], ("INTERGENIC", "NONCODING", "NO_GENE"))]
+    df = spark.createDataFrame([c[:3] for c in cases], "f array<string>, t array<string>, n array<string>")
+    assert [tuple(r.got) for r in df.select(classify.genomic_context(F.col("f"), F.col("t"), F.col("n")).alias("got")).collect()] == [c[3] for c in cases]
+
+
+def test_alleles_against_mappings(spark):
+    good = '[{"assembly_name": "GRCh37", "seq_region_name": "1", "start": 5, "allele_string": "T/C"}, {"assembly_name": "GRCh38.p14", "seq_region_name": "1", "start": 5, "allele_string": "A/G/T"}]'
+    rows = [("rs1", good, "chr1", 5, "a", "g", "PASS", "A", "G;T"), ("rs1", good, "1", 5, "G", "A", "REF_ALT_SWAPPED", "A", "G;T"), ("rs1", good, "1", 5, "G", "T", "ALLELES_PRESENT_REFERENCE_MISMATCH", "A", "G;T"), ("rs1", good, "1", 5, "A", "C", "ALLELE_NOT_IN_RSID_MAPPING", "A", "G;T"), ("rs1", good, "1", 6, "A", "G", "NO_GRCH38_POSITION_MATCH", "", ""), (" ", good, "1", 5, "A", "G", "NO_RSID", "", ""), ("rs1", None, "1", 5, "A", "G", "NO_MAPPING", "", ""), ("rs1", "not json", "1", 5, "A", "G", "MAPPING_PARSE_ERROR", "", ""), ("rs1", '[{"assembly_name": "GRCh38", "seq_region_name": "1", "start": 5}]', "1", 5, "A", "G", "NO_ALLELE_STRING", "", "")]
+    df = spark.createDataFrame(rows, "i string, m string, c string, p long, r string, a string, x string, y string, z string")
+    got = df.select(classify.allele_check(*(F.col(c) for c in "imcpra")).alias("g")).collect()
+    assert [tuple(r.g) for r in got] == [r[6:] for r in rows]
+
+
+def test_json_paths(spark):
+    df = spark.createDataFrame([(1, '{"a": {"b": {"c": 1.5, "d": null}, "l": [1, "x"]}, "e": "t"}'), (2, "broken {"), (3, None), (4, "[1]")], "id long, j string")
+    assert {(r.id, r.path): r.value for r in clean.flatten_json(df, "id", "j").collect()} == {(1, "a.b.c"): "1.5", (1, "a.b.d"): None, (1, "a.l"): "1;x", (1, "e"): "t"}
+
+
 def test_best_rows(spark):
     df = spark.createDataFrame([("a", 1.0, 1), ("a", 3.0, 3), ("a", 3.0, 2), ("b", None, 5), ("b", None, 4)], "k string, v double, o long")
     assert {(r.k, r.o) for r in grouping.arg_best(df, ["k"], "v", [F.col("o")]).collect()} == {("a", 2), ("b", 4)}
