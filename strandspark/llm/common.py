@@ -52,6 +52,14 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, *taken: str) -> str:
+    """name, lengthened until no taken column has it (Spark's names ignore case)."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

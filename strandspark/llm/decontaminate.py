@@ -1,15 +1,15 @@
 """Benchmark decontamination by winnowing.
 
-Five-word grams are hashed, and of every six neighbouring grams the least is the fingerprint
-of the ten-word window they span, so each span of ten shared words shares a fingerprint.
-A bitmap of the benchmark's fingerprints (FILTER_BITS bits, whatever the benchmark's size)
-turns nearly all document windows away; what passes is looked up by a 128-bit hash of the
-whole window, and hits that touch are joined. An item with fewer words than a window is
-one window of its own length.
-
-The benchmark's windows are broadcast in blocks of at most block_windows; a larger benchmark
-takes several passes over the documents, whose hits are united by row. Documents
-are never shuffled while one block is enough.
+Of every six neighbouring five-word grams the one with the least hash is kept, with its place: that is a
+fingerprint of the ten-word window they span. Documents and benchmark choose alike, so each span of ten shared
+words shares a fingerprint at the same place in it. Fingerprints of both sides are joined by hash (a bitmap of
+FILTER_BITS bits turns nearly all of the documents' away), and each hit is extended word by word to either side; a
+shared span of ten words or more is a hit. An item with fewer words than a window is one window of its own length,
+and its own fingerprint. Words are the same if their sizes, first eight bytes and two 64-bit hashes are (the
+second one of all of a long word).
+
+The benchmark's words are broadcast in blocks of about block_words; a larger benchmark takes several
+passes over the documents, whose hits are united by row. Documents are never shuffled while one block is enough.
 """
 
 from __future__ import annotations
@@ -21,100 +21,119 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .common import stash
+from .common import stash, unused
 
 FILTER_BITS = 24
 GRAM = 5
 
 
-def _fingerprints(grams: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    least = grams[at]
+def _winnowed(grams: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Places of the least gram of each window of size words (the first of equal ones), each place once."""
+    least, place = grams[at], at.copy()
     for k in range(1, size - GRAM + 1):
-        least = np.minimum(least, grams[at + k])
-    return least
-
-
-def _windows(block: W.Block, size: int, at: np.ndarray, h: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprint and two hashes of the windows of size words at the given places."""
-    one, two = (W.grams(x, size, k)[at] for k, x in enumerate(h))
-    return (_fingerprints(W.grams(h[0], GRAM), at, size) if size >= GRAM else one), one, two
-
-
-def _benchmark_windows(size: int):
-    def run(batches):
-        for batch in batches:
-            ids = batch.column(0)
-            for lo, hi, block in W.blocks(batch.column(1), W.ALNUM):
-                h = (block.hashes(0), block.hashes(1))
-                for n in range(1, size + 1):
-                    count = block.n_words
-                    rows = np.flatnonzero(count == n) if n < size else np.flatnonzero(count >= n)
-                    per = count[rows] - n + 1
-                    at = W.spread(block.first_word[:-1][rows], per)
-                    if not len(at):
-                        continue
-                    of = np.repeat(rows, per) + lo
-                    fp, one, two = _windows(block, n, at, h)
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(of)), pa.array(np.full(len(at), n, np.int32)), pa.array(W.signed(fp)), pa.array(W.signed(one)), pa.array(W.signed(two))], ["item_id", "size", "fp", "one", "two"])
-
-    return run
-
-
-class Lookup:
-    """The windows of one block of the benchmark: bitmap, hashes in order, items of each."""
-
-    def __init__(self, found: pa.Table) -> None:
-        names = np.array([str(x) for x in found["item_id"].to_pylist()], dtype=object)
-        self.sizes = {}
-        size, fp, one, two = (found[c].to_numpy() for c in ("size", "fp", "one", "two"))
-        for n in np.unique(size).tolist():
-            mine = np.flatnonzero(size == n)
-            order = mine[np.lexsort((two[mine].view(np.uint64), one[mine].view(np.uint64)))]
-            a, b = one[order].view(np.uint64), two[order].view(np.uint64)
-            new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-            key = fp[mine].view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+        other = grams[at + k]
+        less = other < least
+        least, place = np.where(less, other, least), np.where(less, at + k, place)
+    return place[np.flatnonzero(np.r_[True, place[1:] != place[:-1]])] if len(place) else place
+
+
+def _words(block: W.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two hashes of each word; the second is its first bytes as they are, mixed with a hash of a long one."""
+    h, size = block.hashes(0), block.ends - block.starts
+    low = W.eights(block.bytes)[block.starts] & W.first_bytes(size)
+    return h, low + np.where(size > 8, block.hashes(1), np.uint64(0)), size
+
+
+def _benchmark_words(batches):
+    for batch in batches:
+        for lo, hi, block in W.blocks(batch.column(1), W.ALNUM):
+            edge = block.first_word.astype(np.int32)
+            lists = [pa.ListArray.from_arrays(edge, pa.array(x)) for x in (*(W.signed(x) for x in _words(block)[:2]), _words(block)[2].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(block.n_words.astype(np.int64)), *lists], ["item_id", "n", "one", "two", "size"])
+
+
+class Fingerprints:
+    """Those of one block of the benchmark, in order of their hash, with their places among its words."""
+
+    def __init__(self, found: pa.Table, size: int) -> None:
+        self.size, self.names = size, [str(x) for x in found["item_id"].to_pylist()]
+        columns = [found[c].combine_chunks() for c in ("one", "two", "size")]
+        self.first = np.r_[0, np.cumsum(found["n"].to_numpy())]
+        self.words = tuple(c.flatten().to_numpy().view(np.uint64) if k < 2 else c.flatten().to_numpy() for k, c in enumerate(columns))
+        n, h = np.diff(self.first), self.words[0]
+        self.tables = {}
+        for length in np.unique(np.minimum(n, size)).tolist():
+            if length == size:
+                rows = np.where(n >= size, n, 0)
+                at = _winnowed(W.grams(h, GRAM), W.spread(self.first[:-1], np.maximum(rows - size + 1, 0)), size)
+                keys = W.grams(h, GRAM)[at]
+            elif length:
+                at = self.first[:-1][n == length]
+                keys = W.grams(h, length)[at]
+            else:
+                continue
+            order = np.argsort(keys, kind="stable")
+            bits, key = np.zeros(1 << (FILTER_BITS - 3), np.uint8), keys >> np.uint64(64 - FILTER_BITS)
             np.bitwise_or.at(bits, (key >> np.uint64(3)).astype(np.int64), (1 << (key & np.uint64(7))).astype(np.uint8))
-            self.sizes[n] = (bits, a[new], b[new], np.r_[new, len(order)], names[order])
-
-    def hits(self, block: W.Block):
-        """(size, place, first and end of the items' run) of every window that occurs."""
-        h = None
-        for n, (bits, a, b, runs, _) in self.sizes.items():
-            at = W.whole(block.first_word, n)
+            self.tables[length] = (bits, keys[order], at[order])
+        self.item_of = np.repeat(np.arange(len(n)), n)
+
+    def spans(self, block: W.Block):
+        """(first word, end, item) of every shared span, by the length of its window."""
+        words = None
+        for length, (bits, keys, places) in self.tables.items():
+            at = W.whole(block.first_word, length)
             if not len(at):
                 continue
-            h = h or (block.hashes(0), block.hashes(1))
-            fp = _fingerprints(W.grams(h[0], GRAM), at, n) if n >= GRAM else W.grams(h[0], n)[at]
-            key = fp >> np.uint64(64 - FILTER_BITS)
-            at = at[(bits[(key >> np.uint64(3)).astype(np.int64)] >> (key & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-            if not len(at):
+            words = words or _words(block)
+            gram = min(length, GRAM) if length == self.size else length
+            h = W.grams(words[0], gram)
+            p = _winnowed(h, at, length) if length == self.size else at
+            key = h[p] >> np.uint64(64 - FILTER_BITS)
+            p = p[(bits[(key >> np.uint64(3)).astype(np.int64)] >> (key & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+            lo, hi = np.searchsorted(keys, h[p], "left"), np.searchsorted(keys, h[p], "right")
+            q = places[W.spread(lo, hi - lo)]
+            p = np.repeat(p, hi - lo)
+            if not len(p):
                 continue
-            one, two = W.grams(h[0], n)[at], W.grams(h[1], n, 1)[at]
-            place = np.minimum(np.searchsorted(a, one), len(a) - 1)
-            step = np.zeros(len(at), np.int64)  # equal first hashes stand side by side
-            while len(more := np.flatnonzero((a[np.minimum(place + step, len(a) - 1)] == one) & (b[np.minimum(place + step, len(a) - 1)] != two) & (place + step < len(a) - 1))):
-                step[more] += 1
-            place = place + step
-            good = (a[place] == one) & (b[place] == two)
-            yield n, at[good], runs[place[good]], runs[place[good] + 1]
+            same = np.ones(len(p), bool)
+            for k in range(gram):
+                same &= self._equal(words, p + k, q + k)
+            p, q = p[same], q[same]
+            row, item = np.searchsorted(block.first_word, p, "right") - 1, self.item_of[q]
+            start, end = p.copy(), p + gram
+            if length == self.size:
+                more = self.size - gram  # what the windows that hold the fingerprint reach beyond it
+                on = np.ones(len(p), bool)
+                for k in range(1, more + 1):
+                    on &= (p - k >= block.first_word[row]) & (q - k >= self.first[item])
+                    on &= self._equal(words, np.maximum(p - k, 0), np.maximum(q - k, 0))
+                    start -= on
+                on = np.ones(len(p), bool)
+                for k in range(gram, gram + more):
+                    on &= (p + k < block.first_word[row + 1]) & (q + k < self.first[item + 1])
+                    on &= self._equal(words, np.minimum(p + k, len(words[0]) - 1), np.minimum(q + k, len(self.words[0]) - 1))
+                    end += on
+            good = end - start >= length
+            yield start[good], end[good], item[good]
+
+    def _equal(self, words, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        return (words[0][p] == self.words[0][q]) & (words[1][p] == self.words[1][q]) & (words[2][p] == self.words[2][q])
 
 
 def _scan(lookup, extra: list[str], schema: pa.Schema):
     def run(batches):
-        known: Lookup = lookup.value
+        known: Fingerprints = lookup.value
         for batch in batches:
             for lo, hi, block in W.blocks(batch.column(1), W.ALNUM):
                 n, edge = hi - lo, np.zeros(len(block.starts) + 1, np.int64)
                 items: list[set] = [set() for _ in range(n)]
-                for size, at, first, end in known.hits(block):
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, at + size, -1)
-                    names = known.sizes[size][4]
-                    row = np.searchsorted(block.first_word, at, "right") - 1
-                    pairs = np.unique(np.stack([row, first, end], 1), axis=0)
-                    for r, x, y in pairs.tolist():
-                        items[r].update(names[x:y].tolist())
+                for start, end, item in known.spans(block):
+                    np.add.at(edge, start, 1)
+                    np.add.at(edge, end, -1)
+                    row = np.searchsorted(block.first_word, start, "right") - 1
+                    for r, x in np.unique(np.stack([row, item], 1), axis=0).tolist():
+                        items[r].add(known.names[x])
                 hit = np.cumsum(edge[:-1]) > 0
                 start = np.flatnonzero(hit & ~np.r_[False, hit[:-1]]) if len(hit) else np.zeros(0, np.int64)
                 stop = np.flatnonzero(hit & ~np.r_[hit[1:], False]) + 1 if len(hit) else start
@@ -133,7 +152,7 @@ def _scan(lookup, extra: list[str], schema: pa.Schema):
     return run
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_windows: int = 2_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_words: int = 2_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row of docs: doc_id, the columns named in keep, n_words, items (ids of the benchmark
     items with a window that occurs, as strings in order) and hits (spans of words inside
     such windows, joined where they touch or overlap).
@@ -143,38 +162,36 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_w
     length is read whole. Other columns of either table are not looked at.
     """
     spark = docs.sparkSession
-    found = stash(benchmark.select("item_id", F.col("text").cast("string").alias("text")).mapInArrow(_benchmark_windows(size), T.StructType([T.StructField("item_id", benchmark.schema["item_id"].dataType), *(T.StructField(c, T.IntegerType() if c == "size" else T.LongType()) for c in ("size", "fp", "one", "two"))])).distinct(), "benchmark-windows")
-    n_blocks = max(1, -(-found.count() // block_windows))
-    source = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"), *keep)
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    found = stash(benchmark.select("item_id", F.col("text").cast("string").alias("text")).mapInArrow(_benchmark_words, f"item_id {kind}, n long, one array<long>, two array<long>, size array<long>"), "benchmark-words")
+    n_blocks = max(1, -(-(found.agg(F.sum("n")).first()[0] or 0) // block_words))
+    text, row_id = unused("_text", *docs.columns), unused("_row", *docs.columns)
+    source = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias(text), *keep)
     if n_blocks > 1:
-        source = stash(source.withColumn("_row", F.monotonically_increasing_id()), "rows")
-        keep = (*keep, "_row")
+        source = stash(source.withColumn(row_id, F.monotonically_increasing_id()), "rows")
+        keep = (*keep, row_id)
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     out_schema = T.StructType([source.schema["doc_id"], *(source.schema[c] for c in keep), T.StructField("n_words", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("hits", span)])
     from pyspark.sql.pandas.types import to_arrow_schema
 
     passes = []
     for k in range(n_blocks):
-        mine = found if n_blocks == 1 else found.where(F.pmod("one", F.lit(n_blocks)) == k)
-        lookup = spark.sparkContext.broadcast(Lookup(mine.toArrow()))
+        mine = found if n_blocks == 1 else found.where(F.pmod(F.xxhash64("item_id", "one"), F.lit(n_blocks)) == k)
+        lookup = spark.sparkContext.broadcast(Fingerprints(mine.toArrow(), size))
         passes.append(source.mapInArrow(_scan(lookup, list(keep), to_arrow_schema(out_schema)), out_schema))
     if n_blocks == 1:
         return passes[0]
     every = passes[0]
     for x in passes[1:]:
         every = every.unionByName(x)
-    return _united(every, [c for c in keep if c != "_row"], span)
+    return _united(every, [c for c in keep if c != row_id], row_id, span)
 
 
-def _united(every: DataFrame, keep: list[str], span) -> DataFrame:
-    def merge(spans):
-        out = []
-        for a, b in sorted((s["start"], s["end"]) for s in spans):
-            if out and a <= out[-1][1]:
-                out[-1][1] = max(out[-1][1], b)
-            else:
-                out.append([a, b])
-        return [tuple(x) for x in out]
+def _united(every: DataFrame, keep: list[str], row_id: str, span) -> DataFrame:
+    def joined(out, x):
+        last = F.try_element_at(out, F.lit(-1))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
+        return F.when((F.size(out) > 0) & (last["end"] >= x["start"]), F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(out, F.array(x))).cast(span)
 
-    joined = every.groupBy("_row").agg(*(F.first(c).alias(c) for c in ("doc_id", *keep, "n_words")), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("hits")).alias("hits")).drop("_row")
-    return joined.withColumn("hits", F.udf(merge, span)("hits"))
+    united = every.groupBy(row_id).agg(*(F.first(c).alias(c) for c in ("doc_id", *keep, "n_words")), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits")).drop(row_id)
+    return united.withColumn("hits", F.aggregate("hits", F.array().cast(span), joined))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import unused
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -158,14 +159,14 @@ def _source(places: list[int], marks: list[tuple[int, int, int]], start: int, en
 
 
 def find(text: str, disguised: bool = True) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """(plain spans, spans that only the normalised text shows)."""
+    """(plain spans, spans that only the normalised text shows: those that reach beyond a plain one of their kind too)."""
     base = detect(text)
     made, more = transduce(text) if disguised else None, []
     if made:
         normal, places, marks = made
         for kind, start, end in detect(normal):
             span = _source(places, marks, start, end)
-            if not any(k == kind and span[0] < b and a < span[1] for k, a, b in base):
+            if not any(k == kind and a <= span[0] and span[1] <= b for k, a, b in base):
                 more.append((kind, *span))
     return base, more
 
@@ -212,7 +213,7 @@ SPAN_TYPE = "array<struct<kind:string,start:int,end:int,plain:boolean>>"
 _span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("plain", pa.bool_())]))
 
 
-def _spans(names: list[str]):
+def _spans(names: list[str], into: str = "spans"):
     def run(batches):
         for batch in batches:
             column, out = batch.column(batch.schema.names.index("text")), []
@@ -225,7 +226,7 @@ def _spans(names: list[str]):
                         continue
                     base, more = find(data[int(offsets[k]) : int(offsets[k + 1])].decode("utf-8", "replace"), bool(strange[k]))
                     out.append([{"kind": KINDS[k], "start": s, "end": e, "plain": p} for k, s, e, p in sorted([(*x, True) for x in base] + [(*x, False) for x in more])])
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array([x or [] for x in out], _span)], [*names, "spans"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array([x or [] for x in out], _span)], [*names, into])
 
     return run
 
@@ -233,8 +234,8 @@ def _spans(names: list[str]):
 def find_private(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns in keep, and spans (kind, start, end, plain) by kind, then start.
 
-    plain spans are those of the patterns on the text itself; the others were disguised and never overlap
-    a plain one of their kind. A null text is empty and has no spans; repeated rows get a row each; texts
+    plain spans are those of the patterns on the text itself; the others were disguised and never lie within
+    a plain one of their kind (they may hold one, whose beginning alone was disguised). A null text is empty and has no spans; repeated rows get a row each; texts
     of any length are read whole, in time that grows with their length.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -264,9 +265,11 @@ def redact(docs: DataFrame) -> DataFrame:
     others = [n for n in names if n != "text"]
     source = docs.select(*others, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
+    into = unused("spans", *names)
+
     def run(batches):
-        for batch in _spans([*others, "text"])(batches):
-            text = pa.array(list(_redacted(batch.column("text").to_pylist(), batch.column("spans").to_pylist())), pa.string())
+        for batch in _spans([*others, "text"], into)(batches):
+            text = pa.array(list(_redacted(batch.column("text").to_pylist(), batch.column(into).to_pylist())), pa.string())
             yield pa.RecordBatch.from_arrays([text if n == "text" else batch.column(n) for n in names], names)
 
     fields = ", ".join(f"`{n}` {'string' if n == 'text' else docs.schema[n].dataType.simpleString()}" for n in names)

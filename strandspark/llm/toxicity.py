@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import stash, texts
+from .common import stash, texts, unused
 
 SAMPLE = 20_000
 NEAR = 5
+#: Part of a score that is the trees' own; the rest is calibrated.
+ORDER = 0.02
 #: Learnt lexicons: of the first so many bytes of words (None: whole words), at 2**PLACES places each;
 #: a word counts with LEAST texts labelled 1 and is strong from log odds of STRONG on.
 BEGINNINGS = (None, 4, 6, 8)
@@ -206,21 +208,17 @@ class Boosted:
 
 
 def isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: knots of a rising curve from margin to share of label 1. Two
-    rows, one of each label, are added at either end, so that no pool claims certainty."""
+    """Pool adjacent violators: knots of a rising curve from margin to share of label 1, one for each pool
+    at its mean margin. Half a row of the overall share is added to each pool, so that none claims certainty."""
     order = np.argsort(margin, kind="stable")
     pools: list[list[float]] = []
     for m, t in zip(margin[order].tolist(), y[order].tolist(), strict=True):
         pools.append([t, 1.0, m, m])
-        while len(pools) > 1 and (pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1] or pools[-2][3] == pools[-1][2]):
-            t1, n1, _, hi = pools.pop()
-            pools[-1] = [pools[-1][0] + t1, pools[-1][1] + n1, pools[-1][2], hi]
-    x, v = [], []
-    for total, n, lo, hi in pools:
-        share = (total + 0.5 * y.mean()) / (n + 0.5)
-        x += [lo] if lo == hi else [lo, hi]
-        v += [share] if lo == hi else [share, share]
-    return np.array(x), np.maximum.accumulate(np.array(v))
+        while len(pools) > 1 and (pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1] or pools[-2][3] == m):
+            t1, n1, sum1, hi = pools.pop()
+            pools[-1] = [pools[-1][0] + t1, pools[-1][1] + n1, pools[-1][2] + sum1, hi]
+    share = np.array([(total + 0.5 * y.mean()) / (n + 0.5) for total, n, _, _ in pools])
+    return np.array([sums / n for _, n, sums, _ in pools]), np.maximum.accumulate(share)
 
 
 class Model:
@@ -242,7 +240,9 @@ class Model:
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(x), self.constant)
-        return np.clip(np.interp(self.trees.margin(x), self.knots, self.shares), 0, 1)
+        margin = self.trees.margin(x)
+        # A little of the margin itself keeps the order of texts between and beyond the knots.
+        return np.clip((1 - ORDER) * np.interp(margin, self.knots, self.shares) + ORDER / (1 + np.exp(-np.clip(margin, -35, 35))), 0, 1)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int) -> DataFrame:
@@ -250,7 +250,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     lets the sample's ids be broadcast. Rows with a null doc_id or label are left out."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & learn)
     picked = usable.select("doc_id", (F.col(label) == 1).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(bound)
-    return texts(docs).join(F.broadcast(picked), "doc_id")
+    # An id that repeats in docs counts with one of its texts, so the bound holds for what is joined too.
+    return texts(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = SAMPLE) -> tuple[Model, np.ndarray]:
@@ -279,12 +280,13 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = SAMPLE
     """doc_id, the columns in keep, and score (0..1, named as into says) of every row. Null texts are empty; they and texts
     without words get the score of their features, as all others; repeated rows score alike."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, learn, bound))
-    source = docs.select("doc_id", *keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
     names = ["doc_id", *keep]
+    whole = unused("_text", *names)
+    source = docs.select(*names, F.coalesce(F.col("text").cast("string"), F.lit("")).alias(whole))
 
     def run(batches):
         for batch in batches:
-            column = batch.column("_text")
+            column = batch.column(whole)
             got = np.concatenate([model.value[0].score(x) for _, _, x in feature_blocks(column, model.value[1])] or [np.zeros(0)])
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(got)], [*names, into])
 
