@@ -147,13 +147,13 @@ def _scan(lookup, extra: list[str], schema: pa.Schema):
                             spans[r].append({"start": a - base, "end": edge_of - base})
                         a, r = max(a, edge_of), r + 1
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([part.column(0), *(part.column(2 + k) for k in range(len(extra))), pa.array(block.n_words.astype(np.int64)), pa.array([sorted(x) for x in items], schema.field("items").type), pa.array(spans, schema.field("hits").type)], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column(0), *(part.column(2 + k) for k in range(len(extra))), pa.array(block.n_words.astype(np.int64)), pa.array([sorted(x) for x in items], schema.field(len(schema) - 2).type), pa.array(spans, schema.field(len(schema) - 1).type)], schema=schema)
 
     return run
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_words: int = 2_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row of docs: doc_id, the columns named in keep, n_words, items (ids of the benchmark
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_words: int = 2_000_000, keep: tuple[str, ...] = (), into: tuple[str, str, str] = ("n_words", "items", "hits")) -> DataFrame:
+    """Per row of docs: doc_id, the columns named in keep, and as into names them n_words, items (ids of the benchmark
     items with a window that occurs, as strings in order) and hits (spans of words inside
     such windows, joined where they touch or overlap).
 
@@ -162,16 +162,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_w
     length is read whole. Other columns of either table are not looked at.
     """
     spark = docs.sparkSession
-    kind = benchmark.schema["item_id"].dataType.simpleString()
-    found = stash(benchmark.select("item_id", F.col("text").cast("string").alias("text")).mapInArrow(_benchmark_words, f"item_id {kind}, n long, one array<long>, two array<long>, size array<long>"), "benchmark-words")
+    id_type = benchmark.schema["item_id"].dataType.simpleString()
+    found = stash(benchmark.select("item_id", F.col("text").cast("string").alias("text")).mapInArrow(_benchmark_words, f"item_id {id_type}, n long, one array<long>, two array<long>, size array<long>"), "benchmark-words")
     n_blocks = max(1, -(-(found.agg(F.sum("n")).first()[0] or 0) // block_words))
-    text, row_id = unused("_text", *docs.columns), unused("_row", *docs.columns)
+    text, row_id = unused("_text", *docs.columns), unused("_row", *docs.columns, *into)
     source = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias(text), *keep)
     if n_blocks > 1:
         source = stash(source.withColumn(row_id, F.monotonically_increasing_id()), "rows")
         keep = (*keep, row_id)
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-    out_schema = T.StructType([source.schema["doc_id"], *(source.schema[c] for c in keep), T.StructField("n_words", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("hits", span)])
+    out_schema = T.StructType([source.schema["doc_id"], *(source.schema[c] for c in keep), *(T.StructField(c, kind) for c, kind in zip(into, (T.LongType(), T.ArrayType(T.StringType()), span), strict=True))])
     from pyspark.sql.pandas.types import to_arrow_schema
 
     passes = []
@@ -184,14 +184,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_w
     every = passes[0]
     for x in passes[1:]:
         every = every.unionByName(x)
-    return _united(every, [c for c in keep if c != row_id], row_id, span)
+    return _united(every, [c for c in keep if c != row_id], row_id, span, into)
 
 
-def _united(every: DataFrame, keep: list[str], row_id: str, span) -> DataFrame:
+def _united(every: DataFrame, keep: list[str], row_id: str, span, into: tuple[str, str, str]) -> DataFrame:
     def joined(out, x):
         last = F.try_element_at(out, F.lit(-1))
         longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
         return F.when((F.size(out) > 0) & (last["end"] >= x["start"]), F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(out, F.array(x))).cast(span)
 
-    united = every.groupBy(row_id).agg(*(F.first(c).alias(c) for c in ("doc_id", *keep, "n_words")), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits")).drop(row_id)
-    return united.withColumn("hits", F.aggregate("hits", F.array().cast(span), joined))
+    united = every.groupBy(row_id).agg(*(F.first(c).alias(c) for c in ("doc_id", *keep, into[0])), F.array_sort(F.array_distinct(F.flatten(F.collect_list(into[1])))).alias(into[1]), F.array_sort(F.flatten(F.collect_list(into[2]))).alias(into[2])).drop(row_id)
+    return united.withColumn(into[2], F.aggregate(into[2], F.array().cast(span), joined))
