@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandspark.llm import decontaminate, jaccard_join, packing, private_data, toxicity
-from strandspark.llm.common import crc32_of_id, small, stash, table
+from strandspark.llm.common import crc32_of_id, small, stash, table, unused
 
 REJECT_FROM = 0.5
 
@@ -23,25 +23,29 @@ def _others(docs: DataFrame) -> tuple[str, ...]:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Labels of rows held out by op4's rule train nothing here either."""
-    scored = toxicity.score(docs, table(spark, sf_dir, "labels"), crc32_of_id() % 5 != 0, keep=_others(docs), into="_toxicity")
-    return scored.where(F.col("_toxicity") < REJECT_FROM).select(*docs.columns)
+    into = unused("_toxicity", *docs.columns)
+    scored = toxicity.score(docs, table(spark, sf_dir, "labels"), crc32_of_id() % 5 != 0, keep=_others(docs), into=into)
+    return scored.where(F.col(into) < REJECT_FROM).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of rows that repeat both id and text one stays; a row with a null id stays with the others of its text."""
     found = stash(jaccard_join.near_copies(docs, k=5, num=80, den=100), "near-copies")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg((F.count("*") > 1).alias("_again"))
+    kept_id, again, rank = (unused(c, *docs.columns) for c in ("_id", "_again", "_rank"))
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(kept_id)).agg((F.count("*") > 1).alias(again))
     kept = stash(kept, "kept-ids")
-    rows = docs.join(small(kept, kept.count()), F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = rows.where(~F.col("_again"))
+    rows = docs.join(small(kept, kept.count()), F.col("doc_id").eqNullSafe(F.col(kept_id)))
+    once = rows.where(~F.col(again))
     # Rows that repeat an id are few; of those with one text, one stays.
-    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*(F.col(c) for c in docs.columns))
-    again = rows.where("_again").withColumn("_n", F.row_number().over(order)).where("_n = 1")
-    return once.select(*docs.columns).unionByName(again.select(*docs.columns))
+    order = Window.partitionBy("doc_id", "text").orderBy(*(F.col(c) for c in docs.columns))
+    several = rows.where(F.col(again)).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return once.select(*docs.columns).unionByName(several.select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=_others(docs))
-    return found.where(F.size("hits") == 0).select(*docs.columns)
+    into = tuple(unused(c, *docs.columns) for c in ("n_words", "items", "hits"))
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=_others(docs), into=into)
+    return found.where(F.size(into[2]) == 0).select(*docs.columns)
 
 
 def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
