@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-#: Rows that travel to a Python worker at a time: whole texts are long, and both sides hold a batch or two.
-BATCH_ROWS = 1_000
+#: Rows, and bytes, that travel to a Python worker at a time: whole texts are long, and both sides hold a batch or two.
+BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to BATCH_ROWS rows, unless they are smaller already."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Lowers the session's Arrow batches to BATCH_ROWS rows and BATCH_BYTES, unless they are smaller already."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(rows, "10000")) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    if spark.conf.get(size, "64m") in ("64m", "67108864b"):
+        spark.conf.set(size, f"{BATCH_BYTES}b")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -53,7 +53,7 @@ BAND_RATIO = 1.4
 #: More spare segments cost signatures and ask more company of a node.
 LEAST_SPARE = 3
 #: What a pivot leaves open among so many members is settled in one task, if they have so many elements at most.
-SETTLED, SETTLED_ELEMENTS = 2_048, 4_000_000
+SETTLED, SETTLED_ELEMENTS = 2_048, 2_000_000
 #: Members of a cluster that meet one copy of their pivot's set.
 PER_PIVOT = 256
 #: Places at which elements of candidates are counted, for an order from rare to frequent.
@@ -248,6 +248,7 @@ def _differ(num: int, den: int, with_elements: bool):
                 yield pa.RecordBatch.from_arrays([*out, pa.array(n), pa.ListArray.from_arrays(edge, pa.array(W.signed(flat)))], ["pivot", "node", "near", "n", "apart"])
             else:
                 yield pa.RecordBatch.from_arrays(out, ["pivot", "node", "near"])
+            W.give_back()
 
     return run
 
@@ -294,6 +295,8 @@ def _verify_group(num: int, den: int):
                 found.append((node[i], node[near[root[near] == r][0]]))
                 root[root == r] = root[i]
         a, b = zip(*found, strict=True) if found else ((), ())
+        if len(values) > 100_000:
+            W.give_back()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
@@ -350,6 +353,7 @@ def _rare_elements(counted, num: int, den: int):
                 mine = W.spread((np.cumsum(n) - n)[some], length[some])
                 marked = W.mix(e[order[mine]] ^ W.mix(np.repeat(own[some] + step, length[some]).astype(np.uint64)))
                 yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(row[mine])), pa.array(W.signed(marked))], ["node", "e"])
+            W.give_back()
 
     return run
 

@@ -247,15 +247,17 @@ class Model:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, bound: int) -> DataFrame:
     """doc_id, text and y of at most bound labelled rows, the first by hash of doc_id; the bound is what
-    lets the sample's ids be broadcast. Rows with a null doc_id or label are left out."""
+    lets the sample's ids be broadcast. Rows with a null doc_id or label are left out; an id that repeats in
+    docs counts with one of its texts, so the bound holds for what is joined too."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & learn)
     picked = usable.select("doc_id", (F.col(label) == 1).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(bound)
-    # An id that repeats in docs counts with one of its texts, so the bound holds for what is joined too.
-    return texts(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    found = stash(texts(docs).join(F.broadcast(picked), "doc_id"), "labelled")
+    again = found.groupBy("doc_id", "y").agg(F.count("*").alias("c")).where("c > 1")
+    return found if again.isEmpty() else stash(found.groupBy("doc_id", "y").agg(F.min("text").alias("text")), "labelled-once")
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = SAMPLE) -> tuple[Model, np.ndarray]:
-    sample = stash(labelled_sample(docs, labels, "toxic", learn, bound).select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text"), "labelled")
+    sample = labelled_sample(docs, labels, "toxic", learn, bound).select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text")
     final, *halves = learn_lexicons(sample)
     shared = docs.sparkSession.sparkContext.broadcast(halves)
 

@@ -8,6 +8,7 @@ texts and about BLOCK_BYTES, so memory stays flat whatever a batch holds; one lo
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -182,6 +183,16 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(total)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Returns memory that a batch needed to the system: workers are kept, and others run beside them."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def cuts(column: pa.Array, limit: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of blocks of whole texts; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -201,6 +212,7 @@ def cuts(column: pa.Array, limit: int | None = None) -> Iterator[tuple[int, int,
         hi = min(hi, n)
         yield lo, hi, data[places[lo] : places[hi]], places[lo : hi + 1] - places[lo]
         lo = hi
+    give_back()
 
 
 def blocks(column: pa.Array, kind, limit: int | None = None) -> Iterator[tuple[int, int, Block]]:
