@@ -32,6 +32,8 @@ def shared_folder(spark: SparkSession) -> str:
     sets it. Only where it is unset (tests, one machine) a temporary folder is made."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="strandspark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
