@@ -7,13 +7,16 @@ words, each distinct one once, dealt to shards by anchor. A shard indexes its ru
 wavelet matrix) and streams them against it by backward search; wherever the match is `window` words
 or longer, the least doc_id among its occurrences is reported. Results go back to every class that holds the run.
 
-An anchor with more than `hot` distinct runs (the edge of a passage that thousands of documents share, each in
-its own context) would make one shard as large as its company: its runs are dealt by the hash of each window
-instead, and the least doc_id of a window is taken by aggregation.
+An anchor with more than `company` distinct runs (the edge of a passage that thousands of documents share, each
+in its own context) would make one shard as large as its company. Its runs are cut, by where the anchor stands in a
+window, into shorter runs of `WIDTHS` windows, dealt by the words that all windows of a cut have in common: equal
+windows still meet. A cut that is still crowded is cut again, at last into single windows, of which equal
+ones are one run. Every cut is indexed and searched as any run is, and what is found goes back along the cuts.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -25,6 +28,8 @@ from . import words as W
 from .common import rows_of, small, stash, texts
 from .fm_index import FMIndex
 
+#: Windows to a run where an anchor is crowded, by turns; the last must be 1.
+WIDTHS = (8, 1)
 NO_WORDS = hashlib.sha256(b"").hexdigest()
 
 
@@ -82,31 +87,64 @@ def _describe(window: int, gram: int):
     return go
 
 
+def _said(block: W.Block, first: np.ndarray, end: np.ndarray) -> list[bytes]:
+    """The words from first up to end (numbers in the block), joined by single blanks."""
+    data = block.bytes.tobytes()
+    return [b" ".join(data[x:y] for x, y in zip(block.starts[a:b].tolist(), block.ends[a:b].tolist(), strict=True)) for a, b in zip(first.tolist(), end.tolist(), strict=True)]
+
+
 def _extract(window: int):
-    """The words of each run asked for, or the hashes of its windows where its anchor is hot."""
+    """The words of each run asked for."""
 
     def go(batches):
         for batch in batches:
-            asked, keys, ids = batch.column("asked"), batch.column("key").to_numpy(), batch.column("doc_id")
-            fields = asked.values
-            anchor, run, start, n, last, hot = (fields.field(k).to_numpy(zero_copy_only=False) for k in range(6))
+            asked, keys, ids = batch.column("asked"), batch.column("key").to_numpy(), batch.column("doc_id").to_numpy()
+            anchor, run, start, n, last = (asked.values.field(k).to_numpy() for k in range(5))
             edge = asked.offsets.to_numpy()
             for lo, hi, block in W.blocks(batch.column("text"), W.AS_IS):
                 same = W.signed(_keys(block)) == keys[lo:hi]
-                data, h = block.bytes.tobytes(), block.hashes()
-                out: list[tuple] = []
-                for k in np.flatnonzero(same).tolist():
-                    base, rep = int(block.first_word[k]), ids[lo + k].as_py()
-                    for r in range(edge[lo + k], edge[lo + k + 1]):
-                        a = base + int(start[r])
-                        if hot[r]:
-                            out += [(int(x), int(run[r]), j, rep, int(last[r]), None) for j, x in enumerate(W.signed(W.grams(h[a : a + int(n[r]) + window - 1], window)).tolist())]
-                        else:
-                            b = a + int(n[r]) + window - 1
-                            out.append((int(anchor[r]), int(run[r]), 0, rep, int(last[r]), b" ".join(data[x:y] for x, y in zip(block.starts[a:b].tolist(), block.ends[a:b].tolist(), strict=True))))
-                if out:
-                    cols = list(zip(*out, strict=True))
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.binary())], ["place", "run", "offset", "rep", "last", "words"])
+                count = np.diff(edge[lo : hi + 1]).astype(np.int64)
+                row = np.repeat(np.arange(hi - lo), count)
+                mine = W.spread(edge[lo:hi].astype(np.int64), count)
+                row, mine = row[same[row]], mine[same[row]]
+                first = block.first_word[row] + start[mine]
+                said = _said(block, first, first + n[mine] + window - 1)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[mine]), pa.array(anchor[mine]), pa.array(run[mine]), pa.array(ids[lo:hi][row]), pa.array(last[mine]), pa.array(said, pa.binary())], ["place", "anchor", "run", "rep", "last", "words"])
+
+    return go
+
+
+def _cut(window: int, gram: int, width: int):
+    """Shorter runs: windows that have the same anchor at places of one stretch of `width`. Each knows the run it
+    was cut from and where it began there; its place is the hash of the words common to all windows so placed."""
+
+    def go(batches):
+        for batch in batches:
+            anchors, runs, reps, lasts = (batch.column(c).to_numpy() for c in ("anchor", "run", "rep", "last"))
+            for lo, hi, block in W.blocks(batch.column("words").cast(pa.large_binary()), W.AS_IS):
+                h, row_of, first, end, core, common = block.hashes(), [], [], [], [], []
+                g = W.signed(W.grams(h, gram))
+                for k in range(hi - lo):
+                    base, n = int(block.first_word[k]), int(block.n_words[k]) - window + 1
+                    at = np.flatnonzero(g[base : base + n + window - gram] == anchors[lo + k])
+                    place = at[np.searchsorted(at, np.arange(n))]
+                    part = (place - np.arange(n)) // width
+                    new = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (place[1:] != place[:-1])])
+                    least = part[new] * width  # words before the anchor: from least to most
+                    most = np.minimum(least + width - 1, window - gram)
+                    row_of.append(np.full(len(new), k))
+                    first.append(base + new)
+                    end.append(base + np.r_[new[1:], n] + window - 1)
+                    core.append(base + place[new] - least)
+                    common.append(window - most + least)
+                if not row_of:
+                    continue
+                row, a, b, c, size = (np.concatenate(x).astype(np.int64) for x in (row_of, first, end, core, common))
+                mine = lo + row
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(W.signed(W.hashes_in_order(h, c, size))), pa.array(anchors[mine]), pa.array(W.signed(W.hashes_in_order(h, a, b - a))), pa.array(runs[mine]), pa.array(a - block.first_word[row]), pa.array(reps[mine]), pa.array(lasts[mine]), pa.array(_said(block, a, b), pa.binary())],
+                    ["place", "anchor", "run", "parent", "offset", "rep", "last", "words"],
+                )
 
     return go
 
@@ -165,7 +203,7 @@ def _remove(window: int):
     return go
 
 
-def repeated_passages(docs: DataFrame, window: int = 50, gram: int = 20, hot: int = 4_096, shard_words: int = 100_000) -> DataFrame:
+def repeated_passages(docs: DataFrame, window: int = 50, gram: int = 20, company: int = 4_096, shard_words: int = 100_000) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256. A word goes if it lies in a window of so many
     consecutive words whose sequence also starts in a row with a smaller doc_id.
 
@@ -182,20 +220,34 @@ def repeated_passages(docs: DataFrame, window: int = 50, gram: int = 20, hot: in
     shared = stash(every.groupBy("anchor").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("anchor"), "shared-anchors")
     found = stash(every.join(small(shared, shared.count()), "anchor"), "runs-of-shared-anchors")
     distinct = stash(found.groupBy("anchor", "run").agg(F.min(F.struct("rep", "key", "start", "n")).alias("first"), F.max("rep").alias("last")), "distinct-runs")
-    crowded = stash(distinct.groupBy("anchor").agg(F.count("*").alias("c")).where(F.col("c") > hot).select("anchor", F.lit(True).alias("hot")), "crowded-anchors")
-    marked = distinct.join(small(crowded, crowded.count()), "anchor", "left")
-    asked = stash(marked.groupBy(F.col("first.rep").alias("doc_id"), F.col("first.key").alias("key")).agg(F.collect_list(F.struct("anchor", "run", F.col("first.start").alias("start"), F.col("first.n").alias("n"), "last", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked")), "asked-runs")
+    asked = stash(distinct.groupBy(F.col("first.rep").alias("doc_id"), F.col("first.key").alias("key")).agg(F.collect_list(F.struct("anchor", "run", F.col("first.start").alias("start"), F.col("first.n").alias("n"), "last")).alias("asked")), "asked-runs")
     wanted = rows_of(source, stash(asked.select("doc_id").distinct(), "asked-documents"))
-    pieces = stash(wanted.join(asked, "doc_id").select("doc_id", "text", "key", "asked").mapInArrow(_extract(window), "place long, run long, offset long, rep long, last long, words binary").dropDuplicates(["run", "offset"]), "pieces")
-
-    cold = pieces.where(F.col("words").isNotNull())
+    cells = "place long, anchor long, run long, rep long, last long, words binary"
+    pieces = stash(wanted.join(asked, "doc_id").select("doc_id", "text", "key", "asked").mapInArrow(_extract(window), cells).dropDuplicates(["run"]), "pieces")
     total = distinct.agg(F.sum(F.col("first.n") + window)).first()[0] or 0
+
+    settled, cuts = [], []
+    for width in WIDTHS:
+        crowded = stash(pieces.groupBy("place").agg(F.count("*").alias("c")).where(F.col("c") > company).select("place"), "crowded")
+        n_crowded = crowded.count()
+        if not n_crowded:
+            break
+        settled.append(pieces.join(small(crowded, n_crowded), "place", "left_anti"))
+        cut = stash(pieces.join(small(crowded, n_crowded), "place", "left_semi").select("anchor", "run", "rep", "last", "words").mapInArrow(_cut(window, gram, width), "place long, anchor long, run long, parent long, offset long, rep long, last long, words binary"), "cut-runs")
+        cuts.append(cut.select("run", "parent", "offset"))
+        # Places of one document have nothing to give or to lose.
+        company_of = stash(cut.groupBy("place").agg(F.min("rep").alias("low"), F.max("last").alias("high")).where("low < high").select("place"), "shared-places")
+        several = cut.join(small(company_of, company_of.count()), "place", "left_semi")
+        pieces = stash(several.groupBy("place", "anchor", "run").agg(F.min(F.struct("rep", "words")).alias("first"), F.max("last").alias("last")).select("place", "anchor", "run", "first.rep", "last", "first.words"), "distinct-cuts")
+        total += pieces.count() * (window + width)
+    settled.append(pieces)
     n_shards = max(1, -(-int(total) // shard_words))
-    searched = cold.withColumn("shard", F.pmod("place", F.lit(n_shards))).groupBy("shard").applyInArrow(_search_shard(window), "run long, lo long, hi long, least long")
-    windows = pieces.where(F.col("words").isNull())
-    least = stash(windows.groupBy("place").agg(F.min("rep").alias("least"), F.max("last").alias("top")).where("least < top").select("place", "least"), "window-least")
-    aggregated = windows.join(small(least, least.count()), "place").where("least < last").select("run", F.col("offset").alias("lo"), (F.col("offset") + 1).alias("hi"), "least")
-    matches = stash(searched.unionByName(aggregated), "matches")
+    runs_of_all = functools.reduce(DataFrame.unionByName, settled).select("place", "run", "rep", "last", "words")
+    searched = runs_of_all.withColumn("shard", F.pmod("place", F.lit(n_shards))).drop("place").groupBy("shard").applyInArrow(_search_shard(window), "run long, lo long, hi long, least long")
+    matches = stash(searched, "matches")
+    for cut in reversed(cuts):  # what is found in a cut holds in the run it came from
+        back = matches.join(cut, "run").select(F.col("parent").alias("run"), (F.col("lo") + F.col("offset")).alias("lo"), (F.col("hi") + F.col("offset")).alias("hi"), "least")
+        matches = matches.unionByName(back)
 
     spans = found.join(matches, "run").where("least < rep").select("key", F.col("rep").alias("doc_id"), F.struct((F.col("start") + F.col("lo")).cast("int").alias("a"), (F.col("start") + F.col("hi") + (window - 1)).cast("int").alias("b")).alias("s"))
     by_class = stash(spans.groupBy("key", "doc_id").agg(F.collect_list("s").alias("spans")), "spans")

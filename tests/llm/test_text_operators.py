@@ -141,8 +141,8 @@ def brute_removal(rows, window):
     return out
 
 
-@pytest.mark.parametrize("hot", [200, 2])
-def test_repeated_passages(spark, hot):
+@pytest.mark.parametrize("company", [200, 8, 1])
+def test_repeated_passages(spark, company):
     rng = random.Random(4)
     passage = [f"p{j}" for j in range(90)]
     rows = []
@@ -151,7 +151,7 @@ def test_repeated_passages(spark, hot):
         a, b = sorted(rng.sample(range(91), 2))
         rows.append((i, " ".join([*own, *passage[a:b], *own[::-1], *(passage if i % 3 == 0 else [])])))
     rows += [(100 + i, rows[i % 4][1]) for i in range(8)] + [(200, "z " * 400), (201, "z " * 300), (202, None), (203, "few words")]
-    found = substring_dedup.repeated_passages(with_clashes(spark.createDataFrame(rows, SCHEMA)), hot=hot).collect()
+    found = substring_dedup.repeated_passages(with_clashes(spark.createDataFrame(rows, SCHEMA)), company=company).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == brute_removal(rows, 50)
 
 
