@@ -1,15 +1,16 @@
 """Exact top-k by inner product: a ball tree over each shard, searched by branch and bound.
 
-Vectors are dealt to shards of about shard_rows rows; queries go to every shard in blocks of
-query_rows. A shard's task builds a ball tree (median splits along the direction of the
-farthest pair), bounds the scores in a ball by q.centre + |q| radius, and opens nodes in order of that
-bound until it falls below the query's k-th score. A first shard, searched before the others, gives
-each query a k-th score to start from, which all other shards share. Shards return k rows per query.
+Vectors are dealt to shards of about shard_rows rows. A shard's ball tree (median splits along the
+direction of the farthest pair) is built once and saved; queries go to the shards in blocks of query_rows. A
+search bounds the scores in a ball by q.centre + |q| radius, and opens nodes in order of that bound until
+it falls below the query's k-th score. Shards are searched in waves, each WAVE_GROWTH times as wide as the one
+before: a wave begins from the k-th scores that all shards before it have given together.
 """
 
 from __future__ import annotations
 
 import heapq
+import io
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from .common import stash
 
 LEAF = 128
+WAVE_GROWTH = 4
 
 
 class BallTree:
@@ -46,14 +48,28 @@ class BallTree:
         self.ids, self.rows = ids[order], np.ascontiguousarray(rows[order])
         self.centres, self.radii = np.array(centres), np.array(radii)
 
-    def search(self, queries: np.ndarray, own: np.ndarray, k: int, floors: np.ndarray) -> list[list[tuple[int, int]]]:
-        """Per query the k highest (score, -vec_id) in the shard that reach its floor, in no order."""
+    def saved(self) -> bytes:
+        """All of the tree; components are whole numbers below 2**26, so four bytes hold one."""
+        out = io.BytesIO()
+        np.savez(out, ids=self.ids, rows=self.rows.astype(np.int32), centres=self.centres, radii=self.radii, nodes=np.array(self.nodes, np.int64))
+        return out.getvalue()
+
+    @classmethod
+    def load(cls, data: bytes) -> BallTree:
+        tree = cls.__new__(cls)
+        with np.load(io.BytesIO(data)) as found:
+            tree.ids, tree.rows, tree.centres, tree.radii = found["ids"], found["rows"].astype(np.float64), found["centres"], found["radii"]
+            tree.nodes = [tuple(x) for x in found["nodes"].tolist()]
+        return tree
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int, floors: np.ndarray) -> list[dict[int, int]]:
+        """Per query the k best ids of the shard, ties to the smaller, that reach its floor, with their highest scores."""
         # The bound is rounded up a little, so that it never cuts off an equal score.
         bounds = queries @ self.centres.T + np.sqrt((queries**2).sum(1))[:, None] * self.radii
         bounds += 1e-9 * np.abs(bounds) + 1e-6
         out = []
         for q, mine, floor, bound in zip(queries, own.tolist(), floors.tolist(), bounds, strict=True):
-            best: list[tuple[int, int]] = []
+            best: dict[int, int] = {}
             level, heap = floor, [(-bound[0], 0)]
             while heap:
                 top, node = heapq.heappop(heap)
@@ -68,31 +84,37 @@ class BallTree:
                 scores = self.rows[lo:hi] @ q
                 at = np.flatnonzero((scores >= level) & (self.ids[lo:hi] != mine))
                 for s, v in zip(scores[at].tolist(), self.ids[lo:hi][at].tolist(), strict=True):
-                    pair = (int(s), -v)
-                    if len(best) < k:
-                        heapq.heappush(best, pair)
-                    elif pair > best[0]:
-                        heapq.heapreplace(best, pair)
-                if len(best) == k:
-                    level = max(level, best[0][0])
+                    if s < level or best.get(v, s - 1) >= s:
+                        continue
+                    best[v] = int(s)
+                    if len(best) > k:
+                        del best[min(best, key=lambda x: (best[x], -x))]
+                    if len(best) == k:
+                        level = max(level, min(best.values()))
             out.append(best)
         return out
 
 
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.array(column.combine_chunks().flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, width)
+
+
+def _build(shard: pa.Table) -> pa.Table:
+    width = shard["width"][0].as_py()
+    tree = BallTree(shard["vec_id"].to_numpy(), _matrix(shard["v"], width))
+    return pa.table({"width": pa.array([width], pa.int32()), "shard": shard["shard"][:1].combine_chunks(), "tree": pa.array([tree.saved()], pa.binary())})
+
+
 def _search(k: int):
-    def run(key, shard: pa.Table, queries: pa.Table) -> pa.Table:
-        none = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())}
-        if not shard.num_rows or not queries.num_rows:
-            return pa.table(none)
-        width = len(shard["v"][0])
-        queries = queries.rename_columns([c.removeprefix("q_") for c in queries.column_names])
-        rows, q = (np.array(x["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, width) for x in (shard, queries))
-        tree = BallTree(shard["vec_id"].to_numpy(), rows)
-        floors = queries["floor"].to_numpy().astype(np.float64)
-        asked = queries["vec_id"].to_numpy()
-        got = [(a, -v, s) for a, best in zip(asked.tolist(), tree.search(q, asked, k, floors), strict=True) for s, v in best]
-        a, v, s = (np.array(x, np.int64) for x in zip(*got, strict=True)) if got else (np.zeros(0, np.int64),) * 3
-        return pa.table({"query_id": a, "vec_id": v, "score": s})
+    def run(key, trees: pa.Table, queries: pa.Table) -> pa.Table:
+        found: list[tuple] = []
+        if trees.num_rows and queries.num_rows:
+            tree = BallTree.load(trees["tree"][0].as_py())
+            asked, floors = queries["q_vec_id"].to_numpy(), queries["q_floor"].to_numpy().astype(np.float64)
+            q = _matrix(queries["q_v"], key[0].as_py())
+            found = [(a, v, s) for a, best in zip(asked.tolist(), tree.search(q, asked, k, floors), strict=True) for v, s in best.items()]
+        columns = list(zip(*found, strict=True)) or [()] * 3
+        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("query_id", "vec_id", "score"), columns, strict=True)})
 
     return run
 
@@ -120,21 +142,31 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     clean = stash(vectors.where(usable(v) & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), scaled(v, scale).alias("v"), is_query.alias("asked"), F.size(v).alias("width")).dropDuplicates(["vec_id", "v"]), "vectors")
     sizes = clean.agg(F.count("*").alias("n"), F.sum(F.col("asked").cast("long")).alias("q")).first()
     shards, q_blocks = max(1, -(-sizes["n"] // shard_rows)), max(1, -(-(sizes["q"] or 0) // query_rows))
-    rows = clean.select("vec_id", "v", "width", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"))
-    asked = clean.where("asked").select("vec_id", "v", "width", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(q_blocks)).alias("q_block"))
-    low = F.lit(-(1 << 62)).cast("long")
-
-    def part(shard_rows_df: DataFrame, queries: DataFrame) -> DataFrame:
-        left = shard_rows_df.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)).cast("array<bigint>")))
-        key = ("width", "shard", "q_block")
-        right = queries.select(*(F.col(c).alias(f"q_{c}") for c in (*key, "vec_id", "v", "floor")))
+    # Rows of one id are dealt by their vectors too, so that an id with many of them fills no shard.
+    rows = clean.select("vec_id", "v", "width", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).alias("shard"))
+    trees = stash(rows.groupBy("width", "shard").applyInArrow(_build, "width int, shard long, tree binary"), "trees")
+    asked = clean.where("asked").select("vec_id", "v", "width", F.pmod(F.xxhash64("vec_id", "v", F.lit(7)), F.lit(q_blocks)).alias("q_block"))
+    key = ("width", "shard", "q_block")
+
+    def each(first: int, end: int) -> Column:
+        return F.explode(F.sequence(F.lit(first).cast("long"), F.lit(end - 1).cast("long")))
+
+    def best_of(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        highest = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return highest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def wave(first: int, end: int, floors: DataFrame) -> DataFrame:
+        left = trees.where(F.col("shard").between(first, end - 1)).withColumn("q_block", each(0, q_blocks))
+        sent = asked.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(-(1 << 62)))).withColumn("shard", each(first, end))
+        right = sent.select(*(F.col(c).alias(f"q_{c}") for c in (*key, "vec_id", "v", "floor")))
         return left.groupBy(*key).cogroup(right.groupBy(*(f"q_{c}" for c in key))).applyInArrow(_search(k), "query_id long, vec_id long, score long")
 
-    first = stash(part(rows.where("shard = 0"), asked.withColumn("shard", F.lit(0).cast("long")).withColumn("floor", low)), "first-shard")
-    got = first
-    if shards > 1:
-        floor = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
-        others = asked.join(floor, "vec_id", "left").withColumn("floor", F.coalesce("floor", low)).withColumn("shard", F.explode(F.sequence(F.lit(1), F.lit(shards - 1)).cast("array<bigint>")))
-        got = first.unionByName(part(rows.where("shard > 0"), others))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return got.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    first, wide = 0, 1
+    while first < shards:
+        end = min(shards, first + wide)
+        floors = best.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
+        best = stash(best_of(best.drop("rank").unionByName(wave(first, end, floors))), "best-so-far")
+        first, wide = end, wide * WAVE_GROWTH
+    return best

@@ -67,6 +67,24 @@ def test_top_k_equals_brute_force(spark):
     assert ball_tree.top_k(table.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_top_k_counts_an_id_of_many_vectors_once(spark):
+    rng = np.random.default_rng(2)
+    ids, v = np.r_[np.arange(60), np.full(300, 7), np.full(5, 20)], rng.normal(size=(365, 6)).round(2)
+    v[60:360] += 3  # the id with most rows has the highest scores of all
+    table = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v, strict=True)], "vec_id long, embedding array<double>")
+    whole = np.floor(1024 * v)
+    expected = {}
+    for q in range(0, 60, 10):
+        s = (whole @ whole[ids == q].T).max(1)
+        best = {int(i): int(s[ids == i].max()) for i in np.unique(ids) if i != q}
+        expected[q] = [(i, best[i]) for i in sorted(best, key=lambda i: (-best[i], i))[:10]]
+    for shard in (16_384, 30):
+        found = {}
+        for r in ball_tree.top_k(table, F.col("vec_id") % 10 == 0, shard_rows=shard, query_rows=4).orderBy("query_id", "rank").collect():
+            found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert found == expected
+
+
 @pytest.mark.parametrize(("url", "host", "path", "rule", "verdict"), [
     ("https://www.example.net/en/1?x", "www.example.net", "/en/1", "example.net/en/", "allow"), ("http://A.NET/spam", "a.net", "/spam", "net/", "block"),
     ("http://x.net", "x.net", "", None, "allow"), ("http://anet/", "anet", "/", None, "allow"), ("http://example.com/de/1#t", "example.com", "/de/1", "example.com/de/", "block"),
