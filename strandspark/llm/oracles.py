@@ -38,14 +38,15 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS comp
 def _judged() -> str:
     hit = lambda term: rf"regexp_matches(low, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')"
     strict = " + ".join(f"CAST({hit(x)} AS INT)" for x in urls.STRICT)
-    soft = " + ".join(f"CAST({hit(x)} AS INT)" for x in urls.SOFT)
+    soft = " + ".join(f"CAST({hit(x)} AS INT)" for x, _ in urls.SOFT)
+    weight = " + ".join(f"{n} * CAST({hit(x)} AS INT)" for x, n in urls.SOFT)
     fits = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
     longest = sorted(urls.RULES, key=lambda r: -len(r[0] + r[1]))
     rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for h, p, _ in longest) + " END"
-    verdict = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for h, p, v in longest) + f" WHEN n_strict > 0 OR n_soft >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END"
+    verdict = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for h, p, v in longest) + f" WHEN n_strict > 0 OR n_soft > 1 AND soft_weight >= {urls.SOFT_LIMIT} THEN 'block' ELSE 'allow' END"
     return rf"""WITH u AS (SELECT page_id, {_low("coalesce(url, '')")} AS low, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
-h AS (SELECT page_id, low, {_low("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, {strict} AS n_strict, {soft} AS n_soft FROM u)
-SELECT page_id, host, path, {rule} AS rule, {verdict} AS verdict, n_strict, n_soft FROM h"""
+h AS (SELECT page_id, low, {_low("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, {strict} AS n_strict, {soft} AS n_soft, {weight} AS soft_weight FROM u)
+SELECT page_id, host, path, {rule} AS rule, {verdict} AS verdict, n_strict, n_soft, soft_weight FROM h"""
 
 
 _HITS = rf"""WITH d AS (SELECT doc_id, regexp_extract_all({_low("coalesce(text, '')")}, '{_ALNUM}') AS w FROM documents),

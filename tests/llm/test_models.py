@@ -89,13 +89,23 @@ def test_top_k_counts_an_id_of_many_vectors_once(spark):
     ("https://www.example.net/en/1?x", "www.example.net", "/en/1", "example.net/en/", "allow"), ("http://A.NET/spam", "a.net", "/spam", "net/", "block"),
     ("http://x.net", "x.net", "", None, "allow"), ("http://anet/", "anet", "/", None, "allow"), ("http://example.com/de/1#t", "example.com", "/de/1", "example.com/de/", "block"),
     ("http://a.org/spam-1", "a.org", "/spam-1", None, "block"), ("http://a.org/spammer", "a.org", "/spammer", None, "allow"), ("http://a.org/free-BONUS", "a.org", "/free-BONUS", None, "block"),
-    ("http://a.org/free-free", "a.org", "/free-free", None, "allow"), (None, "", "", None, "allow"), ("no scheme", "", "", None, "allow"), ("", "", "", None, "allow"),
+    ("http://a.org/free-free", "a.org", "/free-free", None, "allow"), ("http://a.org/hot-deal", "a.org", "/hot-deal", None, "allow"),
+    ("http://a.org/hot-deal-free", "a.org", "/hot-deal-free", None, "block"), ("http://a.org/?win=" + "x" * 100_000 + "&free+bonus", "a.org", "/", None, "block"), (None, "", "", None, "allow"), ("no scheme", "", "", None, "allow"), ("", "", "", None, "allow"),
 ])
 def test_urls(spark, url, host, path, rule, verdict):
     row = urls.judge(spark.createDataFrame([(1, url, "clash")], "page_id long, url string, host string")).first()
     assert (row.host, row.path, row.rule, row.verdict) == (host, path, rule, verdict)
 
 
+def test_urls_of_repeated_rows_empty_tables_and_own_vocabularies(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/x", "k"), (1, "http://a.org/x", "k"), (None, "http://b.org/y-z", "k")], "page_id long, url string, host string")
+    assert sorted((r.page_id or 0, r.verdict) for r in urls.judge(pages).collect()) == [(0, "allow"), (1, "allow"), (1, "allow")]
+    own = urls.judge(pages, strict=("x",), soft=(("y", 3), ("z", 1)), soft_limit=4).collect()
+    assert sorted((r.page_id or 0, r.verdict, r.soft_weight) for r in own) == [(0, "block", 4), (1, "block", 0), (1, "block", 0)]
+    assert {r.verdict for r in urls.judge(pages, strict=(), soft=(("y", 9),)).collect()} == {"allow"}  # one soft term never rejects
+    assert urls.judge(pages.limit(0)).count() == 0 and {r.n_soft for r in urls.judge(pages, strict=(), soft=()).collect()} == {0}
+
+
 @pytest.mark.parametrize("name", sorted(__import__("strandspark.llm.oracles", fromlist=["ORACLES"]).ORACLES))
 def test_same_rows_as_sql(spark, name):
     import os
