@@ -249,3 +249,52 @@ def joined_reasons(*parts: tuple[Column, Column], separator: str = "; ") -> Colu
 def direction(gwas: Column, qtl: Column) -> Column:
     s = F.signum(gwas * qtl)
     return F.when(s > 0, "INHIBIT").when(s < 0, "ACTIVATE")
+
+
+# What a context or class of variants still asks for, in the order of the report. A need is left out
+# where its resource is at hand; two of them are asked for whatever is at hand.
+CODING_RESOURCES = (("CLINVAR", "CLINVAR"), ("CADD", "CADD"))
+GENERAL_RESOURCES = (("MENDELIAN", "MENDELIAN_GENE_DISEASE_RESOURCE"), ("GENE_CONSTRAINT", "GNOMAD_GENE_CONSTRAINT"))
+COLOCALISED_CLASSES = ("EXPRESSION_MEDIATED", "EXPRESSION_MEDIATED_NONCODING", "SPLICING_MEDIATED", "MULTI_MECHANISM")
+
+
+def followups(context: Column, mechanism_class: Column, at_hand: Column) -> Column:
+    """What a variant still needs, joined by ";", given the names of the resources at hand (an array)."""
+    context, mechanism_class = (F.coalesce(c, F.lit("")) for c in (context, mechanism_class))
+    lacks = lambda name: ~F.coalesce(F.array_contains(at_hand, name), F.lit(False))
+    return joined_reasons(
+        (context == "CODING_PTV_OR_CANONICAL_SPLICE", F.lit("LOFTEE_HIGH_CONFIDENCE_LOF")),
+        ((context == "CODING_MISSENSE_OR_PROTEIN_ALTERING") & lacks("ALPHAMISSENSE"), F.lit("ALPHAMISSENSE")),
+        *((context.startswith("CODING") & lacks(name), F.lit(need)) for name, need in CODING_RESOURCES),
+        (mechanism_class.isin(*COLOCALISED_CLASSES), F.lit("FORMAL_COLOCALISATION_VALIDATION")),
+        *((lacks(name), F.lit(need)) for name, need in GENERAL_RESOURCES),
+        separator=";",
+    )
+
+
+def target_score(organism: Column, kind: Column, synonyms: Column, preferred: Column, symbol: Column) -> Column:
+    """Points of one record of a target for a gene symbol: 100 human, 50 a single protein or 20 another one,
+    100 for the symbol among the synonyms (an array), 20 for it as a word of the preferred name."""
+    kind, wanted = F.upper(F.coalesce(kind, F.lit(""))), F.upper(F.trim(F.coalesce(symbol, F.lit(""))))
+    among = F.exists(F.coalesce(synonyms, F.array().cast("array<string>")), lambda x: F.upper(F.trim(x)).eqNullSafe(wanted)) & (wanted != "")
+    word = F.array_contains(F.split(F.upper(F.trim(F.coalesce(preferred, F.lit("")))), r"\s+"), wanted) & (wanted != "")
+    on = lambda c, points: F.when(c, points).otherwise(0)
+    protein = F.when(kind == "SINGLE PROTEIN", 50).when(F.contains(kind, F.lit("PROTEIN")), 20).otherwise(0)
+    return on(F.lower(F.coalesce(organism, F.lit(""))) == "homo sapiens", 100) + protein + on(among, 100) + on(word, 20)
+
+
+# Fixed format of a signal: experiment, file, assay, value, biosample, tissue, sample type, life stage, score.
+SIGNAL_FIELDS = {"experiments": 1, "files": 2, "assays": 3, "biosamples": 5, "tissues": 6, "life_stages": 8}
+SIGNAL_SCORE = 9
+
+
+def active_signals(signals: Column, least: float) -> Column:
+    """Of signals (arrays of text) those whose score reaches least: a struct of their distinct non-empty fields, in
+    order of appearance, and their number. Signals that are NULL, too short or without a finite score don't count."""
+    score = lambda x: F.try_element_at(x, F.lit(SIGNAL_SCORE)).try_cast("double")
+    active = F.filter(F.coalesce(signals, F.array().cast("array<array<string>>")), lambda x: F.coalesce((score(x) >= least) & ~F.isnan(score(x)) & (score(x) < float("inf")), F.lit(False)))
+
+    def field(place: int) -> Column:
+        return F.array_distinct(F.filter(F.transform(active, lambda x: F.trim(F.try_element_at(x, F.lit(place)))), lambda x: x != ""))
+
+    return F.struct(F.size(active).alias("n_active"), *(field(place).alias(name) for name, place in SIGNAL_FIELDS.items()))

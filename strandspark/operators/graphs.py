@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 
 def _saved(df: DataFrame) -> DataFrame:
-    """df written to the folder all executors share, so that rounds don't stack up in the plan."""
+    """df written to the folder all executors share, so that rounds don't stack up in the plan. The file
+    system removes it when the JVM ends."""
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -19,6 +20,8 @@ def _saved(df: DataFrame) -> DataFrame:
         root = "file://" + tempfile.mkdtemp(prefix="strandspark-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/graph-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -56,3 +59,19 @@ def page_rank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6,
         if change is None or change < tolerance:
             break
     return rank
+
+
+def distances(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """seed, node, hops and distance: the fewest edges, and the least sum of edge distances, from each seed (column
+    node) to each node it reaches over undirected edges (a, b, distance). A seed without edges reaches itself alone.
+    Each round only what became nearer in the last one is carried on, so rounds end with the longest best path."""
+    both = _saved(edges.select(F.col("a").alias("u"), F.col("b").alias("v"), "distance").unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"), "distance")).groupBy("u", "v").agg(F.min("distance").alias("step")))
+    start = seeds.where("node IS NOT NULL").select(F.col("node").alias("seed"), "node").distinct()
+    state = _saved(start.select("seed", "node", F.lit(0).cast("long").alias("hops"), F.lit(0.0).alias("distance"), F.lit(True).alias("moved")))
+    while not state.where("moved").isEmpty():
+        offered = state.where("moved").join(both, F.col("node") == F.col("u")).select("seed", F.col("v").alias("node"), (F.col("hops") + 1).alias("hops"), (F.col("distance") + F.col("step")).alias("distance"), F.lit(False).alias("old"))
+        known = state.select("seed", "node", "hops", "distance", F.lit(True).alias("old"))
+        nearest = known.unionByName(offered).groupBy("seed", "node").agg(F.min("hops").alias("hops"), F.min("distance").alias("distance"), F.min(F.when(F.col("old"), F.col("hops"))).alias("h"), F.min(F.when(F.col("old"), F.col("distance"))).alias("d"))
+        nearer = F.col("h").isNull() | (F.col("hops") < F.col("h")) | (F.col("distance") < F.col("d"))
+        state = _saved(nearest.select("seed", "node", "hops", "distance", nearer.alias("moved")))
+    return state.drop("moved")

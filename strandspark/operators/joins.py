@@ -82,3 +82,24 @@ def shared_members(df: DataFrame, owner: str, member: str) -> DataFrame:
 
 def duplicate_flags(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("is_duplicate", F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
+
+
+def signature(*parts: str):
+    """Hash of columns as text, NULL apart from empty, each with its length, so that no two rows of parts run together."""
+    return F.sha2(F.concat(*(F.coalesce(F.concat(F.length(F.col(p).cast("string")), F.lit(":"), F.col(p).cast("string")), F.lit("-")) for p in parts)), 256)
+
+
+def unfinished(items: DataFrame, manifest: DataFrame, identity: Sequence[str], parameters: Sequence[str], into: str = "signature") -> DataFrame:
+    """Items, with their signature, that the manifest (the same columns, and complete) doesn't list as complete with the
+    same identity and parameters: what a resumed run still has to do."""
+    done = manifest.where("complete").select(signature(*identity, *parameters).alias(into)).distinct()
+    return items.withColumn(into, signature(*identity, *parameters)).join(done, into, "left_anti")
+
+
+def chosen_target(wanted: DataFrame, records: DataFrame, key: str, record: str, score: str, least: int = 100) -> DataFrame:
+    """Per key of wanted the record with the highest score, the first of equal ones by record, and a status:
+    SCORE_n, NO_CONFIDENT_HUMAN_MATCH below least (no record then), NO_RESULTS without records."""
+    best = records.groupBy(key).agg(F.max(F.col(score)).alias("_s"), F.min_by(F.col(record), F.struct(-F.col(score), F.col(record))).alias("_r"))
+    found = wanted.select(key).distinct().join(best, key, "left")
+    status = F.when(F.col("_s").isNull(), "NO_RESULTS").when(F.col("_s") < least, "NO_CONFIDENT_HUMAN_MATCH").otherwise(F.concat(F.lit("SCORE_"), F.col("_s").cast("string")))
+    return found.select(key, F.when(F.col("_s") >= least, F.col("_r")).alias(record), status.alias("status"))

@@ -960,3 +960,82 @@ def network_centrality(t):
     """KRN-17: betweenness, closeness and communities of small networks."""
     e = _edges(t).where("score > 0.08").withColumn("network", F.lit(1))
     return grouped.centrality(e, "network").select("network", "node", r6(col("betweenness")).alias("betweenness"), r6(col("closeness")).alias("closeness"), "community")
+
+
+def _sql_distances(rounds: int) -> str:
+    """Shortest paths of at most so many edges, a table for each number of edges; no network here needs as many."""
+    steps = ["d0 AS MATERIALIZED (SELECT s_suppkey AS seed, s_suppkey AS node, 0 AS hops, 0.0::DOUBLE AS distance FROM supplier WHERE s_suppkey % 4 = 0)"]
+    for k in range(1, rounds + 1):
+        steps.append(f"d{k} AS MATERIALIZED (SELECT seed, node, min(hops) AS hops, min(distance) AS distance FROM (SELECT * FROM d{k - 1} UNION ALL SELECT seed, v, hops + 1, distance + step FROM d{k - 1} JOIN n ON n.u = node) GROUP BY 1, 2)")
+    both = "n AS MATERIALIZED (SELECT a AS u, b AS v, greatest(1e-6, 1 - score) AS step FROM ed UNION ALL SELECT b, a, greatest(1e-6, 1 - score) FROM ed)"
+    return f"WITH {SQL_EDGES}, {both}, {', '.join(steps)} SELECT seed, node, CAST(hops AS BIGINT) AS hops, round(distance, 6) AS distance FROM d{rounds}"
+
+
+@query(_sql_distances(10))
+def seed_distances(t):
+    """KRN-17: hops and weighted distance from seeds."""
+    found = graphs.distances(_edges(t), t("supplier").where("s_suppkey % 4 = 0").select(col("s_suppkey").alias("node")))
+    return found.select("seed", "node", "hops", r6(col("distance")).alias("distance"))
+
+
+AT_HAND = ("ALPHAMISSENSE", "CADD", "MENDELIAN")
+
+
+@query(f"""WITH {SQL_CONSEQUENCES}, k AS (SELECT *, {SQL_BY_TERM} AS category FROM l), x AS (SELECT p_partkey, {_sql_context()} AS context, CASE p_partkey % 3 WHEN 0 THEN 'MULTI_MECHANISM' WHEN 1 THEN 'SPLICING_MEDIATED' END AS class, CASE WHEN p_partkey % 2 = 0 THEN {_sql_list(AT_HAND)} ELSE [] END AS have FROM k)
+SELECT p_partkey, concat_ws(';', CASE WHEN context = 'CODING_PTV_OR_CANONICAL_SPLICE' THEN 'LOFTEE_HIGH_CONFIDENCE_LOF' END, CASE WHEN context = 'CODING_MISSENSE_OR_PROTEIN_ALTERING' AND NOT list_contains(have, 'ALPHAMISSENSE') THEN 'ALPHAMISSENSE' END,
+CASE WHEN starts_with(context, 'CODING') AND NOT list_contains(have, 'CLINVAR') THEN 'CLINVAR' END, CASE WHEN starts_with(context, 'CODING') AND NOT list_contains(have, 'CADD') THEN 'CADD' END, CASE WHEN class IS NOT NULL THEN 'FORMAL_COLOCALISATION_VALIDATION' END,
+CASE WHEN NOT list_contains(have, 'MENDELIAN') THEN 'MENDELIAN_GENE_DISEASE_RESOURCE' END, CASE WHEN NOT list_contains(have, 'GENE_CONSTRAINT') THEN 'GNOMAD_GENE_CONSTRAINT' END) AS needs FROM x""")
+def followup_needs(t):
+    """PRJ-21."""
+    c, b, k = col("consequence"), col("biotype"), col("p_partkey")
+    context = classify.variant_context(classify.terms_of(c), b, classify.functional_category(c, b))
+    mechanism_class = F.when(k % 3 == 0, "MULTI_MECHANISM").when(k % 3 == 1, "SPLICING_MEDIATED")
+    at_hand = F.when(k % 2 == 0, F.array(*map(F.lit, AT_HAND))).otherwise(F.array().cast("array<string>"))
+    return _consequences(t).select("p_partkey", classify.followups(context, mechanism_class, at_hand).alias("needs"))
+
+
+@query("""WITH r AS (SELECT p_brand, p_partkey, CASE WHEN p_partkey % 3 > 0 THEN 'Homo Sapiens' ELSE 'Mus musculus' END AS organism, CASE p_size % 3 WHEN 0 THEN 'single protein' WHEN 1 THEN 'PROTEIN COMPLEX' ELSE 'CELL-LINE' END AS kind, p_type, p_name FROM part),
+s AS (SELECT p_brand, p_partkey, CASE WHEN organism = 'Homo Sapiens' THEN 100 ELSE 0 END + CASE kind WHEN 'single protein' THEN 50 WHEN 'PROTEIN COMPLEX' THEN 20 ELSE 0 END + CASE WHEN p_type = 'SMALL' THEN 100 ELSE 0 END + CASE WHEN list_contains(string_split(upper(p_name), ' '), 'SMALL') THEN 20 ELSE 0 END AS score FROM r WHERE p_brand <> 'Brand#7' AND (p_brand <> 'Brand#9' OR organism <> 'Homo Sapiens' AND p_type <> 'SMALL')),
+b AS (SELECT p_brand, p_partkey, score, row_number() OVER (PARTITION BY p_brand ORDER BY score DESC, p_partkey) AS rn FROM s)
+SELECT w.p_brand, CASE WHEN score >= 100 THEN p_partkey END AS p_partkey, CASE WHEN score IS NULL THEN 'NO_RESULTS' WHEN score < 100 THEN 'NO_CONFIDENT_HUMAN_MATCH' ELSE 'SCORE_' || score END AS status FROM (SELECT DISTINCT p_brand FROM part) w LEFT JOIN b ON b.p_brand = w.p_brand AND rn = 1""")
+def target_choice(t):
+    """PRJ-34: the best record of each symbol; one brand has no records, one none that is good enough."""
+    organism = F.when(col("p_partkey") % 3 > 0, "Homo Sapiens").otherwise("Mus musculus")
+    kind = F.when(col("p_size") % 3 == 0, "single protein").when(col("p_size") % 3 == 1, "PROTEIN COMPLEX").otherwise("CELL-LINE")
+    scored = t("part").select("p_brand", "p_partkey", "p_type", organism.alias("organism"), classify.target_score(organism, kind, F.array("p_type"), col("p_name"), F.lit(" small ")).alias("score"))
+    records = scored.where("p_brand <> 'Brand#7' AND (p_brand <> 'Brand#9' OR organism <> 'Homo Sapiens' AND p_type <> 'SMALL')")
+    return joins.chosen_target(t("part"), records, "p_brand", "p_partkey", "score")
+
+
+@query("""SELECT user_id, CAST(count_if(value >= 1.64) AS BIGINT) AS n_active, coalesce(string_agg(DISTINCT event_type, ';' ORDER BY event_type) FILTER (WHERE value >= 1.64), '') AS assays, coalesce(string_agg(DISTINCT props, ';' ORDER BY props) FILTER (WHERE value >= 1.64), '') AS biosamples, CAST(count(DISTINCT CASE WHEN value >= 1.64 THEN event_id END) AS BIGINT) AS n_experiments FROM events GROUP BY 1""")
+def active_biosamples(t):
+    """PRJ-32: of nested signals, those whose score is high enough, to joined fields."""
+    text = lambda c: col(c).cast("string")
+    signal = F.array(text("event_id"), F.lit("file"), col("event_type"), F.lit(""), col("props"), F.lit("tissue"), F.lit(""), F.lit("adult"), text("value"))
+    found = t("events").groupBy("user_id").agg(F.collect_list(signal).alias("signals")).select("user_id", classify.active_signals(col("signals"), 1.64).alias("x"))
+    joined = lambda name: F.array_join(F.array_sort(f"x.{name}"), ";")
+    return found.select("user_id", col("x.n_active").cast("long").alias("n_active"), joined("assays").alias("assays"), joined("biosamples").alias("biosamples"), F.size("x.experiments").cast("long").alias("n_experiments"))
+
+
+SQL_SIGNED = "sha256(" + " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("o_orderkey", "o_custkey", "run")) + ")"
+
+
+@query(f"""WITH now AS (SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_custkey % 7 > 0 THEN 'window=50' END AS run FROM orders), before AS (SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 'window=20' WHEN o_custkey % 7 > 0 THEN 'window=50' END AS run FROM orders WHERE o_orderstatus <> 'P')
+SELECT o_orderkey, {SQL_SIGNED} AS signature FROM now WHERE NOT EXISTS (SELECT 1 FROM before b WHERE b.o_orderkey = now.o_orderkey AND b.o_custkey = now.o_custkey AND b.run IS NOT DISTINCT FROM now.run)""")
+def resume_by_signature(t):
+    """ORC-02: what is left to do, as identity or parameters changed or it never ended."""
+    run = F.when(col("o_custkey") % 7 > 0, "window=50")
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", run.alias("run"))
+    before = orders.withColumn("run", F.when(col("o_custkey") % 3 == 0, "window=20").otherwise(col("run"))).withColumn("complete", col("o_orderstatus") != "P")
+    return joins.unfinished(orders, before, ["o_orderkey", "o_custkey"], ["run"]).select("o_orderkey", "signature")
+
+
+@query("""WITH m AS (SELECT o_custkey, 'orders' AS metric, CAST(count(*) AS BIGINT) AS value FROM orders GROUP BY 1 UNION ALL SELECT o_custkey, 'excluded_pending', count(*) FILTER (WHERE o_orderstatus = 'P') FROM orders GROUP BY 1 UNION ALL SELECT o_custkey, 'excluded_small', count(*) FILTER (WHERE o_orderstatus <> 'P' AND o_totalprice < 50000) FROM orders GROUP BY 1 UNION ALL SELECT o_custkey, 'kept', count(*) FILTER (WHERE o_orderstatus <> 'P' AND o_totalprice >= 50000) FROM orders GROUP BY 1)
+SELECT *, CASE WHEN max(CASE WHEN metric = 'kept' THEN value END) OVER (PARTITION BY o_custkey) > 0 THEN 'READY' ELSE 'NOT_READY' END AS readiness FROM m""")
+def audit_table(t):
+    """ORC-03: metrics, exclusions by their first reason, and readiness, in long form."""
+    reason = classify.first_failure(((col("o_orderstatus") == "P", "excluded_pending"), (col("o_totalprice") < 50000, "excluded_small")), "kept")
+    kinds = ("excluded_pending", "excluded_small", "kept")
+    wide = t("orders").withColumn("reason", reason).groupBy("o_custkey").agg(F.count("*").alias("orders"), *(F.count_if(col("reason") == k).alias(k) for k in kinds))
+    ready = F.when(col("kept") > 0, "READY").otherwise("NOT_READY")
+    return wide.withColumn("readiness", ready).unpivot(["o_custkey", "readiness"], ["orders", *kinds], "metric", "value").select("o_custkey", "metric", "value", "readiness")
