@@ -91,33 +91,72 @@ def susie(z: np.ndarray, r: np.ndarray, n: int, effects: int = 10, iterations: i
     return alpha, lbf
 
 
+def _fit(s: pd.DataFrame, edges: pd.DataFrame, coverage: float, effects: int, least_purity: float):
+    """(number, members, probabilities, log Bayes factors) of the components of one locus; members are none where
+    the set is not pure enough or equal to an earlier one. s is in the order of the matrix."""
+    at = {v: k for k, v in enumerate(s.variant)}
+    r = np.eye(len(s))
+    for i, j, x in zip(edges.i, edges.j, edges.r, strict=True):
+        if i in at and j in at:
+            r[at[i], at[j]] = r[at[j], at[i]] = x
+    alpha, lbf = susie(s.z.to_numpy(float), r, int(s.n.max()), effects)
+    seen = set()
+    for k, (a, factors) in enumerate(zip(alpha, lbf, strict=True), 1):
+        order = np.argsort(-a, kind="stable")
+        mine = order[: int(np.searchsorted(np.cumsum(a[order]), coverage)) + 1]
+        if tuple(sorted(mine)) in seen or np.abs(r[np.ix_(mine, mine)]).min() < least_purity:
+            mine = mine[:0]
+        else:
+            seen.add(tuple(sorted(mine)))
+        yield k, mine, a, factors
+
+
+def _known(s: pd.DataFrame) -> pd.DataFrame:
+    return s.dropna(subset=["z"]).sort_values("variant").reset_index(drop=True)
+
+
+def _of_locus(ld: DataFrame) -> DataFrame:
+    return ld.select(F.col("locus").alias("_locus"), *(F.col(c).alias(c) for c in ("i", "j", "r")))
+
+
 def fine_map(stats: DataFrame, ld: DataFrame, coverage: float = 0.95, effects: int = 10, least_purity: float = 0.5) -> DataFrame:
     """stats (locus, variant, z, n) and ld (locus, i, j, r): locus, variant, pip, sets (names like L1;L3).
     A component without a set of purity least_purity, or equal to an earlier one, names none."""
 
     def run(key: tuple, s: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        s = s.dropna(subset=["z"]).sort_values("variant").reset_index(drop=True)
-        at = {v: k for k, v in enumerate(s.variant)}
-        r = np.eye(len(s))
-        for i, j, x in zip(edges.i, edges.j, edges.r, strict=True):
-            if i in at and j in at:
-                r[at[i], at[j]] = r[at[j], at[i]] = x
+        s = _known(s)
         if not len(s):
             return pd.DataFrame(columns=["locus", "variant", "pip", "sets"])
-        alpha, _ = susie(s.z.to_numpy(float), r, int(s.n.max()), effects)
-        names, seen = [[] for _ in range(len(s))], set()
-        for k, a in enumerate(alpha, 1):
-            order = np.argsort(-a, kind="stable")
-            mine = order[: int(np.searchsorted(np.cumsum(a[order]), coverage)) + 1]
-            if tuple(sorted(mine)) in seen or np.abs(r[np.ix_(mine, mine)]).min() < least_purity:
-                continue
-            seen.add(tuple(sorted(mine)))
+        names, none = [[] for _ in range(len(s))], np.ones(len(s))
+        for k, mine, alpha, _ in _fit(s, edges, coverage, effects, least_purity):
+            none *= 1 - alpha
             for v in mine:
                 names[v].append(f"L{k}")
-        return pd.DataFrame({"locus": key[0], "variant": s.variant, "pip": 1 - np.prod(1 - alpha, 0), "sets": [";".join(x) for x in names]})
+        return pd.DataFrame({"locus": key[0], "variant": s.variant, "pip": 1 - none, "sets": [";".join(x) for x in names]})
+
+    kinds = dict(stats.dtypes)
+    return stats.groupBy("locus").cogroup(_of_locus(ld).groupBy("_locus")).applyInPandas(run, f"locus {kinds['locus']}, variant {kinds['variant']}, pip double, sets string")
+
+
+def signals(stats: DataFrame, ld: DataFrame, coverage: float = 0.95, effects: int = 10, least_purity: float = 0.5) -> DataFrame:
+    """stats (locus, trait, variant, z, n) and ld (locus, i, j, r): locus, trait, component, variant and lbf, the log
+    Bayes factors of every variant in each component that names a credible set. The traits of a locus are fitted
+    apart and in parallel; each is sent the correlations among its own variants alone."""
+
+    def run(key: tuple, s: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        s, parts = _known(s), []
+        if len(s):
+            for k, mine, _, lbf in _fit(s, edges, coverage, effects, least_purity):
+                if len(mine):
+                    parts.append(pd.DataFrame({"locus": key[0], "trait": key[1], "component": k, "variant": s.variant, "lbf": lbf}))
+        return pd.concat(parts) if parts else pd.DataFrame(columns=["locus", "trait", "component", "variant", "lbf"])
 
     kinds = dict(stats.dtypes)
-    return stats.groupBy("locus").cogroup(ld.select(F.col("locus").alias("_locus"), *(F.col(c).alias(c) for c in ("i", "j", "r"))).groupBy("_locus")).applyInPandas(run, f"locus {kinds['locus']}, variant {kinds['variant']}, pip double, sets string")
+    mine = stats.select("locus", "trait", "variant").distinct()
+    one = ld.join(mine.withColumnRenamed("variant", "i"), ["locus", "i"]).join(mine.withColumnRenamed("variant", "j"), ["locus", "trait", "j"])
+    sent = one.select(F.col("locus").alias("_locus"), F.col("trait").alias("_trait"), "i", "j", "r")
+    schema = f"locus {kinds['locus']}, trait {kinds['trait']}, component int, variant {kinds['variant']}, lbf double"
+    return stats.groupBy("locus", "trait").cogroup(sent.groupBy("_locus", "_trait")).applyInPandas(run, schema)
 
 
 def greedy_match(pairs: DataFrame, key: str) -> DataFrame:

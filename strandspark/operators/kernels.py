@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import classify
+from . import grouped
+
 #: Prior probabilities: one trait, other trait, both; with the two settings that test sensitivity.
 P1, P2 = 1e-4, 1e-4
 PRIORS = (("LOW", 1e-6), ("DEFAULT", 5e-6), ("HIGH", 1e-5))
@@ -41,6 +44,56 @@ def colocalise(pairs: DataFrame, keys: Sequence[str], a: str, b: str, priors=PRI
     return grid.withColumn("_t", total).select(*keys, "prior", "n_common", *((F.exp(F.col(f"_l{k}") - F.col("_m")) / F.col("_t")).alias(f"h{k}") for k in range(5)))
 
 
+#: Variants that both sides must share at least, and at most: beyond that a pair is not tested, never thinned.
+COMMON_VARIANTS = (100, 12_000)
+
+
+def testable_pairs(loci: DataFrame, gwas: DataFrame, qtl: DataFrame, ld: DataFrame, common: tuple[int, int] = COMMON_VARIANTS) -> DataFrame:
+    """Per row of loci (locus, trait): n_qtl, n_common, n_in_ld and a status, TESTED or the first reason why not.
+
+    gwas has locus, variant, z, n, case_control, n_cases, n_controls; qtl has locus, trait, variant, z, n; ld has locus,
+    i, j, r. A variant counts where its z is known; n_in_ld counts those with a correlation to any other."""
+    known = qtl.where("z IS NOT NULL").select("locus", "trait", "variant", F.col("n").alias("qn")).dropDuplicates(["locus", "trait", "variant"])
+    mine = gwas.where("z IS NOT NULL").select("locus", "variant", F.col("n").alias("gn"), "case_control", "n_cases", "n_controls").dropDuplicates(["locus", "variant"])
+    linked = ld.select("locus", F.explode(F.array("i", "j")).alias("variant")).distinct().withColumn("in_ld", F.lit(True))
+    both = known.join(mine.withColumn("shared", F.lit(True)), ["locus", "variant"], "left").join(linked, ["locus", "variant"], "left")
+    counts = both.groupBy("locus", "trait").agg(
+        F.count("*").alias("n_qtl"), F.max("qn").alias("qn"), F.count("shared").alias("n_common"), F.count_if(F.col("shared") & F.col("in_ld")).alias("n_in_ld"),
+        F.max("gn").alias("gn"), F.bool_or("case_control").alias("cc"), F.min("n_cases").alias("cases"), F.min("n_controls").alias("controls"),
+    )
+    every = loci.select("locus", "trait").distinct().join(counts, ["locus", "trait"], "left").fillna(0, ["n_qtl", "n_common", "n_in_ld"])
+    least, most = common
+    status = classify.first_failure(
+        (
+            (F.col("n_qtl") == 0, "NOT_TESTED_NO_DENSE_QTL_ROWS"),
+            (F.col("qn").isNull(), "NOT_TESTED_QTL_SAMPLE_SIZE_MISSING"),
+            (F.col("n_common") < least, "NOT_TESTED_TOO_FEW_COMMON_SNPS"),
+            (F.col("n_common") > most, "NOT_TESTED_TOO_MANY_COMMON_SNPS_NO_SUBSAMPLING"),
+            (F.col("gn").isNull(), "NOT_TESTED_GWAS_SAMPLE_SIZE_MISSING"),
+            (F.col("cc") & (F.col("cases").isNull() | F.col("controls").isNull()), "NOT_TESTED_CASE_CONTROL_COUNTS_MISSING"),
+            (F.col("n_in_ld") < least, "NOT_TESTED_TOO_FEW_SNPS_AFTER_LD_OR_MAF"),
+        ),
+        "TESTED",
+    )
+    return every.select("locus", "trait", "n_qtl", "n_common", "n_in_ld", status.alias("status"))
+
+
+def colocalise_signals(loci: DataFrame, gwas: DataFrame, qtl: DataFrame, ld: DataFrame, common: tuple[int, int] = COMMON_VARIANTS, **fit) -> DataFrame:
+    """Colocalisation of every pair of credible sets of two sides, each fine mapped over its variants with correlations:
+    locus, trait, status, hit1, hit2, prior, n_common, h0 to h4. A pair that is not tested has one row with its reason, one
+    that was tested but has no set on a side one row with NOT_TESTED_NO_CREDIBLE_SET. Tables as in testable_pairs."""
+    pairs = testable_pairs(loci, gwas, qtl, ld, common).select("locus", "trait", "status")
+    tested = pairs.where("status = 'TESTED'").select("locus", "trait")
+    linked = ld.select("locus", F.explode(F.array("i", "j")).alias("variant")).distinct()
+    left = gwas.join(tested.select("locus").distinct(), "locus", "left_semi").join(linked, ["locus", "variant"], "left_semi").select("locus", F.lit("").alias("trait"), "variant", "z", "n").dropDuplicates(["locus", "variant"])
+    right = qtl.join(tested, ["locus", "trait"], "left_semi").join(linked, ["locus", "variant"], "left_semi").select("locus", "trait", "variant", "z", "n").dropDuplicates(["locus", "trait", "variant"])
+    a = grouped.signals(left, ld, **fit).select("locus", "variant", F.col("component").alias("hit1"), F.col("lbf").alias("a"))
+    b = grouped.signals(right, ld, **fit).select("locus", "trait", "variant", F.col("component").alias("hit2"), F.col("lbf").alias("b"))
+    found = colocalise(b.join(a, ["locus", "variant"]), ["locus", "trait", "hit1", "hit2"], "a", "b")
+    joined = pairs.join(found, ["locus", "trait"], "left")
+    return joined.withColumn("status", F.when((F.col("status") == "TESTED") & F.col("hit1").isNull(), "NOT_TESTED_NO_CREDIBLE_SET").otherwise(F.col("status")))
+
+
 def prior_sensitivity(posteriors: DataFrame, keys: Sequence[str], strong: float = 0.8) -> DataFrame:
     """H4 under each prior side by side; simple: the low prior reaches strong; strict: all do."""
     wide = posteriors.groupBy(*keys).agg(*(F.max(F.when(F.col("prior") == n, F.col("h4"))).alias(f"h4_{n.lower()}") for n, _ in PRIORS))

@@ -1039,3 +1039,25 @@ def audit_table(t):
     wide = t("orders").withColumn("reason", reason).groupBy("o_custkey").agg(F.count("*").alias("orders"), *(F.count_if(col("reason") == k).alias(k) for k in kinds))
     ready = F.when(col("kept") > 0, "READY").otherwise("NOT_READY")
     return wide.withColumn("readiness", ready).unpivot(["o_custkey", "readiness"], ["orders", *kinds], "metric", "value").select("o_custkey", "metric", "value", "readiness")
+
+
+SQL_SIDES = """gw AS (SELECT l_suppkey AS locus, l_partkey AS variant, max(l_quantity) AS z, max(CASE WHEN l_suppkey % 11 > 0 THEN 1000 END) AS n, bool_or(l_suppkey % 3 = 0) AS cc, max(CASE WHEN l_suppkey % 6 > 0 THEN 10 END) AS cases FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1, 2),
+qt AS (SELECT l_suppkey AS locus, l_linestatus AS trait, l_partkey AS variant, max(l_tax) AS z, max(CASE WHEN l_suppkey % 13 > 0 THEN 500 END) AS n FROM lineitem WHERE l_returnflag <> 'N' AND l_suppkey % 17 > 0 GROUP BY 1, 2, 3),
+ldv AS (SELECT l_suppkey AS locus, l_partkey AS variant FROM lineitem WHERE l_suppkey % 19 > 0 GROUP BY 1, 2)"""
+
+
+def _coloc_sides(t):
+    lines, k = t("lineitem"), col("l_suppkey")
+    gwas = lines.where("l_returnflag <> 'R'").groupBy(k.alias("locus"), col("l_partkey").alias("variant")).agg(F.max("l_quantity").alias("z"), F.max(F.when(k % 11 > 0, 1000)).alias("n"), F.bool_or(k % 3 == 0).alias("case_control"), F.max(F.when(k % 6 > 0, 10)).alias("n_cases"), F.lit(20).alias("n_controls"))
+    qtl = lines.where("l_returnflag <> 'N' AND l_suppkey % 17 > 0").groupBy(k.alias("locus"), col("l_linestatus").alias("trait"), col("l_partkey").alias("variant")).agg(F.max("l_tax").alias("z"), F.max(F.when(k % 13 > 0, 500)).alias("n"))
+    ld = lines.where("l_suppkey % 19 > 0").select(k.alias("locus"), col("l_partkey").alias("i"), (-col("l_partkey") - 1).alias("j"), F.lit(0.5).alias("r")).distinct()
+    return lines.select(k.alias("locus"), col("l_linestatus").alias("trait")).distinct(), gwas, qtl, ld
+
+
+@query(f"""WITH {SQL_SIDES}, lo AS (SELECT DISTINCT l_suppkey AS locus, l_linestatus AS trait FROM lineitem),
+c AS (SELECT qt.locus, qt.trait, count(*) AS n_qtl, max(qt.n) AS qn, count(gw.z) AS n_common, count(CASE WHEN gw.z IS NOT NULL AND ldv.variant IS NOT NULL THEN 1 END) AS n_in_ld, max(gw.n) AS gn, bool_or(cc) AS cc, min(cases) AS cases FROM qt LEFT JOIN gw USING (locus, variant) LEFT JOIN ldv USING (locus, variant) GROUP BY 1, 2)
+SELECT lo.locus, lo.trait, coalesce(n_qtl, 0) AS n_qtl, coalesce(n_common, 0) AS n_common, coalesce(n_in_ld, 0) AS n_in_ld, CASE WHEN n_qtl IS NULL THEN 'NOT_TESTED_NO_DENSE_QTL_ROWS' WHEN qn IS NULL THEN 'NOT_TESTED_QTL_SAMPLE_SIZE_MISSING' WHEN n_common < 3 THEN 'NOT_TESTED_TOO_FEW_COMMON_SNPS' WHEN n_common > 60 THEN 'NOT_TESTED_TOO_MANY_COMMON_SNPS_NO_SUBSAMPLING'
+WHEN gn IS NULL THEN 'NOT_TESTED_GWAS_SAMPLE_SIZE_MISSING' WHEN cc AND cases IS NULL THEN 'NOT_TESTED_CASE_CONTROL_COUNTS_MISSING' WHEN n_in_ld < 3 THEN 'NOT_TESTED_TOO_FEW_SNPS_AFTER_LD_OR_MAF' ELSE 'TESTED' END AS status FROM lo LEFT JOIN c ON c.locus = lo.locus AND c.trait = lo.trait""")
+def coloc_status(t):
+    """KRN-06: which pairs are tested, and why others are not."""
+    return kernels.testable_pairs(*_coloc_sides(t), common=(3, 60))

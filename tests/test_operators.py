@@ -219,3 +219,30 @@ def test_ld_matrix(spark):
     assert all(abs(got[i, j] - np.corrcoef(g[:, i], g[:, j])[0, 1]) < 1e-5 for i, j in got) and len(got) == 3
     with pytest.raises(Exception, match="cap"):
         grouped.ld_matrix(spark.createDataFrame(rows, "locus string, variant long, sample long, dosage double"), cap=2).collect()
+
+
+def test_colocalisation_of_fine_mapped_signals(spark):
+    """Two traits at one locus: one shares the causal variant, one has its own; a third has too few variants."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(3000, 40))
+    g = base + 0.5 * np.roll(base, 1, axis=1)
+    r = np.corrcoef(g.T)
+    ld = spark.createDataFrame([(1, i, j, float(r[i, j])) for i in range(40) for j in range(i + 1, 40)], "locus int, i int, j int, r double")
+    z = lambda causal: r[causal] * 12 + rng.normal(size=40) * 0.3
+    gwas = spark.createDataFrame([(1, v, float(x), 5000, False) for v, x in enumerate(z(10))], "locus int, variant int, z double, n int, case_control boolean").withColumn("n_cases", F.lit(None).cast("int")).withColumn("n_controls", F.lit(None).cast("int"))
+    rows = [(1, t, v, float(x), 800) for t, c in (("same", 10), ("other", 30)) for v, x in enumerate(z(c))] + [(1, "few", v, 1.0, 800) for v in range(5)]
+    qtl = spark.createDataFrame(rows, "locus int, trait string, variant int, z double, n int")
+    loci = spark.createDataFrame([(1, t) for t in ("same", "other", "few", "none")], "locus int, trait string")
+    found = kernels.colocalise_signals(loci, gwas, qtl, ld, common=(20, 100)).collect()
+    status = {x.trait: x.status for x in found}
+    assert status == {"same": "TESTED", "other": "TESTED", "few": "NOT_TESTED_TOO_FEW_COMMON_SNPS", "none": "NOT_TESTED_NO_DENSE_QTL_ROWS"}
+    top = {t: max((x for x in found if x.trait == t and x.prior == "DEFAULT"), key=lambda x: x.h3 + x.h4) for t in ("same", "other")}
+    assert top["same"].h4 > 0.9 and top["other"].h3 > 0.9
+
+
+def test_distances_to_seeds(spark):
+    edges = spark.createDataFrame([(1, 2, 0.5), (2, 3, 0.5), (1, 3, 2.0), (3, 4, 1.0), (7, 8, 1.0)], "a int, b int, distance double")
+    seeds = spark.createDataFrame([(1,), (9,), (1,), (None,)], "node int")
+    found = {(x.seed, x.node): (x.hops, x.distance) for x in graphs.distances(edges, seeds).collect()}
+    assert found == {(1, 1): (0, 0.0), (1, 2): (1, 0.5), (1, 3): (1, 1.0), (1, 4): (2, 2.0), (9, 9): (0, 0.0)}
+    assert graphs.distances(edges.limit(0), seeds.limit(0)).count() == 0
