@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ball_tree, decontaminate, hard_negatives, jaccard_join, packing, private_data, pruned_graph, quality, substring_dedup, token_files, toxicity, urls
+from . import ball_tree, decontaminate, hard_negatives, jaccard_join, packing, private_data, pruned_graph, quality, substring_dedup, token_alignment, token_files, toxicity, urls
 from .common import crc32_of_id, table
 
 
@@ -77,4 +77,8 @@ def op12_radix_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
-QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_fm_substring_dedup, op3_ball_tree_topk, op4_boosted_toxicity, op5_ftrl_quality, op6_private_data, op7_jaccard_join, op8_url_vocabulary, op9_token_files, op10_winnowing, op11_pruned_graph, op12_radix_negatives)}
+def op13_dangling_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_harmonic_packing, op2_fm_substring_dedup, op3_ball_tree_topk, op4_boosted_toxicity, op5_ftrl_quality, op6_private_data, op7_jaccard_join, op8_url_vocabulary, op9_token_files, op10_winnowing, op11_pruned_graph, op12_radix_negatives, op13_dangling_suffix)}

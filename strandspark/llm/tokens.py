@@ -54,6 +54,17 @@ def _cuts_hold(tokenizer) -> bool:
     return bool(usual and plain and made["model"].get("type") == "BPE")
 
 
+def stretch_cuts(raw: np.ndarray) -> np.ndarray:
+    """Places within texts at which a new token always begins."""
+    cut = np.zeros(len(raw), bool)
+    single = _visible[raw][:-2] & _firm[raw[2:]]
+    feed = (raw[1:-1] == 10) & single
+    cut[1:-1] = (raw[1:-1] == 32) & single | feed
+    cut[2:] |= feed
+    cut[1:] |= _letter[raw[:-1]] & _sign[raw[1:]]
+    return cut
+
+
 class Stretches:
     """The stretches seen so far, by hash, with their first and second eight bytes, their size and, of longer
     ones, all bytes; a number for each, in order of sight."""
@@ -171,14 +182,7 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         if self.seen.count > CACHE:
             self.reset()
-        cut = np.zeros(n, bool)
-        if self.finer:
-            seen = _visible[raw]
-            single = seen[:-2] & _firm[raw[2:]]
-            feed = (raw[1:-1] == 10) & single
-            cut[1:-1] = (raw[1:-1] == 32) & single | feed
-            cut[2:] |= feed
-            cut[1:] |= _letter[raw[:-1]] & _sign[raw[1:]]
+        cut = stretch_cuts(raw) if self.finer else np.zeros(n, bool)
         inner = offsets[1:-1]
         cut[inner[inner < n]] = True
         cut[0] = True
