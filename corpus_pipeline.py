@@ -8,11 +8,11 @@ benchmark item; private_data writes the kind in place of each identifier; packin
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandspark.llm import decontaminate, jaccard_join, packing, private_data, toxicity
-from strandspark.llm.common import crc32_of_id, small, stash, table, unused
+from strandspark.llm.common import crc32_of_id, new_folder, passing, remove_folder, small, stash, table, unused
 
 REJECT_FROM = 0.5
 
@@ -21,6 +21,10 @@ def _others(docs: DataFrame) -> tuple[str, ...]:
     return tuple(c for c in docs.columns if c != "doc_id")
 
 
+def _whole_text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Labels of rows held out by op4's rule train nothing here either."""
     into = unused("_toxicity", *docs.columns)
@@ -29,23 +33,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of rows that repeat both id and text one stays; a row with a null id stays with the others of its text."""
-    found = stash(jaccard_join.near_copies(docs, k=5, num=80, den=100), "near-copies")
-    kept_id, again, rank = (unused(c, *docs.columns) for c in ("_id", "_again", "_rank"))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(kept_id)).agg((F.count("*") > 1).alias(again))
-    kept = stash(kept, "kept-ids")
-    rows = docs.join(small(kept, kept.count()), F.col("doc_id").eqNullSafe(F.col(kept_id)))
-    once = rows.where(~F.col(again))
-    # Rows that repeat an id are few; of those with one text, one stays.
-    order = Window.partitionBy("doc_id", "text").orderBy(*(F.col(c) for c in docs.columns))
-    several = rows.where(F.col(again)).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
-    return once.select(*docs.columns).unionByName(several.select(*docs.columns))
+    """Rows are told apart by id and text, so one document of a group stays even where several have one id: the least
+    id, rows without an id last. Of rows that repeat both id and text one stays."""
+    key, rank = (unused(c, *docs.columns) for c in ("_key", "_rank"))
+    doc_id = F.col("doc_id").cast("long")
+    named = F.struct(doc_id.isNull().alias("no_id"), F.coalesce(doc_id, F.lit(0).cast("long")).alias("id"), F.md5(_whole_text()).alias("md5"))
+    found = stash(jaccard_join.near_copies(docs.select(named.alias("doc_id"), "text"), k=5, num=80, den=100), "near-copies")
+    least = F.col("doc_id") == F.col("component_id")
+    gone = found.where(~least).select(F.col("doc_id").alias(key)).distinct()
+    again = found.where(least).groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("n")).where("n > 1").select(key)
+    rows = docs.withColumn(key, named).join(gone, key, "left_anti")
+    # Rows that repeat both are few.
+    again = stash(again, "repeated-rows")
+    few = small(again, again.count())
+    order = Window.partitionBy(key).orderBy(*(F.col(c) for c in docs.columns))
+    several = rows.join(few, key, "left_semi").withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return rows.join(few, key, "left_anti").select(*docs.columns).unionByName(several.select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    into = tuple(unused(c, *docs.columns) for c in ("n_words", "items", "hits"))
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=_others(docs), into=into)
-    return found.where(F.size(into[2]) == 0).select(*docs.columns)
+    key = unused("_md5", *docs.columns)
+    found = stash(decontaminate.contaminated_texts(docs, table(spark, sf_dir, "benchmark")), "contaminated")
+    return docs.withColumn(key, F.md5(_whole_text())).join(found.select(F.col("text_md5").alias(key)), key, "left_anti").select(*docs.columns)
 
 
 def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +78,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Each stage is written whole; then its predecessor and what it made on the way are removed."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stash(stage(spark, docs, sf_dir), name)
+        into = new_folder(spark, name)
+        with passing(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(into)
+        if before:
+            remove_folder(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(into), into
     return docs

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -39,14 +40,40 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_made: list[list[str]] = []
+
+
+def _on_store(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A new name in the shared folder; the file system removes it when the JVM ends."""
+    """A new name in the shared folder; the file system removes it when the JVM ends, or passing() before."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    store, jvm_path = _on_store(spark, path)
+    store.deleteOnExit(jvm_path)
+    if _made:
+        _made[-1].append(path)
     return path
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    store, jvm_path = _on_store(spark, path)
+    store.delete(jvm_path, True)
+
+
+@contextlib.contextmanager
+def passing(spark: SparkSession):
+    """Folders made inside go at its end: what reads them must have been written by then."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            remove_folder(spark, path)
+
+
 def stash(df: DataFrame, label: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: the lineage ends
     there, and a lost executor costs no more than the reader's own tasks."""

@@ -2,7 +2,7 @@
 
 Plain identifiers are found on the text itself. A second pass reads the text through a
 transducer that folds look-alike characters, drops invisible ones, turns spelled digits into digits and
-"(at)", " dot " and the like into their signs, and keeps for each character it writes the span of
+"(at)", " dot ", character references and the like into their signs, and keeps for each character it writes the span of
 source characters it came from; the same detectors run on what it writes, and their spans are mapped
 back. All offsets are code points of the source, ends exclusive.
 """
@@ -62,11 +62,18 @@ _DIGIT_WORD = "(?:" + "|".join(SPELLED) + ")"
 _SPELLED = re.compile(rf"(?i)\b(?:plus[ -]+)?{_DIGIT_WORD}(?:[ ,.-]{{1,2}}{_DIGIT_WORD}){{6,}}\b")
 _AT = re.compile(r"(?i)[\x20\t]{0,3}[\[({<][\x20\t]{0,3}(?:at|@)[\x20\t]{0,3}[\])}>][\x20\t]{0,3}")
 _DOT = re.compile(r"(?i)[\x20\t]{0,3}[\[({<][\x20\t]{0,3}(?:dot|punkt|point|\.)[\x20\t]{0,3}[\])}>][\x20\t]{0,3}")
-# Said out, an address must end in a common top-level domain: "at noon dot then" is prose.
-_DOT_SAID = r"(?:[\x20\t]{1,3}dot[\x20\t]{1,3}|\.)"
+# Said out with a full stop, an address must end in a common top-level domain or one of two small letters (a country);
+# with "dot" said too, in any letters that are no common word: "at noon dot then" is prose.
+_DOT_WORD = r"[\x20\t]{1,3}dot[\x20\t]{1,3}"
+_DOT_SAID = rf"(?:{_DOT_WORD}|\.)"
 _TOP = "com|org|net|edu|gov|int|info|biz|io|co|eu|uk|de|fr|es|it|nl|ch|at|us|ca|au|jp|ru|br|in|me|tv"
-_SAID = re.compile(rf"(?i)(?<=[a-z0-9_%+.-])[\x20\t]{{1,3}}(at)[\x20\t]{{1,3}}(?=[a-z0-9-]{{1,63}}(?:{_DOT_SAID}[a-z0-9-]{{1,63}}){{0,4}}?{_DOT_SAID}(?:{_TOP})\b)")
+_PROSE = "and|or|but|then|that|this|the|on|we|he|she|they|you|with|for|from|when|where|if|which|who|was|not|of"
+_ENDING = rf"(?:{_DOT_SAID}(?:{_TOP})|{_DOT_WORD}(?!(?:{_PROSE})\b)[a-z]{{2,24}}|\.(?-i:[a-z]{{2}}))\b"
+_SAID = re.compile(rf"(?i)(?<=[a-z0-9_%+.-])[\x20\t]{{1,3}}(at)[\x20\t]{{1,3}}(?=[a-z0-9-]{{1,63}}(?:{_DOT_SAID}[a-z0-9-]{{1,63}}){{0,4}}?{_ENDING})")
 _SAID_DOT = re.compile(r"(?i)(?<=[a-z0-9_-])[\x20\t]{1,3}(dot)[\x20\t]{1,3}(?=[a-z0-9-])")
+# Signs written as character references of web pages, or escaped as in urls.
+_ENTITY = re.compile(r"(?i)&(?:#(?:x0{0,4}([2-7][0-9a-f])|0{0,4}([0-9]{2,3}))|(commat|period|plus|lowbar));|%(40|2[be])")
+_NAMED = {"commat": "@", "period": ".", "plus": "+", "lowbar": "_"}
 _DIGITS = re.compile(_DIGIT_WORD, re.IGNORECASE)
 _ODD_CASE = str.maketrans("ſıİ", "sii")  # what re.IGNORECASE takes for s and i
 
@@ -120,6 +127,11 @@ def _rewrites(text: str) -> list[tuple[int, int, str]]:
     found += [(*m.span(), "@") for m in _AT.finditer(text)] + [(*m.span(), ".") for m in _DOT.finditer(text)]
     if said := [(*m.span(), "@") for m in _SAID.finditer(text)]:
         found += said + [(*m.span(), ".") for m in _SAID_DOT.finditer(text)]
+    if "&" in text or "%" in text:
+        for m in _ENTITY.finditer(text):
+            code = int(m[1] or m[4], 16) if m[1] or m[4] else int(m[2] or 0)
+            if m[3] or 33 <= code <= 126:
+                found.append((*m.span(), _NAMED[m[3].lower()] if m[3] else chr(code)))
     out, last = [], 0
     for start, end, to in sorted(found, key=lambda x: (x[0], -x[1])):
         if start >= last:
@@ -166,7 +178,8 @@ def find(text: str, disguised: bool = True) -> tuple[list[tuple[int, int, int]],
         normal, places, marks = made
         for kind, start, end in detect(normal):
             span = _source(places, marks, start, end)
-            if not any(k == kind and a <= span[0] and span[1] <= b for k, a, b in base):
+            before = bisect_right(base, (kind, span[0], len(text))) - 1  # the only one of its kind that may hold it: they lie apart
+            if before < 0 or base[before][0] != kind or base[before][2] < span[1]:
                 more.append((kind, *span))
     return base, more
 
@@ -177,6 +190,7 @@ _plain[48:58] = _plain[ord("@")] = True
 _strange = np.zeros(256, bool)  # a bracket, or a lead byte beyond accented Latin letters
 _strange[[ord(c) for c in "[({<"]] = True
 _strange[0xC9:0xE0] = _strange[0xE1:] = _strange[0xE0] = _strange[0xC2] = True
+_AFTER_AND, _AFTER_PERCENT = np.frombuffer(b"#cCpPlL", np.uint8), np.frombuffer(b"24", np.uint8)
 
 
 def _hashes_of(terms) -> np.ndarray:
@@ -205,8 +219,11 @@ def _wanted(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     stops = np.zeros(len(raw), bool)
     stops[:-1] = (raw[:-1] == ord(".")) & (raw[1:] > 32)
     said = (ats > 0) & ((dots > 0) | (block.per_text(stops) > 0))
+    # A reference or escape begins with one of these pairs of signs.
+    escaped = np.zeros(len(raw), bool)
+    escaped[:-1] = (raw[:-1] == ord("&")) & np.isin(raw[1:], _AFTER_AND) | (raw[:-1] == ord("%")) & np.isin(raw[1:], _AFTER_PERCENT)
     # Of seven spelled digits, the first and the last may stand beside a sign that counts as a letter here.
-    return block.per_text(_plain[raw]) > 0, (block.per_text(_strange[raw]) > 0) | said | (digits >= 5)
+    return block.per_text(_plain[raw]) > 0, (block.per_text(_strange[raw]) > 0) | said | (digits >= 5) | (block.per_text(escaped) > 0)
 
 
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int,plain:boolean>>"

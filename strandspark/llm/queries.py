@@ -58,14 +58,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select(
-        "doc_id", "n_words",
-        F.aggregate("hits", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.size("hits") > 0).alias("contaminated"),
-    )
+    def digest(items):
+        return F.struct(F.size(items).cast("long").alias("n"), F.sha2(F.array_join(items, ","), 256).alias("sha256"))
+
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), describe=digest)
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.col("items.n").alias("n_items"), F.col("items.sha256").alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
 
 def op11_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:

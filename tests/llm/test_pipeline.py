@@ -31,6 +31,14 @@ def test_stages_take_odd_rows(spark, name):
     assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_one_row_of_each_group_stays_where_ids_repeat(spark):
+    a, b, c = prose(1), prose(2), prose(3)
+    rows = [(3, a), (5, b), (5, a + " more"), (7, c), (None, c + " more"), (None, "no other text is like this one"), (8, b), (9, None), (9, ""), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], COLUMNS)
+    kept = dict(pipeline.STAGES)["near_copies"](spark, docs, SF).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in kept) == [(False, 3, a), (False, 5, b), (False, 7, c), (False, 9, ""), (True, 0, "no other text is like this one")]
+
+
 def test_the_whole_pipeline(spark, tmp_path):
     from strandspark.llm import tokens
     from tokenizers import Tokenizer

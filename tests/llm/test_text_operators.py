@@ -191,9 +191,10 @@ def test_decontamination(spark):
                     items |= of
         expected[i] = (len(w), len(hit), sorted(items))
     b = spark.createDataFrame(bench, "item_id long, text string")
-    for limit in (2_000_000, 30):  # one block, and several
-        found = decontaminate.decontaminate(with_clashes(spark.createDataFrame(docs, SCHEMA)), b, block_words=limit).collect()
-        assert {r.doc_id: (r.n_words, sum(s["end"] - s["start"] for s in r.hits), list(r["items"])) for r in found} == expected
+    found = decontaminate.decontaminate(with_clashes(spark.createDataFrame(docs, SCHEMA)), b).collect()
+    assert {r.doc_id: (r.n_words, sum(s["end"] - s["start"] for s in r.hits), list(r["items"])) for r in found} == expected
+    hit = {r.text_md5 for r in decontaminate.contaminated_texts(with_clashes(spark.createDataFrame(docs, SCHEMA)), b).collect()}
+    assert hit == {hashlib.md5((t or "").encode()).hexdigest() for i, t in docs if expected[i][1]}
     none = decontaminate.decontaminate(spark.createDataFrame(ODD, SCHEMA), b.limit(0)).collect()
     assert len(none) == len(ODD) and not any(r.hits for r in none)
 
@@ -335,6 +336,13 @@ def test_plain_identifiers_equal_the_patterns():
     ("call plus four four one two three four five six seven eight", "phone", "plus four four one two three four five six seven eight"),
     ("to jоhn@exаmple.com", "email", "jоhn@exаmple.com"),
     ("at 10 (dot) 0 (dot) 0 (dot) 1", "ip", "10 (dot) 0 (dot) 0 (dot) 1"),
+    ("ask jane at example dot pl now", "email", "jane at example dot pl"),
+    ("ask jane at mail dot example dot museum now", "email", "jane at mail dot example dot museum"),
+    ("ask jane at example.se now", "email", "jane at example.se"),
+    ("ask jane&#64;example&#x2e;com, now", "email", "jane&#64;example&#x2e;com"),
+    ("see ?to=jane%40example%2Ecom now", "email", "jane%40example%2Ecom"),
+    ("ask &#106;ane&commat;example&period;org now", "email", "&#106;ane&commat;example&period;org"),
+    ("from 10&#46;0&#46;0&#46;1 on", "ip", "10&#46;0&#46;0&#46;1"),
 ])
 def test_disguised_identifiers(spark, text, kind, span):
     row = private_data.find_private(spark.createDataFrame([(1, text)], SCHEMA)).first()
@@ -354,7 +362,7 @@ def test_no_text_with_private_data_is_passed_over():
     import pyarrow as pa
 
     rng = random.Random(11)
-    signs = ["jane", "mail", " at ", " AT\t", " dot ", ".", "com", "org", "x-1", " ", "one two three ", "four, five-six ", "seven", "ſıx six ", "×", "(at)", "é", "а", "＠", "@", "٣", "\u00ad", "1"]
+    signs = ["jane", "mail", " at ", " AT\t", " dot ", ".", "com", "org", "x-1", " ", "one two three ", "four, five-six ", "seven", "ſıx six ", "×", "(at)", "é", "а", "＠", "@", "٣", "\u00ad", "1", "&#64;", "%40", "&commat;", "&", "%2"]
     texts = ["jane at example.com", "Jane AT mail.example.org, please", "one two three four five six seven×", "×one ſıx three four five six seven÷"]
     texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 14))) for _ in range(20_000)]
     for folded in private_data._FOLDS:
@@ -377,6 +385,20 @@ def test_addresses_said_with_a_full_stop(spark):
     assert private_data.redact(spark.createDataFrame(rows[:1], SCHEMA)).first().text == "write to <EMAIL> now"
 
 
+def test_prose_with_at_and_dot_is_left_alone():
+    for text in ("we meet at noon dot then", "look at the dot and think", "he stared at it dot and comma", "we met at noon.Then we left", "sales rose 40% at home. So", "AT&T &amp; co at 100%20 off", "at one dot on the map", "rated at 7.5 of 10"):
+        assert private_data.find(text) == ([], []), text
+
+
+def test_spans_are_merged_in_one_pass():
+    import time
+
+    text = " ".join(f"user{k}@example.com" for k in range(100_000)) + " а"
+    began = time.time()
+    base, more = private_data.find(text)
+    assert len(base) == 100_000 and not more and time.time() - began < 20
+
+
 def test_a_disguised_beginning_keeps_the_whole_name():
     text = "write to jоhn@example.com now"
     base, more = private_data.find(text)
@@ -391,7 +413,7 @@ def disguised(rng, kind):
         name, host = rng.choice(["jane", "max.power", "a_b", "kurt-7"]), rng.choice(["example.com", "mail.example.org", "uni.de"])
         return rng.choice([
             f"{name} (at) {host.replace('.', ' (dot) ')}", f"{name}[at]{host}", f"{name} at {host.replace('.', ' dot ')}", f"{name}＠{host}", f"{name}@{host}".replace("a", "а").replace("e", "е"),
-            f"{name} <at> {host.replace('.', ' [dot] ')}", f"{name}\u200b@{host}", f"{name} {{at}} {host}",
+            f"{name} <at> {host.replace('.', ' [dot] ')}", f"{name}\u200b@{host}", f"{name} {{at}} {host}", f"{name} at {host.replace('.', ' dot ')} dot nu", f"{name}&#64;{host}".replace(".", "&#x2E;"), f"{name}%40{host}",
         ])
     if kind == "ip":
         parts = [str(rng.randrange(256)) for _ in range(4)]
@@ -439,6 +461,21 @@ def test_private_data_query_columns(spark, tmp_path):
         assert set(listed.split(",")) - {""} <= set(spans) and len(spans) == len(want) + r.n_disguised
 
 
+def test_items_with_one_prompt(spark):
+    from pyspark.sql import functions as F
+
+    prompt = " ".join(f"answer{j}" for j in range(12))
+    items = [(i, f"{prompt} {i} plus {i}") for i in range(6_000)] + [(None, prompt), (5, prompt)]
+    docs = [(i, f"x{i} {prompt} y{i}") for i in range(2_000)] + [(9_000, prompt + " 17 plus 17"), (9_001, prompt[:-2])]
+    digest = lambda x: F.struct(F.size(x).alias("n"), F.md5(F.array_join(x, ",")).alias("md5"))
+    found = decontaminate.decontaminate(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string"), describe=digest).collect()
+    every = sorted({str(i) for i, _ in items})
+    want = (len(every), hashlib.md5(",".join(every).encode()).hexdigest())
+    got = {r.doc_id: (r["items"].n, r["items"].md5, sum(s.end - s.start for s in r.hits)) for r in found}
+    assert got[9_000] == (*want, 15) and got[9_001] == (*want, 11)
+    assert all(got[i] == (*want, 12) for i in range(2_000)) and len(got) == len(docs)
+
+
 def test_thue_morse_texts_are_told_apart(spark):
     from tests.llm.test_hashes import thue_morse
 
