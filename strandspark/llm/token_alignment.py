@@ -25,7 +25,7 @@ from . import words as W
 from .common import stash, texts
 
 #: Stretches that a worker keeps, about 300 bytes each; when a block begins with more, it begins anew.
-CACHE = 300_000
+CACHE = 500_000
 PIECES = "piece_bpe_32k.model"
 
 
@@ -75,45 +75,69 @@ class Pieces:
 
 
 class Transducer:
-    def __init__(self, left: list[bytes], right: list[bytes]) -> None:
-        self.sides, self.memo = (left, right), {}
+    """States are numbered: 0 where nothing dangles, else even numbers where the left side leads and odd ones where the
+    right side does, each with the bytes that dangle. The step that a token takes from a state is looked up once it is known."""
 
-    def _step(self, lead: int, dangling: bytes, token: int) -> tuple[int, bytes] | None:
+    def __init__(self, left: list[bytes], right: list[bytes]) -> None:
+        self.sides = (left, right)
+        self.dangling: list[bytes] = [b"", b""]
+        self.number: dict[tuple[int, bytes], int] = {(0, b""): 0, (1, b""): 0}
+        self.steps: list[dict[int, int]] = [{}, {}]
+
+    def _state(self, lead: int, dangling: bytes) -> int:
+        if (found := self.number.get((lead, dangling))) is None:
+            found = self.number[lead, dangling] = len(self.steps) + lead
+            self.dangling += [dangling, dangling]
+            self.steps += [{}, {}]
+        return found
+
+    def _step(self, state: int, token: int) -> int:
+        """The next state, -1 where the bytes differ."""
+        lead, dangling = state & 1, self.dangling[state]
         piece = self.sides[1 - lead][token]
         if dangling.startswith(piece):
-            return lead, dangling[len(piece) :]
-        return (1 - lead, piece[len(dangling) :]) if piece.startswith(dangling) else None
-
-    def align(self, left: list[int], right: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]] | None:
-        """(groups, links) of two token sequences, or None where their bytes differ."""
-        sides, at, groups, links = (left, right), [0, 0], [], []
-        lead, dangling, last, memo = 0, b"", -1, self.memo
-        group: tuple[list[int], list[int]] = ([], [])
-        while dangling or at[0] < len(left) or at[1] < len(right):
-            side = 1 - lead if dangling else 0
-            if at[side] == len(sides[side]):
-                return None
-            token = sides[side][at[side]]
-            at[side] += 1
-            group[side].append(token)
-            if not dangling:
-                lead, dangling, last = 0, self.sides[0][token], token
+            return self._state(lead, dangling[len(piece) :])
+        return self._state(1 - lead, piece[len(dangling) :]) if piece.startswith(dangling) else -1
+
+    def align(self, left: list[int], right: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[int]] | None:
+        """(groups, links as left id << 32 | right id) of two token sequences, or None where their bytes differ."""
+        groups, links, steps, i, j, state = [], [], self.steps, 0, 0, 0
+        n, m, mine, theirs, last = len(left), len(right), [], [], -1
+        while True:
+            if not state:
+                if i == n:
+                    return (groups, links) if j == m else None
+                last = left[i]
+                i += 1
+                mine, theirs = [last], []
+                state = self._state(0, self.sides[0][last]) if (known := steps[0].get(last)) is None else known
+                steps[0][last] = state
                 continue
-            links.append((token, last) if lead else (last, token))
-            key = (lead, dangling, token)
-            step = memo.get(key)
-            if step is None:
-                step = memo[key] = self._step(*key)
-                if step is None:
-                    del memo[key]
+            lead = state & 1
+            if lead:
+                if i == n:
+                    return None
+                token = left[i]
+                i += 1
+                mine.append(token)
+                links.append(token << 32 | last)
+            else:
+                if j == m:
+                    return None
+                token = right[j]
+                j += 1
+                theirs.append(token)
+                links.append(last << 32 | token)
+            ahead = steps[state].get(token)
+            if ahead is None:
+                ahead = steps[state][token] = self._step(state, token)
+            if ahead <= 0:
+                if ahead < 0:
                     return None
-            if step[0] != lead:
+                groups.append((mine, theirs))
+            elif ahead & 1 != lead:
                 last = token
-            lead, dangling = step
-            if not dangling:
-                groups.append(group)
-                group = ([], [])
-        return groups, links
+            state = ahead
 
 
 def _grown(x: np.ndarray, n: int) -> np.ndarray:
@@ -128,6 +152,7 @@ class Aligner:
     def __init__(self, path: str, pieces: str) -> None:
         self.left, self.right = tokens.Encoder(path), Pieces(pieces)
         self.left_bytes = byte_level_bytes(self.left.tokenizer)
+        self.decimal = [b"%d" % k for k in range(max(len(self.left_bytes), len(self.right.bytes)))]
         self.reset()
 
     def reset(self) -> None:
@@ -139,18 +164,23 @@ class Aligner:
 
     def _learn(self, parts: list[str], raw: list[bytes]) -> None:
         flat, size = self.left._ids(parts)
-        ends, n = np.cumsum(size).tolist(), len(self.texts)
-        self.sizes, self.first, self.n_links = (_grown(x, n + len(parts)) for x in (self.sizes, self.first, self.n_links))
-        flat, made = flat.tolist(), []
-        for k, (b, data) in enumerate(zip(self.right.ids(parts), raw, strict=True)):
-            a = flat[ends[k] - int(size[k]) : ends[k]]
-            found = self.transducer.align(a, b) if b"".join(map(self.left_bytes.__getitem__, a)) == data else None
+        ends, n, flat, said = np.cumsum(size).tolist(), len(self.texts), flat.tolist(), self.decimal
+        # Where all bytes come back in stretches of the right sizes, each stretch's do.
+        long = np.add.reduceat(np.fromiter((len(self.left_bytes[x]) for x in flat), np.int64, len(flat)), (np.cumsum(size) - size)).tolist() if flat else []
+        whole = long == list(map(len, raw)) and b"".join(map(self.left_bytes.__getitem__, flat)) == b"".join(raw)
+        made, first, counts, at = [], [], [], 0
+        for a_end, b, data in zip(ends, self.right.ids(parts), raw, strict=True):
+            a, at = flat[at:a_end], a_end
+            found = self.transducer.align(a, b) if whole or b"".join(map(self.left_bytes.__getitem__, a)) == data else None
             groups, links = found or ([], [])
-            self.texts.append(b";".join(b"%b|%b" % (b",".join(b"%d" % x for x in p), b",".join(b"%d" % x for x in q)) for p, q in groups))
-            self.sizes[n + k] = (len(a), len(b), len(groups), found is not None)
-            self.first[n + k], self.n_links[n + k] = self.used + len(made), len(links)
-            made += [p << 32 | q for p, q in links]
-        self.links = _grown(self.links, self.used + len(made))
+            self.texts.append(b";".join([said[p[0]] + b"|" + said[q[0]] if len(p) == len(q) == 1 else b",".join([said[x] for x in p]) + b"|" + b",".join([said[x] for x in q]) for p, q in groups]))
+            counts.append((len(a), len(b), len(groups), found is not None))
+            first.append(len(links))
+            made += links
+        end = n + len(parts)
+        self.sizes, self.first, self.n_links, self.links = _grown(self.sizes, end), _grown(self.first, end), _grown(self.n_links, end), _grown(self.links, self.used + len(made))
+        self.sizes[n:end], self.n_links[n:end] = counts, first
+        self.first[n:end] = self.used + np.cumsum(first) - first
         self.links[self.used : self.used + len(made)] = made
         self.used += len(made)
 
