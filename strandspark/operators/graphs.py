@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import heapq
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+#: Directed edges of a graph that every task may hold, 16 bytes each; beyond that, rounds over DataFrames.
+SHARED_EDGES = 8_000_000
+#: Pairs of a source and a node that one block of such rounds takes on.
+BLOCK_PAIRS = 200_000_000
+#: Paths whose lengths differ by less are equally long.
+ALIKE = 1e-12
+
 
 def _saved(df: DataFrame) -> DataFrame:
     """df written to the folder all executors share, so that rounds don't stack up in the plan. The file
@@ -23,7 +34,21 @@ def _saved(df: DataFrame) -> DataFrame:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    saved = spark.read.schema(df.schema).parquet(path)
+    saved._folder = path
+    return saved
+
+
+def _forget(*frames: DataFrame) -> None:
+    """Removes what _saved wrote, once nothing reads it any more."""
+    for df in frames:
+        jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._folder)
+        jvm_path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def _both_ways(edges: DataFrame, *others: str) -> DataFrame:
+    turned = edges.select(F.col("b").alias("u"), F.col("a").alias("v"), *others)
+    return edges.select(F.col("a").alias("u"), F.col("b").alias("v"), *others).unionByName(turned)
 
 
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -41,31 +66,39 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         state = jumped.drop("moved")
 
 
-def page_rank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 100) -> DataFrame:
-    """node and rank of an undirected weighted graph (a, b, score); ranks sum to 1."""
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"), "score").unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"), "score"))
+def page_rank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-6, rounds: int = 100, at_once: int = 5) -> DataFrame:
+    """node and rank of an undirected weighted graph (a, b, score); ranks sum to 1. Rounds end when ranks move by less
+    than tolerance a node on average, or at their number. at_once of them are one job, which also measures the last move."""
+    both = _both_ways(edges, "score")
     weight = both.groupBy("u").agg(F.sum("score").alias("total"))
     flow = _saved(both.join(weight, "u").where("total > 0").select("u", "v", (F.col("score") / F.col("total")).alias("share")))
-    nodes = _saved(weight.select(F.col("u").alias("node")))
-    n = nodes.count()
-    rank = nodes.withColumn("rank", F.lit(1.0 / max(n, 1)))
-    for _ in range(rounds):
-        sent = flow.join(rank.withColumnRenamed("node", "u"), "u").groupBy(F.col("v").alias("node")).agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
-        moved = nodes.join(sent, "node", "left").select("node", F.coalesce("got", F.lit(0.0)).alias("got"))
-        lost = 1.0 - (moved.agg(F.sum("got")).first()[0] or 0.0)  # of nodes without weight, spread evenly
-        fresh = _saved(moved.select("node", (F.lit((1 - damping) / n) + damping * (F.col("got") + lost / n)).alias("rank")))
-        change = fresh.join(rank.withColumnRenamed("rank", "old"), "node").agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
-        rank = fresh
-        if change is None or change < tolerance:
+    nodes = _saved(weight.select(F.col("u").alias("node"), (~(F.col("total") > 0)).alias("dead")))
+    n, dead = nodes.agg(F.count("*"), F.count_if("dead")).first()
+    rank, done = _saved(nodes.select("node", "dead", F.lit(1.0 / max(n, 1)).alias("rank"))), 0
+    while done < rounds:
+        now, before = rank, None
+        steps = 1 if dead else min(at_once, rounds - done)
+        for _ in range(steps):
+            # What nodes without weight hold is spread evenly.
+            lost = (rank.where("dead").agg(F.sum("rank")).first()[0] or 0.0) if dead else 0.0
+            sent = flow.join(now.select(F.col("node").alias("u"), "rank"), "u").groupBy(F.col("v").alias("node")).agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
+            moved = now.select("node", "dead", F.col("rank").alias("old")).join(sent, "node", "left")
+            before = moved.select("node", "dead", "old", (F.lit((1 - damping) / max(n, 1)) + damping * (F.coalesce("got", F.lit(0.0)) + lost / max(n, 1))).alias("rank"))
+            now = before.drop("old")
+        seen = Observation()
+        fresh = _saved(before.observe(seen, F.sum(F.abs(F.col("rank") - F.col("old"))).alias("change")).select("node", "dead", "rank"))
+        _forget(rank)
+        rank, done = fresh, done + steps
+        if (seen.get["change"] or 0.0) < tolerance * n:
             break
-    return rank
+    return rank.select("node", "rank")
 
 
 def distances(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """seed, node, hops and distance: the fewest edges, and the least sum of edge distances, from each seed (column
     node) to each node it reaches over undirected edges (a, b, distance). A seed without edges reaches itself alone.
     Each round only what became nearer in the last one is carried on, so rounds end with the longest best path."""
-    both = _saved(edges.select(F.col("a").alias("u"), F.col("b").alias("v"), "distance").unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"), "distance")).groupBy("u", "v").agg(F.min("distance").alias("step")))
+    both = _saved(_both_ways(edges, "distance").groupBy("u", "v").agg(F.min("distance").alias("step")))
     start = seeds.where("node IS NOT NULL").select(F.col("node").alias("seed"), "node").distinct()
     state = _saved(start.select("seed", "node", F.lit(0).cast("long").alias("hops"), F.lit(0.0).alias("distance"), F.lit(True).alias("moved")))
     while not state.where("moved").isEmpty():
@@ -75,3 +108,183 @@ def distances(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         nearer = F.col("h").isNull() | (F.col("hops") < F.col("h")) | (F.col("distance") < F.col("d"))
         state = _saved(nearest.select("seed", "node", "hops", "distance", nearer.alias("moved")))
     return state.drop("moved")
+
+
+def hops(edges: DataFrame, seeds: DataFrame, with_path: bool = False) -> DataFrame:
+    """seed, node and hops, the fewest edges from each seed (column node) to each node that it reaches over undirected
+    edges (a, b); with_path adds path, the nodes on the way: of equally short ones that with the least node before the
+    last, and so on backwards. Each round goes on from what was first reached in the last one alone."""
+    both = _saved(_both_ways(edges).distinct())
+    start = seeds.where("node IS NOT NULL").select(F.col("node").alias("seed"), "node").distinct().withColumn("hops", F.lit(0).cast("long"))
+    front = _saved(start.withColumn("path", F.array("node")) if with_path else start)
+    rounds = [front]
+    while not front.isEmpty():
+        offered = front.join(both, F.col("node") == F.col("u"))
+        path = [F.min_by(F.concat("path", F.array("v")), "u").alias("path")] if with_path else []
+        reached = offered.groupBy("seed", F.col("v").alias("node")).agg((F.min("hops") + 1).alias("hops"), *path)
+        # A node beside the front was reached in this round's two predecessors, or is new.
+        for known in rounds[-2:]:
+            reached = reached.join(known.select("seed", "node"), ["seed", "node"], "left_anti")
+        front = _saved(reached)
+        rounds.append(front)
+    out = rounds[0]
+    for x in rounds[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def closeness(edges: DataFrame) -> DataFrame:
+    """node and closeness by hops: nodes it reaches over the sum of hops to them, times the share of all other nodes that
+    it reaches (so that small components count little)."""
+    nodes = _both_ways(edges).select(F.col("u").alias("node")).distinct()
+    n = F.lit(nodes.count())
+    far = hops(edges, nodes).groupBy(F.col("seed").alias("node")).agg((F.count("*") - 1).alias("r"), F.sum("hops").alias("far"))
+    return far.select("node", F.when((F.col("far") > 0) & (n > 1), F.col("r") * F.col("r") / (F.col("far") * (n - 1))).otherwise(0.0).alias("closeness"))
+
+
+def betweenness(edges: DataFrame, shared_edges: int = SHARED_EDGES, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
+    """node and betweenness, the share of shortest paths by distance (a, b, distance; distances above ALIKE) between
+    other nodes that lead through it, over all such pairs.
+
+    A graph of at most shared_edges directed edges is sent to all tasks as compressed rows, sources are dealt over
+    them, and each adds up what its sources give. A larger one is taken in rounds over DataFrames, a block of
+    sources at a time, which hold no graph anywhere: paths are counted along the edges that lie on shortest ones, and what
+    lies behind a node is gathered back along the same edges."""
+    both = _saved(_both_ways(edges, "distance").where("u <> v").groupBy("u", "v").agg(F.min("distance").alias("step")))
+    nodes = _saved(both.select(F.col("u").alias("node")).distinct())
+    n, m = nodes.count(), both.count()
+    through = _through_shared(both, nodes) if m <= shared_edges else _through_rounds(both, nodes, n, block_pairs)
+    total = through.groupBy("node").agg(F.sum("through").alias("through"))
+    pairs = float((n - 1) * (n - 2)) if n > 2 else 1.0
+    return nodes.join(total, "node", "left").select("node", (F.coalesce("through", F.lit(0.0)) / pairs).alias("betweenness"))
+
+
+def _through_shared(both: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and through, one row a task and node at most."""
+    spark, rows = both.sparkSession, both.orderBy("u", "v").toArrow()
+    names = pa.compute.unique(rows["u"])
+    first = np.searchsorted(pa.compute.index_in(rows["u"], names).to_numpy(), np.arange(len(names) + 1))
+    shared = spark.sparkContext.broadcast((names, first, pa.compute.index_in(rows["v"], names).to_numpy(zero_copy_only=False).astype(np.int32), rows["step"].to_numpy()))
+    kind = nodes.schema["node"].dataType.simpleString()
+
+    def run(batches):
+        names, first, near, step = shared.value
+        bounds, near, step, total = first.tolist(), near.tolist(), step.tolist(), np.zeros(len(first) - 1)
+        for batch in batches:
+            for source in pa.compute.index_in(batch.column(0), names).to_pylist():
+                _from_source(source, bounds, near, step, total)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([names.combine_chunks().take(pa.array(some)) if isinstance(names, pa.ChunkedArray) else names.take(pa.array(some)), pa.array(total[some])], ["node", "through"])
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return nodes.repartition(tasks, "node").mapInArrow(run, f"node {kind}, through double")
+
+
+def _from_source(source: int, first: list, near: list, step: list, total: np.ndarray) -> None:
+    """Adds what the shortest paths from one source give to the nodes on them (Brandes 2001)."""
+    best, count, before, order, heap = {source: 0.0}, {source: 1.0}, {source: []}, [], [(0.0, source)]
+    done = set()
+    while heap:
+        far, u = heapq.heappop(heap)
+        if u in done:
+            continue
+        done.add(u)
+        order.append(u)
+        for k in range(first[u], first[u + 1]):
+            v, d = near[k], far + step[k]
+            if v in done:
+                continue
+            known = best.get(v)
+            if known is None or d < known - ALIKE:
+                best[v], count[v], before[v] = d, count[u], [u]
+                heapq.heappush(heap, (d, v))
+            elif abs(d - known) <= ALIKE:
+                count[v] += count[u]
+                before[v].append(u)
+    share = dict.fromkeys(order, 0.0)
+    for v in reversed(order):
+        for u in before[v]:
+            share[u] += count[u] / count[v] * (1 + share[v])
+        if v != source:
+            total[v] += share[v]
+
+
+def _along(start: DataFrame, steps: DataFrame, come: str, go: str) -> DataFrame:
+    """seed, node and the sum over all ways along steps (seed, come, go) of the values (x) that they start from."""
+    part, every = _saved(start), None
+    while not part.isEmpty():
+        every = part if every is None else every.unionByName(part)
+        part = _saved(part.join(steps, [F.col("node") == F.col(come), part["seed"] == steps["seed"]]).groupBy(part["seed"], F.col(go).alias("node")).agg(F.sum("x").alias("x")))
+    every = start.limit(0) if every is None else every
+    return _saved(every.groupBy("seed", "node").agg(F.sum("x").alias("x")))
+
+
+def _through_rounds(both: DataFrame, nodes: DataFrame, n: int, block_pairs: int) -> DataFrame:
+    blocks, parts = -(-n * n // block_pairs), []
+    pairs = both.select(F.col("u").alias("a"), F.col("v").alias("b"), F.col("step").alias("distance"))
+    for k in range(blocks):
+        sources = nodes.where(F.pmod(F.xxhash64("node"), F.lit(blocks)) == k)
+        far = _saved(distances(pairs, sources).select("seed", "node", "distance"))
+        ends = far.select("seed", F.col("node").alias("v"), F.col("distance").alias("to"))
+        on_path = far.join(both, F.col("node") == F.col("u")).join(ends, ["seed", "v"]).where(F.abs(F.col("distance") + F.col("step") - F.col("to")) <= ALIKE)
+        steps = _saved(on_path.select("seed", "u", "v"))
+        count = _along(far.where("seed = node").select("seed", "node", F.lit(1.0).alias("x")), steps, "u", "v")
+        behind = _along(count.select("seed", "node", (1 / F.col("x")).alias("x")), steps, "v", "u")
+        both_sides = count.select("seed", "node", F.col("x").alias("paths")).join(behind, ["seed", "node"]).where("seed <> node")
+        parts.append(_saved(both_sides.groupBy("node").agg(F.sum(F.col("paths") * F.col("x") - 1).alias("through"))))
+        _forget(far, steps, count, behind)
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def communities(edges: DataFrame, rounds: int = 100) -> DataFrame:
+    """node and community (its least node) by rounds of merges that raise modularity over edges (a, b, score).
+
+    Each community names the neighbour it would gain most by joining, the least of equals. In a round about half of
+    them, by a hash that changes from round to round, may join one of the other half, all at once; should that
+    not raise the modularity of the whole, only pairs that name each other join, which always does. It ends when no two communities
+    would gain by being one. A community is a row, and links between two are one row, so rounds shrink."""
+    kind = edges.schema["a"].dataType
+    links = _saved(edges.where("a <> b").groupBy("a", "b").agg(F.sum("score").alias("w")))
+    total = links.agg(F.sum("w")).first()[0] or 0.0
+    both = _saved(_both_ways(links, "w").groupBy("u", "v").agg(F.sum("w").alias("w")))
+    labels = both.select(F.col("u").alias("node"), F.col("u").alias("c")).distinct()
+    if not total:
+        return labels.select("node", F.col("c").alias("community"))
+    size = _saved(both.groupBy(F.col("u").alias("c")).agg(F.sum("w").alias("d")))
+
+    def quality(pairs: DataFrame, weights: DataFrame) -> float:
+        inside = pairs.where("u = v").agg(F.sum("w")).first()[0] or 0.0
+        return inside / (2 * total) - (weights.agg(F.sum(F.col("d") * F.col("d"))).first()[0] or 0.0) / (4 * total * total)
+
+    def merged(moves: DataFrame) -> tuple[DataFrame, DataFrame]:
+        to = moves.select(F.col("u").alias("from"), F.col("to"))
+        name = lambda df, c: df.join(to, F.col(c) == F.col("from"), "left").withColumn(c, F.coalesce("to", c)).drop("from", "to")
+        return _saved(name(name(both, "u"), "v").groupBy("u", "v").agg(F.sum("w").alias("w"))), _saved(name(size, "c").groupBy("c").agg(F.sum("d").alias("d")))
+
+    now, applied = quality(both, size), []
+    for k in range(rounds):
+        d = size.select("c", "d")
+        gain = F.col("w") / total - F.col("du") * F.col("dv") / (2 * total * total)
+        priced = both.where("u <> v").join(d.toDF("u", "du"), "u").join(d.toDF("v", "dv"), "v").select("u", "v", gain.alias("gain")).where(F.col("gain") > 1e-12)
+        best = _saved(priced.groupBy("u").agg(F.min_by("v", F.struct(-F.col("gain"), F.col("v"))).alias("to")))
+        if best.isEmpty():
+            break
+        sends = lambda c: F.pmod(F.xxhash64(c, F.lit(k)), F.lit(2)) == 1
+        tried = merged(moves := best.where(sends(F.col("u")) & ~sends(F.col("to"))))
+        reached = quality(*tried)
+        if reached <= now + 1e-12:
+            other = best.select(F.col("u").alias("to"), F.col("to").alias("u"))
+            # Of two that name each other the greater joins the less: gains of pairs that lie apart add up.
+            tried = merged(moves := best.join(other, ["u", "to"]).where("u > to"))
+            reached = quality(*tried)
+        applied.append(_saved(moves))
+        (both, size), now = tried, reached
+    for moves in applied:
+        to = moves.select(F.col("u").alias("c"), "to")
+        labels = labels.join(to, "c", "left").select("node", F.coalesce("to", "c").alias("c"))
+    labels = _saved(labels)
+    least = labels.groupBy("c").agg(F.min("node").cast(kind).alias("community"))
+    return labels.join(least, "c").select("node", "community")

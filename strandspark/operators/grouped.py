@@ -9,54 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def clump(variants: DataFrame, ld: DataFrame, index_p: float = 5e-8, member_p: float = 0.01, window: int = 1_000_000, least_r2: float = 0.1) -> DataFrame:
-    """variants (chrom, pos, id, p) and ld (chrom, a, b, r2): chrom, lead, id, p of every clump member. The
-    variant with the least p <= index_p (then pos, id) leads and takes all free ones with p <= member_p within the
-    window that it is linked to; and so on. Links below least_r2 are dropped before they travel."""
-
-    def run(key: tuple, v: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        v = v[v.p <= member_p].sort_values(["p", "pos", "id"])
-        near: dict = {}
-        for a, b in zip(edges.a, edges.b, strict=True):
-            near.setdefault(a, set()).add(b)
-            near.setdefault(b, set()).add(a)
-        at, p_of, free, out = dict(zip(v.id, v.pos, strict=True)), dict(zip(v.id, v.p, strict=True)), set(v.id), []
-        for lead, pos, p in zip(v.id, v.pos, v.p, strict=True):
-            if p > index_p or lead not in free:
-                continue
-            mine = [lead] + sorted(x for x in near.get(lead, ()) if x in free and x != lead and abs(at[x] - pos) <= window)
-            free.difference_update(mine)
-            out += [(key[0], lead, x, p_of[x]) for x in mine]
-        return pd.DataFrame(out, columns=["chrom", "lead", "id", "p"])
-
-    kinds = dict(variants.dtypes)
-    strong = ld.where(F.col("r2") >= least_r2).select(F.col("chrom").alias("_chrom"), F.col("a").alias("a"), F.col("b").alias("b"))
-    schema = f"chrom {kinds['chrom']}, lead {kinds['id']}, id {kinds['id']}, p double"
-    return variants.groupBy("chrom").cogroup(strong.groupBy("_chrom")).applyInPandas(run, schema)
-
-
-def ld_matrix(dosage: DataFrame, least_maf: float = 0.01, most_missing: float = 0.05, cap: int = 15_000) -> DataFrame:
-    """dosage (locus, variant, sample, dosage): locus, i, j (i < j) and signed correlation of every pair of
-    variants that pass. A locus with more than cap variants is an error: its matrix would not fit a task."""
-
-    def run(key: tuple, d: pd.DataFrame) -> pd.DataFrame:
-        g = d.pivot_table(index="variant", columns="sample", values="dosage", aggfunc="first")
-        missing, freq = g.isna().mean(axis=1), g.mean(axis=1) / 2
-        g = g[(missing <= most_missing) & (np.minimum(freq, 1 - freq) >= least_maf)]
-        if len(g) > cap:
-            raise ValueError(f"{len(g)} variants in locus {key[0]}; the cap is {cap}")
-        x = g.sub(g.mean(axis=1), axis=0).fillna(0).to_numpy(np.float32)
-        norm = np.sqrt((x**2).sum(1))
-        x = x[norm > 0] / norm[norm > 0, None]
-        names = g.index.to_numpy()[norm > 0]
-        r = np.clip(x @ x.T, -1, 1)
-        i, j = np.triu_indices(len(names), 1)
-        return pd.DataFrame({"locus": key[0], "i": names[i], "j": names[j], "r": r[i, j].astype(float)})
-
-    kinds = dict(dosage.dtypes)
-    return dosage.groupBy("locus").applyInPandas(run, f"locus {kinds['locus']}, i {kinds['variant']}, j {kinds['variant']}, r double")
-
-
 def susie(z: np.ndarray, r: np.ndarray, n: int, effects: int = 10, iterations: int = 100, tolerance: float = 1e-3, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
     """Sum of single effects from z scores and correlations (Wang 2020, Zou 2022), residual variance 1:
     (effects x variants) inclusion probabilities, and log Bayes factors."""
@@ -94,11 +46,10 @@ def susie(z: np.ndarray, r: np.ndarray, n: int, effects: int = 10, iterations: i
 def _fit(s: pd.DataFrame, edges: pd.DataFrame, coverage: float, effects: int, least_purity: float):
     """(number, members, probabilities, log Bayes factors) of the components of one locus; members are none where
     the set is not pure enough or equal to an earlier one. s is in the order of the matrix."""
-    at = {v: k for k, v in enumerate(s.variant)}
-    r = np.eye(len(s))
-    for i, j, x in zip(edges.i, edges.j, edges.r, strict=True):
-        if i in at and j in at:
-            r[at[i], at[j]] = r[at[j], at[i]] = x
+    r, at = np.eye(len(s)), pd.Index(s.variant)
+    i, j = at.get_indexer(edges.i), at.get_indexer(edges.j)
+    both = (i >= 0) & (j >= 0)
+    r[i[both], j[both]] = r[j[both], i[both]] = edges.r.to_numpy()[both]
     alpha, lbf = susie(s.z.to_numpy(float), r, int(s.n.max()), effects)
     seen = set()
     for k, (a, factors) in enumerate(zip(alpha, lbf, strict=True), 1):
@@ -159,21 +110,6 @@ def signals(stats: DataFrame, ld: DataFrame, coverage: float = 0.95, effects: in
     return stats.groupBy("locus", "trait").cogroup(sent.groupBy("_locus", "_trait")).applyInPandas(run, schema)
 
 
-def greedy_match(pairs: DataFrame, key: str) -> DataFrame:
-    """pairs (key, a, b, score): by falling score (then a, b) those whose two ends are both free."""
-
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        used_a, used_b, kept = set(), set(), []
-        for row in p.sort_values(["score", "a", "b"], ascending=[False, True, True]).itertuples(index=False):
-            if row.a not in used_a and row.b not in used_b:
-                used_a.add(row.a)
-                used_b.add(row.b)
-                kept.append(row)
-        return pd.DataFrame(kept, columns=p.columns)
-
-    return pairs.groupBy(key).applyInPandas(run, pairs.schema)
-
-
 def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.7) -> DataFrame:
     """terms (collection, term, fdr, genes): term, cluster and representative. By rising fdr (then term) a term joins the
     representative with the greatest Jaccard of at least threshold, the earliest of equals, or opens a cluster."""
@@ -195,80 +131,3 @@ def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.
 
     kinds = dict(terms.dtypes)
     return terms.groupBy(F.col(collection).alias("collection")).applyInPandas(run, f"collection {kinds[collection]}, term {kinds['term']}, cluster long, representative {kinds['term']}")
-
-
-def centrality(edges: DataFrame, key: str, cap: int = 5_000) -> DataFrame:
-    """edges (key, a, b, score, distance) of small networks: node, betweenness and closeness (weighted by
-    distance), and community (greedy modularity). A network above cap nodes is an error."""
-    import heapq
-
-    def paths(near, source):
-        dist, sigma, before, order, heap = {}, {source: 1.0}, {source: []}, [], [(0.0, source)]
-        best = {source: 0.0}
-        while heap:
-            d, u = heapq.heappop(heap)
-            if u in dist:
-                continue
-            dist[u] = d
-            order.append(u)
-            for v, w in near[u].items():
-                nd = d + w
-                if v in dist:
-                    continue
-                if v not in best or nd < best[v] - 1e-12:
-                    best[v], sigma[v], before[v] = nd, sigma[u], [u]
-                    heapq.heappush(heap, (nd, v))
-                elif abs(nd - best[v]) <= 1e-12:
-                    sigma[v] += sigma[u]
-                    before[v].append(u)
-        return dist, sigma, before, order
-
-    def communities(near, weight):
-        total = sum(sum(x.values()) for x in weight.values()) / 2
-        member = {v: v for v in near}
-        degree = {v: sum(weight[v].values()) for v in near}
-        links = {v: dict(weight[v]) for v in near}
-        while total and len(links) > 1:
-            gain, pair = 0.0, None
-            for u in sorted(links):
-                for v, w in links[u].items():
-                    if u < v and (g := w / total - degree[u] * degree[v] / (2 * total**2)) > gain + 1e-12:
-                        gain, pair = g, (u, v)
-            if pair is None:
-                break
-            u, v = pair
-            for x, w in links.pop(v).items():
-                links[x].pop(v, None)
-                if x != u:
-                    links[u][x] = links[u].get(x, 0) + w
-                    links[x][u] = links[u][x]
-            degree[u] += degree.pop(v)
-            member = {a: (u if b == v else b) for a, b in member.items()}
-        return member
-
-    def run(k: tuple, e: pd.DataFrame) -> pd.DataFrame:
-        near, weight = {}, {}
-        for a, b, s, d in zip(e.a, e.b, e.score, e.distance, strict=True):
-            for x, y in ((a, b), (b, a)):
-                near.setdefault(x, {})[y] = d
-                weight.setdefault(x, {})[y] = s
-        if len(near) > cap:
-            raise ValueError(f"{len(near)} nodes; the cap is {cap}")
-        n, between, close = len(near), dict.fromkeys(near, 0.0), {}
-        for s in near:
-            dist, sigma, before, order = paths(near, s)
-            total = sum(dist.values())
-            close[s] = (len(dist) - 1) ** 2 / (total * (n - 1)) if total and n > 1 else 0.0
-            share = dict.fromkeys(order, 0.0)
-            for v in reversed(order):
-                for u in before[v]:
-                    share[u] += sigma[u] / sigma[v] * (1 + share[v])
-                if v != s:
-                    between[v] += share[v]
-        scale = 1 / ((n - 1) * (n - 2)) if n > 2 else 0.0
-        names = communities(near, weight)
-        nodes = sorted(near)
-        return pd.DataFrame({"network": k[0], "node": nodes, "betweenness": [between[v] * scale for v in nodes], "closeness": [close[v] for v in nodes], "community": [names[v] for v in nodes]})
-
-    kinds = dict(edges.dtypes)
-    return edges.groupBy(F.col(key).alias("network")).applyInPandas(run, f"network {kinds[key]}, node {kinds['a']}, betweenness double, closeness double, community {kinds['a']}")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify, clean
-from ..operators import graphs, grouped, grouping, intervals, joins, kernels
+from ..operators import graphs, greedy, grouped, grouping, intervals, joins, kernels, ld
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -904,29 +904,54 @@ def funnel(t):
     return t("orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.count_if(done).alias("finished"), F.count_if(done & (col("o_totalprice") > 100000)).alias("large"), (F.count("*") == F.count("o_orderkey")).alias("reconciled"))
 
 
-@query()
+def _sql_clumps(rounds: int = 12) -> str:
+    """Rounds of leads: those without a stronger undecided neighbour; the strongest lead takes each other variant."""
+    steps = []
+    for k in range(1, rounds + 1):
+        steps.append(f"l{k} AS MATERIALIZED (SELECT id FROM u{k - 1} WHERE id NOT IN (SELECT weak FROM e WHERE strong IN (SELECT id FROM u{k - 1}) AND weak IN (SELECT id FROM u{k - 1})))")
+        steps.append(f"u{k} AS MATERIALIZED (SELECT id FROM u{k - 1} WHERE id NOT IN (SELECT id FROM l{k}) AND id NOT IN (SELECT weak FROM e WHERE strong IN (SELECT id FROM l{k})))")
+    leads = " UNION ALL ".join(f"SELECT id FROM l{k}" for k in range(1, rounds + 1))
+    return f"""WITH v AS MATERIALIZED (SELECT p_size % 5 AS chrom, p_partkey * 977 % 100000 AS pos, p_partkey AS id, 1 / pow(10.0::DOUBLE, p_partkey % 11) AS p FROM part),
+g AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY p, pos, id) AS rk FROM v WHERE p <= 0.01),
+e AS MATERIALIZED (SELECT x.id AS strong, x.rk, y.id AS weak, y.p FROM g x JOIN g y ON x.chrom = y.chrom AND x.rk < y.rk AND abs(x.pos - y.pos) <= 300 AND 1 - abs(x.pos - y.pos) / 400 >= 0.1),
+u0 AS MATERIALIZED (SELECT id FROM g WHERE p <= 1e-7), {', '.join(steps)}, lead AS MATERIALIZED ({leads}),
+m AS (SELECT arg_min(strong, rk) AS lead, weak AS id FROM e WHERE strong IN (SELECT id FROM lead) AND weak NOT IN (SELECT id FROM lead) GROUP BY 2 UNION ALL SELECT id, id FROM lead)
+SELECT chrom, lead, id, p FROM m JOIN g USING (id)"""
+
+
+@query(_sql_clumps())
 def ld_clumping(t):
-    """KRN-01: greedy clumps per group (sequential; tested against a plain loop)."""
-    p = t("part").select((col("p_size") % 5).alias("chrom"), (col("p_partkey") * 977 % 100_000).alias("pos"), col("p_partkey").alias("id"), (F.pow(F.lit(10.0), -(col("p_partkey") % 11).cast("double"))).alias("p"))
+    """KRN-01: greedy clumps, in rounds over all chromosomes."""
+    p = t("part").select((col("p_size") % 5).alias("chrom"), (col("p_partkey") * 977 % 100_000).alias("pos"), col("p_partkey").alias("id"), (1 / F.pow(F.lit(10.0), (col("p_partkey") % 11).cast("double"))).alias("p"))
     near = p.select("chrom", col("id").alias("a"), col("pos").alias("l_start"), col("pos").alias("l_end"))
     other = p.select("chrom", col("id").alias("b"), col("pos").alias("r_start"), col("pos").alias("r_end"))
-    ld = intervals.overlapping(near, other, ["chrom"], 500, padding=300).where("a < b").select("chrom", "a", "b", (1 - F.abs(col("l_start") - col("r_start")) / 400).alias("r2"))
-    return grouped.clump(p, ld, index_p=1e-7, window=300)
+    linked = intervals.overlapping(near, other, ["chrom"], 500, padding=300).where("a < b").select("chrom", "a", "b", (1 - F.abs(col("l_start") - col("r_start")) / 400).alias("r2"))
+    return greedy.clump(p, linked, index_p=1e-7, window=300)
 
 
-@query()
+SQL_DOSAGE = """d AS MATERIALIZED (SELECT l_partkey // 50 AS locus, l_partkey AS variant, l_orderkey % 40 AS sample, CAST(max(l_linenumber) % 3 AS DOUBLE) AS dosage FROM lineitem GROUP BY 1, 2, 3),
+c AS (SELECT locus, count(DISTINCT sample) AS samples FROM d GROUP BY 1),
+v AS MATERIALIZED (SELECT locus, variant, avg(dosage) AS mean, sqrt(var_pop(dosage) * count(*)) AS norm FROM d JOIN c USING (locus) GROUP BY 1, 2, samples HAVING 1 - count(*) / samples <= 0.6 AND least(avg(dosage) / 2, 1 - avg(dosage) / 2) >= 0.01 AND var_pop(dosage) > 0),
+x AS MATERIALIZED (SELECT locus, variant, sample, (dosage - mean) / norm AS x FROM d JOIN v USING (locus, variant)),
+r AS MATERIALIZED (SELECT a.locus, a.variant AS i, b.variant AS j, least(1, greatest(-1, coalesce(r, 0))) AS r FROM v a JOIN v b ON a.locus = b.locus AND a.variant < b.variant LEFT JOIN (SELECT p.locus, p.variant AS i, q.variant AS j, sum(p.x * q.x) AS r FROM x p JOIN x q ON p.locus = q.locus AND p.sample = q.sample AND p.variant < q.variant GROUP BY 1, 2, 3) s ON s.locus = a.locus AND s.i = a.variant AND s.j = b.variant)"""
+
+
+def _correlations(t) -> DataFrame:
+    d = t("lineitem").groupBy(F.expr("l_partkey div 50").alias("locus"), col("l_partkey").alias("variant"), (col("l_orderkey") % 40).alias("sample")).agg((F.max("l_linenumber") % 3).cast("double").alias("dosage"))
+    return ld.ld_matrix(d, most_missing=0.6, block=20)
+
+
+@query(f"WITH {SQL_DOSAGE} SELECT locus, i, j, round(r, 6) + 0.0 AS r FROM r")
 def ld_matrix(t):
-    """KRN-02: correlations of variants within a locus."""
-    d = t("lineitem").groupBy((col("l_suppkey") % 4).alias("locus"), (col("l_partkey") % 12).alias("variant"), (col("l_orderkey") % 40).alias("sample")).agg((F.max("l_linenumber") % 3).cast("double").alias("dosage"))
-    return grouped.ld_matrix(d, most_missing=0.5)
+    """KRN-02: correlations of variants within a locus, in blocks."""
+    return _correlations(t).withColumn("r", r6(col("r")) + 0.0)
 
 
 @query()
 def susie_fine_mapping(t):
-    """KRN-03, 04: sum of single effects per locus."""
-    stats = t("part").select(F.floor(col("p_partkey") / 100).alias("locus"), col("p_partkey").alias("variant"), (F.when(col("p_partkey") % 37 == 0, 8.0).otherwise(0.0) + (col("p_size") % 7 - 3) / 3).alias("z"), F.lit(5000).alias("n"))
-    near = stats.select("locus", col("variant").alias("i")).join(stats.select("locus", col("variant").alias("j")), "locus").where("i < j and j - i <= 10").withColumn("r", F.lit(0.6))
-    return grouped.fine_map(stats.drop("p_size"), near)
+    """KRN-03, 04: sum of single effects per locus, on the correlations of its variants."""
+    stats = t("part").select(F.expr("p_partkey div 50").alias("locus"), col("p_partkey").alias("variant"), (F.when(col("p_partkey") % 37 == 0, 8.0).otherwise(0.0) + (col("p_size") % 7 - 3) / 3).alias("z"), F.lit(5000).alias("n"))
+    return grouped.fine_map(stats, _correlations(t))
 
 
 @query()
@@ -936,11 +961,22 @@ def redundancy_clusters(t):
     return grouped.redundancy_clusters(terms, "collection")
 
 
-@query()
+def _sql_matches(rounds: int = 12) -> str:
+    steps = []
+    for k in range(1, rounds + 1):
+        first = lambda end: f"row_number() OVER (PARTITION BY user_id, {end} ORDER BY score DESC, a, b) = 1"
+        steps.append(f"m{k} AS MATERIALIZED (SELECT * FROM p{k - 1} QUALIFY {first('a')} AND {first('b')})")
+        steps.append(f"p{k} AS MATERIALIZED (SELECT * FROM p{k - 1} WHERE (user_id, a) NOT IN (SELECT user_id, a FROM m{k}) AND (user_id, b) NOT IN (SELECT user_id, b FROM m{k}))")
+    pairs = "p0 AS MATERIALIZED (SELECT user_id, l_id AS a, r_id AS b, CASE WHEN least(l_end, r_end) >= greatest(l_start, r_start) THEN (least(l_end, r_end) - greatest(l_start, r_start) + 1)::DOUBLE / (greatest(l_end, r_end) - least(l_start, r_start) + 1) ELSE 0.0 END AS score FROM l JOIN r USING (user_id) WHERE l_start <= r_end AND r_start <= l_end)"
+    return f"WITH {SQL_SIDES}, {pairs}, {', '.join(steps)} SELECT user_id, a, b, round(score, 6) AS score FROM ({' UNION ALL '.join(f'SELECT * FROM m{k}' for k in range(1, rounds + 1))})"
+
+
+@query(_sql_matches())
 def greedy_match(t):
     """KRN-12: one-to-one by falling score."""
     p = intervals.overlap_metrics(intervals.overlapping(*_two_sides(t, "click", "view"), ["user_id"], 7200))
-    return grouped.greedy_match(p.select("user_id", col("l_id").alias("a"), col("r_id").alias("b"), col("jaccard").alias("score")), "user_id")
+    found = greedy.greedy_match(p.select("user_id", col("l_id").alias("a"), col("r_id").alias("b"), col("jaccard").alias("score")), "user_id")
+    return found.withColumn("score", r6(col("score")))
 
 
 @query(f"""WITH RECURSIVE {SQL_EDGES}, n AS (SELECT a AS u, b AS v FROM ed WHERE score > 0.09 UNION SELECT b, a FROM ed WHERE score > 0.09), w AS (SELECT u, u AS c FROM n UNION SELECT n.u, w.c FROM n JOIN w ON n.v = w.u) SELECT u AS node, min(c) AS component FROM w GROUP BY 1""")
@@ -949,17 +985,69 @@ def components(t):
     return graphs.connected(_edges(t).where("score > 0.09"))
 
 
-@query()
+SQL_BOTH = "n AS MATERIALIZED (SELECT a AS u, b AS v, score, greatest(1e-6, 1 - score) AS step FROM ed UNION ALL SELECT b, a, score, greatest(1e-6, 1 - score) FROM ed)"
+RANK_ROUNDS = 25
+
+
+def _sql_ranks() -> str:
+    steps = ["r0 AS MATERIALIZED (SELECT u AS node, 1.0::DOUBLE / count(*) OVER () AS rank FROM w)"]
+    for k in range(1, RANK_ROUNDS + 1):
+        steps.append(f"r{k} AS MATERIALIZED (SELECT v AS node, 0.15 / (SELECT count(*) FROM w) + 0.85 * sum(rank * share) AS rank FROM f JOIN r{k - 1} ON node = u GROUP BY 1)")
+    return f"WITH {SQL_EDGES.replace('GROUP BY 1, 2)', 'GROUP BY 1, 2 HAVING max(l_discount) > 0)')}, {SQL_BOTH}, w AS MATERIALIZED (SELECT u, sum(score) AS total FROM n GROUP BY 1), f AS MATERIALIZED (SELECT u, v, score / total AS share FROM n JOIN w USING (u)), {', '.join(steps)} SELECT node, round(rank, 6) AS rank FROM r{RANK_ROUNDS}"
+
+
+@query(_sql_ranks())
 def page_rank(t):
-    """KRN-16: weighted PageRank."""
-    return graphs.page_rank(_edges(t)).select("node", r6(col("rank")).alias("rank"))
+    """KRN-16: weighted PageRank, in a fixed number of rounds so that SQL can follow; every node has weight here."""
+    return graphs.page_rank(_edges(t).where("score > 0"), tolerance=0.0, rounds=RANK_ROUNDS).select("node", r6(col("rank")).alias("rank"))
 
 
-@query()
+def _sql_through(rounds: int = 8) -> str:
+    """Distances, then counts of shortest paths, then what lies behind each node, a table for each number of edges."""
+    steps = ["d0 AS MATERIALIZED (SELECT DISTINCT u AS seed, u AS node, 0::BIGINT AS hops, 0.0::DOUBLE AS far FROM n)"]
+    for k in range(1, rounds + 1):
+        steps.append(f"d{k} AS MATERIALIZED (SELECT seed, node, min(hops) AS hops, min(far) AS far FROM (SELECT * FROM d{k - 1} UNION ALL SELECT seed, v, hops + 1, far + step FROM d{k - 1} JOIN n ON n.u = node) GROUP BY 1, 2)")
+    steps.append(f"dag AS MATERIALIZED (SELECT x.seed, x.node AS u, n.v FROM d{rounds} x JOIN n ON n.u = x.node JOIN d{rounds} y ON y.seed = x.seed AND y.node = n.v WHERE abs(x.far + n.step - y.far) <= 1e-12)")
+    steps.append("c0 AS MATERIALIZED (SELECT seed, node, 1.0::DOUBLE AS x FROM d0)")
+    for k in range(1, rounds + 1):
+        steps.append(f"c{k} AS MATERIALIZED (SELECT dag.seed, v AS node, sum(x) AS x FROM c{k - 1} c JOIN dag ON dag.seed = c.seed AND c.node = u GROUP BY 1, 2)")
+    steps.append(f"paths AS MATERIALIZED (SELECT seed, node, sum(x) AS x FROM ({' UNION ALL '.join(f'SELECT * FROM c{k}' for k in range(rounds + 1))}) GROUP BY 1, 2)")
+    steps.append("h0 AS MATERIALIZED (SELECT seed, node, 1 / x AS x FROM paths)")
+    for k in range(1, rounds + 1):
+        steps.append(f"h{k} AS MATERIALIZED (SELECT dag.seed, u AS node, sum(x) AS x FROM h{k - 1} h JOIN dag ON dag.seed = h.seed AND h.node = v GROUP BY 1, 2)")
+    steps.append(f"behind AS (SELECT seed, node, sum(x) AS x FROM ({' UNION ALL '.join(f'SELECT * FROM h{k}' for k in range(rounds + 1))}) GROUP BY 1, 2)")
+    steps.append("b AS (SELECT p.node, sum(CASE WHEN p.seed <> p.node THEN p.x * g.x - 1 ELSE 0 END) AS x FROM paths p JOIN behind g ON g.seed = p.seed AND g.node = p.node GROUP BY 1)")
+    steps.append(f"k AS (SELECT seed AS node, (count(*) - 1) * (count(*) - 1)::DOUBLE / sum(hops) AS x FROM d{rounds} GROUP BY 1), m AS (SELECT count(*)::DOUBLE AS n FROM d0)")
+    return f"WITH {SQL_EDGES.replace('GROUP BY 1, 2)', 'GROUP BY 1, 2 HAVING max(l_discount) > 0.08)')}, {SQL_BOTH}, {', '.join(steps)} SELECT node, round(b.x / ((n - 1) * (n - 2)), 6) AS betweenness, round(k.x / (n - 1), 6) AS closeness FROM b JOIN k USING (node), m"
+
+
+@query(_sql_through())
 def network_centrality(t):
-    """KRN-17: betweenness, closeness and communities of small networks."""
-    e = _edges(t).where("score > 0.08").withColumn("network", F.lit(1))
-    return grouped.centrality(e, "network").select("network", "node", r6(col("betweenness")).alias("betweenness"), r6(col("closeness")).alias("closeness"), "community")
+    """KRN-17: betweenness by distance, closeness by hops, of a whole network."""
+    e = _edges(t).where("score > 0.08")
+    return graphs.betweenness(e).join(graphs.closeness(e), "node").select("node", r6(col("betweenness")).alias("betweenness"), r6(col("closeness")).alias("closeness"))
+
+
+@query()
+def network_communities(t):
+    """KRN-17: communities of a whole network (rounds of merges; tested by what they must fulfil)."""
+    return graphs.communities(_edges(t).where("score > 0.08"))
+
+
+def _sql_paths(rounds: int = 8) -> str:
+    steps = ["p0 AS MATERIALIZED (SELECT s_suppkey AS seed, s_suppkey AS node, 0::BIGINT AS hops, [s_suppkey] AS path FROM supplier WHERE s_suppkey % 20 = 0)"]
+    for k in range(1, rounds + 1):
+        known = " UNION ALL ".join(f"SELECT seed, node FROM p{j}" for j in range(max(0, k - 2), k))
+        steps.append(f"p{k} AS MATERIALIZED (SELECT p.seed, v AS node, {k}::BIGINT AS hops, arg_min(list_append(path, v), u) AS path FROM p{k - 1} p JOIN n ON u = p.node WHERE (p.seed, v) NOT IN ({known}) GROUP BY 1, 2)")
+    every = " UNION ALL ".join(f"SELECT * FROM p{k}" for k in range(rounds + 1))
+    return f"WITH {SQL_EDGES.replace('GROUP BY 1, 2)', 'GROUP BY 1, 2 HAVING max(l_discount) > 0.09)')}, {SQL_BOTH}, {', '.join(steps)} SELECT seed, node, hops, array_to_string(path, ' -> ') AS path FROM ({every})"
+
+
+@query(_sql_paths())
+def seed_paths(t):
+    """KRN-17: the nodes on the way from each seed."""
+    found = graphs.hops(_edges(t).where("score > 0.09"), t("supplier").where("s_suppkey % 20 = 0").select(col("s_suppkey").alias("node")), with_path=True)
+    return found.select("seed", "node", "hops", F.array_join("path", " -> ").alias("path"))
 
 
 def _sql_distances(rounds: int) -> str:
@@ -967,8 +1055,7 @@ def _sql_distances(rounds: int) -> str:
     steps = ["d0 AS MATERIALIZED (SELECT s_suppkey AS seed, s_suppkey AS node, 0 AS hops, 0.0::DOUBLE AS distance FROM supplier WHERE s_suppkey % 4 = 0)"]
     for k in range(1, rounds + 1):
         steps.append(f"d{k} AS MATERIALIZED (SELECT seed, node, min(hops) AS hops, min(distance) AS distance FROM (SELECT * FROM d{k - 1} UNION ALL SELECT seed, v, hops + 1, distance + step FROM d{k - 1} JOIN n ON n.u = node) GROUP BY 1, 2)")
-    both = "n AS MATERIALIZED (SELECT a AS u, b AS v, greatest(1e-6, 1 - score) AS step FROM ed UNION ALL SELECT b, a, greatest(1e-6, 1 - score) FROM ed)"
-    return f"WITH {SQL_EDGES}, {both}, {', '.join(steps)} SELECT seed, node, CAST(hops AS BIGINT) AS hops, round(distance, 6) AS distance FROM d{rounds}"
+    return f"WITH {SQL_EDGES}, {SQL_BOTH}, {', '.join(steps)} SELECT seed, node, CAST(hops AS BIGINT) AS hops, round(distance, 6) AS distance FROM d{rounds}"
 
 
 @query(_sql_distances(10))

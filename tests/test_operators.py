@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandspark.functions import classify, clean
-from strandspark.operators import graphs, grouped, grouping, intervals, joins, kernels
+from strandspark.operators import graphs, greedy, grouped, grouping, intervals, joins, kernels, ld
 
 
 def one(spark, column):
@@ -178,7 +178,7 @@ def test_hypergeometric_tail(spark):
 def test_clumps(spark):
     v = spark.createDataFrame([(1, 100, "a", 1e-9), (1, 200, "b", 1e-3), (1, 300, "c", 1e-10), (1, 5_000_000, "d", 1e-3), (2, 1, "e", 5e-8), (2, 2, "f", 0.5)], "chrom int, pos long, id string, p double")
     ld = spark.createDataFrame([(1, "a", "b", 0.5), (1, "c", "a", 0.05), (1, "c", "d", 0.9), (1, "b", "c", 0.2)], "chrom int, a string, b string, r2 double")
-    assert {(r.lead, r.id) for r in grouped.clump(v, ld).collect()} == {("c", "c"), ("c", "b"), ("a", "a"), ("e", "e")}
+    assert {(r.lead, r.id) for r in greedy.clump(v, ld).collect()} == {("c", "c"), ("c", "b"), ("a", "a"), ("e", "e")}
 
 
 def test_fine_mapping_finds_the_signal(spark):
@@ -196,7 +196,7 @@ def test_fine_mapping_finds_the_signal(spark):
 
 def test_greedy_and_redundancy(spark):
     p = spark.createDataFrame([("s", 1, 1, 0.9), ("s", 1, 2, 0.8), ("s", 2, 1, 0.85), ("s", 2, 2, 0.1), ("t", 1, 1, 0.5)], "k string, a long, b long, score double")
-    assert {(r.k, r.a, r.b) for r in grouped.greedy_match(p, "k").collect()} == {("s", 1, 1), ("s", 2, 2), ("t", 1, 1)}
+    assert {(r.k, r.a, r.b) for r in greedy.greedy_match(p, "k").collect()} == {("s", 1, 1), ("s", 2, 2), ("t", 1, 1)}
     t = spark.createDataFrame([("g", "x", 0.01, ["1", "2", "3"]), ("g", "y", 0.02, ["1", "2", "3"]), ("g", "z", 0.03, ["9"])], "g string, term string, fdr double, genes array<string>")
     assert {(r.term, r.representative) for r in grouped.redundancy_clusters(t, "g").collect()} == {("x", "x"), ("y", "x"), ("z", "z")}
 
@@ -207,18 +207,23 @@ def test_graphs(spark):
     assert {(r.node, r.component) for r in graphs.connected(e).collect()} == {(1, 1), (2, 1), (3, 1), (7, 7), (8, 7)}
     rank = {r.node: r.rank for r in graphs.page_rank(e).collect()}
     assert abs(sum(rank.values()) - 1) < 1e-6 and rank[2] == max(rank.values())
-    c = {r.node: r for r in grouped.centrality(e.withColumn("net", F.lit("n")), "net").collect()}
-    assert c[2].betweenness > 0 and c[1].betweenness == 0 and c[1].community == c[2].community != c[7].community
 
 
-def test_ld_matrix(spark):
+@pytest.mark.parametrize("block", [2, 7, 512])
+def test_ld_matrix(spark, block):
     rng = np.random.default_rng(0)
-    g = rng.integers(0, 3, (40, 3)).astype(float)
-    rows = [("l", v, s, float(g[s, v])) for v in range(3) for s in range(40)]
-    got = {(r.i, r.j): r.r for r in grouped.ld_matrix(spark.createDataFrame(rows, "locus string, variant long, sample long, dosage double")).collect()}
-    assert all(abs(got[i, j] - np.corrcoef(g[:, i], g[:, j])[0, 1]) < 1e-5 for i, j in got) and len(got) == 3
-    with pytest.raises(Exception, match="cap"):
-        grouped.ld_matrix(spark.createDataFrame(rows, "locus string, variant long, sample long, dosage double"), cap=2).collect()
+    g = rng.integers(0, 3, (40, 25)).astype(float)
+    g[:, 3] = 1.0  # constant
+    g[:, 4] = 0.0
+    g[rng.random(g.shape) < 0.03] = np.nan
+    g[:20, 5] = np.nan  # too many are missing
+    rows = [(name, f"v{v:02}", s, None if np.isnan(g[s, v]) else float(g[s, v])) for name in ("l", "m") for v in range(25) for s in range(40)] + [("n", "v00", 1, 2.0), ("l", "v00", 0, -1.0), (None, "v00", 1, 1.0)]
+    got = {(r.locus, r.i, r.j): r.r for r in ld.ld_matrix(spark.createDataFrame(rows, "locus string, variant string, sample long, dosage double"), most_missing=0.2, block=block, cells=400).collect()}
+    mean = np.nanmean(g, axis=0)
+    x = np.where(np.isnan(g), 0.0, g - mean)
+    kept = [v for v in range(25) if v not in (3, 4, 5)]
+    want = {(name, f"v{i:02}", f"v{j:02}"): float(x[:, i] @ x[:, j] / np.sqrt((x[:, i] ** 2).sum() * (x[:, j] ** 2).sum())) for name in ("l", "m") for i in kept for j in kept if i < j}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
 def test_colocalisation_of_fine_mapped_signals(spark):
