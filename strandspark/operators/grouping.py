@@ -50,7 +50,7 @@ def union_sorted(value: Column, separator: str = ";") -> Column:
 
 def percentile_rank(value: Column, *partition: str, lone_is_zero: bool = True) -> Column:
     """Average rank of ties over the number of values, NULL for NULL. With lone_is_zero, one value
-    or none gives 0.0 for all rows."""
+    or none gives 0.0 for all rows. A partition is one task; scans.percentile_ranks has no such bound."""
     valued = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(1))
     n = F.count(value).over(valued)
     ranked = Window.partitionBy(*partition, value.isNull()).orderBy(value)
@@ -60,16 +60,6 @@ def percentile_rank(value: Column, *partition: str, lone_is_zero: bool = True) -
     return F.when(n <= 1, F.lit(0.0)).otherwise(pct) if lone_is_zero else pct
 
 
-def bh_fdr(df: DataFrame, p: str, into: str, partition: Sequence[str], tie: Sequence[str]) -> DataFrame:
-    """df with the adjusted value: least of p n / rank from here to the largest p, at most 1."""
-    base = Window.partitionBy(*partition, F.col(p).isNull())
-    order = [F.col(p), *(F.col(t) for t in tie)]
-    n, rank = F.count(p).over(base), F.row_number().over(base.orderBy(*order))
-    back = base.orderBy(F.col("_rank").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    out = df.withColumn("_rank", rank).withColumn("_raw", F.col(p) * n / F.col("_rank"))
-    return out.withColumn(into, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.min("_raw").over(back)))).drop("_rank", "_raw")
-
-
 def strict_set(value: Column, wanted: Sequence[str]) -> Column:
     """Aggregate: the group's set of values is exactly the wanted one."""
     return F.array_sort(F.collect_set(value)) == F.array(*(F.lit(w) for w in sorted(wanted)))

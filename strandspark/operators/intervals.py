@@ -11,14 +11,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import scans
+
 
 def islands(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
     """Every row with island (1, 2, ... within its keys): a row opens a new island if it starts
-    after all rows before it have ended; touching intervals are one."""
-    order = Window.partitionBy(*keys).orderBy(F.col(start), F.col(end))
-    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = (reach.isNull() | (F.col(start) > reach)).cast("int")
-    return df.withColumn("_opens", opens).withColumn("island", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_opens")
+    after all rows before it have ended; touching intervals are one. Rows are dealt by position, however many a key has; the
+    end reached and the islands opened before are carried from stretch to stretch."""
+    order = (F.col(start), F.col(end))
+    rows = scans.carry(scans.stretches(df, keys, *order), keys, F.max(end), F.max, "_reached")
+    w = scans.within(keys, *order)
+    reach = F.greatest(F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("_reached"))
+    rows = rows.withColumn("_opens", (reach.isNull() | (F.col(start) > reach)).cast("int")).drop("_reached")
+    rows = scans.carry(rows, keys, F.sum("_opens"), F.sum, "_opened")
+    island = F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("_opened", F.lit(0).cast("long"))
+    return rows.withColumn("island", island).drop("_opens", "_opened", "_part")
 
 
 def merged(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
@@ -63,16 +70,19 @@ def overlap_class(reciprocal: Column, same_lead: Column, strict: float = 0.5) ->
 
 def nearest(points: DataFrame, others: DataFrame, keys: Sequence[str], position: str, other: str) -> DataFrame:
     """points with the nearest other position of their keys and its distance, the lower one of two
-    equally near; NULL without any. Both sides are streamed in order once, no pair is made."""
+    equally near; NULL without any. Both sides are dealt by position and gone through in order, no pair is made."""
     a = points.withColumn("_at", F.col(position)).withColumn("_point", F.lit(1)).withColumn("_other", F.lit(None).cast(others.schema[other].dataType))
     b = others.select(*keys, F.col(other).alias("_at"), F.lit(0).alias("_point"), F.col(other).alias("_other")).distinct()
     both = a.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy("_at", "_point")
-    before = F.last("_other", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("_other", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    near = both.withColumn("_b", before).withColumn("_a", after).where("_point = 1")
+    order = (F.col("_at"), F.col("_point"))
+    rows, w = scans.stretches(both, keys, *order), scans.within(keys, *order)
+    rows = scans.carry(rows, keys, F.max("_other"), F.max, "_lower")
+    rows = scans.carry(rows, keys, F.min("_other"), F.min, "_higher", backwards=True)
+    before = F.coalesce(F.max("_other").over(w.rowsBetween(Window.unboundedPreceding, 0)), "_lower")
+    after = F.coalesce(F.min("_other").over(w.rowsBetween(0, Window.unboundedFollowing)), "_higher")
+    near = rows.withColumn("_b", before).withColumn("_a", after).where("_point = 1")
     pick = F.when(F.col("_a").isNull() | (F.col(position) - F.col("_b") <= F.col("_a") - F.col(position)), F.col("_b")).otherwise(F.col("_a"))
-    return near.withColumn("nearest", pick).withColumn("distance", F.abs(F.col(position) - F.col("nearest"))).drop("_at", "_point", "_other", "_b", "_a")
+    return near.withColumn("nearest", pick).withColumn("distance", F.abs(F.col(position) - F.col("nearest"))).drop("_at", "_point", "_other", "_b", "_a", "_part", "_lower", "_higher")
 
 
 def window_around(position: Column, half_width: int, least: int = 1) -> tuple[Column, Column]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -114,32 +115,39 @@ def inclusion_probability(alpha: DataFrame, keys: Sequence[str], column: str) ->
     return alpha.groupBy(*keys).agg(F.when(F.max(a) >= 1, 1.0).otherwise(1 - F.exp(F.sum(F.ln(F.when(a < 1, 1 - a))))).alias("pip"))
 
 
-def log_factorials(df: DataFrame, most: str) -> DataFrame:
-    """n and ln(n!) from 0 to the greatest value of a column: one running sum."""
-    top = df.agg(F.coalesce(F.max(most), F.lit(0)).alias("m"))
-    n = top.select(F.explode(F.sequence(F.lit(0), F.col("m").cast("int"))).alias("n"))
-    return n.withColumn("lf", F.sum(F.when(F.col("n") > 1, F.ln("n")).otherwise(0.0)).over(Window.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)))
-
-
-def hypergeometric_tail(df: DataFrame, population: str, successes: str, draws: str, hits: str, into: str = "p_value", largest_population: int = 200_000) -> DataFrame:
-    """P(X >= hits) per row. The log factorials are an array of largest_population + 1 doubles at most, as
-    many as there are genes, so it may be broadcast; a larger population is an error."""
-    table = log_factorials(df, population)
-    packed = table.agg(F.array_sort(F.collect_list(F.struct("n", "lf"))).alias("s")).select(F.transform("s", lambda x: x["lf"]).alias("_lf"))
-    guarded = df.withColumn(population, F.when(F.col(population) > largest_population, F.raise_error(F.lit("population too large"))).otherwise(F.col(population)))
-    joined = guarded.crossJoin(F.broadcast(packed))
-
-    def lf(x: Column) -> Column:
-        return F.element_at("_lf", (x + 1).cast("int"))
-
-    def choose(n: Column, k: Column) -> Column:
-        return lf(n) - lf(k) - lf(n - k)
-
-    m, k, n, x = (F.col(c).cast("int") for c in (population, successes, draws, hits))
-    low, high = F.greatest(x, n + k - m, F.lit(0)), F.least(k, n)
-    terms = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-    tail = F.aggregate(terms, F.lit(0.0), lambda acc, i: acc + F.exp(choose(k, i) + choose(m - k, n - i) - choose(m, n)))
-    return joined.withColumn(into, F.least(F.lit(1.0), tail)).drop("_lf")
+#: ln(n!) comes from a table below this, and from the series of ln gamma (next term below 1e-13) from here on.
+SERIES_FROM = 12
+
+
+def log_factorial(n: Column) -> Column:
+    """ln(n!) of any whole number, in columns alone."""
+    table = F.array(*(F.lit(math.lgamma(k + 1)) for k in range(SERIES_FROM)))
+    x = (n + 1).cast("double")
+    square = x * x
+    series = (x - 0.5) * F.ln(x) - x + 0.5 * math.log(2 * math.pi) + (1 / 12.0 - (1 / 360.0 - (1 / 1260.0 - 1 / 1680.0 / square) / square) / square) / x
+    return F.when(n < SERIES_FROM, F.get(table, n.cast("int"))).otherwise(series)
+
+
+def hypergeometric_tail(df: DataFrame, population: str, successes: str, draws: str, hits: str, into: str = "p_value") -> DataFrame:
+    """P(X >= hits) per row, for populations of any size: the greatest term from log factorials, each further one by its
+    ratio to the one beside it. Terms lie within 40 standard deviations of hits or of the mode, whichever is greater; what
+    lies beyond is less than a double can add."""
+    m, k, n, x = (F.col(c).cast("long") for c in (population, successes, draws, hits))
+    low, high = F.greatest(x, n + k - m, F.lit(0).cast("long")), F.least(k, n)
+    mode = F.floor((n + 1) * (k + 1) / (m + 2)).cast("long")
+    wide = (40 * F.sqrt(F.least(k, n).cast("double")) + 40).cast("long")
+    start, end = F.greatest(low, mode - wide), F.least(high, F.greatest(low, mode) + wide)
+    choose = lambda a, b: log_factorial(a) - log_factorial(b) - log_factorial(a - b)
+    ratio = lambda i: ((k - i).cast("double") * (n - i)) / ((i + 1).cast("double") * (m - k - n + i + 1))
+    # Sums begin at the greatest term and go both ways, so that none is lost to an exponent too small for a double.
+    top = F.least(F.greatest(mode, start), end)
+    peak = F.exp(choose(k, top) + choose(m - k, n - top) - choose(m, n))
+    pair = lambda term, total: F.struct(term.alias("t"), total.alias("s"))
+    up = F.when(top < end, F.sequence(top, end - 1)).otherwise(F.array().cast("array<bigint>"))
+    down = F.when(start < top, F.sequence(top - 1, start)).otherwise(F.array().cast("array<bigint>"))
+    above = F.aggregate(up, pair(peak, peak), lambda acc, i: pair(acc["t"] * ratio(i), acc["s"] + acc["t"] * ratio(i)), lambda acc: acc["s"])
+    below = F.aggregate(down, pair(peak, F.lit(0.0)), lambda acc, i: pair(acc["t"] / ratio(i), acc["s"] + acc["t"] / ratio(i)), lambda acc: acc["s"])
+    return df.withColumn(into, F.when(low > high, F.lit(0.0)).otherwise(F.least(F.lit(1.0), above + below)))
 
 
 def pathway_filter(fdr: Column, overlap: Column, size: Column, most_fdr: float = 0.05, least_overlap: int = 2, least: int = 5, most: int = 500) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify, clean
-from ..operators import graphs, greedy, grouped, grouping, intervals, joins, kernels, ld
+from ..operators import graphs, greedy, grouped, grouping, intervals, joins, kernels, ld, scans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -628,14 +628,16 @@ def rownum(t):
 
 @query("SELECT s_suppkey, row_number() OVER (ORDER BY s_acctbal DESC NULLS LAST, s_suppkey) AS place, rank() OVER (ORDER BY s_nationkey) AS min_rank FROM supplier")
 def global_rank(t):
-    """WIN-02, 04: for result tables, which are small."""
-    return t("supplier").select("s_suppkey", F.row_number().over(Window.orderBy(F.col("s_acctbal").desc_nulls_last(), "s_suppkey")).cast("long").alias("place"), F.rank().over(Window.orderBy("s_nationkey")).cast("long").alias("min_rank"))
+    """WIN-02, 04: places and ranks over a whole table."""
+    placed = scans.row_numbers(t("supplier"), [], [F.col("s_acctbal").desc_nulls_last(), F.col("s_suppkey")], "place")
+    return scans.min_ranks(placed, [], "s_nationkey", "min_rank").select("s_suppkey", "place", "min_rank")
 
 
 @query("""SELECT l_orderkey, l_linenumber, round((rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_suppkey, l_quantity) - 1) / 2.0) / count(*) OVER (PARTITION BY l_suppkey), 6) AS pct FROM lineitem""")
 def avg_pct_rank(t):
     """WIN-03: percentile rank, ties averaged."""
-    return t("lineitem").select("l_orderkey", "l_linenumber", r6(grouping.percentile_rank(col("l_quantity"), "l_suppkey", lone_is_zero=False)).alias("pct"))
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    return scans.percentile_ranks(rows, ["l_suppkey"], "l_quantity", "pct", lone_is_zero=False).select("l_orderkey", "l_linenumber", r6(col("pct")).alias("pct"))
 
 
 @query(f"WITH {SQL_ISLANDS} SELECT user_id, event_type, island, s AS island_start, e AS island_end, n AS n_members FROM mg")
@@ -656,7 +658,7 @@ SELECT c_custkey, round(least(1.0, min(p * n / rn) OVER (PARTITION BY c_nationke
 def bh_fdr(t):
     """WIN-07: NULL p-values don't count."""
     p = t("customer").select("c_nationkey", "c_custkey", F.when(col("c_custkey") % 7 != 0, (col("c_custkey") * 7919 % 10007) / 10007.0).alias("p"))
-    return grouping.bh_fdr(p, "p", "fdr", ["c_nationkey"], ["c_custkey"]).select("c_custkey", r6(col("fdr")).alias("fdr"))
+    return scans.bh_fdr(p, "p", "fdr", ["c_nationkey"]).select("c_custkey", r6(col("fdr")).alias("fdr"))
 
 
 @query("""WITH q AS (SELECT greatest(1, 120 // count(DISTINCT p_brand)) AS q FROM part), r AS (SELECT p_partkey, p_brand, p_retailprice, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice, p_partkey) AS rn FROM part), s AS (SELECT p_partkey, row_number() OVER (ORDER BY CASE WHEN rn <= q THEN 0 ELSE 1 END, p_retailprice, p_partkey) AS place FROM r, q) SELECT p_partkey FROM s WHERE place <= 120""")
@@ -815,7 +817,7 @@ def _enrichment(t) -> DataFrame:
     c = t("customer").select(col("c_mktsegment").alias("term"), col("c_nationkey").alias("query_set"))
     k = c.groupBy("term", "query_set").agg(F.count("*").alias("k"))
     m = k.join(c.groupBy("term").agg(F.count("*").alias("size")), "term").join(c.groupBy("query_set").agg(F.count("*").alias("drawn")), "query_set")
-    m = m.withColumn("population", F.sum("k").over(Window.partitionBy(F.lit(1))))
+    m = m.withColumn("population", c.agg(F.count("*")).scalar())
     return kernels.hypergeometric_tail(m, "population", "size", "drawn", "k")
 
 
@@ -828,7 +830,7 @@ def hypergeom_enrichment(t):
 @query(f"""WITH {SQL_ENRICH}, r AS (SELECT *, count(*) OVER (PARTITION BY term) AS n, row_number() OVER (PARTITION BY term ORDER BY p, query_set) AS rn FROM pv), f AS (SELECT *, least(1.0, min(p * n / rn) OVER (PARTITION BY term ORDER BY rn DESC ROWS UNBOUNDED PRECEDING)) AS fdr FROM r) SELECT term, CAST(query_set AS BIGINT) AS query_set, round(fdr, 5) AS fdr, fdr <= 0.9 AND k >= 2 AND size BETWEEN 5 AND 500 AS significant FROM f""")
 def pathway_filter(t):
     """KRN-10: adjusted value, overlap and size."""
-    f = grouping.bh_fdr(_enrichment(t), "p_value", "fdr", ["term"], ["query_set"])
+    f = scans.bh_fdr(_enrichment(t), "p_value", "fdr", ["term"])
     return f.select("term", col("query_set").cast("long").alias("query_set"), F.round("fdr", 5).alias("fdr"), kernels.pathway_filter(col("fdr"), col("k"), col("size"), 0.9).alias("significant"))
 
 
