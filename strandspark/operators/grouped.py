@@ -43,13 +43,47 @@ def susie(z: np.ndarray, r: np.ndarray, n: int, effects: int = 10, iterations: i
     return alpha, lbf
 
 
-def _fit(s: pd.DataFrame, edges: pd.DataFrame, coverage: float, effects: int, least_purity: float):
-    """(number, members, probabilities, log Bayes factors) of the components of one locus; members are none where
-    the set is not pure enough or equal to an earlier one. s is in the order of the matrix."""
+def _matrix(s: pd.DataFrame, edges: pd.DataFrame) -> np.ndarray:
+    """Correlations (i, j, r) as a matrix in the order of s."""
     r, at = np.eye(len(s)), pd.Index(s.variant)
     i, j = at.get_indexer(edges.i), at.get_indexer(edges.j)
     both = (i >= 0) & (j >= 0)
     r[i[both], j[both]] = r[j[both], i[both]] = edges.r.to_numpy()[both]
+    return r
+
+
+def mismatch(z: np.ndarray, r: np.ndarray, n: int) -> float:
+    """How far z scores and correlations disagree: the s from 0 to 1 for which z is likeliest under
+    (1 - s) R + s I (Zou 2022). The likelihood is taken along R's eigenvectors; a grid, then golden sections about its best."""
+    z = z * np.sqrt((n - 1) / (z**2 + n - 2))
+    values, vectors = np.linalg.eigh((r + r.T) / 2)
+    values, square = np.maximum(values, 0.0), (vectors.T @ z) ** 2
+
+    def loss(s: float) -> float:
+        d = np.maximum((1 - s) * values + s, 1e-8)
+        return float(0.5 * np.log(d).sum() + 0.5 * (square / d).sum())
+
+    grid = np.linspace(0, 1, 41)
+    best = int(np.argmin([loss(s) for s in grid]))
+    low, high, turn = grid[max(best - 1, 0)], grid[min(best + 1, 40)], (5**0.5 - 1) / 2
+    a, b = high - turn * (high - low), low + turn * (high - low)
+    fa, fb = loss(a), loss(b)
+    while high - low > 1e-7:
+        if fa <= fb:
+            high, b, fb = b, a, fa
+            a = high - turn * (high - low)
+            fa = loss(a)
+        else:
+            low, a, fa = a, b, fb
+            b = low + turn * (high - low)
+            fb = loss(b)
+    return min((loss(s), s) for s in (0.0, (low + high) / 2, 1.0))[1]
+
+
+def _fit(s: pd.DataFrame, edges: pd.DataFrame, coverage: float, effects: int, least_purity: float):
+    """(number, members, probabilities, log Bayes factors) of the components of one locus; members are none where
+    the set is not pure enough or equal to an earlier one. s is in the order of the matrix."""
+    r = _matrix(s, edges)
     alpha, lbf = susie(s.z.to_numpy(float), r, int(s.n.max()), effects)
     seen = set()
     for k, (a, factors) in enumerate(zip(alpha, lbf, strict=True), 1):
@@ -103,11 +137,27 @@ def signals(stats: DataFrame, ld: DataFrame, coverage: float = 0.95, effects: in
         return pd.concat(parts) if parts else pd.DataFrame(columns=["locus", "trait", "component", "variant", "lbf"])
 
     kinds = dict(stats.dtypes)
+    schema = f"locus {kinds['locus']}, trait {kinds['trait']}, component int, variant {kinds['variant']}, lbf double"
+    return stats.groupBy("locus", "trait").cogroup(_of_traits(stats, ld).groupBy("_locus", "_trait")).applyInPandas(run, schema)
+
+
+def _of_traits(stats: DataFrame, ld: DataFrame) -> DataFrame:
     mine = stats.select("locus", "trait", "variant").distinct()
     one = ld.join(mine.withColumnRenamed("variant", "i"), ["locus", "i"]).join(mine.withColumnRenamed("variant", "j"), ["locus", "trait", "j"])
-    sent = one.select(F.col("locus").alias("_locus"), F.col("trait").alias("_trait"), "i", "j", "r")
-    schema = f"locus {kinds['locus']}, trait {kinds['trait']}, component int, variant {kinds['variant']}, lbf double"
-    return stats.groupBy("locus", "trait").cogroup(sent.groupBy("_locus", "_trait")).applyInPandas(run, schema)
+    return one.select(F.col("locus").alias("_locus"), F.col("trait").alias("_trait"), "i", "j", "r")
+
+
+def ld_mismatch(stats: DataFrame, ld: DataFrame) -> DataFrame:
+    """stats (locus, trait, variant, z, n) and ld (locus, i, j, r): locus, trait, s (see mismatch), max_abs_z and n_variants."""
+
+    def run(key: tuple, s: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        s = _known(s)
+        rows = [(*key, mismatch(s.z.to_numpy(float), _matrix(s, edges), int(s.n.max())), float(s.z.abs().max()), len(s))] if len(s) else []
+        return pd.DataFrame(rows, columns=["locus", "trait", "s", "max_abs_z", "n_variants"])
+
+    kinds = dict(stats.dtypes)
+    schema = f"locus {kinds['locus']}, trait {kinds['trait']}, s double, max_abs_z double, n_variants long"
+    return stats.groupBy("locus", "trait").cogroup(_of_traits(stats, ld).groupBy("_locus", "_trait")).applyInPandas(run, schema)
 
 
 def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.7) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify
 from . import grouped
+from .graphs import _saved
 
 #: Prior probabilities: one trait, other trait, both; with the two settings that test sensitivity.
 P1, P2 = 1e-4, 1e-4
@@ -79,22 +80,78 @@ def testable_pairs(loci: DataFrame, gwas: DataFrame, qtl: DataFrame, ld: DataFra
     return every.select("locus", "trait", "n_qtl", "n_common", "n_in_ld", status.alias("status"))
 
 
-def colocalise_signals(loci: DataFrame, gwas: DataFrame, qtl: DataFrame, ld: DataFrame, common: tuple[int, int] = COMMON_VARIANTS, **fit) -> DataFrame:
-    """Colocalisation of every pair of credible sets of two sides, each fine mapped over its variants with correlations:
-    locus, trait, status, hit1, hit2, prior, n_common, h0 to h4. A pair that is not tested has one row with its reason, one
-    that was tested but has no set on a side one row with NOT_TESTED_NO_CREDIBLE_SET. Tables as in testable_pairs."""
-    pairs = testable_pairs(loci, gwas, qtl, ld, common).select("locus", "trait", "status")
+def filled_frequencies(qtl: DataFrame, panel: DataFrame) -> DataFrame:
+    """qtl (locus, variant, maf, ...) with minor allele frequencies: its own, folded, where above 0 and below 0.5, else that
+    of panel (locus, variant, maf), marked by from_panel. Rows without either go."""
+    folded = F.least("maf", 1 - F.col("maf"))
+    own = qtl.withColumn("maf", F.when((folded > 0) & (folded < 0.5), folded))
+    known = panel.where("maf IS NOT NULL").groupBy("locus", "variant").agg(F.min(F.least("maf", 1 - F.col("maf"))).alias("_panel"))
+    both = own.join(known, ["locus", "variant"], "left").withColumn("from_panel", F.col("maf").isNull())
+    return both.withColumn("maf", F.coalesce("maf", "_panel")).where("maf IS NOT NULL").drop("_panel")
+
+
+def _sides(loci: DataFrame, gwas: DataFrame, qtl: DataFrame, ld: DataFrame, common: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs with their status, and the statistics of both sides of those that are tested, on variants with correlations."""
+    pairs = testable_pairs(loci, gwas, qtl, ld, common)
     tested = pairs.where("status = 'TESTED'").select("locus", "trait")
     linked = ld.select("locus", F.explode(F.array("i", "j")).alias("variant")).distinct()
     left = gwas.join(tested.select("locus").distinct(), "locus", "left_semi").join(linked, ["locus", "variant"], "left_semi").select("locus", F.lit("").alias("trait"), "variant", "z", "n").dropDuplicates(["locus", "variant"])
     right = qtl.join(tested, ["locus", "trait"], "left_semi").join(linked, ["locus", "variant"], "left_semi").select("locus", "trait", "variant", "z", "n").dropDuplicates(["locus", "trait", "variant"])
-    a = grouped.signals(left, ld, **fit).select("locus", "variant", F.col("component").alias("hit1"), F.col("lbf").alias("a"))
+    return pairs, left, right
+
+
+def colocalise_signals(loci: DataFrame, gwas: DataFrame, qtl: DataFrame, ld: DataFrame, common: tuple[int, int] = COMMON_VARIANTS, fits: DataFrame | None = None, **fit) -> DataFrame:
+    """Colocalisation of every pair of credible sets of two sides, each fine mapped over its variants with correlations:
+    locus, trait, status, hit1, hit2, prior, n_common, h0 to h4. A pair that is not tested has one row with its reason, one
+    that was tested but has no set on a side one row with NOT_TESTED_NO_CREDIBLE_SET. Tables as in testable_pairs. fits (locus,
+    component, variant, lbf) are fits of the first side at hand; a locus that is not among them is NOT_TESTED_GWAS_FIT_MISSING."""
+    pairs, left, right = _sides(loci, gwas, qtl, ld, common)
+    pairs = pairs.select("locus", "trait", "status")
+    if fits is not None:
+        pairs = pairs.join(fits.select("locus").distinct().withColumn("fitted", F.lit(True)), "locus", "left")
+        pairs = pairs.select("locus", "trait", F.when((F.col("status") == "TESTED") & F.col("fitted").isNull(), "NOT_TESTED_GWAS_FIT_MISSING").otherwise(F.col("status")).alias("status"))
+    a = (fits if fits is not None else grouped.signals(left, ld, **fit)).select("locus", "variant", F.col("component").alias("hit1"), F.col("lbf").alias("a"))
     b = grouped.signals(right, ld, **fit).select("locus", "trait", "variant", F.col("component").alias("hit2"), F.col("lbf").alias("b"))
     found = colocalise(b.join(a, ["locus", "variant"]), ["locus", "trait", "hit1", "hit2"], "a", "b")
     joined = pairs.join(found, ["locus", "trait"], "left")
     return joined.withColumn("status", F.when((F.col("status") == "TESTED") & F.col("hit1").isNull(), "NOT_TESTED_NO_CREDIBLE_SET").otherwise(F.col("status")))
 
 
+#: Mismatch of z scores and correlations from which a result carries a warning.
+MOST_MISMATCH = 0.1
+
+
+def colocalisation_report(loci: DataFrame, gwas: DataFrame, qtl: DataFrame, ld: DataFrame, panel: DataFrame | None = None, common: tuple[int, int] = COMMON_VARIANTS, most_mismatch: float = MOST_MISMATCH, strong: float = 0.8, suggestive: float = 0.5, fits: DataFrame | None = None, **fit) -> DataFrame:
+    """One row per pair (locus, trait): status; hit1, hit2 and h0 to h4 of the pair of signals with the greatest H4 under the
+    default prior, H4 of that same pair under the others, its class and whether the low prior reaches strong; s of either
+    side and ld_mismatch_warning if one is above most_mismatch; and, with a panel (locus, variant, maf; qtl then has maf
+    too), how many frequencies came from it. Pairs that end without signals are COMPLETE_NO_SIGNAL_PAIR."""
+    if panel is not None:
+        filled = filled_frequencies(qtl, panel)
+        used, qtl = filled.groupBy("locus", "trait").agg(F.count_if("from_panel").alias("n_from_panel"), F.count("*").alias("_n")), filled.drop("from_panel")
+    # Each is read several times: by both fits, by both checks and by the counts of variants.
+    gwas, qtl, ld = _saved(gwas), _saved(qtl), _saved(ld)
+    _, left, right = _sides(loci, gwas, qtl, ld, common)
+    found = _saved(colocalise_signals(loci, gwas, qtl, ld, common, fits, **fit))
+    keys = ["locus", "trait"]
+    best = F.max_by(F.struct("hit1", "hit2"), F.struct("h4", -F.col("hit1"), -F.col("hit2")))
+    chosen = found.where("prior = 'DEFAULT'").groupBy(*keys).agg(best.alias("hit")).select(*keys, "hit.hit1", "hit.hit2")
+    of_pair = found.join(chosen, [*keys, "hit1", "hit2"]).groupBy(*keys, "hit1", "hit2", "n_common")
+    values = of_pair.agg(*(F.max(F.when(F.col("prior") == "DEFAULT", F.col(f"h{k}"))).alias(f"h{k}") for k in range(5)), *(F.max(F.when(F.col("prior") == p, F.col("h4"))).alias(f"h4_{p.lower()}") for p in ("LOW", "HIGH")))
+    status = found.groupBy(*keys).agg(F.first("status").alias("status"))
+    status = status.withColumn("status", F.when(F.col("status") == "TESTED", "COMPLETE").when(F.col("status") == "NOT_TESTED_NO_CREDIBLE_SET", "COMPLETE_NO_SIGNAL_PAIR").otherwise(F.col("status")))
+    s1 = grouped.ld_mismatch(left, ld).select("locus", F.col("s").alias("gwas_s"))
+    s2 = grouped.ld_mismatch(right, ld).select(*keys, F.col("s").alias("qtl_s"))
+    tested = F.col("status").startswith("COMPLETE")
+    out = status.join(values, keys, "left").join(s1, "locus", "left").join(s2, keys, "left").withColumn("gwas_s", F.when(tested, F.col("gwas_s")))
+    out = out.withColumn("coloc_class", F.when(tested, classify.colocalisation_class(tuple(F.col(f"h{k}") for k in range(5)), strong, suggestive, strict=True)))
+    out = out.withColumn("prior_robust", F.when(tested, F.coalesce(F.col("h4_low") >= strong, F.lit(False)))).withColumn("ld_mismatch_warning", F.coalesce(F.greatest("gwas_s", "qtl_s") > most_mismatch, F.lit(False)))
+    if panel is None:
+        return out
+    source = F.when(F.col("n_from_panel") == 0, "QTL_FILE").when(F.col("n_from_panel") == F.col("_n"), "PANEL").when(F.col("_n") > 0, "QTL_FILE+PANEL")
+    return out.join(used, keys, "left").withColumn("maf_source", source).drop("_n")
+
+
 def prior_sensitivity(posteriors: DataFrame, keys: Sequence[str], strong: float = 0.8) -> DataFrame:
     """H4 under each prior side by side; simple: the low prior reaches strong; strict: all do."""
     wide = posteriors.groupBy(*keys).agg(*(F.max(F.when(F.col("prior") == n, F.col("h4"))).alias(f"h4_{n.lower()}") for n, _ in PRIORS))

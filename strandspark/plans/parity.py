@@ -1150,3 +1150,17 @@ WHEN gn IS NULL THEN 'NOT_TESTED_GWAS_SAMPLE_SIZE_MISSING' WHEN cc AND cases IS
 def coloc_status(t):
     """KRN-06: which pairs are tested, and why others are not."""
     return kernels.testable_pairs(*_coloc_sides(t), common=(3, 60))
+
+
+@query()
+def coloc_posteriors(t):
+    """KRN-06: colocalisation report of every locus and return flag (fits; tested against plain loops)."""
+    lines, part = t("lineitem"), t("part")
+    locus, k = F.expr("p_partkey div 50"), col("p_partkey")
+    gwas = part.select(locus.alias("locus"), k.alias("variant"), (F.when(k % 37 == 0, 8.0).otherwise(0.0) + (col("p_size") % 7 - 3) / 3).alias("z"), F.when(locus % 11 > 0, 5000).alias("n"), F.lit(False).alias("case_control"), F.lit(None).cast("int").alias("n_cases"), F.lit(None).cast("int").alias("n_controls"))
+    mean = lines.groupBy("l_partkey", "l_returnflag").agg((F.avg("l_quantity") / 25 - 1).alias("m"))
+    signal = F.when((col("l_partkey") % 37 == 0) & (col("l_returnflag") == "A") | (col("l_partkey") % 41 == 0) & (col("l_returnflag") == "R"), 7.0).otherwise(0.0)
+    qtl = mean.select(F.expr("l_partkey div 50").alias("locus"), col("l_returnflag").alias("trait"), col("l_partkey").alias("variant"), (signal + col("m")).alias("z"), F.lit(800).alias("n"), F.when(col("l_partkey") % 3 > 0, (col("l_partkey") % 9) / 10).alias("maf"))
+    panel = part.select(locus.alias("locus"), k.alias("variant"), ((k % 40 + 1) / 100).alias("maf"))
+    found = kernels.colocalisation_report(qtl.select("locus", "trait").distinct(), gwas, qtl, _correlations(t), panel, common=(20, 100))
+    return found.select(*("locus", "trait", "status", "hit1", "hit2", "n_common", "coloc_class", "prior_robust", "ld_mismatch_warning", "n_from_panel", "maf_source"), *(r6(col(c)).alias(c) for c in ("h0", "h1", "h2", "h3", "h4", "h4_low", "h4_high", "gwas_s", "qtl_s")))

@@ -248,6 +248,65 @@ def test_colocalisation_of_fine_mapped_signals(spark):
     assert top["same"].h4 > 0.9 and top["other"].h3 > 0.9
 
 
+def plain_fit(z, r, n, effects, ridge=1e-4):
+    """Single effects one by one, variant by variant: inclusion probabilities and log Bayes factors."""
+    p = len(z)
+    r = [[1.0 if a == b else (1 - ridge) * r[a][b] for b in range(p)] for a in range(p)]
+    z = [x * math.sqrt((n - 1) / (x * x + n - 2)) for x in z]
+    alpha, mean, prior, lbf, s2 = [[1 / p] * p for _ in range(effects)], [[0.0] * p for _ in range(effects)], [0.2] * effects, [[0.0] * p for _ in range(effects)], 1 / (n - 1)
+    for _ in range(100):
+        last = [a[:] for a in alpha]
+        for k in range(effects):
+            others = [sum(mean[m][v] for m in range(effects) if m != k) for v in range(p)]
+            beta = [(math.sqrt(n - 1) * z[v] - (n - 1) * sum(r[v][u] * others[u] for u in range(p))) * s2 for v in range(p)]
+            lbf[k] = [0.5 * math.log(s2 / (s2 + prior[k])) + 0.5 * b * b / s2 * prior[k] / (s2 + prior[k]) for b in beta]
+            top = max(lbf[k])
+            w = [math.exp(x - top) for x in lbf[k]]
+            alpha[k] = [x / sum(w) for x in w]
+            variance = 1 / (1 / s2 + 1 / prior[k])
+            mu = [variance / s2 * b for b in beta]
+            mean[k] = [a * m for a, m in zip(alpha[k], mu, strict=True)]
+            prior[k] = max(sum(a * (m * m + variance) for a, m in zip(alpha[k], mu, strict=True)), 1e-12)
+        if max(abs(x - y) for a, b in zip(alpha, last, strict=True) for x, y in zip(a, b, strict=True)) < 1e-3:
+            break
+    return alpha, lbf
+
+
+def test_fits_and_report_equal_the_plain_loops(spark):
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(2000, 24))
+    r = np.corrcoef((base + 0.6 * np.roll(base, 1, axis=1)).T)
+    z1, z2 = r[6] * 11 + 0.3 * rng.normal(size=24), r[6] * 9 + 0.3 * rng.normal(size=24)
+    apart = np.where(np.arange(24) % 2 == 0, 9.0, -9.0)  # what these correlations cannot give
+    ld_rows = spark.createDataFrame([(1, i, j, float(r[i, j])) for i in range(24) for j in range(i + 1, 24)], "locus int, i int, j int, r double")
+    gwas = spark.createDataFrame([(1, v, float(x), 5000, False, None, None) for v, x in enumerate(z1)], "locus int, variant int, z double, n int, case_control boolean, n_cases int, n_controls int")
+    qtl = spark.createDataFrame([(1, t, v, float(x), 800, None if v % 2 else 0.7) for t, z in (("same", z2), ("odd", apart)) for v, x in enumerate(z)], "locus int, trait string, variant int, z double, n int, maf double")
+    panel = spark.createDataFrame([(1, v, 0.2) for v in range(24) if v != 5], "locus int, variant int, maf double")
+    loci = spark.createDataFrame([(1, "same"), (1, "odd"), (2, "same")], "locus int, trait string")
+    report = {(x.locus, x.trait): x for x in kernels.colocalisation_report(loci, gwas, qtl, ld_rows, panel, common=(20, 100), effects=3).collect()}
+    same, odd = report[1, "same"], report[1, "odd"]
+    assert report[2, "same"].status == "NOT_TESTED_NO_DENSE_QTL_ROWS" and not report[2, "same"].ld_mismatch_warning and report[2, "same"].coloc_class is None
+    assert same.status == "COMPLETE" and same.coloc_class == "STRONG_SHARED_SIGNAL" and same.prior_robust and not same.ld_mismatch_warning and odd.ld_mismatch_warning
+    assert same.n_from_panel == 11 and same.maf_source == "QTL_FILE+PANEL"
+    kept = [v for v in range(24) if v != 5]  # without a frequency on either side
+    _, one = plain_fit(list(z1), r, 5000, 3)
+    _, two = plain_fit([z2[v] for v in kept], r[np.ix_(kept, kept)], 800, 3)
+    a, b = [one[same.hit1 - 1][v] for v in kept], two[same.hit2 - 1]
+    for prior, h4 in ((5e-6, same.h4), (1e-6, same.h4_low), (1e-5, same.h4_high)):
+        total = lambda x: math.fsum(math.exp(v - 60) for v in x)
+        both = total([x + y - 60 for x, y in zip(a, b, strict=True)])
+        parts = [math.exp(-120), 1e-4 * total(a) * math.exp(-60), 1e-4 * total(b) * math.exp(-60), 1e-8 * (total(a) * total(b) - both), prior * both]
+        assert abs(parts[4] / sum(parts) - h4) < 1e-6
+    values, vectors = np.linalg.eigh(r)
+    z = z1 * np.sqrt(4999 / (z1**2 + 4998))
+    loss = [0.5 * sum(math.log((1 - s) * v + s) + (vectors[:, k] @ z) ** 2 / ((1 - s) * v + s) for k, v in enumerate(values)) for s in np.linspace(0, 1, 2001)]
+    assert abs(same.gwas_s - np.argmin(loss) / 2000) < 1e-3
+    fits = grouped.signals(gwas.select("locus", F.lit("").alias("trait"), "variant", "z", "n"), ld_rows, effects=3)
+    assert {x.status for x in kernels.colocalise_signals(loci.where("locus = 1"), gwas, qtl, ld_rows, (20, 100), fits.where("locus = 9"), effects=3).collect()} == {"NOT_TESTED_GWAS_FIT_MISSING"}
+    given = {x.trait: x for x in kernels.colocalisation_report(loci, gwas, qtl, ld_rows, panel, common=(20, 100), fits=fits, effects=3).where("locus = 1").collect()}
+    assert abs(given["same"].h4 - same.h4) < 1e-9
+
+
 def test_distances_to_seeds(spark):
     edges = spark.createDataFrame([(1, 2, 0.5), (2, 3, 0.5), (1, 3, 2.0), (3, 4, 1.0), (7, 8, 1.0)], "a int, b int, distance double")
     seeds = spark.createDataFrame([(1,), (9,), (1,), (None,)], "node int")
