@@ -84,12 +84,13 @@ def has_full_summary(x: Column) -> Column:
 
 
 def sample_size(text: Column) -> Column:
-    """Sum of the numbers from 100 on in prose, else the first number, else NULL. Those of ten or more digits
-    (accounts, cards) are no counts."""
+    """Sum of the numbers from 100 on in prose, else the first number, else NULL, as a decimal of 38 digits. A number,
+    or a sum, of more digits than that makes it NULL: it is not left out in silence."""
+    kind = "decimal(38,0)"
     found = F.transform(F.regexp_extract_all(text, F.lit("[0-9][0-9,]*"), F.lit(0)), lambda t: F.replace(t, F.lit(","), F.lit("")))
-    numbers = F.transform(F.filter(found, lambda t: F.length(t) <= 9), lambda t: t.cast("long"))
-    large = F.filter(numbers, lambda n: n >= 100)
-    total = F.aggregate(large, F.lit(0).cast("long"), lambda a, n: a + n)
+    numbers = F.transform(found, lambda t: t.try_cast(kind))
+    large = F.filter(numbers, lambda n: n.isNull() | (n >= 100))
+    total = F.aggregate(large, F.lit(0).cast(kind), lambda a, n: F.try_add(a, n).cast(kind))
     return F.when(F.size(large) > 0, total).otherwise(F.try_element_at(numbers, F.lit(1)))
 
 
@@ -161,19 +162,29 @@ def phenotype_match(phenotype: Column, text: Column, stop: tuple[str, ...] = ("d
     return F.coalesce((a != "") & (b != "") & (F.contains(b, a) | F.contains(a, b)) | (need > 0) & (F.size(F.array_intersect(long_words(a), long_words(b))) >= need), F.lit(False))
 
 
-def flatten_json(df: DataFrame, key: str, text: str, depth: int = 8) -> DataFrame:
-    """key, path and value (text) of every leaf of a JSON object: paths are dotted, the members of a list are joined
-    by ; and a JSON null has no value. Objects below so many levels are left as JSON; other texts give no rows."""
+def flatten_json(df: DataFrame, key: str, text: str) -> DataFrame:
+    """key, path and value (text) of every leaf of a JSON object, however deep: paths are dotted, the members of a list are
+    joined by ; and a JSON null has no value; other texts give no rows. Each level is read once, and rounds end with the
+    deepest object."""
+    from ..operators.graphs import _saved
+
     tvf, done = df.sparkSession.tvf, []
-    level = df.select(key, F.lit("").alias("_under"), F.try_parse_json(text).alias("_value")).where(F.schema_of_variant("_value").startswith("OBJECT"))
-    for _ in range(depth):
+    level = _saved(df.select(key, F.lit("").alias("_under"), F.try_parse_json(text).alias("_value")).where(F.schema_of_variant("_value").startswith("OBJECT")))
+    while True:
         members = level.lateralJoin(tvf.variant_explode(F.col("_value").outer())).select(key, F.concat(F.col("_under"), F.when(F.col("_under") == "", "").otherwise("."), F.col("key")).alias("_under"), F.col("value").alias("_value"))
-        members = members.withColumn("_kind", F.schema_of_variant("_value"))
+        members = _saved(members.withColumn("_kind", F.schema_of_variant("_value")))
         done.append(members.where(~F.col("_kind").startswith("OBJECT")))
         level = members.where(F.col("_kind").startswith("OBJECT")).drop("_kind")
-    done.append(level.withColumn("_kind", F.lit("OBJECT")))
+        if level.isEmpty():
+            break
     every = done[0]
     for more in done[1:]:
         every = every.unionByName(more)
-    value = F.when(F.col("_kind").startswith("ARRAY"), F.array_join(F.try_variant_get("_value", "$", "array<string>"), ";")).when(F.col("_kind").startswith("OBJECT"), F.to_json("_value")).otherwise(F.try_variant_get("_value", "$", "string"))
+    value = F.when(F.col("_kind").startswith("ARRAY"), F.array_join(F.try_variant_get("_value", "$", "array<string>"), ";")).otherwise(F.try_variant_get("_value", "$", "string"))
     return every.select(key, F.col("_under").alias("path"), value.alias("value"))
+
+
+def json_first(text: Column, *paths: str) -> Column:
+    """The text at the first of several paths that has one."""
+    value = F.try_parse_json(text)
+    return F.coalesce(*(F.try_variant_get(value, p, "string") for p in paths))

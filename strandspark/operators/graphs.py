@@ -9,7 +9,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Directed edges of a graph that every task may hold, 16 bytes each; beyond that, rounds over DataFrames.
@@ -20,21 +20,25 @@ BLOCK_PAIRS = 200_000_000
 ALIKE = 1e-12
 
 
-def _saved(df: DataFrame) -> DataFrame:
-    """df written to the folder all executors share, so that rounds don't stack up in the plan. The file
-    system removes it when the JVM ends."""
-    spark = df.sparkSession
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A new name in the folder that all executors share. The file system removes it when the JVM ends."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="strandspark-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/graph-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return path
+
+
+def _saved(df: DataFrame) -> DataFrame:
+    """df written to the shared folder, so that rounds don't stack up in the plan."""
+    path = new_folder(df.sparkSession, "graph")
     df.write.parquet(path)
-    saved = spark.read.schema(df.schema).parquet(path)
+    saved = df.sparkSession.read.schema(df.schema).parquet(path)
     saved._folder = path
     return saved
 

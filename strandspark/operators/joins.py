@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import scans
+from .graphs import _saved
 from .grouping import assert_unique, keep_first
 
 
@@ -80,6 +82,33 @@ def shared_members(df: DataFrame, owner: str, member: str) -> DataFrame:
     return out.withColumn("jaccard", F.col("shared") / (F.col("n_left") + F.col("n_right") - F.col("shared")))
 
 
+def similar_sets(df: DataFrame, owner: str, member: str, num: int, den: int) -> DataFrame:
+    """Pairs (left_id, right_id) of owners whose sets of members have a Jaccard similarity of num / den or more, with shared,
+    n_left and n_right; NULL is no member. Of two such sets each has one of the other's rarest members among its own rarest (as
+    many as it may lack, and one more), so only owners that share one there, and are of near sizes, are counted; a
+    member of very many owners is among the rarest of sets of such members alone. Equal sets are one until the end."""
+    pairs = _saved(df.where(F.col(owner).isNotNull() & F.col(member).isNotNull()).select(F.col(owner).alias("o"), F.col(member).alias("m")).distinct())
+    # Equal sets have equal size and equal sums of two hashes.
+    of_owner = pairs.groupBy("o").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("m")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "m")).alias("y"))
+    owners = _saved(of_owner.select("o", "n", F.struct("n", "x", "y").alias("s")))
+    heads = _saved(owners.groupBy("s", "n").agg(F.min("o").alias("o")))
+    sets = _saved(pairs.join(heads.select("o", "s", "n"), "o").select("s", "n", "m"))
+    often = sets.groupBy("m").agg(F.count("*").alias("f"))
+    ranked = scans.row_numbers(sets.join(often, "m"), ["s"], [F.col("f"), F.col("m")], "place")
+    rare = _saved(ranked.where(F.col("place") <= F.col("n") - F.expr(f"(n * {num} + {den - 1}) div {den}") + 1).select("s", "n", "m"))
+    near = (F.col("a.n") * den >= F.col("b.n") * num) & (F.col("b.n") * den >= F.col("a.n") * num) & (F.col("a.s") < F.col("b.s"))
+    asked = _saved(rare.alias("a").join(rare.alias("b"), F.col("a.m") == F.col("b.m")).where(near).select(F.col("a.s").alias("p"), F.col("b.s").alias("q")).distinct())
+    first = asked.join(sets.select(F.col("s").alias("p"), "m"), "p")
+    shared = first.join(sets.select(F.col("s").alias("q"), "m"), ["q", "m"]).groupBy("p", "q").agg(F.count("*").alias("shared"))
+    good = shared.where(F.col("shared") * (den + num) >= (F.col("p.n") + F.col("q.n")) * num)
+    same = heads.select(F.col("s").alias("p"), F.col("s").alias("q"), F.col("n").alias("shared"))
+    linked = good.unionByName(same)
+    out = linked.join(owners.select(F.col("s").alias("p"), F.col("o").alias("a"), F.col("n").alias("n_a")), "p").join(owners.select(F.col("s").alias("q"), F.col("o").alias("b"), F.col("n").alias("n_b")), "q").where("a <> b AND (p <> q OR a < b)")
+    turn = F.col("a") < F.col("b")
+    side = lambda x, y, into: F.when(turn, F.col(x)).otherwise(F.col(y)).alias(into)
+    return out.select(side("a", "b", "left_id"), side("b", "a", "right_id"), "shared", side("n_a", "n_b", "n_left"), side("n_b", "n_a", "n_right"))
+
+
 def duplicate_flags(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("is_duplicate", F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, clean
 from ..operators import graphs, greedy, grouped, grouping, intervals, joins, kernels, ld, scans
+from ..sources import paged, readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,11 +109,11 @@ def gene_tokens(t):
     return p.select("p_partkey", gene.alias("gene"), clean.first_nonempty(F.lit(" "), empty, default=F.lit("unknown")).alias("label"), clean.slug(col("p_type")).alias("slug"))
 
 
-@query(r"""WITH n AS (SELECT doc_id, list_transform(list_filter(list_transform(regexp_extract_all(text, '[0-9][0-9,]*'), lambda x: replace(x, ',', '')), lambda x: length(x) <= 9), lambda x: CAST(x AS BIGINT)) AS v FROM documents)
-SELECT doc_id, CAST(CASE WHEN len(list_filter(v, lambda x: x >= 100)) > 0 THEN list_sum(list_filter(v, lambda x: x >= 100)) ELSE v[1] END AS BIGINT) AS size FROM n""")
+@query(r"""WITH n AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[0-9][0-9,]*'), lambda x: TRY_CAST(replace(x, ',', '') AS DECIMAL(38, 0))) AS v FROM documents), l AS (SELECT doc_id, v, list_filter(v, lambda x: x IS NULL OR x >= 100) AS large FROM n)
+SELECT doc_id, CAST(CASE WHEN len(large) > 0 THEN CASE WHEN len(list_filter(large, lambda x: x IS NULL)) = 0 THEN list_sum(large) END ELSE v[1] END AS VARCHAR) AS size FROM l""")
 def digits_from_text(t):
-    """PRJ-14; numbers of ten or more digits are no counts."""
-    return t("documents").select("doc_id", clean.sample_size(col("text")).alias("size"))
+    """PRJ-14."""
+    return t("documents").select("doc_id", clean.sample_size(col("text")).cast("string").alias("size"))
 
 
 @query(r"""WITH s AS (SELECT p_partkey, lower(p_name) AS n, lower(p_type) AS ty, lower(p_brand) AS b FROM part), terms AS (SELECT unnest(['red widget', 'promo', 'ring', 'brand#2']) AS term)
@@ -258,14 +259,24 @@ def json_fields(t):
     return t("events").select("event_id", k.alias("k"), F.when(k >= 50, col("event_type")).alias("active"))
 
 
-@query("""WITH e AS (SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(user_id AS VARCHAR) AS u, event_type FROM events)
-SELECT event_id, 'deep.props.k' AS path, k AS value FROM e UNION ALL SELECT event_id, 'deep.list', '1;' || u FROM e UNION ALL SELECT event_id, 'deep.none', NULL FROM e UNION ALL SELECT event_id, 'type', event_type FROM e""")
+DEEP = 12
+
+
+@query(f"""WITH e AS (SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(user_id AS VARCHAR) AS u, event_type FROM events)
+SELECT event_id, '{'deep.' * DEEP}props.k' AS path, k AS value FROM e UNION ALL SELECT event_id, '{'deep.' * DEEP}list', '1;' || u FROM e UNION ALL SELECT event_id, '{'deep.' * DEEP}none', NULL FROM e UNION ALL SELECT event_id, 'type', event_type FROM e""")
 def json_paths(t):
-    """PRJ-30: JSON objects to dotted paths."""
-    text = F.concat(F.lit('{"deep": {"props": '), col("props"), F.lit(', "none": null, "list": [1, '), col("user_id").cast("string"), F.lit(']}, "type": "'), col("event_type"), F.lit('"}'))
+    """PRJ-30: JSON objects of any depth to dotted paths."""
+    text = F.concat(F.lit('{"deep": ' * DEEP + '{"props": '), col("props"), F.lit(', "none": null, "list": [1, '), col("user_id").cast("string"), F.lit("]}" + "}" * (DEEP - 1) + ', "type": "'), col("event_type"), F.lit('"}'))
     return clean.flatten_json(t("events").select("event_id", text.alias("json")), "event_id", "json")
 
 
+@query("SELECT event_id, CASE WHEN user_id % 3 = 0 THEN CAST(event_id AS VARCHAR) WHEN user_id % 3 = 1 THEN json_extract_string(props, '$.k') END AS value FROM events")
+def json_alternatives(t):
+    """PRJ-30: the first of several paths that has a value."""
+    text = F.concat(F.lit('{"a": {"b": '), F.when(col("user_id") % 3 == 0, col("event_id").cast("string")).otherwise("null"), F.lit('}, "c": '), F.when(col("user_id") % 3 == 1, col("props")).otherwise("[]"), F.lit("}"))
+    return t("events").select("event_id", clean.json_first(text, "$.a.b", "$.x.y", "$.c.k").alias("value"))
+
+
 @query("""WITH m AS (SELECT p_partkey, p_partkey % 7 AS i, ['A', 'C', 'G', 'T'][p_size % 4 + 1] AS r, ['A', 'C', 'G', 'T'][p_partkey % 4 + 1] AS a FROM part)
 SELECT p_partkey, CASE WHEN i = 0 THEN 'NO_RSID' WHEN i = 1 THEN 'NO_MAPPING' WHEN i = 2 THEN 'MAPPING_PARSE_ERROR' WHEN i = 3 THEN 'NO_GRCH38_POSITION_MATCH' WHEN r = 'A' AND a IN ('G', 'T') THEN 'PASS' WHEN a = 'A' AND r IN ('G', 'T') THEN 'REF_ALT_SWAPPED'
 WHEN r IN ('A', 'G', 'T') AND a IN ('A', 'G', 'T') THEN 'ALLELES_PRESENT_REFERENCE_MISMATCH' ELSE 'ALLELE_NOT_IN_RSID_MAPPING' END AS status, CASE WHEN i > 3 THEN 'A' ELSE '' END AS reference, CASE WHEN i > 3 THEN 'G;T' ELSE '' END AS alternatives FROM m""")
@@ -419,6 +430,13 @@ def nearest_interval(t):
     return out.select("event_id", "nearest", "distance")
 
 
+@query("""WITH p AS MATERIALIZED (SELECT DISTINCT l_orderkey AS s, l_partkey AS m FROM lineitem), n AS (SELECT s, count(*) AS n FROM p GROUP BY 1), x AS (SELECT a.s AS left_id, b.s AS right_id, count(*) AS shared FROM p a JOIN p b ON a.m = b.m AND a.s < b.s GROUP BY 1, 2)
+SELECT left_id, right_id, shared, l.n AS n_left, r.n AS n_right FROM x JOIN n l ON l.s = left_id JOIN n r ON r.s = right_id WHERE 100 * shared >= 50 * (l.n + r.n - shared)""")
+def similar_sets(t):
+    """JOI-12: orders whose sets of parts have a Jaccard similarity of a half or more."""
+    return joins.similar_sets(t("lineitem").select("l_orderkey", col("l_partkey").alias("m")), "l_orderkey", "m", 50, 100)
+
+
 @query("""WITH p AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS m FROM lineitem), n AS (SELECT s, count(*) AS n FROM p GROUP BY 1), x AS (SELECT a.s AS left_id, b.s AS right_id, count(*) AS shared FROM p a JOIN p b ON a.m = b.m AND a.s < b.s GROUP BY 1, 2)
 SELECT left_id, right_id, shared, l.n AS n_left, r.n AS n_right, round(shared / (l.n + r.n - shared), 6) AS jaccard FROM x JOIN n l ON l.s = left_id JOIN n r ON r.s = right_id""")
 def set_overlap(t):
@@ -899,11 +917,11 @@ def event_log_status(t):
     return last.withColumn("b", blocked).select("user_id", col("stage").cast("long").alias("stage"), F.when(col("b") == 1, "NOT_RUN_UPSTREAM_FAILED").when(col("v") >= 5, "COMPLETED").otherwise("FAILED").alias("status"))
 
 
-@query("""SELECT o_custkey, count(*) AS n_orders, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS finished, CAST(count_if(o_orderstatus = 'F' AND o_totalprice > 100000) AS BIGINT) AS large, count(*) = count_if(o_orderkey IS NOT NULL) AS reconciled FROM orders GROUP BY 1""")
+@query("""SELECT o_custkey, count(*) AS n_orders, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS finished, CAST(count_if(o_orderstatus = 'F' AND o_totalprice > 100000) AS BIGINT) AS large, count(*) = count_if(o_orderstatus = 'F') + count_if(o_orderstatus = 'O') AS reconciled FROM orders GROUP BY 1""")
 def funnel(t):
-    """ORC-03, 04, 09: counts along a chain of filters, reconciled."""
+    """ORC-03, 04, 09: counts along a chain of filters; reconciled if those of the two final states add up to all."""
     done = col("o_orderstatus") == "F"
-    return t("orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.count_if(done).alias("finished"), F.count_if(done & (col("o_totalprice") > 100000)).alias("large"), (F.count("*") == F.count("o_orderkey")).alias("reconciled"))
+    return t("orders").groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.count_if(done).alias("finished"), F.count_if(done & (col("o_totalprice") > 100000)).alias("large"), (F.count("*") == F.count_if(done) + F.count_if(col("o_orderstatus") == "O")).alias("reconciled"))
 
 
 def _sql_clumps(rounds: int = 12) -> str:
@@ -1164,3 +1182,76 @@ def coloc_posteriors(t):
     panel = part.select(locus.alias("locus"), k.alias("variant"), ((k % 40 + 1) / 100).alias("maf"))
     found = kernels.colocalisation_report(qtl.select("locus", "trait").distinct(), gwas, qtl, _correlations(t), panel, common=(20, 100))
     return found.select(*("locus", "trait", "status", "hit1", "hit2", "n_common", "coloc_class", "prior_robust", "ld_mismatch_warning", "n_from_panel", "maf_source"), *(r6(col(c)).alias(c) for c in ("h0", "h1", "h2", "h3", "h4", "h4_low", "h4_high", "gwas_s", "qtl_s")))
+
+
+@query("SELECT count(*) AS rows_written, count(*) AS rows_read, true AS reconciled FROM orders WHERE o_totalprice > 1000")
+def reconciliation(t):
+    """ORC-04: rows counted while they are written, held against a re-read."""
+    orders = t("orders").where("o_totalprice > 1000")
+    return sinks.write_reconciled(orders, graphs.new_folder(orders.sparkSession, "reconciled"))
+
+
+@query("SELECT p_partkey, p_name, p_size, round(p_retailprice, 2) AS price FROM part")
+def tsv_round_trip(t):
+    """SRC-01 to 03, SNK-01: a table written as compressed TSV, its columns found again by one of several names and cast."""
+    part, path = t("part"), graphs.new_folder(t("part").sparkSession, "tsv")
+    sinks.write_tsv(part.select("p_partkey", "p_name", "p_size", F.round("p_retailprice", 2).alias("price")), path)
+    text = readers.tsv(part.sparkSession, path, ["P_PARTKEY".lower(), "p_name", "p_size", "price"])
+    roles = {"p_partkey": ["KEY", "P_PARTKEY"], "p_name": ["p_name"], "p_size": ["SIZE", "P_SIZE"], "price": ["Price", "cost"]}
+    return readers.bind(text, roles, required=["p_partkey"], kinds={"p_partkey": "long", "p_size": dict(part.dtypes)["p_size"], "price": "double"})
+
+
+@query("SELECT CAST(p_partkey % 22 + 1 AS VARCHAR) AS chrom, CAST(p_partkey * 7 AS BIGINT) AS pos, 'rs' || p_partkey AS id, ['A', 'C', 'G', 'T'][p_size % 4 + 1] AS ref, ['C', 'G', 'T', 'A'][p_size % 4 + 1] AS alt FROM part")
+def vcf_round_trip(t):
+    """SRC-04, SNK-03: variants written as VCF and read back."""
+    part, path = t("part"), graphs.new_folder(t("part").sparkSession, "vcf")
+    base = lambda letters: F.element_at(F.array(*map(F.lit, letters)), (col("p_size") % 4 + 1).cast("int"))
+    rows = part.select((col("p_partkey") % 22 + 1).alias("chrom"), (col("p_partkey") * 7).alias("pos"), F.concat(F.lit("rs"), col("p_partkey")).alias("id"), base("ACGT").alias("ref"), base("CGTA").alias("alt"))
+    sinks.write_vcf(rows, path, [(str(k), 10**9) for k in range(1, 23)])
+    return readers.vcf(part.sparkSession, f"{path}/*").select(col("chrom").cast("string").alias("chrom"), col("pos").cast("long").alias("pos"), "id", "ref", "alt")
+
+
+@query("SELECT event_id, event_type, CASE WHEN event_id % 5 > 0 THEN value END AS value FROM events")
+def json_round_trip(t):
+    """SRC-12, SNK-02: rows as JSON lines, numbers that JSON has no word for as nulls."""
+    events, path = t("events"), graphs.new_folder(t("events").sparkSession, "json")
+    value = F.when(col("event_id") % 5 > 0, col("value")).otherwise(F.when(col("event_id") % 2 == 0, float("nan")).otherwise(float("inf")))
+    sinks.write_json(events.select("event_id", "event_type", value.alias("value")), path)
+    return events.sparkSession.read.schema("event_id long, event_type string, value double").json(path)
+
+
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
+def paged_source(t):
+    """SRC-16: pages of an interface as they were landed, read by ranges of pages."""
+    customer = t("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    spark, path = customer.sparkSession, graphs.new_folder(customer.sparkSession, "pages")
+    sinks.write_pages(customer, path, "c_custkey", 100)
+    spark.dataSource.register(paged.PagedJson)
+    found = spark.read.format("paged_json").option("path", path).option("pages_per_task", 4).load()
+    return found.where("error IS NULL").select(F.from_json("row", customer.schema).alias("r")).select("r.*")
+
+
+@query("WITH w AS (SELECT n_nationkey AS region, n_nationkey % 5 AS chrom, n_nationkey * 1500 AS lo, n_nationkey * 1500 + 900 AS hi FROM nation) SELECT region, o_orderkey, o_orderkey // 4 AS pos FROM orders JOIN w ON o_orderkey % 5 = chrom AND o_orderkey // 4 BETWEEN lo AND hi")
+def region_scan(t):
+    """SRC-09: many regions at once, of a table laid out by position."""
+    orders = t("orders").select((col("o_orderkey") % 5).cast("int").alias("chrom"), F.expr("o_orderkey div 4").alias("pos"), "o_orderkey")
+    spark, path = orders.sparkSession, graphs.new_folder(orders.sparkSession, "by-position")
+    sinks.write_by_position(orders, path)
+    k = col("n_nationkey")
+    wanted = t("nation").select(k.alias("region"), (k % 5).cast("int").alias("chrom"), (k * 1500).alias("start"), (k * 1500 + 900).alias("end"))
+    return readers.regions(spark, path, wanted, 1_000).select("region", "o_orderkey", "pos")
+
+
+@query("""WITH s AS (SELECT l_partkey AS candidate, l_suppkey AS hit1, l_linenumber AS hit2, max(l_quantity) / 50 AS h4 FROM lineitem WHERE l_suppkey % 7 > 0 GROUP BY 1, 2, 3),
+c AS (SELECT candidate, count(*) AS n_signal_pairs FROM s GROUP BY 1), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY candidate ORDER BY h4 DESC, CAST(hit1 AS VARCHAR), CAST(hit2 AS VARCHAR)) = 1)
+SELECT candidate, n_signal_pairs, CAST(hit1 AS VARCHAR) AS hit1, CAST(hit2 AS VARCHAR) AS hit2, round(h4, 6) AS h4, round(h4 / 2, 6) AS h4_low, round(h4, 6) AS h4_default, CASE WHEN hit2 > 1 THEN round(h4 / 3, 6) END AS h4_high FROM c JOIN b USING (candidate)""")
+def best_signal_pairs(t):
+    """SRC-13: of each candidate's summary the pair with the greatest H4, with that pair's H4 under three priors."""
+    h4 = F.max("l_quantity") / 50
+    s = t("lineitem").where("l_suppkey % 7 > 0").groupBy(col("l_partkey").alias("candidate"), col("l_suppkey").cast("string").alias("hit1"), col("l_linenumber").cast("string").alias("hit2")).agg(h4.alias("h"))
+    text = s.select("candidate", "hit1", "hit2", *(F.lit("0").alias(f"PP.H{k}.abf") for k in range(4)), col("h").cast("string").alias("PP.H4.abf"))
+    under = [("LOW_P12", col("h") / 2), ("DEFAULT", col("h")), ("HIGH_P12", F.when(col("hit2") != "1", col("h") / 3))]
+    prior = F.explode(F.array(*(F.struct(F.lit(n).alias("n"), F.coalesce(v.cast("string"), F.lit("nan")).alias("v")) for n, v in under))).alias("p")
+    sensitivity = s.select("candidate", "hit1", "hit2", prior).select("candidate", "hit1", "hit2", col("p.n").alias("PRIOR_SET"), col("p.v").alias("PP.H4.abf"))
+    found = readers.best_pairs(text, sensitivity, ["candidate"])
+    return found.select("candidate", "n_signal_pairs", "hit1", "hit2", *(r6(col(c)).alias(c) for c in ("h4", "h4_low", "h4_default", "h4_high")))

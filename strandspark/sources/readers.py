@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clean
+from ..operators import intervals
 
 
 def tsv(spark: SparkSession, path, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -197,3 +198,38 @@ def registry(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
 def pages_of(df: DataFrame, rows: str) -> DataFrame:
     """Rows of landed API pages (one JSON page per row or file) with an array of objects under rows."""
     return df.select(F.inline_outer(F.col(rows)))
+
+
+#: Chromosomes whose hulls a scan of regions names one by one.
+MOST_HULLS = 100
+
+
+def regions(spark: SparkSession, path: str, wanted: DataFrame, width: int = 100_000) -> DataFrame:
+    """Rows of what write_by_position wrote that lie in one of many regions (chrom, start, end, and any others of their own;
+    both ends included), with the region's columns. Only folders of the regions' chromosomes are listed, and only stretches of
+    their hulls are read; more than MOST_HULLS chromosomes share one hull."""
+    hulls = wanted.where("chrom IS NOT NULL").groupBy("chrom").agg(F.min("start").alias("low"), F.max("end").alias("high"))
+    ends = hulls.agg(F.count("*"), F.min("low"), F.max("high")).first()
+    rows = spark.read.parquet(path)
+    near = rows.where(F.col("pos").between(ends[1], ends[2]) if ends[0] else F.lit(False))
+    if 0 < ends[0] <= MOST_HULLS:
+        within = F.lit(False)
+        for h in hulls.collect():
+            within = within | ((F.col("chrom") == h.chrom) & F.col("pos").between(h.low, h.high))
+        near = near.where(within)
+    return intervals.points_in(near, wanted, ["chrom"], "pos", "start", "end", width)
+
+
+def best_pairs(summaries: DataFrame, sensitivity: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key of summaries (keys, hit1, hit2, PP.H0.abf to PP.H4.abf, as text) the pair of signals with the greatest finite
+    H4, the first of equal ones by hits: n_signal_pairs, hit1, hit2, h0 to h4 and, from sensitivity (keys, hit1, hit2,
+    PP.H4.abf, PRIOR_SET), the H4 of that very pair under each prior. A key without a finite H4 has NULLs."""
+    number = lambda c: clean.numeric(F.col(f"`{c}`"))
+    h = [number(f"PP.H{k}.abf").alias(f"h{k}") for k in range(5)]
+    rows = summaries.select(*keys, "hit1", "hit2", *h)
+    best = F.min_by(F.struct("hit1", "hit2", *(f"h{k}" for k in range(5))), F.when(F.col("h4").isNotNull(), F.struct(-F.col("h4"), "hit1", "hit2")))
+    chosen = rows.groupBy(*keys).agg(F.count("*").alias("n_signal_pairs"), best.alias("best")).select(*keys, "n_signal_pairs", "best.*")
+    under = sensitivity.select(*keys, "hit1", "hit2", F.col("PRIOR_SET").alias("prior"), number("PP.H4.abf").alias("h"))
+    names = {"LOW_P12": "h4_low", "DEFAULT": "h4_default", "HIGH_P12": "h4_high"}
+    each = under.groupBy(*keys, "hit1", "hit2").agg(*(F.max(F.when(F.col("prior") == p, F.col("h"))).alias(c) for p, c in names.items()))
+    return chosen.join(each, [*keys, "hit1", "hit2"], "left")

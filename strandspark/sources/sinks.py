@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,3 +68,48 @@ def selection_ledger(df: DataFrame, reasons: Sequence[tuple[Column, str]], order
     if path:
         out.write.mode("overwrite").parquet(path)
     return out
+
+
+def _counted(df: DataFrame) -> list[Column]:
+    """Rows, and a sum over them that no order changes."""
+    row = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor(row), F.lit(0).cast("long")).alias("sum")]
+
+
+def write_reconciled(df: DataFrame, path: str) -> DataFrame:
+    """Writes df as Parquet and holds what was counted while writing against what is read back: rows_written, rows_read
+    and reconciled (rows and their hashes agree), one row. df should give the same rows whenever it is run."""
+    seen = Observation()
+    df.observe(seen, *_counted(df)).write.mode("overwrite").parquet(path)
+    rows, total = seen.get["rows"], seen.get["sum"]
+    back = df.sparkSession.read.parquet(path)
+    return back.agg(*_counted(back)).select(F.lit(rows).cast("long").alias("rows_written"), F.col("rows").alias("rows_read"), ((F.col("rows") == rows) & (F.col("sum") == F.lit(total))).alias("reconciled"))
+
+
+def write_by_position(df: DataFrame, path: str, chrom: str = "chrom", pos: str = "pos") -> None:
+    """A folder a chromosome, in files and row groups that each cover a stretch of positions: what region scans read."""
+    df.repartitionByRange(chrom, pos).sortWithinPartitions(chrom, pos).write.mode("overwrite").partitionBy(chrom).parquet(path)
+
+
+def write_pages(df: DataFrame, path: str, order: str, size: int) -> None:
+    """df as landed pages of a paged interface: page-n.json with the count of all rows and up to size rows under rows, in
+    order of an integer column that leaves no ties. Each page is one file."""
+    import pyarrow.fs
+
+    from ..operators import scans
+
+    total = df.count()
+    paged = scans.row_numbers(df, [], [F.col(order)], "_n").withColumn("_page", F.floor((F.col("_n") - 1) / size).cast("int"))
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("_n", F.struct(*(F.col(c) for c in df.columns)).alias("row")))), lambda x: x["row"])
+    pages = paged.groupBy("_page").agg(F.to_json(F.struct(F.lit(total).alias("count"), rows.alias("rows"))).alias("page"))
+
+    def land(batches):
+        store, base = pyarrow.fs.FileSystem.from_uri(path)
+        store.create_dir(base, recursive=True)
+        for batch in batches:
+            for k, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with store.open_output_stream(f"{base}/page-{k}.json") as out:
+                    out.write(page.encode())
+            yield batch.select([0])
+
+    pages.mapInArrow(land, "_page int").count()

@@ -313,3 +313,24 @@ def test_distances_to_seeds(spark):
     found = {(x.seed, x.node): (x.hops, x.distance) for x in graphs.distances(edges, seeds).collect()}
     assert found == {(1, 1): (0, 0.0), (1, 2): (1, 0.5), (1, 3): (1, 1.0), (1, 4): (2, 2.0), (9, 9): (0, 0.0)}
     assert graphs.distances(edges.limit(0), seeds.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("num", "den"), [(50, 100), (80, 100), (1, 1)])
+def test_similar_sets_equal_all_pairs(spark, num, den):
+    rng = np.random.default_rng(2)
+    sets = {o: set(rng.choice(30, rng.integers(1, 9), replace=False).tolist()) | {99} for o in range(80)}  # one member that all have
+    sets |= {100 + k: {1, 2, 3, 4, 5 + k % 3} for k in range(12)} | {200: {7}, 201: {7}, 202: {8}}
+    rows = [(o, m) for o, s in sets.items() for m in s] + [(0, next(iter(sets[0]))), (None, 1), (5, None)]
+    got = {(r.left_id, r.right_id): (r.shared, r.n_left, r.n_right) for r in joins.similar_sets(spark.createDataFrame(rows, "o long, m long"), "o", "m", num, den).collect()}
+    want = {(a, b): (len(x & y), len(x), len(y)) for a, x in sets.items() for b, y in sets.items() if a < b and den * len(x & y) >= num * len(x | y)}
+    assert got == want and want
+
+
+def test_long_numbers_and_deep_objects(spark):
+    assert one(spark, clean.sample_size(F.lit("id 12345678901234567890 of 150"))) == 12345678901234567890 + 150
+    assert one(spark, clean.sample_size(F.lit("9" * 39 + " and 150"))) is None and one(spark, clean.sample_size(F.lit("9" * 38 + " and " + "9" * 38))) is None
+    text = '{"a": ' * 20 + '{"x": [1, {"y": 2}], "z": 3}' + "}" * 20
+    df = spark.createDataFrame([(1, text), (2, "[1]"), (3, None), (4, "{}")], "id long, j string")
+    path = "a." * 20
+    assert {(r.id, r.path): r.value for r in clean.flatten_json(df, "id", "j").collect()} == {(1, path + "x"): '1;{"y":2}', (1, path + "z"): "3"}
+    assert one(spark, clean.json_first(F.lit('{"a": null, "b": {"c": 5}}'), "$.a", "$.q", "$.b.c")) == "5"

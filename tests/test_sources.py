@@ -1,6 +1,7 @@
 """Readers and sinks on small written files."""
 
 import gzip
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +91,57 @@ def test_sinks(spark, tmp_path):
     assert {(r.pos, r.reason, r["rank"]) for r in ledger} == {(5, "SELECTED", 1), (2, "NO_ID", None)}
     edges = spark.createDataFrame([(1, 2, 0.5)], "a long, b long, score double")
     assert 'source="1"' in sinks.graphml(spark.createDataFrame([(1,), (2,)], "node long"), edges)
+
+
+def test_pages_with_errors_are_rows(spark, tmp_path):
+    from strandspark.sources import paged
+
+    spark.dataSource.register(paged.PagedJson)
+    path = f"file://{tmp_path}/pages"
+    sinks.write_pages(spark.range(45).select("id", F.lit("x").alias("t")), path, "id", 10)
+    load = lambda p, **more: spark.read.format("paged_json").options(path=p, pages_per_task=2, **more).load()
+    assert sorted(json.loads(r.row)["id"] for r in load(path).collect()) == list(range(45)) and load(path).rdd.getNumPartitions() == 3
+    (tmp_path / "pages/page-1.json").unlink()
+    (tmp_path / "pages/page-3.json").write_text("no page")
+    (tmp_path / "pages/page-5.json").write_text('{"count": 45, "rows": [{"id": 99}]}')  # beyond the stated count
+    found = load(path).collect()
+    assert sorted(json.loads(r.row)["id"] for r in found if r.error is None) == [*range(10), *range(20, 30), *range(40, 45)]
+    assert {(r.page, r.error) for r in found if r.error} == {(1, "FileNotFoundError"), (3, "JSONDecodeError")}
+    assert [r.error for r in load(f"file://{tmp_path}/nowhere").collect()] == ["FileNotFoundError"]
+    assert [r.error for r in load(path, rows="records").collect()] == ["KeyError"]
+
+
+def test_reconciliation_reports_what_differs(spark, tmp_path):
+    df = spark.range(100).select("id", (F.col("id") % 7).alias("k"))
+    assert tuple(sinks.write_reconciled(df, f"{tmp_path}/same").first()) == (100, 100, True)
+    from pyspark.sql import DataFrameReader
+
+    whole = DataFrameReader.parquet
+    try:  # a reader that loses rows, and one that alters them
+        DataFrameReader.parquet = lambda self, *p: whole(self, *p).where("k < 6")
+        assert sinks.write_reconciled(df, f"{tmp_path}/fewer").first()[1:] == (86, False)
+        DataFrameReader.parquet = lambda self, *p: whole(self, *p).withColumn("k", F.col("k") + 1)
+        assert sinks.write_reconciled(df, f"{tmp_path}/other").first()[1:] == (100, False)
+    finally:
+        DataFrameReader.parquet = whole
+
+
+def test_region_scans_skip_what_lies_outside(spark, tmp_path):
+    rows = spark.range(200_000).select((F.col("id") % 4).cast("int").alias("chrom"), F.expr("id div 4").alias("pos"), F.col("id").alias("x"))
+    path = f"{tmp_path}/laid"
+    sinks.write_by_position(rows, path)
+    wanted = spark.createDataFrame([(1, 100, 110, "a"), (1, 105, 400, "b"), (2, 0, 3, "c"), (9, 0, 10**6, "d")], "chrom int, start long, end long, name string")
+    found = readers.regions(spark, path, wanted, 50)
+    assert sorted((r.chrom, r.pos, r["name"]) for r in found.collect()) == sorted((c, p, n) for c, s, e, n in [(1, 100, 110, "a"), (1, 105, 400, "b"), (2, 0, 3, "c")] for p in range(s, e + 1))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "FileScan parquet" in x)
+    assert "chrom" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0] and "LessThanOrEqual(pos" in scan.split("PushedFilters:")[1]
+    assert readers.regions(spark, path, wanted.limit(0)).count() == 0
+
+
+def test_best_pairs(spark):
+    h = ", ".join(f"`PP.H{k}.abf` string" for k in range(5))
+    summaries = spark.createDataFrame([("a", "1", "1", *"0000", "0.7"), ("a", "2", "1", *"0000", "0.9"), ("a", "1", "2", *"0000", "0.9"), ("a", "3", "1", *"0000", "inf"), ("b", "1", "1", *"0000", "nan")], f"k string, hit1 string, hit2 string, {h}")
+    under = spark.createDataFrame([("a", "1", "2", "0.8", "LOW_P12"), ("a", "1", "2", "0.9", "DEFAULT"), ("a", "2", "1", "0.1", "HIGH_P12")], "k string, hit1 string, hit2 string, `PP.H4.abf` string, PRIOR_SET string")
+    got = {r.k: (r.n_signal_pairs, r.hit1, r.hit2, r.h4, r.h4_low, r.h4_default, r.h4_high) for r in readers.best_pairs(summaries, under, ["k"]).collect()}
+    assert got == {"a": (4, "1", "2", 0.9, 0.8, 0.9, None), "b": (1, None, None, None, None, None, None)}
