@@ -315,9 +315,10 @@ def _shared_signatures(source: DataFrame, k: int, num: int, den: int) -> DataFra
 
 
 def _with_least(groups: DataFrame, key: str) -> DataFrame:
-    """(pivot, node) of the members of groups (key, node): the least member of a group is its pivot."""
-    first = F.first("node").over(Window.partitionBy(key).orderBy("node"))
-    return groups.withColumn("pivot", first).where("node <> pivot").select("pivot", "node").distinct()
+    """(pivot, node) of the members of groups (key, node): the least member of a group is its pivot. It is found
+    before members move, and they meet it in a join, which Spark splits where a group is large."""
+    least = groups.groupBy(key).agg(F.min("node").alias("pivot"))
+    return groups.join(least, key).where("node <> pivot").select("pivot", "node").distinct()
 
 
 def _clusters(shared: DataFrame) -> DataFrame:
@@ -365,7 +366,7 @@ def _groups(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     count = np.zeros(COUNTERS, np.int64)
     count[counts["place"].to_numpy()] = counts["n"].to_numpy()
     rare = sets.mapInArrow(_rare_elements(spark.sparkContext.broadcast(count), num, den), "node long, e long")
-    dealt = rare.join(small(clusters, clusters.count()), "node").select(F.xxhash64("label", "e").alias("shared"), "node")
+    dealt = stash(rare.join(small(clusters, clusters.count()), "node").select(F.xxhash64("label", "e").alias("shared"), "node"), "dealt-elements")
     return stash(_with_least(dealt, "shared").select(col("pivot").alias("group"), "pivot", "node"), "groups")
 
 

@@ -136,13 +136,13 @@ def _write(folder: str, end_id: int, path: str):
 
         part, writer, total = TaskContext.get().partitionId(), None, 0
         store, base = pyarrow.fs.FileSystem.from_uri(folder)
-        name, draft = f"{base}/part-{part:06d}.ids.zst", f"{base}/.draft-{part:06d}-{uuid.uuid4().hex}"
+        name = f"{base}/part-{part:06d}-{uuid.uuid4().hex}.ids.zst"  # every attempt has a file of its own
         first = None
         for batch in batches:
             for lo, hi, ids, at in tokens.encoded(batch.column(1), path, end_id, added=True):
                 if writer is None:
                     store.create_dir(base, recursive=True)
-                    sink = store.open_output_stream(draft, compression=None)
+                    sink = store.open_output_stream(name, compression=None)
                     writer = FileWriter(sink)
                 names = batch.column(0).slice(lo, hi - lo).to_pylist()
                 first = names[0] if first is None else first
@@ -152,24 +152,34 @@ def _write(folder: str, end_id: int, path: str):
         if writer is not None:
             writer.close()
             sink.close()
-            store.move(draft, name)  # a second attempt writes the same bytes under the same name
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "n_docs": [len(writer.doc_ids)], "n_ids": [total]}, schema=pa.schema([("part", pa.int64()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
     return run
 
 
+def _only(folder: str, names: set[str]) -> None:
+    """Removes what lost attempts have left: the files named are those of the attempts that count."""
+    store, base = pyarrow.fs.FileSystem.from_uri(folder)
+    for found in store.get_file_info(pyarrow.fs.FileSelector(base, allow_not_found=True)):
+        if found.path.endswith(".ids.zst") and found.path not in names:
+            store.delete_file(found.path)
+
+
 def write_token_files(docs: DataFrame, folder: str | None = None, end_id: int = 2, path: str | None = None) -> tuple[str, list]:
     """Writes docs as token files in ascending doc_id order and returns the folder and, for each
     file, (part, file, n_docs, n_ids). doc_id is an integer.
 
     A null or empty text is the end id alone; a null doc_id comes first; repeated rows are
-    written as often as they occur, by text. No rows make no files. Other columns are left out.
+    written as often as they occur, by text. No rows make no files. Other columns are left out. A task that runs twice writes
+    two files, of which the driver keeps the one that counts; nothing is renamed.
     """
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "token-files")
     ordered = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     made = ordered.mapInArrow(_write(folder, end_id, path or tokens.vocabulary_path()), "part long, file string, n_docs long, n_ids long")
-    return folder, sorted(tuple(r) for r in made.collect())  # a line for each file
+    files = sorted(tuple(r) for r in made.collect())  # a line for each file
+    _only(folder, {name for _, name, _, _ in files})
+    return folder, files
 
 
 def _read(folder: str, wanted: frozenset | None):

@@ -19,14 +19,15 @@ def area(score, label):
     return (rank[label == 1].sum() - n * (n + 1) / 2) / (n * (len(label) - n))
 
 
-@pytest.mark.parametrize(("query", "label", "mod", "rest", "least"), [("op4_boosted_toxicity", "toxic", 5, 0, 0.75), ("op5_ftrl_quality", "quality", 4, 2, 0.9)])
+@pytest.mark.parametrize(("query", "label", "mod", "rest", "least"), [("op4_boosted_toxicity", "toxic", 5, 0, 0.97), ("op5_ftrl_quality", "quality", 4, 2, 0.98)])
 def test_held_out_labels(spark, query, label, mod, rest, least):
     found = queries.QUERIES[query](spark, SF).toPandas()
     assert found.score.between(0, 1).all() and len(found) == spark.read.parquet(f"{SF}/documents.parquet").count()
     assert (found.held_out == [zlib.crc32(str(i).encode()) % mod == rest for i in found.doc_id]).all()
     labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas().set_index("doc_id")[label]
     held = found[found.held_out & found.doc_id.isin(labels.index)]
-    assert area(held.score.to_numpy(), labels[held.doc_id].to_numpy()) >= least
+    reached = area(held.score.to_numpy(), labels[held.doc_id].to_numpy())
+    assert reached >= least, reached
 
 
 def test_scores_of_odd_rows(spark):
