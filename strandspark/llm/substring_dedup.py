@@ -209,7 +209,7 @@ def repeated_passages(docs: DataFrame, window: int = 50, gram: int = 20, company
 
     Null, empty and short texts keep all they have. Repeated rows with one doc_id don't remove each
     other's words; a null doc_id is neither smaller nor larger than any, so such rows
-    keep all words and remove none. Texts are read whole.
+    keep all words and remove none. Texts are read whole. A window of more than 64 words (words.LONGEST_GRAM) is a ValueError.
     """
     source = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     runs = "array<struct<anchor:bigint,run:bigint,start:int,n:int>>"
