@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 NULL_ALLELES = ("", "NAN", "NA", ".", "<NA>")
 NULL_TEXT = ("", "nan", "none", ".")
 NULL_SUMMARY = ("", "na", "n/a", "nan", "none", "no", "false", "0", "not available", "nr")
+NULL_REPORT = ("NA", "NaN", "nan", "None", "")
+NULL_TABLE = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 TRUE_WORDS = ("1", "true", "yes", "y", "t")
 FALSE_WORDS = ("0", "false", "no", "n", "f")
 
@@ -19,6 +21,12 @@ def numeric(x: Column) -> Column:
     return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
 
 
+def not_null_word(x: Column) -> Column:
+    """Text, or NULL where it is a word that tables use for nothing."""
+    text = x.cast("string")
+    return F.when(~text.isin(*NULL_TABLE), text)
+
+
 def chromosome(x: Column) -> Column:
     """1..22 with any "chr" in front, else NULL."""
     n = F.regexp_replace(F.lower(F.trim(x.cast("string"))), "^chr", "").try_cast("double").try_cast("int")

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify, clean
-from ..operators import graphs, greedy, grouped, grouping, intervals, joins, kernels, ld, scans
-from ..sources import paged, readers, sinks
+from ..operators import graphs, greedy, grouped, grouping, intervals, joins, kernels, ld, reports, scans
+from ..sources import paged, readers, sinks, stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1255,3 +1255,72 @@ def best_signal_pairs(t):
     sensitivity = s.select("candidate", "hit1", "hit2", prior).select("candidate", "hit1", "hit2", col("p.n").alias("PRIOR_SET"), col("p.v").alias("PP.H4.abf"))
     found = readers.best_pairs(text, sensitivity, ["candidate"])
     return found.select("candidate", "n_signal_pairs", "hit1", "hit2", *(r6(col(c)).alias(c) for c in ("h4", "h4_low", "h4_default", "h4_high")))
+
+
+def _as_landed(df: DataFrame) -> DataFrame:
+    """df as a compressed table of text, read again."""
+    path = graphs.new_folder(df.sparkSession, "stage")
+    sinks.write_tsv(df, path)
+    return readers.tsv(df.sparkSession, path, df.columns)
+
+
+SQL_VARIANTS = """v AS (SELECT 'V' || l_suppkey AS vep_id, 'L' || l_suppkey % 40 AS locus_id, CAST(l_partkey % 24 + 1 AS INT) AS chr, CAST(l_partkey AS BIGINT) AS pos, ['A', 'C', 'GT', 'TA', 'N'][l_suppkey % 5 + 1] AS ref, ['C', 'GA', 'T', 'CC'][l_linenumber % 4 + 1] AS alt, CASE WHEN l_orderkey % 5 > 0 THEN (l_orderkey % 1000) / 1000::DOUBLE END AS pip, l_returnflag = 'R' AS in95 FROM lineitem WHERE l_partkey % 24 < 22 AND l_linenumber < 6)"""
+
+
+def _variant_text(t) -> DataFrame:
+    word = lambda letters, k: F.element_at(F.array(*map(F.lit, letters)), (k + 1).cast("int"))
+    line = t("lineitem")
+    locus = F.when(col("l_linenumber") < 6, F.concat(F.lit("L"), col("l_suppkey") % 40)).otherwise("nan")
+    pip = F.when(col("l_orderkey") % 5 > 0, ((col("l_orderkey") % 1000) / 1000).cast("string")).otherwise(F.when(col("l_orderkey") % 2 == 0, "NA").otherwise("none yet"))
+    return line.select(F.concat(F.lit("V"), "l_suppkey").alias("VEP_ID"), locus.alias("LOCUS_ID"), F.concat(F.lit("chr"), col("l_partkey") % 24 + 1).alias("CHR"), col("l_partkey").alias("REFERENCE_POS"), word(("a", "C", "gt", " TA", "n"), col("l_suppkey") % 5).alias("REFERENCE_REF"), word(("C", "ga", "t", "CC"), col("l_linenumber") % 4).alias("REFERENCE_ALT"), pip.alias("PIP"), F.when(col("l_returnflag") == "R", "yes").otherwise("no").alias("IN_95_CREDIBLE_SET"))
+
+
+def _lower(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*(col(a).alias(b) for a, b in names.items()))
+
+
+@query(f"""WITH {SQL_VARIANTS}, f AS (SELECT * FROM v WHERE pip IS NOT NULL), top AS (SELECT locus_id, chr, pos, ref, alt FROM f QUALIFY row_number() OVER (PARTITION BY locus_id ORDER BY pip DESC, chr, pos, ref, alt) = 1),
+x AS (SELECT f.*, t.locus_id IS NOT NULL AS leads FROM f LEFT JOIN top t ON f.locus_id = t.locus_id AND f.chr = t.chr AND f.pos = t.pos AND f.ref = t.ref AND f.alt = t.alt)
+SELECT locus_id, chr, pos, ref, alt, pip, in95 AS credible, pip >= 0.95 AS high, leads, pip >= 0.1 AS pip_010, pip >= 0.9 AS pip_090, in95 OR pip >= 0.95 OR leads AS prioritized FROM x QUALIFY row_number() OVER (PARTITION BY chr, pos, ref, alt ORDER BY pip DESC, locus_id, in95) = 1""")
+def stage_fine_mapped(t):
+    """SRC-20, DED-01: the table of fine-mapped variants from text with junk, why each would be chosen, one row an allele."""
+    found = stages.prioritised(stages.load(_as_landed(_variant_text(t).drop("VEP_ID")), stages.FINE_MAPPED), 0.95)
+    return _lower(found, {"LOCUS_ID": "locus_id", "CHR": "chr", "REFERENCE_POS": "pos", "REFERENCE_REF": "ref", "REFERENCE_ALT": "alt", "PIP": "pip", "SELECTED_CREDIBLE_SET": "credible", "SELECTED_PIP_THRESHOLD": "high", "SELECTED_TOP_LOCUS": "leads", "PIP_GE_0_10": "pip_010", "PIP_GE_0_90": "pip_090", "PRIORITIZED": "prioritized"})
+
+
+@query(f"""WITH {SQL_VARIANTS}, f AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY vep_id ORDER BY locus_id, pip DESC NULLS LAST, chr, pos, ref, alt, in95) = 1)
+SELECT vep_id, locus_id, pip, concat_ws(':', chr, pos, ref, alt) AS variant_key, ref <> 'N' AS valid, ref <> 'N' AND (length(ref) = 1 OR length(alt) = 1) AS eligible FROM f""")
+def stage_annotated(t):
+    """SRC-20: annotated variants, one row an annotation id, with keys and whether a splice predictor takes the alleles."""
+    found = stages.splice_eligible(stages.with_key(stages.load(_as_landed(_variant_text(t)), stages.ANNOTATED)))
+    return _lower(found, {"VEP_ID": "vep_id", "LOCUS_ID": "locus_id", "PIP": "pip", "VARIANT_KEY": "variant_key", "VALID_DNA_ALLELES": "valid", "SPLICEAI_ALLELE_ELIGIBLE": "eligible"})
+
+
+@query("""WITH q AS (SELECT 'L' || l_suppkey % 40 AS locus_id, l_partkey AS part, CASE WHEN l_linenumber <> 2 THEN 'ENSG' || lpad(CAST(l_partkey AS VARCHAR), 11, '0') ELSE 'ENSG' || lpad(CAST(l_suppkey AS VARCHAR), 11, '0') END AS gene, CASE WHEN l_linenumber <> 3 THEN (l_orderkey % 1000) / 1000::DOUBLE END AS score FROM lineitem WHERE l_returnflag = 'R')
+SELECT locus_id, gene, score FROM q QUALIFY row_number() OVER (PARTITION BY locus_id ORDER BY score DESC NULLS LAST, gene) = 1""")
+def stage_colocalised(t):
+    """SRC-20, AGG-17: colocalised genes from text, the best eQTL of each locus."""
+    line = t("lineitem")
+    gene = lambda c: F.concat(F.lit("ENSG"), F.lpad(col(c).cast("string"), 11, "0"), F.lit(".3"))
+    text = line.select(F.concat(F.lit("L"), col("l_suppkey") % 40).alias("LOCUS_ID"), F.when(col("l_returnflag") == "R", F.when(col("l_linenumber") % 2 == 0, "EQTL").otherwise("eQTL")).otherwise("sQTL").alias("QTL_TYPE"), F.when(col("l_linenumber") != 2, gene("l_partkey")).otherwise("NA").alias("QTL_GENE"), gene("l_suppkey").alias("QTL_PHENOTYPE"), F.when(col("l_linenumber") != 3, ((col("l_orderkey") % 1000) / 1000).cast("string")).otherwise("NaN").alias("LCLPP_MULTICAUSAL"))
+    found = stages.effective_gene(stages.load(_as_landed(text), stages.COLOCALISED))
+    best = reports.best_signal(found.select("LOCUS_ID", "QTL_GENE_EFFECTIVE", "QTL_TYPE", "LCLPP_MULTICAUSAL"), "eqtl")
+    return _lower(best, {"LOCUS_ID": "locus_id", "QTL_GENE_EFFECTIVE": "gene", "LCLPP_MULTICAUSAL": "score"})
+
+
+@query("""WITH q AS (SELECT CASE WHEN l_linenumber < 6 THEN 'L' || l_suppkey % 40 END AS locus_id, CASE WHEN l_orderkey % 5 > 0 THEN (l_orderkey % 1000) / 1000::DOUBLE END AS pip FROM lineitem)
+SELECT locus_id, count(*) AS cs95_n, max(pip) AS cs95_max_pip, CAST(count_if(pip >= 0.1) AS BIGINT) AS cs95_pip_ge_010, CAST(count_if(pip >= 0.5) AS BIGINT) AS cs95_pip_ge_050 FROM q GROUP BY 1""")
+def report_credible_sets(t):
+    """AGG-17: credible sets by locus, from text with the reports' words for nothing."""
+    found = reports.credible_sets(_as_landed(_variant_text(t)))
+    return found.withColumnRenamed("LOCUS_ID", "locus_id")
+
+
+@query("""WITH q AS (SELECT CASE WHEN l_suppkey % 40 > 0 THEN 'L' || l_suppkey % 40 END AS locus_id, ['CODING', 'INTRONIC', 'INTERGENIC', 'NONCODING_RNA', 'SPLICING', 'OTHER', ''][l_linenumber] AS k, l_partkey % 5 < 3 AS nc FROM lineitem)
+SELECT locus_id, count(*) AS vep_n, CAST(count_if(k <> 'CODING') AS BIGINT) AS noncoding_n, CAST(count_if(k = 'CODING') AS BIGINT) AS coding_n, CAST(count_if(k = 'INTRONIC') AS BIGINT) AS intronic_n, CAST(count_if(k = 'INTERGENIC') AS BIGINT) AS intergenic_n, CAST(count_if(k = 'NONCODING_RNA') AS BIGINT) AS ncrna_n, CAST(count_if(k = 'SPLICING') AS BIGINT) AS vep_splice_n, CAST(count_if(nc) AS BIGINT) AS lncrna_n FROM q GROUP BY 1""")
+def report_consequences(t):
+    """AGG-17: consequences and long non-coding biotypes by locus, from text with the reports' words for nothing."""
+    word = lambda words, k: F.element_at(F.array(*map(F.lit, words)), (k + 1).cast("int"))
+    locus = F.when(col("l_suppkey") % 40 > 0, F.concat(F.lit("L"), col("l_suppkey") % 40)).otherwise("None")
+    text = t("lineitem").select(locus.alias("LOCUS_ID"), word(("coding", "INTRONIC", "Intergenic", "NONCODING_RNA", "SPLICING", "OTHER", "NaN"), col("l_linenumber") - 1).alias("FUNCTIONAL_CATEGORY"), word(("lncRNA", "lincRNA;x", "Antisense", "NA", "protein_coding"), col("l_partkey") % 5).alias("BIOTYPE"))
+    return reports.consequences(_as_landed(text)).withColumnRenamed("LOCUS_ID", "locus_id")
