@@ -5,10 +5,12 @@ whatever size, has to be in one task."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import joins, scans
 from .graphs import _forget, _saved
 
 
@@ -75,3 +77,33 @@ def greedy_match(pairs: DataFrame, keys: str | Sequence[str]) -> DataFrame:
         _forget(left)
         left = rest
     return (_union(kept) if kept else left).select(*keys, "a", "b", "score")
+
+
+def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.7) -> DataFrame:
+    """terms (collection, term, fdr, genes): collection, term, cluster and representative. By rising fdr (NULL last, then
+    term) a term joins the representative with the greatest Jaccard of at least threshold, the earliest of equals, or opens a
+    cluster. A term stands once in its collection, by its least fdr; a term without genes is alone. A term opens a cluster
+    if no stronger representative is like it, so representatives are chosen in rounds; terms with the same genes are one
+    set until the end, since only the first of them can open a cluster."""
+    share = Fraction(str(threshold))
+    genes = F.array_sort(F.array_distinct(F.coalesce(F.filter("genes", lambda g: g.isNotNull()), F.array().cast(dict(terms.dtypes)["genes"]))))
+    least = F.min(F.struct(F.col("fdr").isNull().alias("unknown"), F.col("fdr").alias("fdr"), genes.alias("genes"))).alias("x")
+    once = terms.where("term IS NOT NULL").groupBy(F.col(collection).alias("collection"), "term").agg(least)
+    rank = F.struct("x.unknown", "x.fdr", "term")
+    alone = F.when(F.size("x.genes") == 0, F.col("term")).alias("alone")
+    rows = _saved(once.select("collection", "term", rank.alias("rank"), F.struct("collection", F.col("x.genes").alias("genes"), alone).alias("set")))
+    heads = _saved(rows.groupBy("set").agg(F.min("rank").alias("rank")).select(F.struct(F.col("set.collection").alias("collection"), F.col("rank.term").alias("term")).alias("node"), "rank", "set"))
+    members = heads.select("node", F.explode("set.genes").alias("gene")).select("node", F.struct(F.col("node.collection").alias("collection"), "gene").alias("member"))
+    near = _saved(joins.similar_sets(members, "node", "member", share.numerator, share.denominator))
+    jaccard = (F.col("shared") / (F.col("n_left") + F.col("n_right") - F.col("shared"))).alias("jaccard")
+    both_ways = near.select(F.col("left_id").alias("node"), F.col("right_id").alias("other"), jaccard).unionByName(near.select(F.col("right_id").alias("node"), F.col("left_id").alias("other"), jaccard))
+    ranks = heads.select("node", "rank")
+    linked = _saved(both_ways.join(ranks, "node").join(ranks.select(F.col("node").alias("other"), F.col("rank").alias("other_rank")), "other"))
+    leads = _saved(independent(ranks, linked.where("other_rank < rank").select(F.col("other").alias("strong"), F.col("node").alias("weak"))).join(heads, "node"))
+    of_set = linked.join(leads.select(F.col("node").alias("other")), "other", "left_semi").join(heads.select("node", "set"), "node").select("set", "jaccard", F.col("other_rank").alias("lead_rank"))
+    own = leads.select("set", F.lit(1.0).alias("jaccard"), F.col("rank").alias("lead_rank"))
+    found = rows.join(of_set.unionByName(own), "set").where("lead_rank <= rank")
+    chosen = found.groupBy("collection", "term").agg(F.min_by("lead_rank", F.struct(-F.col("jaccard"), "lead_rank")).alias("lead_rank"))
+    numbered = scans.row_numbers(leads.select(F.col("node.collection").alias("collection"), "rank"), ["collection"], [F.col("rank")], "cluster")
+    numbers = numbered.select(F.struct("collection", "rank").alias("lead"), F.col("cluster").cast("long").alias("cluster"))
+    return chosen.withColumn("lead", F.struct("collection", F.col("lead_rank").alias("rank"))).join(numbers, "lead").select("collection", "term", "cluster", F.col("lead_rank.term").alias("representative"))

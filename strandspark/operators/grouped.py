@@ -158,26 +158,3 @@ def ld_mismatch(stats: DataFrame, ld: DataFrame) -> DataFrame:
     kinds = dict(stats.dtypes)
     schema = f"locus {kinds['locus']}, trait {kinds['trait']}, s double, max_abs_z double, n_variants long"
     return stats.groupBy("locus", "trait").cogroup(_of_traits(stats, ld).groupBy("_locus", "_trait")).applyInPandas(run, schema)
-
-
-def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.7) -> DataFrame:
-    """terms (collection, term, fdr, genes): term, cluster and representative. By rising fdr (then term) a term joins the
-    representative with the greatest Jaccard of at least threshold, the earliest of equals, or opens a cluster."""
-
-    def run(key: tuple, t: pd.DataFrame) -> pd.DataFrame:
-        reps, out = [], []
-        for term, genes in t.sort_values(["fdr", "term"])[["term", "genes"]].itertuples(index=False):
-            mine, best, at = set(genes), 0.0, None
-            for k, (_, theirs) in enumerate(reps):
-                both = len(mine & theirs)
-                j = both / max(1, len(mine) + len(theirs) - both)
-                if j >= threshold and j > best:
-                    best, at = j, k
-            if at is None:
-                reps.append((term, mine))
-                at = len(reps) - 1
-            out.append((key[0], term, at + 1, reps[at][0]))
-        return pd.DataFrame(out, columns=["collection", "term", "cluster", "representative"])
-
-    kinds = dict(terms.dtypes)
-    return terms.groupBy(F.col(collection).alias("collection")).applyInPandas(run, f"collection {kinds[collection]}, term {kinds['term']}, cluster long, representative {kinds['term']}")

@@ -974,11 +974,28 @@ def susie_fine_mapping(t):
     return grouped.fine_map(stats, _correlations(t))
 
 
-@query()
+def _sql_redundancy(rounds: int = 12) -> str:
+    """Rounds of representatives: terms like no stronger undecided one; each other term joins the one most like it."""
+    steps = []
+    for k in range(1, rounds + 1):
+        steps.append(f"l{k} AS MATERIALIZED (SELECT term FROM u{k - 1} WHERE term NOT IN (SELECT weak FROM e WHERE strong IN (SELECT term FROM u{k - 1})))")
+        steps.append(f"u{k} AS MATERIALIZED (SELECT term FROM u{k - 1} WHERE term NOT IN (SELECT term FROM l{k}) AND term NOT IN (SELECT weak FROM e WHERE strong IN (SELECT term FROM l{k})))")
+    leads = " UNION ALL ".join(f"SELECT term FROM l{k}" for k in range(1, rounds + 1))
+    return f"""WITH g AS MATERIALIZED (SELECT DISTINCT l_partkey AS term, l_suppkey % 20 AS gene FROM lineitem),
+t AS MATERIALIZED (SELECT l_partkey AS term, l_partkey % 25 AS collection, min(l_orderkey) % 500 AS fdr, count(DISTINCT l_suppkey % 20) AS n FROM lineitem GROUP BY 1),
+o AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY fdr, term) AS rk FROM t),
+e AS MATERIALIZED (SELECT x.term AS strong, x.rk, y.term AS weak, count(*) / (x.n + y.n - count(*))::DOUBLE AS j FROM o x JOIN o y ON x.collection = y.collection AND x.rk < y.rk JOIN g a ON a.term = x.term JOIN g b ON b.term = y.term AND a.gene = b.gene GROUP BY x.term, x.rk, y.term, x.n, y.n HAVING 10 * count(*) >= 7 * (x.n + y.n - count(*))),
+u0 AS MATERIALIZED (SELECT term FROM t), {', '.join(steps)}, lead AS MATERIALIZED ({leads}),
+m AS (SELECT weak AS term, arg_min(strong, (-j, rk)) AS representative FROM e WHERE strong IN (SELECT term FROM lead) AND weak NOT IN (SELECT term FROM lead) GROUP BY 1 UNION ALL SELECT term, term FROM lead),
+c AS (SELECT term, row_number() OVER (PARTITION BY collection ORDER BY rk) AS cluster FROM o JOIN lead USING (term))
+SELECT collection, m.term, cluster, representative FROM m JOIN t ON t.term = m.term JOIN c ON c.term = representative"""
+
+
+@query(_sql_redundancy())
 def redundancy_clusters(t):
-    """KRN-11: greedy clusters of overlapping terms."""
-    terms = t("lineitem").groupBy((col("l_suppkey") % 3).alias("collection"), col("l_suppkey").alias("term")).agg(F.array_sort(F.collect_set(col("l_partkey") % 15)).alias("genes"), (F.min("l_discount") + F.first(col("l_suppkey")) / 1000).alias("fdr"))
-    return grouped.redundancy_clusters(terms, "collection")
+    """KRN-11: greedy clusters of overlapping terms, in rounds over all collections."""
+    terms = t("lineitem").groupBy(col("l_partkey").alias("term")).agg(F.collect_set(col("l_suppkey") % 20).alias("genes"), (F.min("l_orderkey") % 500).alias("fdr"))
+    return greedy.redundancy_clusters(terms.withColumn("collection", col("term") % 25), "collection")
 
 
 def _sql_matches(rounds: int = 12) -> str:

@@ -51,3 +51,35 @@ def test_matches(spark, seed):
     df = spark.createDataFrame(pairs, "k string, a long, b long, score double")
     assert {tuple(r) for r in greedy.greedy_match(df, "k").collect()} == want
     assert greedy.greedy_match(df.limit(0), "k").count() == 0
+
+
+def plain_clusters(rows, threshold):
+    """One by one, in order."""
+    out, representatives = {}, {}
+    for c, term, _, genes in sorted(rows, key=lambda r: (r[2] is None, r[2] or 0, r[1])):
+        mine, best, at = set(genes or ()), 0.0, None
+        for k, (_, theirs) in enumerate(representatives.setdefault(c, [])):
+            j = len(mine & theirs) / max(1, len(mine | theirs))
+            if j >= threshold and j > best:
+                best, at = j, k
+        if at is None:
+            at = len(representatives[c])
+            representatives[c].append((term, mine))
+        out[c, term] = (at + 1, representatives[c][at][0])
+    return out
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.7])
+def test_clusters_equal_one_by_one(spark, threshold):
+    draw = random.Random(int(threshold * 10))
+    rows = [(draw.choice(["g", "h", None]), f"t{k}", draw.choice([None, 0.1, 0.2, 0.3, 0.4]), draw.choice([None, []] + [draw.sample(range(8), draw.randint(1, 6)) for _ in range(12)])) for k in range(150)]
+    t = spark.createDataFrame(rows, "c string, term string, fdr double, genes array<int>")
+    found = {(r.collection, r.term): (r.cluster, r.representative) for r in greedy.redundancy_clusters(t, "c", threshold).collect()}
+    assert found == plain_clusters(rows, threshold)
+
+
+def test_no_terms_and_repeated_terms(spark):
+    schema = "c string, term string, fdr double, genes array<int>"
+    assert greedy.redundancy_clusters(spark.createDataFrame([], schema), "c").count() == 0
+    t = spark.createDataFrame([("g", "x", 0.2, [1]), ("g", "x", 0.1, [1, 2]), ("g", "y", 0.3, [1, 2]), ("g", None, 0.0, [1, 2])], schema)
+    assert {(r.term, r.cluster, r.representative) for r in greedy.redundancy_clusters(t, "c").collect()} == {("x", 1, "x"), ("y", 1, "x")}

@@ -201,7 +201,7 @@ def test_greedy_and_redundancy(spark):
     p = spark.createDataFrame([("s", 1, 1, 0.9), ("s", 1, 2, 0.8), ("s", 2, 1, 0.85), ("s", 2, 2, 0.1), ("t", 1, 1, 0.5)], "k string, a long, b long, score double")
     assert {(r.k, r.a, r.b) for r in greedy.greedy_match(p, "k").collect()} == {("s", 1, 1), ("s", 2, 2), ("t", 1, 1)}
     t = spark.createDataFrame([("g", "x", 0.01, ["1", "2", "3"]), ("g", "y", 0.02, ["1", "2", "3"]), ("g", "z", 0.03, ["9"])], "g string, term string, fdr double, genes array<string>")
-    assert {(r.term, r.representative) for r in grouped.redundancy_clusters(t, "g").collect()} == {("x", "x"), ("y", "x"), ("z", "z")}
+    assert {(r.term, r.representative) for r in greedy.redundancy_clusters(t, "g").collect()} == {("x", "x"), ("y", "x"), ("z", "z")}
 
 
 def test_graphs(spark):
