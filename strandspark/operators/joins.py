@@ -82,25 +82,47 @@ def shared_members(df: DataFrame, owner: str, member: str) -> DataFrame:
     return out.withColumn("jaccard", F.col("shared") / (F.col("n_left") + F.col("n_right") - F.col("shared")))
 
 
+def parities(member: str) -> list:
+    """Aggregates low and high: whether an odd number of members fall on each of 128 places by hash. Two sets differ by
+    as many members at least as by places."""
+    at = f"cast(pmod(xxhash64(7, {member}), 128) as int)"
+    return [F.expr(f"bit_xor(CASE WHEN {at} < 64 THEN shiftleft(1L, {at}) ELSE 0L END)").alias("low"), F.expr(f"bit_xor(CASE WHEN {at} >= 64 THEN shiftleft(1L, {at} - 64) ELSE 0L END)").alias("high")]
+
+
+def among_rarest(size: str, place: str, num: int, den: int):
+    return F.col(place) <= F.col(size) - F.expr(f"({size} * {num} + {den - 1}) div {den}") + 1
+
+
+def may_be_near(num: int, den: int):
+    """For rows (n, place, low, high) and (r_n, r_place, ...) that meet in their first common rarest member: false only if
+    they share too few, by their sizes, by the members from there on, or by their parities."""
+    both = F.col("n") + F.col("r_n")
+    sizes = (F.col("n") * den >= F.col("r_n") * num) & (F.col("r_n") * den >= F.col("n") * num)
+    rest = (F.least(F.col("n") - F.col("place"), F.col("r_n") - F.col("r_place")) + 1) * (den + num) >= both * num
+    apart = F.expr("bit_count(low ^ r_low) + bit_count(high ^ r_high)") * (den + num) <= both * (den - num)
+    return sizes & rest & apart
+
+
 def similar_sets(df: DataFrame, owner: str, member: str, num: int, den: int) -> DataFrame:
     """Pairs (left_id, right_id) of owners whose sets of members have a Jaccard similarity of num / den or more, with shared,
     n_left and n_right; NULL is no member. Of two such sets each has one of the other's rarest members among its own rarest (as
     many as it may lack, and one more), so only owners that share one there, and are of near sizes, are counted; a
-    member of very many owners is among the rarest of sets of such members alone. Equal sets are one until the end."""
+    member of very many owners is among the rarest of sets of such members alone. Pairs whose places there, or whose
+    parities of members, show that they share too few go before anything is kept. Equal sets are one until the end."""
     pairs = _saved(df.where(F.col(owner).isNotNull() & F.col(member).isNotNull()).select(F.col(owner).alias("o"), F.col(member).alias("m")).distinct())
     # Equal sets have equal size and equal sums of two hashes.
-    of_owner = pairs.groupBy("o").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("m")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "m")).alias("y"))
-    owners = _saved(of_owner.select("o", "n", F.struct("n", "x", "y").alias("s")))
-    heads = _saved(owners.groupBy("s", "n").agg(F.min("o").alias("o")))
-    sets = _saved(pairs.join(heads.select("o", "s", "n"), "o").select("s", "n", "m"))
+    of_owner = pairs.groupBy("o").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("m")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "m")).alias("y"), *parities("m"))
+    heads = _saved(of_owner.groupBy("n", "x", "y").agg(F.min("o").alias("s"), F.min("low").alias("low"), F.min("high").alias("high")))
+    owners = _saved(of_owner.join(heads.select("n", "x", "y", "s"), ["n", "x", "y"]).select("o", "n", "s"))
+    sets = _saved(pairs.join(heads.select(F.col("s").alias("o"), "n", "low", "high"), "o").select(F.col("o").alias("s"), "n", "low", "high", "m"))
     often = sets.groupBy("m").agg(F.count("*").alias("f"))
     ranked = scans.row_numbers(sets.join(often, "m"), ["s"], [F.col("f"), F.col("m")], "place")
-    rare = _saved(ranked.where(F.col("place") <= F.col("n") - F.expr(f"(n * {num} + {den - 1}) div {den}") + 1).select("s", "n", "m"))
-    near = (F.col("a.n") * den >= F.col("b.n") * num) & (F.col("b.n") * den >= F.col("a.n") * num) & (F.col("a.s") < F.col("b.s"))
-    asked = _saved(rare.alias("a").join(rare.alias("b"), F.col("a.m") == F.col("b.m")).where(near).select(F.col("a.s").alias("p"), F.col("b.s").alias("q")).distinct())
+    rare = _saved(ranked.where(among_rarest("n", "place", num, den)).select("s", "n", "low", "high", "place", "m"))
+    other = rare.select(*(F.col(c).alias(f"r_{c}") for c in rare.columns))
+    asked = _saved(rare.join(other, F.col("m") == F.col("r_m")).where((F.col("s") < F.col("r_s")) & may_be_near(num, den)).select(F.col("s").alias("p"), F.col("n").alias("n_p"), F.col("r_s").alias("q"), F.col("r_n").alias("n_q")).distinct())
     first = asked.join(sets.select(F.col("s").alias("p"), "m"), "p")
-    shared = first.join(sets.select(F.col("s").alias("q"), "m"), ["q", "m"]).groupBy("p", "q").agg(F.count("*").alias("shared"))
-    good = shared.where(F.col("shared") * (den + num) >= (F.col("p.n") + F.col("q.n")) * num)
+    shared = first.join(sets.select(F.col("s").alias("q"), "m"), ["q", "m"]).groupBy("p", "q", "n_p", "n_q").agg(F.count("*").alias("shared"))
+    good = shared.where(F.col("shared") * (den + num) >= (F.col("n_p") + F.col("n_q")) * num).select("p", "q", "shared")
     same = heads.select(F.col("s").alias("p"), F.col("s").alias("q"), F.col("n").alias("shared"))
     linked = good.unionByName(same)
     out = linked.join(owners.select(F.col("s").alias("p"), F.col("o").alias("a"), F.col("n").alias("n_a")), "p").join(owners.select(F.col("s").alias("q"), F.col("o").alias("b"), F.col("n").alias("n_b")), "q").where("a <> b AND (p <> q OR a < b)")
