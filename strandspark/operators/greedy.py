@@ -79,12 +79,41 @@ def greedy_match(pairs: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return (_union(kept) if kept else left).select(*keys, "a", "b", "score")
 
 
+#: Terms of each collection that the first round chooses among; sets of genes up to which a row carries them all.
+FIRST, FEW = 64, 64
+
+
+def _nearness(heads: DataFrame, num: int, den: int):
+    """A function of left and right (node) that gives node, other and jaccard of their pairs, of num / den or more. heads has node
+    and set.genes; a gene is a member within its collection."""
+    genes = _saved(heads.select("node", F.col("set.genes").alias("genes")))
+    members = genes.select("node", F.explode("genes").alias("gene")).select("node", F.struct(F.col("node.collection").alias("collection"), "gene").alias("member"))
+    often = members.groupBy("member").agg(F.count("*").alias("f"))
+    ranked = scans.row_numbers(members.join(often, "member"), ["node"], [F.col("f"), F.col("member")], "place").select("node", "member", "place")
+    sizes = members.groupBy("node").agg(F.count("*").alias("n"), *joins.parities("member")).join(genes.select("node", F.when(F.size("genes") <= FEW, F.col("genes")).alias("few")), "node")
+    rare = _saved(ranked.join(sizes, "node").where(joins.among_rarest("n", "place", num, den)))
+    jaccard = lambda x, y: (F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))).alias("jaccard")
+    enough = lambda x, y: F.size(F.array_intersect(x, y)) * den >= F.size(F.array_union(x, y)) * num
+
+    def near(left: DataFrame, right: DataFrame) -> DataFrame:
+        a, b = (rare.join(side.select("node"), "node", "left_semi") for side in (left, right))
+        met = a.join(b.select(*(F.col(c).alias(f"r_{c}") for c in b.columns)), F.col("member") == F.col("r_member"))
+        met = met.where((F.col("node") != F.col("r_node")) & joins.may_be_near(num, den))
+        small = met.where(F.col("few").isNotNull() & F.col("r_few").isNotNull()).where(enough("few", "r_few")).select("node", F.col("r_node").alias("other"), jaccard("few", "r_few"))
+        large = met.where(F.col("few").isNull() | F.col("r_few").isNull()).select("node", F.col("r_node").alias("other")).distinct()
+        both = large.join(genes, "node").join(genes.select(F.col("node").alias("other"), F.col("genes").alias("r_genes")), "other")
+        return small.distinct().unionByName(both.where(enough("genes", "r_genes")).select("node", "other", jaccard("genes", "r_genes")))
+
+    return near
+
+
 def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.7) -> DataFrame:
     """terms (collection, term, fdr, genes): collection, term, cluster and representative. By rising fdr (NULL last, then
     term) a term joins the representative with the greatest Jaccard of at least threshold, the earliest of equals, or opens a
     cluster. A term stands once in its collection, by its least fdr; a term without genes is alone. A term opens a cluster
-    if no stronger representative is like it, so representatives are chosen in rounds; terms with the same genes are one
-    set until the end, since only the first of them can open a cluster."""
+    if no stronger representative is like it, so representatives are chosen in rounds and terms are held against
+    representatives, not against all others; terms with the same genes are one set until the end, since only the first of
+    them can open a cluster."""
     share = Fraction(str(threshold))
     genes = F.array_sort(F.array_distinct(F.coalesce(F.filter("genes", lambda g: g.isNotNull()), F.array().cast(dict(terms.dtypes)["genes"]))))
     least = F.min(F.struct(F.col("fdr").isNull().alias("unknown"), F.col("fdr").alias("fdr"), genes.alias("genes"))).alias("x")
@@ -93,14 +122,23 @@ def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.
     alone = F.when(F.size("x.genes") == 0, F.col("term")).alias("alone")
     rows = _saved(once.select("collection", "term", rank.alias("rank"), F.struct("collection", F.col("x.genes").alias("genes"), alone).alias("set")))
     heads = _saved(rows.groupBy("set").agg(F.min("rank").alias("rank")).select(F.struct(F.col("set.collection").alias("collection"), F.col("rank.term").alias("term")).alias("node"), "rank", "set"))
-    members = heads.select("node", F.explode("set.genes").alias("gene")).select("node", F.struct(F.col("node.collection").alias("collection"), "gene").alias("member"))
-    near = _saved(joins.similar_sets(members, "node", "member", share.numerator, share.denominator))
-    jaccard = (F.col("shared") / (F.col("n_left") + F.col("n_right") - F.col("shared"))).alias("jaccard")
-    both_ways = near.select(F.col("left_id").alias("node"), F.col("right_id").alias("other"), jaccard).unionByName(near.select(F.col("right_id").alias("node"), F.col("left_id").alias("other"), jaccard))
-    ranks = heads.select("node", "rank")
-    linked = _saved(both_ways.join(ranks, "node").join(ranks.select(F.col("node").alias("other"), F.col("rank").alias("other_rank")), "other"))
-    leads = _saved(independent(ranks, linked.where("other_rank < rank").select(F.col("other").alias("strong"), F.col("node").alias("weak"))).join(heads, "node"))
-    of_set = linked.join(leads.select(F.col("node").alias("other")), "other", "left_semi").join(heads.select("node", "set"), "node").select("set", "jaccard", F.col("other_rank").alias("lead_rank"))
+    with_genes = heads.where(F.size("set.genes") > 0).select("node", "rank", F.col("node.collection").alias("collection"))
+    placed = _saved(scans.row_numbers(with_genes, ["collection"], [F.col("rank")], "at"))
+    near = _nearness(heads, share.numerator, share.denominator)
+    # Representatives of the first terms of each collection, then of four times as many, and so on: each time
+    # only terms that no representative is like are held against each other.
+    found, left, limit = [_saved(heads.where(F.size("set.genes") == 0).select("node"))], placed, FIRST
+    while not left.isEmpty():
+        front, later = _saved(left.where(F.col("at") <= limit)), left.where(F.col("at") > limit)
+        pairs = near(front, front).join(front.select("node", "rank"), "node").join(front.select(F.col("node").alias("other"), F.col("rank").alias("other_rank")), "other")
+        new = _saved(independent(front, pairs.where("other_rank < rank").select(F.col("other").alias("strong"), F.col("node").alias("weak"))))
+        found.append(new)
+        fresh = _saved(later.join(near(later, new).select("node").distinct(), "node", "left_anti"))
+        _forget(front, left)
+        left, limit = fresh, limit * 4
+    leads = _saved(_union(found).join(heads, "node"))
+    linked = near(heads, leads).join(leads.select(F.col("node").alias("other"), F.col("rank").alias("other_rank")), "other")
+    of_set = linked.join(heads.select("node", "set"), "node").select("set", "jaccard", F.col("other_rank").alias("lead_rank"))
     own = leads.select("set", F.lit(1.0).alias("jaccard"), F.col("rank").alias("lead_rank"))
     found = rows.join(of_set.unionByName(own), "set").where("lead_rank <= rank")
     chosen = found.groupBy("collection", "term").agg(F.min_by("lead_rank", F.struct(-F.col("jaccard"), "lead_rank")).alias("lead_rank"))

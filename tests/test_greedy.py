@@ -83,3 +83,19 @@ def test_no_terms_and_repeated_terms(spark):
     assert greedy.redundancy_clusters(spark.createDataFrame([], schema), "c").count() == 0
     t = spark.createDataFrame([("g", "x", 0.2, [1]), ("g", "x", 0.1, [1, 2]), ("g", "y", 0.3, [1, 2]), ("g", None, 0.0, [1, 2])], schema)
     assert {(r.term, r.cluster, r.representative) for r in greedy.redundancy_clusters(t, "c").collect()} == {("x", 1, "x"), ("y", 1, "x")}
+
+
+def test_redundancy_holds_terms_against_representatives_only(spark):
+    """300 terms, one gene short of ten each, are all alike: only the first ones and the representative may meet the others."""
+    everything = [f"g{k}" for k in range(12)]
+    terms = [("c", f"t{k:03}", k / 1000, [g for i, g in enumerate(everything) if i not in (k % 12, k // 12 % 12)]) for k in range(300)]
+    df = spark.createDataFrame(terms, "collection string, term string, fdr double, genes array<string>")
+    rows = {r.term: r.representative for r in greedy.redundancy_clusters(df, "collection", 0.6).collect()}
+    leads = []
+    for _, term, _, genes in terms:
+        like = [(len(set(genes) & set(g)) / len(set(genes) | set(g)), -i, t) for i, (t, g) in enumerate(leads)]
+        best = max((x for x in like if x[0] >= 0.6), default=None)
+        if best is None:
+            leads.append((term, genes))
+        assert rows[term] == (term if best is None else best[2])
+    assert len(rows) == 300
