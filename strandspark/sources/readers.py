@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clean
-from ..operators import intervals
+from ..operators import grouping, intervals
 
 
 def tsv(spark: SparkSession, path, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -226,10 +226,13 @@ def best_pairs(summaries: DataFrame, sensitivity: DataFrame, keys: Sequence[str]
     PP.H4.abf, PRIOR_SET), the H4 of that very pair under each prior. A key without a finite H4 has NULLs."""
     number = lambda c: clean.numeric(F.col(f"`{c}`"))
     h = [number(f"PP.H{k}.abf").alias(f"h{k}") for k in range(5)]
-    rows = summaries.select(*keys, "hit1", "hit2", *h)
+    n = summaries.count()
+    rows = grouping.spread(summaries.select(*keys, "hit1", "hit2", *h), keys, n)
     best = F.min_by(F.struct("hit1", "hit2", *(f"h{k}" for k in range(5))), F.when(F.col("h4").isNotNull(), F.struct(-F.col("h4"), "hit1", "hit2")))
     chosen = rows.groupBy(*keys).agg(F.count("*").alias("n_signal_pairs"), best.alias("best")).select(*keys, "n_signal_pairs", "best.*")
     under = sensitivity.select(*keys, "hit1", "hit2", F.col("PRIOR_SET").alias("prior"), number("PP.H4.abf").alias("h"))
     names = {"LOW_P12": "h4_low", "DEFAULT": "h4_default", "HIGH_P12": "h4_high"}
-    each = under.groupBy(*keys, "hit1", "hit2").agg(*(F.max(F.when(F.col("prior") == p, F.col("h"))).alias(c) for p, c in names.items()))
-    return chosen.join(each, [*keys, "hit1", "hit2"], "left")
+    # By keys alone, as chosen is, so that only what belongs to the chosen pair is grouped.
+    of_pair = grouping.spread(under, keys, n).join(chosen.select(*keys, F.col("hit1").alias("_1"), F.col("hit2").alias("_2")), list(keys)).where("hit1 = _1 AND hit2 = _2")
+    each = of_pair.groupBy(*keys).agg(*(F.max(F.when(F.col("prior") == p, F.col("h"))).alias(c) for p, c in names.items()))
+    return chosen.join(each, list(keys), "left")
