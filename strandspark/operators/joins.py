@@ -12,6 +12,10 @@ from .graphs import _saved
 from .grouping import assert_unique, keep_first
 
 
+#: Owners whose sizes are sent to all tasks.
+FEW_OWNERS = 1_000_000
+
+
 def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join many to one; a repeated key on the right is an error at run time."""
     return left.join(assert_unique(right, keys), list(keys), "left")
@@ -33,8 +37,14 @@ def match_by_position_and_alleles(rows: DataFrame, reference: DataFrame) -> Data
     """rows (row_id, chrom, pos, a1, a2) with reference (ref_id, chrom, pos, ref, alt): matched is the one
     candidate with the same two alleles in either order; without any, a single candidate at the position is
     taken although its alleles differ; several are ambiguous. status: MATCHED, POSITION_ONLY, AMBIGUOUS, ABSENT."""
-    same = F.concat_ws("|", F.least("a1", "a2"), F.greatest("a1", "a2")) == F.concat_ws("|", F.least("ref", "alt"), F.greatest("ref", "alt"))
-    joined = rows.join(reference, ["chrom", "pos"], "left").groupBy("row_id").agg(F.count("ref_id").alias("candidates"), F.count_if(same).alias("exact"), F.min(F.when(same, F.col("ref_id"))).alias("exact_id"), F.min("ref_id").alias("any_id"))
+    # The candidates of a position, and of its alleles, are counted first, so that a row meets one row of each.
+    pair = lambda x, y: F.concat_ws("|", F.least(x, y), F.greatest(x, y)).alias("_pair")
+    known = reference.select("chrom", "pos", "ref_id", pair("ref", "alt"))
+    at_place = known.groupBy("chrom", "pos").agg(F.count("ref_id").alias("_n"), F.min("ref_id").alias("_any"))
+    alike = known.groupBy("chrom", "pos", "_pair").agg(F.count("*").alias("_same"), F.min("ref_id").alias("_id"))
+    met = rows.select("row_id", "chrom", "pos", pair("a1", "a2")).join(at_place, ["chrom", "pos"], "left").join(alike, ["chrom", "pos", "_pair"], "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long"))
+    joined = met.groupBy("row_id").agg(total("_n").alias("candidates"), total("_same").alias("exact"), F.min("_id").alias("exact_id"), F.min("_any").alias("any_id"))
     status = F.when(F.col("exact") == 1, "MATCHED").when(F.col("exact") > 1, "AMBIGUOUS").when(F.col("candidates") == 1, "POSITION_ONLY").when(F.col("candidates") > 1, "AMBIGUOUS").otherwise("ABSENT")
     out = joined.withColumn("status", status)
     return out.select("row_id", "status", F.when(F.col("status") == "MATCHED", F.col("exact_id")).when(F.col("status") == "POSITION_ONLY", F.col("any_id")).alias("ref_id"))
@@ -72,14 +82,18 @@ def compare_sets(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def shared_members(df: DataFrame, owner: str, member: str) -> DataFrame:
-    """Pairs of owners with a member in common: shared, n_left, n_right, jaccard. Pairs are summed as
-    they are made; members that very many owners share make this long, so owners should be few (sets), members many."""
-    pairs = df.select(owner, member).distinct()
-    sizes = pairs.groupBy(owner).agg(F.count("*").alias("n"))
-    a, b = pairs.select(F.col(owner).alias("left_id"), member), pairs.select(F.col(owner).alias("right_id"), member)
-    shared = a.join(b, member).where("left_id < right_id").groupBy("left_id", "right_id").agg(F.count("*").alias("shared"))
-    out = shared.join(sizes.select(F.col(owner).alias("left_id"), F.col("n").alias("n_left")), "left_id").join(sizes.select(F.col(owner).alias("right_id"), F.col("n").alias("n_right")), "right_id")
-    return out.withColumn("jaccard", F.col("shared") / (F.col("n_left") + F.col("n_right") - F.col("shared")))
+    """Pairs of owners with a member in common: shared, n_left, n_right, jaccard. An owner is sent, for each of its members, the list
+    of the owners after it, and its pairs are made and summed where they arrive; members that very many owners share make
+    this long, so owners should be few (sets), members many."""
+    pairs = df.select(owner, member).where(F.col(member).isNotNull() & F.col(owner).isNotNull()).distinct()
+    sizes = _saved(df.select(owner, member).distinct().groupBy(owner).agg(F.count("*").alias("n")))
+    lists = pairs.groupBy(member).agg(F.collect_list(owner).alias("owners"))
+    after = lists.select(F.explode("owners").alias("left_id"), "owners").select("left_id", F.filter("owners", lambda o: o > F.col("left_id")).alias("after")).where(F.size("after") > 0)
+    shared = after.repartition("left_id").select("left_id", F.explode("after").alias("right_id")).groupBy("left_id", "right_id").agg(F.count("*").alias("shared"))
+    small = F.broadcast if sizes.count() <= FEW_OWNERS else lambda x: x
+    side = lambda c: small(sizes.select(F.col(owner).alias(f"{c}_id"), F.col("n").alias(f"n_{c}")))
+    out = shared.join(side("left"), "left_id").join(side("right"), "right_id")
+    return out.withColumn("jaccard", F.col("shared") / (F.col("n_left") + F.col("n_right") - F.col("shared"))).select("left_id", "right_id", "shared", "n_left", "n_right", "jaccard")
 
 
 def parities(member: str) -> list:
