@@ -1,4 +1,4 @@
-"""Greedy choices in rounds: each row that no stronger undecided row stands against is chosen at once, with all others
+"""Greedy choices in rounds: what no stronger undecided row stands against is chosen at once, with all others
 like it, and what it rules out goes. The outcome is that of going through all rows one by one, strongest first; no group, of
 whatever size, has to be in one task."""
 
@@ -7,7 +7,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import joins, scans
@@ -21,21 +23,58 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def independent(nodes: DataFrame, against: DataFrame) -> DataFrame:
-    """The nodes (node) that greedy choice takes, where against (strong, weak) says which rules out which and strong
-    comes first. The graph of against must have no cycle, as an order gives it."""
-    open_nodes, open_pairs, chosen = _saved(nodes.select("node").distinct()), _saved(against.select("strong", "weak").distinct()), []
-    while not open_nodes.isEmpty():
-        first = _saved(open_nodes.join(open_pairs.select(F.col("weak").alias("node")).distinct(), "node", "left_anti"))
-        chosen.append(first)
-        ruled = open_pairs.join(first.select(F.col("node").alias("strong")), "strong", "left_semi").select(F.col("weak").alias("node"))
-        gone = _saved(ruled.unionByName(first).distinct())
-        left = _saved(open_nodes.join(gone, "node", "left_anti"))
-        pairs = open_pairs.join(gone.select(F.col("node").alias("strong")), "strong", "left_anti").join(gone.select(F.col("node").alias("weak")), "weak", "left_anti")
-        pairs = _saved(pairs.select("strong", "weak"))
-        _forget(open_nodes, open_pairs, gone)
-        open_nodes, open_pairs = left, pairs
-    return _union(chosen) if chosen else open_nodes
+#: Pairs of a task that goes through a stretch of the order by itself.
+PAIRS = 4_000_000
+_OPEN, _GONE, _CHOSEN = 0, 1, 2
+
+
+def in_order(df: DataFrame, *order: Column) -> DataFrame:
+    """df, saved, with node: a number that rises along the order."""
+    return _saved(df.orderBy(*order).withColumn("node", F.monotonically_increasing_id()))
+
+
+def _settle(pairs: pa.Table) -> pa.Table:
+    """What one stretch settles by itself: its weak nodes in order, each as soon as all that are stronger are settled. A strong
+    node that is weak nowhere in the stretch is settled if state says so, else open in another stretch."""
+    strong, weak, state = (pairs[c].to_numpy() for c in ("strong", "weak", "state"))
+    order = np.argsort(weak, kind="stable")
+    strong, weak, state = strong[order], weak[order], state[order]
+    nodes, first = np.unique(weak, return_index=True)
+    ends = np.append(first[1:], len(weak))
+    at = np.minimum(np.searchsorted(nodes, strong), len(nodes) - 1)
+    outside = nodes[at] != strong
+    at[outside] = len(nodes) + np.arange(np.count_nonzero(outside))
+    known = np.concatenate([np.zeros(len(nodes), np.int8), state[outside]])
+    for k, (i, j) in enumerate(zip(first.tolist(), ends.tolist(), strict=True)):
+        above = known[at[i:j]]
+        known[k] = _GONE if (above == _CHOSEN).any() else _CHOSEN if (above == _GONE).all() else _OPEN
+    known = known[: len(nodes)]
+    settled = known != _OPEN
+    return pa.table({"node": nodes[settled], "state": known[settled]})
+
+
+def independent(nodes: DataFrame, against: DataFrame, *place: str) -> DataFrame:
+    """The nodes (node) that greedy choice takes by rising node, where against (strong, weak, place) says which rules out
+    which and strong < weak; place is of the weak one, and nodes that rule each other out should lie near each other in it.
+
+    Pairs are dealt by range of place to stretches, of about so many pairs each, and a stretch is gone through in order as far as
+    it doesn't hang on others. So rounds grow with the stretches that a chain of nodes runs through, not with its length."""
+    kept = _saved(against.select(*dict.fromkeys(("strong", "weak", *place))))
+    parts = -(-kept.count() // PAIRS)
+    dealt = kept.repartitionByRange(parts, *place).withColumn("part", F.spark_partition_id()) if parts > 1 else kept.withColumn("part", F.lit(0))
+    left = _saved(dealt.select("part", "strong", "weak"))
+    weak = _saved(left.select(F.col("weak").alias("node")).distinct())
+    free = _saved(nodes.select("node").distinct().join(weak, "node", "left_anti"))
+    _forget(kept, weak)
+    known, chosen = free.select("node", F.lit(_CHOSEN).cast("byte").alias("state")), [free]
+    while not left.isEmpty():
+        told = _saved(left.join(known.withColumnRenamed("node", "strong"), "strong", "left").select("part", "strong", "weak", F.coalesce("state", F.lit(_OPEN).cast("byte")).alias("state")))
+        known = _saved(told.groupBy("part").applyInArrow(_settle, "node long, state byte"))
+        chosen.append(known.where(F.col("state") == _CHOSEN).select("node"))
+        rest = _saved(told.where(F.col("state") == _OPEN).select("part", "strong", "weak").join(known.select(F.col("node").alias("weak")), "weak", "left_anti").select("part", "strong", "weak"))
+        _forget(left, told)
+        left = rest
+    return _union(chosen)
 
 
 def clump(variants: DataFrame, ld: DataFrame, index_p: float = 5e-8, member_p: float = 0.01, window: int = 1_000_000, least_r2: float = 0.1) -> DataFrame:
@@ -43,20 +82,19 @@ def clump(variants: DataFrame, ld: DataFrame, index_p: float = 5e-8, member_p: f
     variant with the least p <= index_p (then pos, id) leads and takes all free ones with p <= member_p within the
     window that it is linked to; and so on. A variant leads if no stronger lead is linked to it, and each other one
     belongs to the strongest lead linked to it. An id is one variant of its chromosome."""
-    order = F.struct("p", "pos", "id")
-    mine = _saved(variants.where((F.col("p") <= member_p) & F.col("id").isNotNull() & F.col("chrom").isNotNull()).select("chrom", "id", "pos", "p", order.alias("rank"), F.struct("chrom", "id").alias("node")))
+    known = variants.where((F.col("p") <= member_p) & F.col("id").isNotNull() & F.col("chrom").isNotNull()).select("chrom", "id", "pos", "p")
+    mine = in_order(known, F.col("p"), F.col("pos"), F.col("id"))
     pairs = ld.where((F.col("r2") >= least_r2) & (F.col("a") != F.col("b"))).select("chrom", "a", "b")
-    ends = lambda c, r: mine.select("chrom", F.col("id").alias(c), F.col("pos").alias(f"{r}_pos"), F.col("rank").alias(f"{r}_rank"), F.col("node").alias(f"{r}_node"))
-    linked = pairs.join(ends("a", "l"), ["chrom", "a"]).join(ends("b", "r"), ["chrom", "b"]).where(F.abs(F.col("l_pos") - F.col("r_pos")) <= window)
-    first = F.col("l_rank") < F.col("r_rank")
-    side = lambda c: F.when(first, F.col(f"l_{c}")).otherwise(F.col(f"r_{c}")).alias("strong" if c == "node" else "strong_rank")
-    other = lambda c: F.when(first, F.col(f"r_{c}")).otherwise(F.col(f"l_{c}")).alias("weak" if c == "node" else "weak_rank")
-    against = _saved(linked.select(side("node"), side("rank"), other("node"), other("rank")).distinct())
-    eligible = against.where(F.col("weak_rank.p") <= index_p)  # the stronger of two then is so too
-    leads = _saved(independent(mine.where(F.col("p") <= index_p), eligible))
-    taken = against.join(leads.select(F.col("node").alias("strong")), "strong", "left_semi").groupBy(F.col("weak").alias("node")).agg(F.min_by("strong", "strong_rank").alias("lead"))
+    ends = lambda c, r: mine.select("chrom", F.col("id").alias(c), F.struct("node", "pos", (F.col("p") <= index_p).alias("may_lead")).alias(r))
+    linked = pairs.join(ends("a", "l"), ["chrom", "a"]).join(ends("b", "r"), ["chrom", "b"]).where(F.abs(F.col("l.pos") - F.col("r.pos")) <= window)
+    first = F.col("l.node") < F.col("r.node")
+    both = linked.select("chrom", F.when(first, F.col("l")).otherwise(F.col("r")).alias("s"), F.when(first, F.col("r")).otherwise(F.col("l")).alias("w")).where("s.may_lead")
+    against = _saved(both.select("chrom", F.col("s.node").alias("strong"), F.col("w.node").alias("weak"), F.col("w.pos").alias("pos"), F.col("w.may_lead").alias("may_lead")))
+    leads = _saved(independent(mine.where(F.col("p") <= index_p), against.where("may_lead"), "chrom", "pos"))
+    taken = against.join(leads.select(F.col("node").alias("strong")), "strong", "left_semi").groupBy(F.col("weak").alias("node")).agg(F.min("strong").alias("lead"))
     members = taken.join(leads, "node", "left_anti").unionByName(leads.select("node", F.col("node").alias("lead")))
-    return members.join(mine, "node").select("chrom", F.col("lead.id").alias("lead"), "id", F.col("p").cast("double").alias("p"))
+    named = members.join(mine, "node").join(mine.select(F.col("node").alias("lead"), F.col("id").alias("lead_id")), "lead")
+    return named.select("chrom", F.col("lead_id").alias("lead"), "id", F.col("p").cast("double").alias("p"))
 
 
 def greedy_match(pairs: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -130,8 +168,10 @@ def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.
     found, left, limit = [_saved(heads.where(F.size("set.genes") == 0).select("node"))], placed, FIRST
     while not left.isEmpty():
         front, later = _saved(left.where(F.col("at") <= limit)), left.where(F.col("at") > limit)
-        pairs = near(front, front).join(front.select("node", "rank"), "node").join(front.select(F.col("node").alias("other"), F.col("rank").alias("other_rank")), "other")
-        new = _saved(independent(front, pairs.where("other_rank < rank").select(F.col("other").alias("strong"), F.col("node").alias("weak"))))
+        terms_of = in_order(front.select(F.col("node").alias("term"), "collection", "rank"), F.col("collection"), F.col("rank"))
+        pairs = near(front, front).join(terms_of.select(F.col("term").alias("node"), F.col("node").alias("weak")), "node").join(terms_of.select(F.col("term").alias("other"), F.col("node").alias("strong")), "other")
+        first = independent(terms_of, pairs.where("strong < weak"), "weak")
+        new = _saved(first.join(terms_of, "node").select(F.col("term").alias("node")))
         found.append(new)
         fresh = _saved(later.join(near(later, new).select("node").distinct(), "node", "left_anti"))
         _forget(front, left)

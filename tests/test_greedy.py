@@ -38,6 +38,18 @@ def test_clumps(spark, seed):
     assert len(alone) == sum(p is not None and p <= 1e-7 for *_, p in variants) and all(r.lead == r.id for r in alone)
 
 
+@pytest.mark.parametrize("bound", [4_000_000, 30])
+def test_rounds_do_not_grow_with_a_chain(spark, monkeypatch, bound):
+    """90 variants of one p on a row, each linked to the next two: every third leads, whatever stretches they are dealt to."""
+    saved, count = greedy._saved, []
+    monkeypatch.setattr(greedy, "PAIRS", bound)
+    monkeypatch.setattr(greedy, "_saved", lambda df: count.append(1) or saved(df))
+    v = spark.createDataFrame([(1, k, k, 1e-9) for k in range(90)], "chrom int, pos long, id long, p double")
+    ld = spark.createDataFrame([(1, k, k + d, 0.5) for k in range(90) for d in (1, 2) if k + d < 90], "chrom int, a long, b long, r2 double")
+    assert {(r.lead, r.id) for r in greedy.clump(v, ld, window=2).collect()} == {(k - k % 3, k) for k in range(90)}
+    assert len(count) < (15 if bound > 30 else 40)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_matches(spark, seed):
     rng = random.Random(seed)
