@@ -1,5 +1,5 @@
-"""Kernels whose steps depend on each other: one group (a chromosome, a locus, a study) per call,
-groups in parallel. Each is a short numpy function under groupBy().applyInPandas."""
+"""Kernels whose steps depend on each other within a locus: loci in parallel, several small ones to a call. Each is a
+short numpy function under groupBy().applyInPandas."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .graphs import _saved
+
 
 def susie(z: np.ndarray, r: np.ndarray, n: int, effects: int = 10, iterations: int = 100, tolerance: float = 1e-3, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
     """Sum of single effects from z scores and correlations (Wang 2020, Zou 2022), residual variance 1:
@@ -80,10 +82,9 @@ def mismatch(z: np.ndarray, r: np.ndarray, n: int) -> float:
     return min((loss(s), s) for s in (0.0, (low + high) / 2, 1.0))[1]
 
 
-def _fit(s: pd.DataFrame, edges: pd.DataFrame, coverage: float, effects: int, least_purity: float):
+def _fit(s: pd.DataFrame, r: np.ndarray, coverage: float, effects: int, least_purity: float):
     """(number, members, probabilities, log Bayes factors) of the components of one locus; members are none where
     the set is not pure enough or equal to an earlier one. s is in the order of the matrix."""
-    r = _matrix(s, edges)
     alpha, lbf = susie(s.z.to_numpy(float), r, int(s.n.max()), effects)
     seen = set()
     for k, (a, factors) in enumerate(zip(alpha, lbf, strict=True), 1):
@@ -100,61 +101,77 @@ def _known(s: pd.DataFrame) -> pd.DataFrame:
     return s.dropna(subset=["z"]).sort_values("variant").reset_index(drop=True)
 
 
-def _of_locus(ld: DataFrame) -> DataFrame:
-    return ld.select(F.col("locus").alias("_locus"), *(F.col(c).alias(c) for c in ("i", "j", "r")))
+#: Traits of a locus that one call fits, and cells of correlations that a call takes on at least.
+TRAITS, CELLS = 16, 50_000
+
+
+def _by_locus(stats: DataFrame, ld: DataFrame, fit, schema: str) -> DataFrame:
+    """fit(key, known stats of a trait, their correlations) over all traits of all loci: small loci share a call, and
+    traits of a locus share its correlations, which are sent once for so many traits. stats has locus, trait, variant, z, n."""
+    sizes = _saved(stats.groupBy("locus").agg(F.count_distinct("trait").alias("traits"), F.count_distinct("variant").cast("double").alias("m")))
+    calls = int(1 + (sizes.agg(F.sum(F.col("m") * F.col("m"))).first()[0] or 0) // CELLS)
+    crowded = _saved(sizes.where(F.col("traits") > TRAITS).select("locus", F.ceil(F.col("traits") / TRAITS).alias("parts")))
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
+    batch = F.pmod(F.xxhash64("locus"), F.lit(calls)).alias("_batch")
+    left = stats.join(crowded, "locus", "left").select(batch, F.pmod(F.xxhash64("trait"), parts).alias("_part"), "locus", "trait", "variant", "z", "n")
+    copies = ld.join(sizes.select("locus"), "locus", "left_semi").join(crowded, "locus", "left")
+    right = copies.select(batch, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("_part"), "locus", "i", "j", "r")
+    empty = pd.DataFrame(columns=[f.split()[0] for f in schema.split(", ")])
+
+    def run(key: tuple, s: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        out, of_locus = [], edges.groupby("locus").indices
+        for locus, mine in s.groupby("locus", dropna=False):
+            near = edges.iloc[of_locus.get(locus, [])]
+            every = mine[["variant"]].drop_duplicates().sort_values("variant").reset_index(drop=True)
+            whole, at = _matrix(every, near), pd.Index(every.variant)
+            for trait, x in mine.groupby("trait", dropna=False):
+                x = _known(x)
+                if len(x):
+                    k = at.get_indexer(x.variant)
+                    r = whole[np.ix_(k, k)]
+                    np.fill_diagonal(r, 1.0)
+                    out += fit((locus, trait), x, r)
+        return pd.concat(out) if out else empty
+
+    return left.groupBy("_batch", "_part").cogroup(right.groupBy("_batch", "_part")).applyInPandas(run, schema)
 
 
 def fine_map(stats: DataFrame, ld: DataFrame, coverage: float = 0.95, effects: int = 10, least_purity: float = 0.5) -> DataFrame:
     """stats (locus, variant, z, n) and ld (locus, i, j, r): locus, variant, pip, sets (names like L1;L3).
     A component without a set of purity least_purity, or equal to an earlier one, names none."""
 
-    def run(key: tuple, s: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        s = _known(s)
-        if not len(s):
-            return pd.DataFrame(columns=["locus", "variant", "pip", "sets"])
+    def fit(key: tuple, s: pd.DataFrame, r: np.ndarray) -> list[pd.DataFrame]:
         names, none = [[] for _ in range(len(s))], np.ones(len(s))
-        for k, mine, alpha, _ in _fit(s, edges, coverage, effects, least_purity):
+        for k, mine, alpha, _ in _fit(s, r, coverage, effects, least_purity):
             none *= 1 - alpha
             for v in mine:
                 names[v].append(f"L{k}")
-        return pd.DataFrame({"locus": key[0], "variant": s.variant, "pip": 1 - none, "sets": [";".join(x) for x in names]})
+        return [pd.DataFrame({"locus": key[0], "variant": s.variant, "pip": 1 - none, "sets": [";".join(x) for x in names]})]
 
     kinds = dict(stats.dtypes)
-    return stats.groupBy("locus").cogroup(_of_locus(ld).groupBy("_locus")).applyInPandas(run, f"locus {kinds['locus']}, variant {kinds['variant']}, pip double, sets string")
+    one = stats.select("locus", F.lit("").alias("trait"), "variant", "z", "n")
+    return _by_locus(one, ld, fit, f"locus {kinds['locus']}, variant {kinds['variant']}, pip double, sets string")
 
 
 def signals(stats: DataFrame, ld: DataFrame, coverage: float = 0.95, effects: int = 10, least_purity: float = 0.5) -> DataFrame:
     """stats (locus, trait, variant, z, n) and ld (locus, i, j, r): locus, trait, component, variant and lbf, the log
     Bayes factors of every variant in each component that names a credible set. The traits of a locus are fitted
-    apart and in parallel; each is sent the correlations among its own variants alone."""
+    apart, each on the correlations among its own variants alone."""
 
-    def run(key: tuple, s: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        s, parts = _known(s), []
-        if len(s):
-            for k, mine, _, lbf in _fit(s, edges, coverage, effects, least_purity):
-                if len(mine):
-                    parts.append(pd.DataFrame({"locus": key[0], "trait": key[1], "component": k, "variant": s.variant, "lbf": lbf}))
-        return pd.concat(parts) if parts else pd.DataFrame(columns=["locus", "trait", "component", "variant", "lbf"])
+    def fit(key: tuple, s: pd.DataFrame, r: np.ndarray) -> list[pd.DataFrame]:
+        found = _fit(s, r, coverage, effects, least_purity)
+        return [pd.DataFrame({"locus": key[0], "trait": key[1], "component": k, "variant": s.variant, "lbf": lbf}) for k, mine, _, lbf in found if len(mine)]
 
     kinds = dict(stats.dtypes)
-    schema = f"locus {kinds['locus']}, trait {kinds['trait']}, component int, variant {kinds['variant']}, lbf double"
-    return stats.groupBy("locus", "trait").cogroup(_of_traits(stats, ld).groupBy("_locus", "_trait")).applyInPandas(run, schema)
-
-
-def _of_traits(stats: DataFrame, ld: DataFrame) -> DataFrame:
-    mine = stats.select("locus", "trait", "variant").distinct()
-    one = ld.join(mine.withColumnRenamed("variant", "i"), ["locus", "i"]).join(mine.withColumnRenamed("variant", "j"), ["locus", "trait", "j"])
-    return one.select(F.col("locus").alias("_locus"), F.col("trait").alias("_trait"), "i", "j", "r")
+    return _by_locus(stats, ld, fit, f"locus {kinds['locus']}, trait {kinds['trait']}, component int, variant {kinds['variant']}, lbf double")
 
 
 def ld_mismatch(stats: DataFrame, ld: DataFrame) -> DataFrame:
     """stats (locus, trait, variant, z, n) and ld (locus, i, j, r): locus, trait, s (see mismatch), max_abs_z and n_variants."""
 
-    def run(key: tuple, s: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        s = _known(s)
-        rows = [(*key, mismatch(s.z.to_numpy(float), _matrix(s, edges), int(s.n.max())), float(s.z.abs().max()), len(s))] if len(s) else []
-        return pd.DataFrame(rows, columns=["locus", "trait", "s", "max_abs_z", "n_variants"])
+    def fit(key: tuple, s: pd.DataFrame, r: np.ndarray) -> list[pd.DataFrame]:
+        row = (*key, mismatch(s.z.to_numpy(float), r, int(s.n.max())), float(s.z.abs().max()), len(s))
+        return [pd.DataFrame([row], columns=["locus", "trait", "s", "max_abs_z", "n_variants"])]
 
     kinds = dict(stats.dtypes)
-    schema = f"locus {kinds['locus']}, trait {kinds['trait']}, s double, max_abs_z double, n_variants long"
-    return stats.groupBy("locus", "trait").cogroup(_of_traits(stats, ld).groupBy("_locus", "_trait")).applyInPandas(run, schema)
+    return _by_locus(stats, ld, fit, f"locus {kinds['locus']}, trait {kinds['trait']}, s double, max_abs_z double, n_variants long")

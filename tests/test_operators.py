@@ -1,8 +1,10 @@
 """Edge cases of operators on small hand-made tables."""
 
 import math
+import uuid
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -343,3 +345,46 @@ def test_shares_do_not_hang_on_the_order_of_rows(spark, tmp_path):
     spark.createDataFrame(rows, "l_suppkey long, l_quantity double, l_discount double").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
     got = {r.l_suppkey: (r.up_share, r.consensus) for r in parity.QUERIES["weighted_consensus"](spark, str(tmp_path)).collect()}
     assert got == {7: (0.52, "UP"), 1: (0.52, "UP"), 6: (0.48, "DOWN"), 0: (None, "CONFLICT")}
+
+
+def test_small_loci_share_calls(spark):
+    """300 loci of three variants and two traits are fitted in one call, each trait on its own variants and correlations."""
+    ld_rows = spark.createDataFrame([(k, 3 * k + i, 3 * k + j, 0.1 * (i + j)) for k in range(300) for i, j in ((0, 1), (0, 2), (1, 2))], "locus long, i long, j long, r double")
+    stats = spark.createDataFrame([(k // 3, t, k, float(k % 7) if k % 5 else None, 500) for t in "xy" for k in range(900) if t == "x" or k % 3], "locus long, trait string, variant long, z double, n int")
+
+    calls = [0]
+
+    def fit(key, s, r):
+        if not calls[0]:
+            calls[0] = uuid.uuid4().int % 2**62
+        return [pd.DataFrame({"locus": key[0], "trait": key[1], "variants": [s.variant.tolist()], "r": [np.round(r, 6).ravel().tolist()], "call": calls[0]})]
+
+    got = grouped._by_locus(stats, ld_rows, fit, "locus long, trait string, variants array<long>, r array<double>, call long").collect()
+    assert len({r.call for r in got}) == 1 and len(got) == 600 - sum(all(v % 5 == 0 for v in vs) for vs in ([v for v in range(3 * k, 3 * k + 3) if t == "x" or v % 3] for k in range(300) for t in "xy"))
+    for r in got:
+        mine = [v for v in range(3 * r.locus, 3 * r.locus + 3) if v % 5 and (r.trait == "x" or v % 3)]
+        assert r.variants == mine and r.r == [1.0 if a == b else round(0.1 * (a % 3 + b % 3), 6) for a in mine for b in mine]
+
+
+@pytest.mark.parametrize("most", [1, 16])
+def test_many_traits_of_a_locus_are_dealt_apart(spark, monkeypatch, most):
+    monkeypatch.setattr(grouped, "TRAITS", most)
+    ld_rows = spark.createDataFrame([(1, 0, 1, 0.9), (2, 0, 1, -0.9)], "locus long, i long, j long, r double")
+    stats = spark.createDataFrame([(k, f"t{t}", v, 3.0, 500) for k in (1, 2) for t in range(20 if k == 1 else 1) for v in (0, 1)], "locus long, trait string, variant long, z double, n int")
+    got = {(r.locus, r.trait): r.s for r in grouped.ld_mismatch(stats, ld_rows).collect()}
+    want = {k: grouped.mismatch(np.array([3.0, 3.0]), np.array([[1, r], [r, 1]]), 500) for k, r in ((1, 0.9), (2, -0.9))}
+    assert len(got) == 21 and all(s == pytest.approx(want[k]) for (k, _), s in got.items())
+
+
+def test_pairs_of_blocks_in_one_call(spark):
+    """Blocks of different samples, and loci of several blocks beside loci of one, in one call."""
+    rng = np.random.default_rng(5)
+    rows = [(f"l{k}", f"v{v}", s, float(rng.integers(0, 3))) for k in range(6) for v in range(1 + 2 * k) for s in range(30) if rng.random() < 0.9]
+    got = {(r.locus, r.i, r.j): r.r for r in ld.ld_matrix(spark.createDataFrame(rows, "locus string, variant string, sample int, dosage double"), most_missing=0.9, block=3).collect()}
+    assert len(got) == sum(n * (n - 1) // 2 for n in (1, 3, 5, 7, 9, 11))
+    of = {}
+    for k, v, s, x in rows:
+        of.setdefault((k, v), {})[s] = x
+    for (k, i, j), r in got.items():
+        x, y = ({s: (v - np.mean(list(d.values()))) / np.sqrt(np.var(list(d.values())) * len(d)) for s, v in d.items()} for d in (of[k, i], of[k, j]))
+        assert i < j and r == pytest.approx(sum(x[s] * y[s] for s in x if s in y))
