@@ -108,6 +108,7 @@ TRAITS, CELLS = 16, 50_000
 def _by_locus(stats: DataFrame, ld: DataFrame, fit, schema: str) -> DataFrame:
     """fit(key, known stats of a trait, their correlations) over all traits of all loci: small loci share a call, and
     traits of a locus share its correlations, which are sent once for so many traits. stats has locus, trait, variant, z, n."""
+    stats = _saved(stats.select("locus", "trait", "variant", "z", "n"))
     sizes = _saved(stats.groupBy("locus").agg(F.count_distinct("trait").alias("traits"), F.count_distinct("variant").cast("double").alias("m")))
     calls = int(1 + (sizes.agg(F.sum(F.col("m") * F.col("m"))).first()[0] or 0) // CELLS)
     crowded = _saved(sizes.where(F.col("traits") > TRAITS).select("locus", F.ceil(F.col("traits") / TRAITS).alias("parts")))
