@@ -113,6 +113,20 @@ def test_communities_cannot_gain_by_one_more_merge(spark, seed):
     assert all(min(v for v in label if label[v] == c) == c for c in set(label.values()))
 
 
+def test_communities_gain_by_any_weight_beside_a_great_one(spark):
+    edges = [(1, 2, 1e13, 1.0), (3, 4, 1.0, 1.0), (4, 5, 1.0, 1.0)]
+    label = {r.node: r.community for r in graphs.communities(spark.createDataFrame(edges, EDGES)).collect()}
+    assert label == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3}  # gains of 1e-13 of the whole were none before
+
+
+def test_communities_with_links_below_zero(spark):
+    edges = [("a", "b", 3.0), ("b", "c", 3.0), ("a", "c", -1.0), ("x", "y", 2.0), ("c", "x", 0.5)]
+    label = {r.node: r.community for r in graphs.communities(spark.createDataFrame(edges, "a string, b string, score double")).collect()}
+    assert label == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x"}
+    none = spark.createDataFrame([("a", "b", 0.0)], "a string, b string, score double")
+    assert {r.node: r.community for r in graphs.communities(none).collect()} == {"a": "a", "b": "b"}
+
+
 def test_page_rank_spreads_what_dead_ends_hold(spark):
     edges = [(1, 2, 1.0), (2, 3, 2.0), (4, 5, 0.0)]
     rank = {r.node: r.rank for r in graphs.page_rank(spark.createDataFrame(edges, "a long, b long, score double"), tolerance=1e-12, rounds=60).collect()}
