@@ -232,6 +232,17 @@ def test_ld_matrix(spark, block):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
+def test_testable_pairs_settle_repeated_rows_in_tasks_that_are_not_put_together(spark):
+    loci = spark.createDataFrame([(1, "t")], "locus long, trait string")
+    qtl = spark.createDataFrame([(1, "t", 7, 1.0, None), (1, "t", 7, 2.0, 500)], "locus long, trait string, variant long, z double, n int").coalesce(1)
+    gwas = spark.createDataFrame([(1, 7, 1.0, None, None, None, None), (1, 7, 2.0, 900, True, 10, 20)], "locus long, variant long, z double, n int, case_control boolean, n_cases int, n_controls int").coalesce(1)
+    ld = spark.createDataFrame([(1, 7, 8, 0.5), (1, 7, 8, 0.5)], "locus long, i long, j long, r double")
+    found = kernels.testable_pairs(loci, gwas, qtl, ld, common=(1, 60))
+    (row,) = found.collect()  # the first of repeated rows counted before, with or without its sample size
+    assert (row.n_qtl, row.n_common, row.n_in_ld, row.status) == (1, 1, 1, "TESTED")
+    assert found._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") >= 2
+
+
 def test_colocalisation_of_fine_mapped_signals(spark):
     """Two traits at one locus: one shares the causal variant, one has its own; a third has too few variants."""
     rng = np.random.default_rng(5)
