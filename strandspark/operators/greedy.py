@@ -23,6 +23,11 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _apart(df: DataFrame) -> DataFrame:
+    """df, never sent to all tasks through the driver: Spark takes saved tables for as small as their packed files."""
+    return df.hint("merge")
+
+
 #: Pairs of a task that goes through a stretch of the order by itself.
 PAIRS = 4_000_000
 _OPEN, _GONE, _CHOSEN = 0, 1, 2
@@ -61,17 +66,21 @@ def independent(nodes: DataFrame, against: DataFrame, *place: str) -> DataFrame:
     it doesn't hang on others. So rounds grow with the stretches that a chain of nodes runs through, not with its length."""
     kept = _saved(against.select(*dict.fromkeys(("strong", "weak", *place))))
     parts = -(-kept.count() // PAIRS)
-    dealt = kept.repartitionByRange(parts, *place).withColumn("part", F.spark_partition_id()) if parts > 1 else kept.withColumn("part", F.lit(0))
+    if parts <= 1:  # what is weak nowhere is chosen
+        only = kept.select(F.lit(0).alias("part"), "strong", "weak", F.lit(_CHOSEN).cast("byte").alias("state"))
+        gone = only.groupBy("part").applyInArrow(_settle, "node long, state byte").where(F.col("state") == _GONE)
+        return _saved(nodes.select("node").distinct().join(_apart(gone), "node", "left_anti"))
+    dealt = kept.repartitionByRange(parts, *place).withColumn("part", F.spark_partition_id())
     left = _saved(dealt.select("part", "strong", "weak"))
     weak = _saved(left.select(F.col("weak").alias("node")).distinct())
-    free = _saved(nodes.select("node").distinct().join(weak, "node", "left_anti"))
+    free = _saved(nodes.select("node").distinct().join(_apart(weak), "node", "left_anti"))
     _forget(kept, weak)
     known, chosen = free.select("node", F.lit(_CHOSEN).cast("byte").alias("state")), [free]
     while not left.isEmpty():
-        told = _saved(left.join(known.withColumnRenamed("node", "strong"), "strong", "left").select("part", "strong", "weak", F.coalesce("state", F.lit(_OPEN).cast("byte")).alias("state")))
+        told = _saved(left.join(_apart(known.withColumnRenamed("node", "strong")), "strong", "left").select("part", "strong", "weak", F.coalesce("state", F.lit(_OPEN).cast("byte")).alias("state")))
         known = _saved(told.groupBy("part").applyInArrow(_settle, "node long, state byte"))
         chosen.append(known.where(F.col("state") == _CHOSEN).select("node"))
-        rest = _saved(told.where(F.col("state") == _OPEN).select("part", "strong", "weak").join(known.select(F.col("node").alias("weak")), "weak", "left_anti").select("part", "strong", "weak"))
+        rest = _saved(told.where(F.col("state") == _OPEN).select("part", "strong", "weak").join(_apart(known.select(F.col("node").alias("weak"))), "weak", "left_anti").select("part", "strong", "weak"))
         _forget(left, told)
         left = rest
     return _union(chosen)
@@ -117,30 +126,41 @@ def greedy_match(pairs: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return (_union(kept) if kept else left).select(*keys, "a", "b", "score")
 
 
-#: Terms of each collection that the first round chooses among; sets of genes up to which a row carries them all.
+#: Terms of each collection that the first round chooses among; sets up to which a row carries all members.
 FIRST, FEW = 64, 64
 
 
-def _nearness(heads: DataFrame, num: int, den: int):
-    """A function of left and right (node) that gives node, other and jaccard of their pairs, of num / den or more. heads has node
-    and set.genes; a gene is a member within its collection."""
-    genes = _saved(heads.select("node", F.col("set.genes").alias("genes")))
-    members = genes.select("node", F.explode("genes").alias("gene")).select("node", F.struct(F.col("node.collection").alias("collection"), "gene").alias("member"))
-    often = members.groupBy("member").agg(F.count("*").alias("f"))
-    ranked = scans.row_numbers(members.join(often, "member"), ["node"], [F.col("f"), F.col("member")], "place").select("node", "member", "place")
-    sizes = members.groupBy("node").agg(F.count("*").alias("n"), *joins.parities("member")).join(genes.select("node", F.when(F.size("genes") <= FEW, F.col("genes")).alias("few")), "node")
-    rare = _saved(ranked.join(sizes, "node").where(joins.among_rarest("n", "place", num, den)))
-    jaccard = lambda x, y: (F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))).alias("jaccard")
-    enough = lambda x, y: F.size(F.array_intersect(x, y)) * den >= F.size(F.array_union(x, y)) * num
-
-    def near(left: DataFrame, right: DataFrame) -> DataFrame:
-        a, b = (rare.join(side.select("node"), "node", "left_semi") for side in (left, right))
-        met = a.join(b.select(*(F.col(c).alias(f"r_{c}") for c in b.columns)), F.col("member") == F.col("r_member"))
-        met = met.where((F.col("node") != F.col("r_node")) & joins.may_be_near(num, den))
-        small = met.where(F.col("few").isNotNull() & F.col("r_few").isNotNull()).where(enough("few", "r_few")).select("node", F.col("r_node").alias("other"), jaccard("few", "r_few"))
-        large = met.where(F.col("few").isNull() | F.col("r_few").isNull()).select("node", F.col("r_node").alias("other")).distinct()
-        both = large.join(genes, "node").join(genes.select(F.col("node").alias("other"), F.col("genes").alias("r_genes")), "other")
-        return small.distinct().unionByName(both.where(enough("genes", "r_genes")).select("node", "other", jaccard("genes", "r_genes")))
+def _sets(heads: DataFrame) -> DataFrame:
+    """heads (node, collection, genes) with members in place of genes: numbers, those of fewest sets first, and what
+    joins.may_be_near needs. A gene is a member within its collection; sets without genes are left out."""
+    each = heads.select("node", "collection", F.explode("genes").alias("gene")).select("node", F.struct("collection", "gene").alias("name"))
+    numbered = in_order(each.groupBy("name").agg(F.count("*").alias("f")), F.col("f"), F.col("name")).select("name", F.col("node").alias("member"))
+    grouped = each.join(_apart(numbered), "name").groupBy("node").agg(F.array_sort(F.collect_list("member")).alias("members"), F.count("*").alias("n"), *joins.parities("member"))
+    return grouped.join(_apart(heads.select("node", "collection")), "node")
+
+
+def _nearness(sets: DataFrame, num: int, den: int):
+    """A function of two parts of sets (see _sets) that gives node, other and jaccard of their pairs, of num / den or more."""
+    most = sets.agg(F.max("n")).first()[0] or 0
+    small, share = (F.col("n") <= FEW) & (F.col("r_n") <= FEW), F.col("common") / (F.col("n") + F.col("r_n") - F.col("common"))
+    enough = F.col("common") * (den + num) >= (F.col("n") + F.col("r_n")) * num
+
+    def rarest(side: DataFrame) -> DataFrame:
+        few = F.expr(f"slice(members, 1, cast(n - (n * {num} + {den - 1}) div {den} + 1 as int))")
+        return side.select("node", "n", "low", "high", F.when(F.col("n") <= FEW, F.col("members")).alias("few"), F.posexplode(few).alias("place", "member")).withColumn("place", F.col("place") + 1)
+
+    def near(left: DataFrame, right: DataFrame, only: str = "node <> r_node") -> DataFrame:
+        other = rarest(right)
+        met = rarest(left).join(_apart(other.select(*(F.col(c).alias(f"r_{c}") for c in other.columns))), F.col("member") == F.col("r_member"))
+        met = met.where(F.expr(only) & joins.may_be_near(num, den))
+        # Members are in order, so the first common one is among the rarest of both: there a pair is kept.
+        listed = met.where(small).select("node", F.col("r_node").alias("other"), "n", "r_n", "member", F.array_intersect("few", "r_few").alias("both"))
+        found = listed.where(F.col("both")[0] == F.col("member")).withColumn("common", F.size("both")).where(enough).select("node", "other", share.alias("jaccard"))
+        if most <= FEW:
+            return found
+        pairs = met.where(~small).select("node", F.col("r_node").alias("other")).distinct()
+        full = pairs.join(_apart(sets.select("node", "n", "members")), "node").join(_apart(sets.select(F.col("node").alias("other"), F.col("n").alias("r_n"), F.col("members").alias("r_members"))), "other")
+        return found.unionByName(full.withColumn("common", F.size(F.array_intersect("members", "r_members"))).where(enough).select("node", "other", share.alias("jaccard")))
 
     return near
 
@@ -158,30 +178,30 @@ def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.
     once = terms.where("term IS NOT NULL").groupBy(F.col(collection).alias("collection"), "term").agg(least)
     rank = F.struct("x.unknown", "x.fdr", "term")
     alone = F.when(F.size("x.genes") == 0, F.col("term")).alias("alone")
-    rows = _saved(once.select("collection", "term", rank.alias("rank"), F.struct("collection", F.col("x.genes").alias("genes"), alone).alias("set")))
-    heads = _saved(rows.groupBy("set").agg(F.min("rank").alias("rank")).select(F.struct(F.col("set.collection").alias("collection"), F.col("rank.term").alias("term")).alias("node"), "rank", "set"))
-    with_genes = heads.where(F.size("set.genes") > 0).select("node", "rank", F.col("node.collection").alias("collection"))
-    placed = _saved(scans.row_numbers(with_genes, ["collection"], [F.col("rank")], "at"))
-    near = _nearness(heads, share.numerator, share.denominator)
-    # Representatives of the first terms of each collection, then of four times as many, and so on: each time
+    rows = _saved(once.select("term", rank.alias("rank"), F.struct("collection", F.col("x.genes").alias("genes"), alone).alias("set")))
+    # A node is a set, numbered by collection and rank of its first term.
+    heads = in_order(rows.groupBy("set").agg(F.min("rank").alias("rank")), F.col("set.collection"), F.col("rank"))
+    plain = heads.select("node", F.col("set.collection").alias("collection"), F.col("set.genes").alias("genes"))
+    sets = _saved(_sets(plain))
+    near = _nearness(sets, share.numerator, share.denominator)
+    # Representatives of the first terms of each collection, then of eight times as many, and so on: each time
     # only terms that no representative is like are held against each other.
-    found, left, limit = [_saved(heads.where(F.size("set.genes") == 0).select("node"))], placed, FIRST
+    found, limit = [plain.where(F.size("genes") == 0).select("node")], FIRST
+    left = _saved(scans.row_numbers(sets, ["collection"], [F.col("node")], "at"))
     while not left.isEmpty():
         front, later = _saved(left.where(F.col("at") <= limit)), left.where(F.col("at") > limit)
-        terms_of = in_order(front.select(F.col("node").alias("term"), "collection", "rank"), F.col("collection"), F.col("rank"))
-        pairs = near(front, front).join(terms_of.select(F.col("term").alias("node"), F.col("node").alias("weak")), "node").join(terms_of.select(F.col("term").alias("other"), F.col("node").alias("strong")), "other")
-        first = independent(terms_of, pairs.where("strong < weak"), "weak")
-        new = _saved(first.join(terms_of, "node").select(F.col("term").alias("node")))
-        found.append(new)
-        fresh = _saved(later.join(near(later, new).select("node").distinct(), "node", "left_anti"))
-        _forget(front, left)
-        left, limit = fresh, limit * 4
-    leads = _saved(_union(found).join(heads, "node"))
-    linked = near(heads, leads).join(leads.select(F.col("node").alias("other"), F.col("rank").alias("other_rank")), "other")
-    of_set = linked.join(heads.select("node", "set"), "node").select("set", "jaccard", F.col("other_rank").alias("lead_rank"))
-    own = leads.select("set", F.lit(1.0).alias("jaccard"), F.col("rank").alias("lead_rank"))
-    found = rows.join(of_set.unionByName(own), "set").where("lead_rank <= rank")
-    chosen = found.groupBy("collection", "term").agg(F.min_by("lead_rank", F.struct(-F.col("jaccard"), "lead_rank")).alias("lead_rank"))
-    numbered = scans.row_numbers(leads.select(F.col("node.collection").alias("collection"), "rank"), ["collection"], [F.col("rank")], "cluster")
-    numbers = numbered.select(F.struct("collection", "rank").alias("lead"), F.col("cluster").cast("long").alias("cluster"))
-    return chosen.withColumn("lead", F.struct("collection", F.col("lead_rank").alias("rank"))).join(numbers, "lead").select("collection", "term", "cluster", F.col("lead_rank.term").alias("representative"))
+        pairs = near(front, front, "r_node < node").select(F.col("other").alias("strong"), F.col("node").alias("weak"))
+        first = _saved(independent(front, pairs, "weak"))
+        found.append(first)
+        new = _saved(front.join(_apart(first), "node"))
+        fresh = _saved(later.join(_apart(near(later, new).select("node").distinct()), "node", "left_anti"))
+        _forget(front, left, new)
+        left, limit = fresh, limit * 8
+    leads = _saved(scans.row_numbers(_union(found).join(_apart(plain.select("node", "collection")), "node"), ["collection"], [F.col("node")], "cluster"))
+    named = leads.join(_apart(heads.select("node", "rank")), "node").select("node", "rank", "cluster")
+    linked = near(sets, sets.join(_apart(leads.select("node")), "node")).unionByName(leads.select("node", F.col("node").alias("other"), F.lit(1.0).alias("jaccard")))
+    offers = linked.join(_apart(named.withColumnRenamed("node", "other")), "other").groupBy("node").agg(F.collect_list(F.struct((-F.col("jaccard")).alias("j"), F.col("rank").alias("lead"), "cluster")).alias("offers"))
+    of_set = offers.join(_apart(heads.select("node", "set")), "node").select("set", "offers")
+    chosen = F.array_min(F.filter("offers", lambda x: x["lead"] <= F.col("rank")))
+    best = rows.join(_apart(of_set), "set").select(F.col("set.collection").alias("collection"), "term", chosen.alias("x"))
+    return best.select("collection", "term", F.col("x.cluster").cast("long").alias("cluster"), F.col("x.lead.term").alias("representative"))

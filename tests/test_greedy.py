@@ -111,3 +111,14 @@ def test_redundancy_holds_terms_against_representatives_only(spark):
             leads.append((term, genes))
         assert rows[term] == (term if best is None else best[2])
     assert len(rows) == 300
+
+
+def test_no_terms_pass_through_the_driver(spark, monkeypatch):
+    """What grows with terms is joined by shuffle, though saved tables are small files; only rows of a stretch each are sent to all tasks."""
+    saved, plans = greedy._saved, []
+    monkeypatch.setattr(greedy, "_saved", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or saved(df))
+    terms = [("c", f"t{k}", k / 100, [f"g{(k * 7 + i * i) % 23}" for i in range(1 + k % 9)]) for k in range(100)]
+    out = greedy.redundancy_clusters(spark.createDataFrame(terms, "collection string, term string, fdr double, genes array<string>"), "collection", 0.5)
+    sent = [line for plan in [*plans, out._jdf.queryExecution().executedPlan().toString()] for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert len(plans) > 5 and all("_part" in line for line in sent)
+    assert {(r.collection, r.term): (r.cluster, r.representative) for r in out.collect()} == plain_clusters(terms, 0.5)
