@@ -4,7 +4,7 @@ whatever size, has to be in one task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from fractions import Fraction
 
 import numpy as np
@@ -86,13 +86,36 @@ def independent(nodes: DataFrame, against: DataFrame, *place: str) -> DataFrame:
     return _union(chosen)
 
 
-def clump(variants: DataFrame, ld: DataFrame, index_p: float = 5e-8, member_p: float = 0.01, window: int = 1_000_000, least_r2: float = 0.1) -> DataFrame:
+def _leaders(nodes: DataFrame, keys: Sequence[str], pairs: Callable[[DataFrame, DataFrame], DataFrame], *place: str, first: int) -> DataFrame:
+    """The nodes (node, keys) that greedy choice takes by rising node within their keys; pairs gives strong, weak and place (see
+    independent) of what of one part of nodes rules out what of another, strong < weak. The first nodes of each key are held against
+    each other, then eight times as many, and so on: each time only those that no node taken so far rules out."""
+    found, limit = [], first
+    left = _saved(scans.row_numbers(nodes, keys, [F.col("node")], "at"))
+    while not left.isEmpty():
+        front, later = _saved(left.where(F.col("at") <= limit)), left.where(F.col("at") > limit)
+        taken = _saved(independent(front, pairs(front, front), *place))
+        found.append(taken)
+        strong = _saved(front.join(_apart(taken), "node"))
+        fresh = _saved(later.join(_apart(pairs(strong, later).select(F.col("weak").alias("node")).distinct()), "node", "left_anti"))
+        _forget(front, left, strong)
+        left, limit = fresh, limit * 8
+    return _union(found) if found else left.select("node")
+
+
+def clump(variants: DataFrame, ld: DataFrame | Callable[[DataFrame, DataFrame], DataFrame], index_p: float = 5e-8, member_p: float = 0.01, window: int = 1_000_000, least_r2: float = 0.1) -> DataFrame:
     """variants (chrom, pos, id, p) and ld (chrom, a, b, r2): chrom, lead, id, p of every clump member. The
     variant with the least p <= index_p (then pos, id) leads and takes all free ones with p <= member_p within the
     window that it is linked to; and so on. A variant leads if no stronger lead is linked to it, and each other one
-    belongs to the strongest lead linked to it. An id is one variant of its chromosome."""
+    belongs to the strongest lead linked to it. An id is one variant of its chromosome.
+
+    Where r2 hangs on places alone, ld may be a function instead, that gives r2 beside left (chrom, l_id, l_pos, l_node) and right
+    (r_id, ...), two parts of the variants, for pairs near each other; variants of one place must be linked. Then pairs are made
+    only of leads and what may lead, not of all variants with all."""
     known = variants.where((F.col("p") <= member_p) & F.col("id").isNotNull() & F.col("chrom").isNotNull()).select("chrom", "id", "pos", "p")
     mine = in_order(known, F.col("p"), F.col("pos"), F.col("id"))
+    if callable(ld):
+        return _clump_by_place(mine, ld, index_p, window, least_r2)
     pairs = ld.where((F.col("r2") >= least_r2) & (F.col("a") != F.col("b"))).select("chrom", "a", "b")
     ends = lambda c, r: mine.select("chrom", F.col("id").alias(c), F.struct("node", "pos", (F.col("p") <= index_p).alias("may_lead")).alias(r))
     linked = pairs.join(ends("a", "l"), ["chrom", "a"]).join(ends("b", "r"), ["chrom", "b"]).where(F.abs(F.col("l.pos") - F.col("r.pos")) <= window)
@@ -106,6 +129,22 @@ def clump(variants: DataFrame, ld: DataFrame, index_p: float = 5e-8, member_p: f
     return named.select("chrom", F.col("lead_id").alias("lead"), "id", F.col("p").cast("double").alias("p"))
 
 
+def _clump_by_place(mine: DataFrame, ld: Callable[[DataFrame, DataFrame], DataFrame], index_p: float, window: int, least_r2: float) -> DataFrame:
+    side = lambda df, way, *more: df.select("chrom", *(F.col(c).alias(f"{way}_{c}") for c in ("id", "pos", "node")), *more)
+
+    def linked(left: DataFrame, right: DataFrame, *more: str) -> DataFrame:
+        pairs = ld(side(left, "l"), side(right, "r", *more))
+        return pairs.where((F.col("r2") >= least_r2) & (F.col("l_node") < F.col("r_node")) & (F.abs(F.col("l_pos") - F.col("r_pos")) <= window))
+
+    # Only the strongest of a place can lead; what has no place is linked to nothing.
+    apart = F.when(F.col("pos").isNull(), F.col("id"))
+    heads = mine.where(F.col("p") <= index_p).groupBy("chrom", "pos", apart).agg(F.min("node").alias("node"), F.min_by("id", "node").alias("id")).select("chrom", "pos", "id", "node")
+    against = lambda strong, weak: linked(strong, weak).select(F.col("l_node").alias("strong"), F.col("r_node").alias("weak"), "chrom", F.col("r_pos").alias("pos"))
+    leads = _saved(mine.join(_apart(_leaders(heads, ["chrom"], against, "chrom", "pos", first=512)), "node"))
+    taken = linked(leads, mine, "p").groupBy("chrom", F.col("r_id").alias("id"), "p").agg(F.min_by("l_id", "l_node").alias("lead"))
+    return taken.unionByName(leads.select("chrom", "id", "p", F.col("id").alias("lead"))).select("chrom", "lead", "id", F.col("p").cast("double").alias("p"))
+
+
 def greedy_match(pairs: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """pairs (keys, a, b, score): by falling score (then a, b) those whose two ends are both free. A pair that is the first
     of both its ends is kept, and all others of these ends go. A pair without a score, or repeated, is none of its own."""
@@ -126,7 +165,7 @@ def greedy_match(pairs: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return (_union(kept) if kept else left).select(*keys, "a", "b", "score")
 
 
-#: Terms of each collection that the first round chooses among; sets up to which a row carries all members.
+#: Terms of each collection that the first round chooses among (see _leaders); sets up to which a row carries all members.
 FIRST, FEW = 64, 64
 
 
@@ -184,20 +223,9 @@ def redundancy_clusters(terms: DataFrame, collection: str, threshold: float = 0.
     plain = heads.select("node", F.col("set.collection").alias("collection"), F.col("set.genes").alias("genes"))
     sets = _saved(_sets(plain))
     near = _nearness(sets, share.numerator, share.denominator)
-    # Representatives of the first terms of each collection, then of eight times as many, and so on: each time
-    # only terms that no representative is like are held against each other.
-    found, limit = [plain.where(F.size("genes") == 0).select("node")], FIRST
-    left = _saved(scans.row_numbers(sets, ["collection"], [F.col("node")], "at"))
-    while not left.isEmpty():
-        front, later = _saved(left.where(F.col("at") <= limit)), left.where(F.col("at") > limit)
-        pairs = near(front, front, "r_node < node").select(F.col("other").alias("strong"), F.col("node").alias("weak"))
-        first = _saved(independent(front, pairs, "weak"))
-        found.append(first)
-        new = _saved(front.join(_apart(first), "node"))
-        fresh = _saved(later.join(_apart(near(later, new).select("node").distinct()), "node", "left_anti"))
-        _forget(front, left, new)
-        left, limit = fresh, limit * 8
-    leads = _saved(scans.row_numbers(_union(found).join(_apart(plain.select("node", "collection")), "node"), ["collection"], [F.col("node")], "cluster"))
+    against = lambda strong, weak: near(weak, strong, "r_node < node").select(F.col("other").alias("strong"), F.col("node").alias("weak"))
+    found = plain.where(F.size("genes") == 0).select("node").unionByName(_leaders(sets, ["collection"], against, "weak", first=FIRST))
+    leads = _saved(scans.row_numbers(found.join(_apart(plain.select("node", "collection")), "node"), ["collection"], [F.col("node")], "cluster"))
     named = leads.join(_apart(heads.select("node", "rank")), "node").select("node", "rank", "cluster")
     linked = near(sets, sets.join(_apart(leads.select("node")), "node")).unionByName(leads.select("node", F.col("node").alias("other"), F.lit(1.0).alias("jaccard")))
     offers = linked.join(_apart(named.withColumnRenamed("node", "other")), "other").groupBy("node").agg(F.collect_list(F.struct((-F.col("jaccard")).alias("j"), F.col("rank").alias("lead"), "cluster")).alias("offers"))

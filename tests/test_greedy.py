@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from strandspark.operators import greedy
 
@@ -38,6 +39,26 @@ def test_clumps(spark, seed):
     assert len(alone) == sum(p is not None and p <= 1e-7 for *_, p in variants) and all(r.lead == r.id for r in alone)
 
 
+@pytest.mark.parametrize("bound", [4_000_000, 40])
+def test_clumps_by_place_make_few_pairs(spark, monkeypatch, bound):
+    """Links by place are asked for leads alone: 900 variants within reach of 60 others each, several at one place."""
+    rng, asked = random.Random(3), []
+    monkeypatch.setattr(greedy, "PAIRS", bound)
+    variants = [(k % 2, rng.randrange(1500), f"v{k}", rng.choice([1e-9, 1e-9, 1e-8, 1e-3, 0.5, None])) for k in range(900)] + [(0, None, "nowhere", 1e-9), (0, None, "there", 1e-9), (0, None, "weak", 1e-3)]
+
+    def linked(left, right):
+        pairs = left.join(right, "chrom").where("abs(l_pos - r_pos) <= 100").withColumn("r2", 1 - F.abs(F.col("l_pos") - F.col("r_pos")) / 100)
+        asked.append(pairs.count())
+        return pairs
+
+    v = spark.createDataFrame(variants, "chrom int, pos long, id string, p double")
+    links = [(c, a, b, 1 - abs(x - y) / 100) for c, x, a, _ in variants for d, y, b, _ in variants if c == d and a != b and None not in (x, y) and abs(x - y) <= 100]
+    found = {tuple(r) for r in greedy.clump(v, linked, index_p=1e-7, member_p=0.01, window=90, least_r2=0.2).collect()}
+    assert found == clump_one_by_one([x for x in variants if x[1] is not None], links, 1e-7, 0.01, 90, 0.2) | {(0, i, i, 1e-9) for i in ("nowhere", "there")}
+    assert asked[-1] < len(links) / 10
+    assert greedy.clump(v.limit(0), linked).count() == 0
+
+
 @pytest.mark.parametrize("bound", [4_000_000, 30])
 def test_rounds_do_not_grow_with_a_chain(spark, monkeypatch, bound):
     """90 variants of one p on a row, each linked to the next two: every third leads, whatever stretches they are dealt to."""
