@@ -46,3 +46,39 @@ def test_blocks_of_seeds_write_no_rounds(spark):
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("blocks of seeds")) <= 8
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(rows) == len(want) and {(r.seed, r.node): (r.hops, round(r.distance, 9)) for r in rows} == want
+
+
+def test_packed_graphs_give_the_same_rows(spark):
+    """Beyond shared_edges a graph is dealt a row a node, not in rounds: no folder of a round is written."""
+    rng = random.Random(6)
+    edges = [(a, b, s, rng.random() if a > 80 else d) for a, b, s, d in dense_graph()]  # some 700 steps, more than a byte tells apart
+    df, seeds = spark.createDataFrame(edges, EDGES), spark.createDataFrame([(s,) for s in (0, 25, 200, 999)], "node long")
+    few = spark.createDataFrame(dense_graph(), EDGES)
+    asked = {
+        "distances": lambda n: graphs.distances(df, seeds, shared_edges=n),
+        "few steps": lambda n: graphs.distances(few, seeds, shared_edges=n),
+        "paths": lambda n: graphs.hops(df, seeds, with_path=True, shared_edges=n),
+        "texts": lambda n: graphs.hops(df, seeds, with_path=True, shared_edges=n, joined=">"),
+        "closeness": lambda n: graphs.closeness(few, shared_edges=n),
+        "betweenness": lambda n: graphs.betweenness(few, shared_edges=n),
+    }
+    for what, rows in asked.items():
+        saved, folders = graphs._saved, []
+        graphs._saved = lambda df: folders.append(1) or saved(df)  # noqa: B023
+        try:
+            packed = rows(400)
+        finally:
+            graphs._saved = saved
+        assert len(folders) <= 5, what
+        key = lambda r: tuple(r)[:2] if len(r) > 2 else r.node
+        got, want = ({key(r): r for r in x.collect()} for x in (packed, rows(10**6)))
+        assert got.keys() == want.keys() and len(got) > 50
+        for k, r in got.items():
+            assert all(abs(x - y) < 1e-12 if isinstance(x, float) else x == y for x, y in zip(r, want[k], strict=True)), (what, k)
+
+
+def test_paths_as_text(spark):
+    df, seeds = spark.createDataFrame(dense_graph(), EDGES), spark.createDataFrame([(s,) for s in (25, 200, 999)], "node long")
+    want = {(r.seed, r.node): ">".join(map(str, r.path)) for r in graphs.hops(df, seeds, with_path=True).collect()}
+    for shared in (10**6, 400, 0):
+        assert {(r.seed, r.node): r.path for r in graphs.hops(df, seeds, with_path=True, shared_edges=shared, joined=">").collect()} == want
